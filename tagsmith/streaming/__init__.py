@@ -1,0 +1,8 @@
+"""Streaming: nothing to build.
+
+Every tag in this library is a batch job refreshed on a schedule (daily or
+weekly); the system it mirrors has no stream, watermark, window or state.
+A streaming deployment would call the same DataFrame -> DataFrame operators
+from ``foreachBatch`` and upsert the profile per micro-batch; no operator here
+depends on that.
+"""
