@@ -43,29 +43,43 @@ def minmax_scale(df: DataFrame, cols: list[str], out: str = "scaled") -> DataFra
     return model.transform(vec).withColumn(out, vector_to_array("_s")).drop("_v", "_s")
 
 
-def classification_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """accuracy, weighted precision / recall / F1 (weights = true-label
-    shares), from a grouped confusion matrix; one row.  Matches
+def confusion_metrics(cm: DataFrame, label: str = "l", prediction: str = "p", count: str = "n") -> DataFrame:
+    """accuracy, weighted precision / recall / F1 from a confusion matrix
+    ``(label, prediction, n)`` (a few rows).  Each cell is credited to its
+    true class (actual, tp) and to its predicted class (predicted), summed per
+    class, then weighted by the true-class share.  Matches
     ``MulticlassClassificationEvaluator`` for those metric names."""
-    cm = df.groupBy(F.col(label).alias("l"), F.col(prediction).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    tp = cm.where("l = p").groupBy("l").agg(F.sum("n").alias("tp"))
-    by_label = cm.groupBy("l").agg(F.sum("n").alias("actual"))
-    by_pred = cm.groupBy(F.col("p").alias("l")).agg(F.sum("n").alias("predicted"))
-    per = (by_label.join(by_pred, "l", "left").join(tp, "l", "left")
-           .fillna(0, ["predicted", "tp"]))
+    n = F.col(count)
+    hit = F.col(label) == F.col(prediction)
+    credits = F.explode(F.array(
+        F.struct(F.col(label).alias("c"), n.alias("actual"), F.when(hit, n).otherwise(0).alias("tp"),
+                 F.lit(0).cast("long").alias("predicted")),
+        F.struct(F.col(prediction).alias("c"), F.lit(0).cast("long").alias("actual"),
+                 F.lit(0).cast("long").alias("tp"), n.alias("predicted"))))
+    per = (cm.select(credits.alias("x")).select("x.*").groupBy("c")
+           .agg(F.sum("actual").alias("actual"), F.sum("tp").alias("tp"), F.sum("predicted").alias("predicted"))
+           .where(F.col("actual") > 0))
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
-    rec = F.when(F.col("actual") > 0, F.col("tp") / F.col("actual")).otherwise(0.0)
-    f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)
-    per = per.select("actual", "tp", prec.alias("prec"), rec.alias("rec"), f1.alias("f1"))
+    rec = F.col("tp") / F.col("actual")
+    per = per.select("actual", "tp", prec.alias("prec"), rec.alias("rec"))
+    f1 = F.when(F.col("prec") + F.col("rec") > 0,
+                2 * F.col("prec") * F.col("rec") / (F.col("prec") + F.col("rec"))).otherwise(0.0)
     total = F.sum("actual")
     return per.agg(
         (F.sum("tp") / total).alias("accuracy"),
         (F.sum(F.col("actual") * F.col("prec")) / total).alias("weighted_precision"),
         (F.sum(F.col("actual") * F.col("rec")) / total).alias("weighted_recall"),
-        (F.sum(F.col("actual") * F.col("f1")) / total).alias("f1"),
+        (F.sum(F.col("actual") * f1) / total).alias("f1"),
     )
 
 
+def classification_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """Metrics of row-level predictions: the confusion matrix is one
+    partially aggregated group-by, everything after it is a few rows."""
+    cm = df.groupBy(F.col(label).alias("l"), F.col(prediction).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    return confusion_metrics(cm)
+
+
 # fixed values: the reference's logistic-regression settings
 LOGREG_PARAMS = {"maxIter": 10, "regParam": 0.3, "elasticNetParam": 0.8}
 

@@ -95,6 +95,9 @@ def segment_by_kmeans(scores: DataFrame, score_cols: list[str], rules: DataFrame
     k = rules.count()
     if k < 2:
         raise ValueError("segmentation needs at least two level-5 rules")
+    # the per-user scores are read twice (histogram, final join): materialise
+    # them once in the checkpoint folder instead of recomputing the metrics
+    scores = cut_lineage(scores.select(id_col, *score_cols))
     hist = score_histogram(scores, score_cols)
 
     def train():

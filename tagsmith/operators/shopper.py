@@ -72,15 +72,21 @@ def gender_votes(lines: DataFrame, orders: DataFrame, line_order_col: str, order
         F.sum("_t").alias("total"), F.sum("_m").alias("male"), F.sum("_f").alias("female"))
 
 
+def vote_class(share: float = VOTE_SHARE):
+    """0 (male) when male/total >= share, 1 (female) when female/total >=
+    share, else -1 (neutral)."""
+    return (F.when(F.col("male") / F.col("total") >= share, 0)
+            .when(F.col("female") / F.col("total") >= share, 1).otherwise(-1))
+
+
 def vote_tag(votes: DataFrame, rules: DataFrame, tag_col: str = "usg", user_col: str = "userId",
-             share: float = VOTE_SHARE) -> DataFrame:
-    """Class ``0`` when male/total >= share, ``1`` when female/total >= share,
-    else ``-1``; the class is matched to the level-5 rule of that value."""
-    cls = (F.when(F.col("male") / F.col("total") >= share, "0")
-           .when(F.col("female") / F.col("total") >= share, "1").otherwise("-1"))
+             share: float = VOTE_SHARE, keep_counts: bool = False) -> DataFrame:
+    """The vote class matched to the level-5 rule of that value (``0``,
+    ``1``, ``-1``).  ``keep_counts`` keeps total / male / female."""
     r = distinct_rules(rules).select(F.col("rule").alias("_rule"), F.col("name").alias(tag_col))
-    v = votes.select(user_col, cls.alias("_cls"))
-    return join_small(v, r, v["_cls"] == r["_rule"], "left").select(user_col, tag_col)
+    keep = [user_col, "total", "male", "female"] if keep_counts else [user_col]
+    v = votes.select(*keep, vote_class(share).cast("string").alias("_cls"))
+    return join_small(v, r, v["_cls"] == r["_rule"], "left").select(*keep, tag_col)
 
 
 def train_gender_tree(lines: DataFrame, split_keys: list[str], train_pct: int = 80,

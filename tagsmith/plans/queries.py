@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagsmith.functions.scores import Bands
@@ -247,9 +247,7 @@ def _seed_votes(spark, d):
 
 
 def q_usg_vote(spark, d):
-    votes = _seed_votes(spark, d)
-    tags = U.vote_tag(votes, attribute_rules(_tags(spark), 380))
-    return votes.join(tags, "userId")
+    return U.vote_tag(_seed_votes(spark, d), attribute_rules(_tags(spark), 380), keep_counts=True)
 
 
 def q_hash_split(spark, d):
@@ -258,14 +256,22 @@ def q_hash_split(spark, d):
 
 
 def q_classification_metrics(spark, d):
-    """Per order line: the seed label against the user's voted class."""
+    """Per order line: the seed label against the user's voted class.
+
+    One pass over the lines: (user, label) counts, the user's class from the
+    same counts, then the confusion matrix (label, class)."""
     o = load_table(spark, d, "orders", ["o_orderkey", "o_custkey"])
-    votes = _seed_votes(spark, d)
-    cls = votes.select(F.col("userId").alias("o_custkey"),
-                       F.when(F.col("male") / F.col("total") >= 0.6, 0)
-                       .when(F.col("female") / F.col("total") >= 0.6, 1).otherwise(-1).alias("prediction"))
-    lines = _usg_lines(spark, d).join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(cls, "o_custkey")
-    m = E.classification_metrics(lines, "label", "prediction")
+    lines = _usg_lines(spark, d)
+    per_order = lines.groupBy("l_orderkey", "label").agg(F.count(F.lit(1)).alias("n"))
+    per_user = (per_order.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+                .groupBy(F.col("o_custkey").alias("userId"), "label").agg(F.sum("n").alias("n")))
+    w = Window.partitionBy("userId")
+    cls = per_user.withColumn("total", F.sum("n").over(w)) \
+        .withColumn("male", F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).over(w)) \
+        .withColumn("female", F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).over(w)) \
+        .withColumn("p", U.vote_class())
+    cm = cls.groupBy(F.col("label").alias("l"), "p").agg(F.sum("n").alias("n"))
+    m = E.confusion_metrics(cm)
     return m.select(*[F.round(c, 6).alias(c) for c in m.columns])
 
 

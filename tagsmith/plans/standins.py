@@ -13,7 +13,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagsmith.operators.joins import join_small
 from tagsmith.operators.shopper import encode_dims, seed_labels
 from tagsmith.sources.tables import load_table
 
@@ -65,11 +64,13 @@ def encoded_parts(spark: SparkSession, d: str) -> DataFrame:
 
 def goods(spark: SparkSession, d: str) -> DataFrame:
     """Order lines with ``color``, ``product``, ``label``: lineitem joined
-    to the encoded parts (broadcast only when the part table is proven
-    small; a shuffle join otherwise)."""
+    to the encoded parts.  The part table grows with the data, so no hint:
+    Spark broadcasts it only while its file statistics are under the
+    broadcast threshold (or AQE measures it small), else a shuffle join with
+    AQE skew splitting."""
     li = load_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey"])
     p = encoded_parts(spark, d).select("p_partkey", "color", "product", "label")
-    return join_small(li, p, li["l_partkey"] == p["p_partkey"], "inner").drop("p_partkey", "l_partkey")
+    return li.join(p, li["l_partkey"] == p["p_partkey"], "inner").drop("p_partkey", "l_partkey")
 
 
 def logs(spark: SparkSession, d: str, purchases_only: bool = False) -> DataFrame:
