@@ -80,9 +80,10 @@ def center_ranks(centers) -> list[tuple[int, int]]:
 def center_tag_table(spark: SparkSession, centers, rules: DataFrame) -> DataFrame:
     """``(prediction, tag)``: the rank of each centre matched to the level-5
     rule with that index (rule ``"0"`` = rank 0)."""
-    ranks = spark.createDataFrame(center_ranks(centers), "prediction int, rank int")
+    from tagsmith.plans.local import local_frame
+    ranks = local_frame(spark, center_ranks(centers), "prediction int, rank int")
     r = rules.select(F.col("rule").alias("_rule"), F.col("name").alias("tag"))
-    return ranks.join(F.broadcast(r), F.col("rank").cast("string") == F.col("_rule"), "left") \
+    return join_small(ranks, r, F.col("rank").cast("string") == F.col("_rule"), "left") \
         .select("prediction", "tag")
 
 
@@ -108,6 +109,7 @@ def segment_by_kmeans(scores: DataFrame, score_cols: list[str], rules: DataFrame
         raise ValueError(f"model has {len(model.clusterCenters())} clusters, rules name {k}")
     tags = center_tag_table(spark, model.clusterCenters(), rules)
     triples = model.transform(assemble(hist.select(*score_cols), score_cols)).select(*score_cols, "prediction")
+    # tags has exactly k rows (k counted above)
     mapping = triples.join(F.broadcast(tags), "prediction").select(*score_cols, F.col("tag").alias(tag_col))
     # the mapping has one row per distinct score vector (<= 5**len(score_cols))
     return join_small(scores.select(id_col, *score_cols), mapping, list(score_cols), "inner") \
@@ -158,7 +160,7 @@ def rank_centers(centers_df: DataFrame, cols: list[str], rules: DataFrame, pred_
     ranked = centers_df.withColumn("center_sum", total).withColumn(
         "rank", F.row_number().over(Window.orderBy(F.col("center_sum").desc(), F.col(pred_col))) - 1)
     r = rules.select(F.col("rule").alias("_rule"), F.col("name").alias(tag_col))
-    return ranked.join(F.broadcast(r), F.col("rank").cast("string") == F.col("_rule"), "left").drop("_rule")
+    return join_small(ranked, r, F.col("rank").cast("string") == F.col("_rule"), "left").drop("_rule")
 
 
 def cluster_profile(assigned: DataFrame, cols: list[str], pred_col: str = "prediction") -> DataFrame:

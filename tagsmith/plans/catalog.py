@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagsmith.plans.local import local_frame
+
 CATALOG_SCHEMA = "id long, name string, rule string, level int, pid long"
 
 
@@ -70,7 +72,7 @@ ALL_TAGS = REFERENCE_TAGS + STANDIN_TAGS
 
 
 def catalog(spark: SparkSession, rows=None) -> DataFrame:
-    return spark.createDataFrame(rows or ALL_TAGS, CATALOG_SCHEMA)
+    return local_frame(spark, rows or ALL_TAGS, CATALOG_SCHEMA)
 
 
 def tag_lookup(tags: DataFrame, tag_id: int) -> DataFrame:

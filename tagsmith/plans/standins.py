@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagsmith.plans.local import local_frame
 from tagsmith.operators.shopper import encode_dims, seed_labels
 from tagsmith.sources.tables import load_table
 
@@ -50,8 +51,8 @@ def parts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dims(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    return (spark.createDataFrame(COLORS, "id int, name string"),
-            spark.createDataFrame(PRODUCTS, "id int, name string"))
+    return (local_frame(spark, COLORS, "id int, name string"),
+            local_frame(spark, PRODUCTS, "id int, name string"))
 
 
 def encoded_parts(spark: SparkSession, d: str) -> DataFrame:
