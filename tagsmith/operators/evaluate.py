@@ -92,3 +92,32 @@ def train_classifier(df: DataFrame, feature_array: str, label_col: str, params:
     stages = [StringIndexer(inputCol=label_col, outputCol="label_idx", stringOrderType="frequencyDesc"),
               LogisticRegression(featuresCol="features", labelCol="label_idx", **params)]
     return Pipeline(stages=stages).fit(data), data
+
+
+def evaluate_predictions(pred: DataFrame, label_col: str = "label_idx", prediction_col: str = "prediction",
+                         metrics=("accuracy", "f1", "weightedPrecision", "weightedRecall")) -> dict[str, float]:
+    """Spark ML's multiclass evaluator for each metric name (one aggregate
+    job per metric, no rows collected)."""
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    return {m: MulticlassClassificationEvaluator(labelCol=label_col, predictionCol=prediction_col,
+                                                 metricName=m).evaluate(pred) for m in metrics}
+
+
+def classify(df: DataFrame, feature_array: str, label_col: str, split_keys: list[str],
+             model_path: str | None = None, train_pct: int = 80):
+    """The classifier demo end to end: deterministic split, StringIndexer +
+    logistic regression on the training side (or the saved model at
+    ``model_path``), predictions for every row, metrics on the held-out side.
+    Returns ``(predictions, metrics)``."""
+    from pyspark.ml import PipelineModel
+
+    from tagsmith.sources.store import load_or_train
+
+    data = hash_split(df, split_keys, train_pct)
+
+    def train():
+        return train_classifier(data.where("is_train"), feature_array, label_col)[0]
+
+    model = load_or_train(model_path, PipelineModel, train) if model_path else train()
+    pred = model.transform(data.withColumn("features", array_to_vector(F.col(feature_array))))
+    return pred, evaluate_predictions(pred.where(~F.col("is_train")))

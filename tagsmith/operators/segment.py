@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagsmith.operators.joins import join_small
+from tagsmith.operators.lineage import cut_lineage
 from tagsmith.sources.store import load_or_train
 
 # fixed values: the reference's KMeans trials (maxIter 5, 10, 20) and seed 31
@@ -41,14 +42,6 @@ def score_histogram(scores: DataFrame, cols: list[str], weight_col: str = "n") -
             .agg(F.count(F.lit(1)).alias(weight_col)))
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's checkpoint folder, so repeated
-    fits read a materialised copy that survives a lost executor."""
-    if df.sparkSession.sparkContext.getCheckpointDir():
-        return df.checkpoint(eager=True)
-    return df.persist()
-
-
 def fit_kmeans(hist: DataFrame, cols: list[str], k: int, max_iters=MAX_ITERS, seed: int = SEED,
                weight_col: str | None = "n") -> tuple[KMeansModel, list[tuple[float, int]]]:
     """Fit one model per ``maxIter`` and keep the lowest training cost

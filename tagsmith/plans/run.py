@@ -25,3 +25,17 @@ def run_tag(spark: SparkSession, tags: DataFrame, tag_id: int, base_dir: str, ta
     business = business_scan(spark, options, base_dir, as_of)
     rules = attribute_rules(tags, tag_id)
     return tagger(business, rules)
+
+
+def run_and_save(spark: SparkSession, tags: DataFrame, tag_id: int, base_dir: str, tagger: Tagger,
+                 profile_base: str, version: str, previous: str | None = None, as_of=None,
+                 key: str = "userId", buckets: int | None = None) -> str:
+    """The whole template: run one tag, upsert it into the previous profile
+    version (if any) and write the result as a new version folder.  Returns
+    the new version's path; the previous version is never modified."""
+    from tagsmith.operators.profile import profile_upsert
+    from tagsmith.sources.store import read_profile, write_profile
+
+    result = run_tag(spark, tags, tag_id, base_dir, tagger, as_of)
+    merged = profile_upsert(read_profile(spark, profile_base, previous), result, key) if previous else result
+    return write_profile(merged, profile_base, version, key, buckets)
