@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the session's checkpoint folder (the shared
     folder named by ``spark.checkpoint.dir`` on a cluster), so repeated reads
-    use one materialised copy that survives a lost executor.  Without a
-    checkpoint folder (never the case with ``build_session``) it persists."""
-    if df.sparkSession.sparkContext.getCheckpointDir():
-        return df.checkpoint(eager=True)
-    return df.persist()
+    use one materialised copy that survives a lost executor.
+
+    The input is cached for the duration of the checkpoint: writing a
+    reliable checkpoint runs a second job over the data, which would otherwise
+    recompute the whole plan.  Without a checkpoint folder (never the case
+    with ``build_session``) the result is only persisted."""
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if not df.sparkSession.sparkContext.getCheckpointDir():
+        return cached
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out

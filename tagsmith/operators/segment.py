@@ -43,22 +43,28 @@ def score_histogram(scores: DataFrame, cols: list[str], weight_col: str = "n") -
 
 
 def fit_kmeans(hist: DataFrame, cols: list[str], k: int, max_iters=MAX_ITERS, seed: int = SEED,
-               weight_col: str | None = "n") -> tuple[KMeansModel, list[tuple[float, int]]]:
+               weight_col: str | None = "n", parallelism: int | None = None
+               ) -> tuple[KMeansModel, list[tuple[float, int]]]:
     """Fit one model per ``maxIter`` and keep the lowest training cost
-    (WSSSE).  Returns ``(best_model, [(cost, maxIter), ...])``."""
+    (WSSSE; ties keep the earlier trial).  The trials are independent, so
+    they are submitted as concurrent Spark jobs (like ``CrossValidator``'s
+    ``parallelism``).  Returns ``(best_model, [(cost, maxIter), ...])``."""
+    from concurrent.futures import ThreadPoolExecutor
+
     data = cut_lineage(assemble(hist, cols))
-    trials = []
-    best = None
-    for it in max_iters:
+
+    def fit(it: int) -> KMeansModel:
         km = KMeans(k=k, maxIter=it, seed=seed, featuresCol="features", predictionCol="prediction")
         if weight_col:
             km = km.setWeightCol(weight_col)
-        model = km.fit(data)
-        cost = model.summary.trainingCost
-        trials.append((cost, it))
-        if best is None or cost < best[0]:
-            best = (cost, model)
-    return best[1], trials
+        return km.fit(data)
+
+    iters = list(max_iters)
+    with ThreadPoolExecutor(max_workers=max(1, parallelism or len(iters))) as pool:
+        models = list(pool.map(fit, iters))
+    trials = [(m.summary.trainingCost, it) for m, it in zip(models, iters)]
+    best = min(range(len(models)), key=lambda i: (trials[i][0], i))
+    return models[best], trials
 
 
 def center_ranks(centers) -> list[tuple[int, int]]:

@@ -100,8 +100,11 @@ def q_unmatched_values(spark, d):
 
 # ---------------------------------------------------------------- statistics
 def q_age_band(spark, d):
-    return B.age_band_tag(SI.first_order_birthdays(spark, d), "o_custkey", "birthday",
-                          attribute_rules(_tags(spark), 338))
+    """Stand-in birthday: each customer's first order date."""
+    def tagger(biz, rules):
+        born = biz.groupBy("o_custkey").agg(F.min("o_orderdate").alias("birthday"))
+        return B.age_band_tag(born, "o_custkey", "birthday", rules)
+    return run_tag(spark, _tags(spark), 338, d, tagger)
 
 
 def q_consume_cycle(spark, d):
@@ -194,11 +197,18 @@ def q_cluster_profile(spark, d):
 
 
 def q_rfm_segments(spark, d):
-    return S.segment_by_kmeans(_rfm_scores(spark, d), RFM_COLS, attribute_rules(_tags(spark), 361), "rfm")
+    def tagger(biz, rules):
+        metrics = X.rfm_metrics(biz, "o_custkey", "o_orderkey", "o_totalprice", "o_orderdate", OAS)
+        return S.segment_by_kmeans(X.rfm_scores(metrics, TEST_RFM_BANDS), RFM_COLS, rules, "rfm")
+    return run_tag(spark, _tags(spark), 361, d, tagger)
 
 
 def q_rfe_segments(spark, d):
-    return S.segment_by_kmeans(_rfe_scores(spark, d), RFE_COLS, attribute_rules(_tags(spark), 367), "rfe")
+    def tagger(biz, rules):
+        logs = biz.select("user_id", "ts", F.concat("event_type", "props").alias("loc_url"))
+        metrics = X.rfe_metrics(logs, "user_id", "loc_url", "ts", EAS)
+        return S.segment_by_kmeans(X.rfe_scores(metrics, TEST_RFE_BANDS), RFE_COLS, rules, "rfe")
+    return run_tag(spark, _tags(spark), 367, d, tagger)
 
 
 # ---------------------------------------------------------------- feature stages
