@@ -49,11 +49,17 @@ def digest(rows, cols):
 def main():
     args = sys.argv[1:]
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
-    names = [a for a in args if not a.startswith("/")]
+    plain = "--plain" in args
+    names = [a for a in args if not a.startswith(("/", "--"))]
     import duckdb
     from tagsmith.session import build_session
     import __spark_entry__ as E
-    spark = build_session()
+    if plain:  # a session like the driver's: no tuning, no scratch folders
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]")
+                 .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+    else:
+        spark = build_session()
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
