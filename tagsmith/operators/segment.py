@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -169,14 +168,6 @@ def cluster_profile(assigned: DataFrame, cols: list[str], pred_col: str = "predi
         F.count(F.lit(1)).alias("users"), F.max(total).alias("max_score"), F.min(total).alias("min_score"))
 
 
-def centers_as_rows(model: KMeansModel, cols: list[str]) -> list[dict]:
-    return [dict(zip(cols, map(float, c))) for c in model.clusterCenters()]
-
-
-def vector_column_to_array(df: DataFrame, col: str) -> DataFrame:
-    return df.withColumn(col, vector_to_array(col))
-
-
 __all__ = [
     "assemble", "score_histogram", "fit_kmeans", "center_ranks", "center_tag_table",
     "segment_by_kmeans", "nearest_center", "wssse", "update_centers", "rank_centers",
