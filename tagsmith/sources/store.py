@@ -11,16 +11,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+def is_committed(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a committed Parquet result (the commit
+    protocol only moves data files into place when the job succeeds)."""
+    try:
+        spark.read.parquet(path).schema  # noqa: B018 - forces file listing
+        return True
+    except Exception:  # missing folder, or only a half-written temporary tree
+        return False
+
+
 def write_profile(df: DataFrame, base_path: str, version: str, key: str = "userId",
                   buckets: int | None = None) -> str:
     """Write one profile version under ``<base_path>/version=<version>``.
 
-    With ``buckets`` the rows are hash-partitioned by ``key`` first, so each
-    file holds a disjoint key range and a later upsert reads co-located data.
+    A committed version is never replaced (it may be read by other jobs); a
+    version left half-written by a failed run is rewritten.  With ``buckets``
+    the rows are hash-partitioned by ``key`` first, so each file holds a
+    disjoint key range.
     """
     path = f"{base_path.rstrip('/')}/version={version}"
+    if is_committed(df.sparkSession, path):
+        raise FileExistsError(f"profile version {version} already exists at {path}")
     out = df.repartition(buckets, key) if buckets else df
-    out.write.mode("errorifexists").parquet(path)
+    out.write.mode("overwrite").parquet(path)
     return path
 
 

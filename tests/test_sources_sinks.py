@@ -73,3 +73,15 @@ def test_load_or_train(spark):
     m2 = load_or_train(path, KMeansModel, train)
     assert len(calls) == 1
     assert [list(c) for c in m1.clusterCenters()] == [list(c) for c in m2.clusterCenters()]
+
+
+def test_half_written_version_is_rewritten(spark):
+    import os
+    base = _scratch() + "/profile"
+    os.makedirs(f"{base}/version=7/_temporary/0")  # what a job killed mid-write leaves
+    from tagsmith.sources.store import write_profile
+    df = spark.createDataFrame([(1, "a")], "userId long, t string")
+    write_profile(df, base, "7", buckets=2)
+    assert read_profile(spark, base, "7").count() == 1
+    with pytest.raises(FileExistsError):
+        write_profile(df, base, "7")
