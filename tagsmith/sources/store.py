@@ -54,3 +54,38 @@ def load_or_train(path: str, model_cls, train):
     model = train()
     model.write().overwrite().save(path)
     return model
+
+
+# --- bucketed profile tables: the daily upsert does not shuffle the old profile ---
+
+def write_profile_table(df: DataFrame, table: str, path: str, key: str = "userId",
+                        buckets: int = 64) -> str:
+    """Save a profile version as a table bucketed and sorted by ``key`` at
+    ``path``.  A later full outer join on ``key`` reads it already
+    hash-partitioned, so only the other side is shuffled.  An existing table
+    is never replaced."""
+    if df.sparkSession.catalog.tableExists(table):
+        raise FileExistsError(f"profile table {table} already exists")
+    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(table))
+    return table
+
+
+def attach_profile_table(spark: SparkSession, table: str, path: str, ddl_columns: str,
+                         key: str = "userId", buckets: int = 64) -> DataFrame:
+    """Register a bucketed profile folder written earlier (e.g. by another
+    session) under ``table`` with its bucketing spec, and return it."""
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"CREATE TABLE {table} ({ddl_columns}) USING parquet "
+                  f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {int(buckets)} BUCKETS "
+                  f"LOCATION '{path}'")
+    return spark.table(table)
+
+
+def upsert_profile_table(new: DataFrame, old_table: str, new_table: str, path: str,
+                         key: str = "userId", buckets: int = 64) -> str:
+    """Cell-level upsert of ``new`` into the bucketed ``old_table``, saved as
+    the bucketed ``new_table`` (the next run's old profile)."""
+    from tagsmith.operators.profile import profile_upsert
+    merged = profile_upsert(new.sparkSession.table(old_table), new, key)
+    return write_profile_table(merged, new_table, path, key, buckets)

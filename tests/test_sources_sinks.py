@@ -85,3 +85,25 @@ def test_half_written_version_is_rewritten(spark):
     assert read_profile(spark, base, "7").count() == 1
     with pytest.raises(FileExistsError):
         write_profile(df, base, "7")
+
+
+def test_bucketed_profile_upsert_shuffles_only_new_side(spark):
+    from plan_util import exchange_children, plan_text
+    from tagsmith.operators.profile import profile_upsert
+    from tagsmith.sources.store import attach_profile_table, upsert_profile_table, write_profile_table
+    d = _scratch()
+    old = spark.range(0, 2000).selectExpr("id AS userId", "CAST(id % 7 AS STRING) AS a", "CAST(id % 5 AS STRING) AS b")
+    write_profile_table(old, "tp_v1", f"{d}/v1", buckets=8)
+    new = spark.range(1000, 3000).selectExpr("id AS userId", "CAST(id % 3 AS STRING) AS b")
+    plan = plan_text(profile_upsert(spark.table("tp_v1"), new))
+    assert len(exchange_children(plan)) == 1  # only the new tag result moves
+    upsert_profile_table(new, "tp_v1", "tp_v2", f"{d}/v2", buckets=8)
+    v2 = spark.table("tp_v2")
+    assert v2.count() == 3000
+    row = v2.where("userId = 1500").first()
+    assert (row.a, row.b) == (str(1500 % 7), str(1500 % 3))
+    with pytest.raises(FileExistsError):
+        write_profile_table(old, "tp_v1", f"{d}/v1b", buckets=8)
+    again = attach_profile_table(spark, "tp_v2_copy", f"{d}/v2", "userId BIGINT, a STRING, b STRING", buckets=8)
+    assert again.count() == 3000
+    assert len(exchange_children(plan_text(profile_upsert(again, new)))) == 1
