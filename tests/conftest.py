@@ -11,8 +11,11 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from tagsmith.session import build_session
-    s = build_session(master="local[*]", shuffle_partitions=8)
+    s = build_session(master="local[*]", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tagsmith-wh-")})
     yield s
     s.stop()
 
