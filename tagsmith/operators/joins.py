@@ -37,18 +37,20 @@ def range_join(big: DataFrame, value: str, ranges: DataFrame, start: str = "star
     """Rows of ``big`` joined to every range with ``start <= value <= end``.
 
     Small range tables are broadcast (BroadcastNestedLoopJoin, no shuffle of
-    ``big``).  Large ones use an exact equi-join on buckets of width
-    ``max(end - start + 1)``: each range covers at most two buckets, each
-    value one, so the candidate set per value stays small.
+    ``big``).  Large ones use an exact equi-join on value buckets whose width
+    is the *average* range span: a range is copied into every bucket it
+    touches (at most ``span / width + 2`` copies, so about three copies per
+    range in total), and each value looks only at the ranges of its own
+    bucket.  With the average rather than the widest span, one very wide
+    range cannot pull all values into a single hot bucket.
     """
     cond = (F.col(value) >= F.col(start)) & (F.col(value) <= F.col(end))
     if has_at_most(ranges, max_rows):
         return big.join(F.broadcast(ranges), cond, how)
-    width = ranges.agg(F.max(F.col(end) - F.col(start) + 1).alias("w")).first()["w"]
-    width = max(int(width or 1), 1)
+    stats = ranges.agg(F.avg(F.col(end) - F.col(start) + 1).alias("w")).first()
+    width = max(int(stats["w"] or 1), 1)
     rb = ranges.withColumn(
         "_bucket", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width))))
     vb = big.withColumn("_bucket", F.floor(F.col(value) / width))
     joined = vb.join(rb, (vb["_bucket"] == rb["_bucket"]) & cond, how)
     return joined.drop("_bucket")
-
