@@ -118,6 +118,18 @@ def train_gender_tree(lines: DataFrame, split_keys: list[str], train_pct: int =
     return model, indexer, acc, hist
 
 
+def tree_holdout_metrics(lines: DataFrame, split_keys: list[str]) -> DataFrame:
+    """Held-out accuracy / weighted precision, recall and F1 of the tree
+    against the seed labels, from the weighted confusion matrix of the test
+    side of the histogram (one row)."""
+    from tagsmith.operators.evaluate import confusion_metrics
+    model, indexer, _acc, hist = train_gender_tree(lines, split_keys)
+    test = model.transform(indexer.transform(hist.where("not is_train")))
+    cm = test.groupBy(F.col("label").cast("double").alias("l"), F.col("prediction").alias("p")) \
+        .agg(F.sum("n").cast("long").alias("n"))
+    return confusion_metrics(cm)
+
+
 def usg_tag(lines: DataFrame, orders: DataFrame, rules: DataFrame, line_order_col: str,
             order_col: str, user_of_order: str, split_keys: list[str], tag_col: str = "usg",
             user_col: str = "userId") -> DataFrame:

@@ -295,7 +295,19 @@ def q_logreg_classify(spark, d):
     e = E.hash_split(load_table(spark, d, "embeddings", ["vec_id", "embedding", "label"]), ["vec_id"])
     model, _ = E.train_classifier(e.where("is_train"), "embedding", "label")
     scored = model.transform(e.withColumn("features", array_to_vector("embedding")))
-    return scored.select("vec_id", "label", F.col("prediction").alias("predicted_index"), "is_train")
+    return scored.select("vec_id", "label", "label_idx", F.col("prediction").alias("predicted_index"),
+                         "is_train")
+
+
+def q_logreg_metrics(spark, d):
+    """Held-out metrics of the classifier demo (confusion-matrix aggregate)."""
+    scored = q_logreg_classify(spark, d).where(~F.col("is_train"))
+    # label_idx comes from the pipeline's own StringIndexer (fitted on training rows)
+    return E.classification_metrics(scored, "label_idx", "predicted_index")
+
+
+def q_usg_tree_metrics(spark, d):
+    return U.tree_holdout_metrics(_usg_lines(spark, d), ["l_orderkey", "l_linenumber"])
 
 
 # ---------------------------------------------------------------- profile
@@ -361,6 +373,8 @@ QUERIES: dict[str, Query] = {
     "classification_metrics": q_classification_metrics,
     "usg_tree": q_usg_tree,
     "logreg_classify": q_logreg_classify,
+    "logreg_metrics": q_logreg_metrics,
+    "usg_tree_metrics": q_usg_tree_metrics,
     "profile_wide": q_profile_wide,
     "profile_upsert": q_profile_upsert,
 }
