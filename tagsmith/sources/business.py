@@ -54,16 +54,21 @@ def _typed_literal(df: DataFrame, field: str, value: str) -> Column:
     return F.lit(value).cast(dtype)
 
 
-def condition_filter(df: DataFrame, conditions) -> DataFrame:
+def condition_filter(df: DataFrame, conditions, keep_missing: bool = False) -> DataFrame:
     """AND of ``field[OP]value`` conditions.  ``conditions`` is a list or a
     comma separated string; each value is cast to its column's type so the
-    comparison is pushed to the Parquet reader unchanged."""
+    comparison is pushed to the Parquet reader unchanged.
+
+    A null field fails a comparison (SQL semantics).  ``keep_missing=True``
+    lets rows with a null field pass that condition instead, as a wide-column
+    store's single-column filter does for rows without the column."""
     if isinstance(conditions, str):
         conditions = [c for c in conditions.split(",") if c.strip()]
     preds = []
     for text in conditions:
         field, op, value = parse_condition(text)
-        preds.append(_OPS[op](F.col(field), _typed_literal(df, field, value)))
+        pred = _OPS[op](F.col(field), _typed_literal(df, field, value))
+        preds.append(pred | F.col(field).isNull() if keep_missing else pred)
     return df.where(functools.reduce(operator.and_, preds)) if preds else df
 
 

@@ -106,3 +106,9 @@ def test_business_scan_prunes_columns(spark):
     assert df.columns == ["o_custkey", "o_orderpriority"]
     plan = plan_text(df)
     assert "ReadSchema: struct<o_custkey:bigint,o_orderpriority:string>" in plan
+
+
+def test_condition_filter_missing_values(spark):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, 1)], "k int, v int")
+    assert sorted(r.k for r in condition_filter(df, "v[GE]2").collect()) == [1]
+    assert sorted(r.k for r in condition_filter(df, "v[GE]2", keep_missing=True).collect()) == [1, 2]
