@@ -26,7 +26,7 @@ from tagsmith.operators.match import match_tag, unmatched_values
 from tagsmith.plans import standins as SI
 from tagsmith.plans.catalog import attribute_rules, catalog
 from tagsmith.plans.run import run_tag
-from tagsmith.sources.business import business_scan, condition_filter, rolling_window, scan_options
+from tagsmith.sources.business import business_scan, condition_filter, rolling_windows, scan_options
 from tagsmith.sources.tables import load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,11 +71,7 @@ def q_condition_filter(spark, d):
 
 def q_rolling_window(spark, d):
     o = load_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-    parts = [rolling_window(o, w, OAS).select(F.lit(w.split("#", 1)[1]).alias("window"), "*") for w in WINDOWS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return rolling_windows(o, WINDOWS, OAS)
 
 
 def q_business_scan(spark, d):

@@ -2,7 +2,7 @@
 
 from tagsmith.sources.tables import load_table
 from tagsmith.sources.business import (
-    business_scan, condition_filter, parse_condition, rolling_window, scan_options,
+    business_scan, condition_filter, parse_condition, rolling_window, rolling_windows, scan_options,
 )
 from tagsmith.sources.files import read_csv
 from tagsmith.sources.catalog_source import read_catalog, read_dimension
@@ -12,6 +12,6 @@ from tagsmith.sources.store import (
 
 __all__ = [
     "load_table", "business_scan", "condition_filter", "parse_condition",
-    "rolling_window", "scan_options", "read_csv", "read_catalog", "read_dimension", "load_or_train",
+    "rolling_window", "rolling_windows", "scan_options", "read_csv", "read_catalog", "read_dimension", "load_or_train",
     "read_profile", "write_profile",
 ]

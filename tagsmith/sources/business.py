@@ -72,10 +72,7 @@ def condition_filter(df: DataFrame, conditions, keep_missing: bool = False) -> D
     return df.where(functools.reduce(operator.and_, preds)) if preds else df
 
 
-def rolling_window(df: DataFrame, spec: str, as_of) -> DataFrame:
-    """``field#unit#amount`` (unit day / month=30 d / year=365 d): keep rows
-    whose date is in ``[as_of-1-amount*unit, as_of-1]``.  Date and timestamp
-    columns are compared directly with typed literals (pushed down)."""
+def _window_predicate(df: DataFrame, spec: str, as_of) -> Column:
     parts = [p.strip() for p in spec.split("#")]
     if len(parts) != 3:
         raise ValueError(f"malformed window {spec!r}; expected field#unit#amount")
@@ -84,13 +81,29 @@ def rolling_window(df: DataFrame, spec: str, as_of) -> DataFrame:
     dtype = df.schema[field].dataType
     col = F.col(field)
     if isinstance(dtype, T.DateType):
-        return df.where((col >= F.lit(lo)) & (col <= F.lit(hi)))
+        return (col >= F.lit(lo)) & (col <= F.lit(hi))
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         upper = hi.fromordinal(hi.toordinal() + 1)
-        return df.where((col >= F.lit(lo.isoformat()).cast(dtype))
-                        & (col < F.lit(upper.isoformat()).cast(dtype)))
+        return (col >= F.lit(lo.isoformat()).cast(dtype)) & (col < F.lit(upper.isoformat()).cast(dtype))
     d = F.to_date(col)
-    return df.where((d >= F.lit(lo)) & (d <= F.lit(hi)))
+    return (d >= F.lit(lo)) & (d <= F.lit(hi))
+
+
+def rolling_window(df: DataFrame, spec: str, as_of) -> DataFrame:
+    """``field#unit#amount`` (unit day / month=30 d / year=365 d): keep rows
+    whose date is in ``[as_of-1-amount*unit, as_of-1]``.  Date and timestamp
+    columns are compared directly with typed literals (pushed down)."""
+    return df.where(_window_predicate(df, spec, as_of))
+
+
+def rolling_windows(df: DataFrame, specs: list[str], as_of, label_col: str = "window") -> DataFrame:
+    """Several rolling windows in one scan: the OR of the windows is pushed
+    to the reader, and each row is emitted once per window it falls in, with
+    ``label_col`` = ``unit#amount``."""
+    preds = [(spec.split("#", 1)[1], _window_predicate(df, spec, as_of)) for spec in specs]
+    hits = F.array(*[F.when(p, F.lit(label)) for label, p in preds])
+    any_hit = functools.reduce(operator.or_, [p for _, p in preds])
+    return (df.where(any_hit).select(F.explode(F.array_compact(hits)).alias(label_col), *df.columns))
 
 
 def scan_options(rule_text: str) -> dict[str, str]:

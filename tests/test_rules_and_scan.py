@@ -112,3 +112,14 @@ def test_condition_filter_missing_values(spark):
     df = spark.createDataFrame([(1, 5), (2, None), (3, 1)], "k int, v int")
     assert sorted(r.k for r in condition_filter(df, "v[GE]2").collect()) == [1]
     assert sorted(r.k for r in condition_filter(df, "v[GE]2", keep_missing=True).collect()) == [1, 2]
+
+
+def test_rolling_windows_single_scan_matches_separate(spark):
+    from tagsmith.sources.business import rolling_windows
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey", "o_orderdate")
+    specs = ["o_orderdate#day#30", "o_orderdate#month#6", "o_orderdate#year#1"]
+    one = sorted((r.window, r.o_orderkey) for r in rolling_windows(o, specs, "2001-08-02").collect())
+    sep = sorted((s.split("#", 1)[1], r.o_orderkey) for s in specs
+                 for r in rolling_window(o, s, "2001-08-02").collect())
+    assert one == sep and len(one) > 0
+    assert plan_text(rolling_windows(o, specs, "2001-08-02")).count("Scan parquet") == 1
