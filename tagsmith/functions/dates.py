@@ -56,3 +56,32 @@ def window_bounds(amount: int, unit: str, as_of) -> tuple[_dt.date, _dt.date]:
         raise ValueError("window amount must be >= 0")
     yesterday = as_date(as_of) - _dt.timedelta(days=1)
     return yesterday - _dt.timedelta(days=int(amount) * UNIT_DAYS[unit]), yesterday
+
+
+def event_time(df, col: str) -> Column:
+    """The event-time column as a timestamp: typed dates / timestamps pass
+    through; numbers are epoch seconds; text is epoch seconds when all
+    digits, else a timestamp literal (malformed text -> null)."""
+    from pyspark.sql import types as T
+    dtype = df.schema[col].dataType
+    c = F.col(col)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return c
+    if isinstance(dtype, T.NumericType):
+        return F.timestamp_seconds(c.cast("long"))
+    text = F.trim(c.cast("string"))
+    return F.when(text.rlike(r"^-?\d+$"), F.timestamp_seconds(text.cast("long"))) \
+        .otherwise(F.try_to_timestamp(text))
+
+
+def before_as_of(df, ts_col: str, as_of):
+    """Rows strictly before ``as_of`` with ``ts_col`` as a timestamp.  For a
+    typed column the comparison is with a typed literal, so Parquet gets it
+    as a pushed filter; other columns are converted first."""
+    from pyspark.sql import types as T
+    dtype = df.schema[ts_col].dataType
+    cut = F.lit(as_date(as_of).isoformat())
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return df.where(F.col(ts_col) < cut.cast(dtype))
+    out = df.withColumn(ts_col, event_time(df, ts_col))
+    return out.where(F.col(ts_col) < cut.cast("timestamp"))

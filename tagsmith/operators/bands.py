@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagsmith.functions.dates import compact_date, compact_text_date, days_since
+from tagsmith.functions.dates import before_as_of, compact_date, compact_text_date, days_since
 from tagsmith.functions.rules import is_range_rule, range_end, range_start
 from tagsmith.operators.joins import range_join
 
@@ -39,10 +39,7 @@ def last_activity(df: DataFrame, id_col: str, ts_col: str, as_of, user_col: str
                   days_col: str = "days") -> DataFrame:
     """``(user_col, days)``: calendar days from the latest ``ts`` before
     ``as_of`` to ``as_of``.  Rows at or after ``as_of`` are ignored."""
-    from tagsmith.functions.dates import as_date
-    cut = F.lit(as_date(as_of).isoformat()).cast(df.schema[ts_col].dataType) \
-        if df.schema[ts_col].dataType.typeName() != "string" else None
-    src = df if cut is None else df.where(F.col(ts_col) < cut)
+    src = before_as_of(df, ts_col, as_of)
     last = src.groupBy(F.col(id_col).alias(user_col)).agg(F.max(ts_col).alias("_last"))
     return last.select(user_col, days_since("_last", as_of).alias(days_col))
 

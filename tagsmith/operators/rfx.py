@@ -5,17 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagsmith.functions.dates import as_date, days_since
+from tagsmith.functions.dates import as_date, before_as_of, days_since
 from tagsmith.functions.scores import RFE_BANDS, RFM_BANDS, Bands
 
 
-def _before(df: DataFrame, ts_col: str, as_of) -> DataFrame:
-    dtype = df.schema[ts_col].dataType
-    if dtype.typeName() == "string":
-        return df.where(F.to_date(ts_col) < F.lit(as_date(as_of)))
-    return df.where(F.col(ts_col) < F.lit(as_date(as_of).isoformat()).cast(dtype))
-
-
 def rfm_metrics(orders: DataFrame, id_col: str, order_col: str, amount_col: str, ts_col: str,
                 as_of, lookback_days: int | None = None, user_col: str = "userId") -> DataFrame:
     """``(userId, recency, frequency, monetary)``.
@@ -25,7 +18,7 @@ def rfm_metrics(orders: DataFrame, id_col: str, order_col: str, amount_col: str,
     shuffle on the user key.  ``lookback_days`` optionally limits the orders
     to the last n days before ``as_of``.
     """
-    src = _before(orders, ts_col, as_of)
+    src = before_as_of(orders, ts_col, as_of)
     if lookback_days is not None:
         lo = as_date(as_of).toordinal() - int(lookback_days)
         src = src.where(F.to_date(ts_col) >= F.lit(as_date(as_of).fromordinal(lo)))
@@ -42,7 +35,7 @@ def rfe_metrics(logs: DataFrame, id_col: str, url_col: str, ts_col: str, as_of,
     """``(userId, recency, frequency, engagements)``: days since the last
     visit, visits (page views) and distinct pages (count distinct, planned by
     Spark as an Expand + two-level aggregate)."""
-    src = _before(logs, ts_col, as_of)
+    src = before_as_of(logs, ts_col, as_of)
     agg = src.groupBy(F.col(id_col).alias(user_col)).agg(
         F.max(ts_col).alias("_last"),
         F.count(url_col).alias("frequency"),
@@ -103,7 +96,7 @@ def lifecycle_tag(logs: DataFrame, id_col: str, url_col: str, ts_col: str, as_of
     (user, day) before the ``lag`` window, so the window sees at most one row
     per active day of a user however many visits the user has.
     """
-    src = _before(logs, ts_col, as_of).select(
+    src = before_as_of(logs, ts_col, as_of).select(
         F.col(id_col).alias(user_col), F.col(url_col).alias("_url"), F.col(ts_col).alias("_ts"))
     last_day = F.lit(as_date(as_of).fromordinal(as_date(as_of).toordinal() - 1))
     per_page = (src.groupBy(user_col, F.to_date("_ts").alias("_day"), "_url")

@@ -129,3 +129,18 @@ def test_segment_needs_rules(spark, scores):
     rules = spark.createDataFrame([(1, "only", "0")], "id long, name string, rule string")
     with pytest.raises(ValueError):
         segment_by_kmeans(scores, ["r_score", "f_score", "m_score"], rules, "x")
+
+
+def test_rfm_and_cycle_on_epoch_text(spark, tags):
+    """The reference's order store keeps finish time as epoch seconds in text."""
+    from tagsmith.operators.bands import consume_cycle_tag
+    e = lambda y, m, d: str(int(dt.datetime(y, m, d, 12, tzinfo=dt.timezone.utc).timestamp()))
+    rows = [("1", "a", "2479.45", e(2020, 1, 28)), ("1", "b", "20.55", e(2020, 1, 2)),
+            ("2", "c", "5.5", e(2019, 9, 1)), ("2", "d", "1.0", "not a time")]
+    o = spark.createDataFrame(rows, "memberid string, ordersn string, orderamount string, finishtime string")
+    got = {r.userId: (r.recency, r.frequency, r.monetary) for r in
+           rfm_metrics(o, "memberid", "ordersn", "orderamount", "finishtime", AS_OF).collect()}
+    assert got == {"1": (3, 2, Decimal("2500.00")), "2": (152, 1, Decimal("5.50"))}
+    cyc = {r.userId: r.consumercycle for r in
+           consume_cycle_tag(o, "memberid", "finishtime", attribute_rules(tags, 347), AS_OF).collect()}
+    assert cyc == {"1": "last 7 days", "2": "last half year"}
