@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import MinMaxScaler, Normalizer, StringIndexer
+from pyspark.ml.feature import MinMaxScaler, Normalizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,12 +84,24 @@ def classification_metrics(df: DataFrame, label: str = "label", prediction: str
 LOGREG_PARAMS = {"maxIter": 10, "regParam": 0.3, "elasticNetParam": 0.8}
 
 
-def train_classifier(df: DataFrame, feature_array: str, label_col: str, params: dict | None = None):
-    """StringIndexer(label) + LogisticRegression on an array feature column.
-    Returns the fitted pipeline model."""
+def prepare_features(df: DataFrame, features) -> tuple[DataFrame, list[str]]:
+    """``features`` is a list of numeric columns or one array column; an
+    array column is turned into a vector column for the assembler."""
+    if isinstance(features, str):
+        return df.withColumn("_vec", array_to_vector(F.col(features))), ["_vec"]
+    return df, list(features)
+
+
+def train_classifier(df: DataFrame, features, label_col: str, params: dict | None = None):
+    """The classifier demo's pipeline: StringIndexer(label) -> VectorAssembler
+    -> Normalizer(p=2) -> LogisticRegression (maxIter 10, regParam 0.3,
+    elasticNet 0.8).  Returns ``(pipeline_model, prepared_df)``; transform
+    ``prepare_features(df, features)[0]`` with the model to predict."""
     params = {**LOGREG_PARAMS, **(params or {})}
-    data = df.withColumn("features", array_to_vector(F.col(feature_array)))
+    data, cols = prepare_features(df, features)
     stages = [StringIndexer(inputCol=label_col, outputCol="label_idx", stringOrderType="frequencyDesc"),
+              VectorAssembler(inputCols=cols, outputCol="raw_features"),
+              Normalizer(inputCol="raw_features", outputCol="features", p=2.0),
               LogisticRegression(featuresCol="features", labelCol="label_idx", **params)]
     return Pipeline(stages=stages).fit(data), data
 
@@ -103,7 +115,7 @@ def evaluate_predictions(pred: DataFrame, label_col: str = "label_idx", predicti
                                                  metricName=m).evaluate(pred) for m in metrics}
 
 
-def classify(df: DataFrame, feature_array: str, label_col: str, split_keys: list[str],
+def classify(df: DataFrame, feature_array, label_col: str, split_keys: list[str],
              model_path: str | None = None, train_pct: int = 80):
     """The classifier demo end to end: deterministic split, StringIndexer +
     logistic regression on the training side (or the saved model at
@@ -119,5 +131,5 @@ def classify(df: DataFrame, feature_array: str, label_col: str, split_keys: list
         return train_classifier(data.where("is_train"), feature_array, label_col)[0]
 
     model = load_or_train(model_path, PipelineModel, train) if model_path else train()
-    pred = model.transform(data.withColumn("features", array_to_vector(F.col(feature_array))))
+    pred = model.transform(prepare_features(data, feature_array)[0])
     return pred, evaluate_predictions(pred.where(~F.col("is_train")))

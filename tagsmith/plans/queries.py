@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -290,7 +289,7 @@ def q_usg_tree(spark, d):
 def q_logreg_classify(spark, d):
     e = E.hash_split(load_table(spark, d, "embeddings", ["vec_id", "embedding", "label"]), ["vec_id"])
     model, _ = E.train_classifier(e.where("is_train"), "embedding", "label")
-    scored = model.transform(e.withColumn("features", array_to_vector("embedding")))
+    scored = model.transform(E.prepare_features(e, "embedding")[0])
     return scored.select("vec_id", "label", "label_idx", F.col("prediction").alias("predicted_index"),
                          "is_train")
 

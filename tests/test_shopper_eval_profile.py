@@ -85,3 +85,13 @@ def test_profile_wide_one_row_per_user(spark):
     assert got == {1: ("male", None), 2: ("female", "cod"), 3: (None, "alipay")}
     with pytest.raises(ValueError):
         profile_wide([])
+
+
+def test_classifier_demo_on_columns(spark):
+    """Numeric columns + string class, as in the demo's CSV input."""
+    from tagsmith.operators.evaluate import classify
+    rows = [(float(i % 7), float(i % 5), "a" if i % 2 else "b", i) for i in range(200)]
+    df = spark.createDataFrame(rows, "x double, y double, category string, k long")
+    pred, metrics = classify(df, ["x", "y"], "category", ["k"])
+    assert pred.count() == 200 and set(metrics) == {"accuracy", "f1", "weightedPrecision", "weightedRecall"}
+    assert 0.0 <= metrics["accuracy"] <= 1.0
