@@ -31,26 +31,35 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     return big.join(small, on, how)
 
 
+# A nested-loop range join costs (rows x ranges) comparisons; keep it for
+# band tables of CASE-chain size only.
+MAX_LOOP_RANGES = 64
+
+
 def range_join(big: DataFrame, value: str, ranges: DataFrame, start: str = "start",
-               end: str = "end", how: str = "inner",
+               end: str = "end", how: str = "inner", max_loop_ranges: int = MAX_LOOP_RANGES,
                max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Rows of ``big`` joined to every range with ``start <= value <= end``.
 
-    Small range tables are broadcast (BroadcastNestedLoopJoin, no shuffle of
-    ``big``).  Large ones use an exact equi-join on value buckets whose width
-    is the *average* range span: a range is copied into every bucket it
-    touches (at most ``span / width + 2`` copies, so about three copies per
-    range in total), and each value looks only at the ranges of its own
-    bucket.  With the average rather than the widest span, one very wide
-    range cannot pull all values into a single hot bucket.
+    * up to ``max_loop_ranges`` ranges (age / recency bands): broadcast
+      nested-loop join, a handful of comparisons per row, no shuffle;
+    * more ranges: an exact equi-join on value buckets whose width is the
+      *average* range span.  A range is copied into every bucket it touches
+      (about three copies per range in total), each value probes only its own
+      bucket, and one very wide range cannot pull all values into a single
+      hot bucket.  The bucketed range table is broadcast (hash join, ``big``
+      not shuffled) when proven to hold at most ``max_rows`` rows, else both
+      sides are shuffled on the bucket (AQE splits skewed buckets).
     """
     cond = (F.col(value) >= F.col(start)) & (F.col(value) <= F.col(end))
-    if has_at_most(ranges, max_rows):
+    if has_at_most(ranges, max_loop_ranges):
         return big.join(F.broadcast(ranges), cond, how)
     stats = ranges.agg(F.avg(F.col(end) - F.col(start) + 1).alias("w")).first()
     width = max(int(stats["w"] or 1), 1)
     rb = ranges.withColumn(
         "_bucket", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width))))
+    if has_at_most(rb, max_rows):
+        rb = F.broadcast(rb)
     vb = big.withColumn("_bucket", F.floor(F.col(value) / width))
     joined = vb.join(rb, (vb["_bucket"] == rb["_bucket"]) & cond, how)
     return joined.drop("_bucket")

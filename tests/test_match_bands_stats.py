@@ -57,9 +57,14 @@ def test_range_join_bucketed_fallback_matches_broadcast(spark):
     ranges = spark.createDataFrame([("a", 0, 7), ("b", 8, 14), ("c", 15, 30), ("w", 100, 1000)],
                                    "name string, start long, end long")
     vals = spark.range(0, 1200).withColumnRenamed("id", "v")
-    small = sorted((r.v, r.name) for r in range_join(vals, "v", ranges).collect())
-    big = sorted((r.v, r.name) for r in range_join(vals, "v", ranges, max_rows=1).collect())
-    assert small == big and len(small) == 31 + 901
+    loop = sorted((r.v, r.name) for r in range_join(vals, "v", ranges).collect())
+    hashed = range_join(vals, "v", ranges, max_loop_ranges=1)
+    shuffled = range_join(vals, "v", ranges, max_loop_ranges=1, max_rows=1)
+    assert loop == sorted((r.v, r.name) for r in hashed.collect()) == \
+        sorted((r.v, r.name) for r in shuffled.collect())
+    assert len(loop) == 31 + 901
+    assert "BroadcastNestedLoopJoin" in plan_text(range_join(vals, "v", ranges))
+    assert "BroadcastHashJoin" in plan_text(hashed)
 
 
 def test_age_band_from_text_birthday(spark, tags):
