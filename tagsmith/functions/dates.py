@@ -16,12 +16,18 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def as_date(as_of) -> _dt.date:
+def clock(as_of) -> _dt.datetime:
+    """The reference time: a date means its midnight, a timestamp (or ISO
+    text with a time) is used as is, like the reference's ``now``."""
     if isinstance(as_of, _dt.datetime):
-        return as_of.date()
-    if isinstance(as_of, _dt.date):
         return as_of
-    return _dt.date.fromisoformat(str(as_of))
+    if isinstance(as_of, _dt.date):
+        return _dt.datetime(as_of.year, as_of.month, as_of.day)
+    return _dt.datetime.fromisoformat(str(as_of))
+
+
+def as_date(as_of) -> _dt.date:
+    return clock(as_of).date()
 
 
 def compact_date(col: Column | str) -> Column:
@@ -75,13 +81,19 @@ def event_time(df, col: str) -> Column:
 
 
 def before_as_of(df, ts_col: str, as_of):
-    """Rows strictly before ``as_of`` with ``ts_col`` as a timestamp.  For a
-    typed column the comparison is with a typed literal, so Parquet gets it
-    as a pushed filter; other columns are converted first."""
+    """Rows before the clock (``as_of`` as a date = its midnight, or a
+    timestamp) with ``ts_col`` as a timestamp.  A typed column is compared
+    with a typed literal, so Parquet gets it as a pushed filter; other
+    columns are converted first."""
     from pyspark.sql import types as T
+    t = clock(as_of)
     dtype = df.schema[ts_col].dataType
-    cut = F.lit(as_date(as_of).isoformat())
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return df.where(F.col(ts_col) < cut.cast(dtype))
+    col = F.col(ts_col)
+    if isinstance(dtype, T.DateType):
+        day = F.lit(t.date())
+        return df.where(col < day if t.time() == _dt.time(0) else col <= day)
+    cut = F.lit(t.isoformat(sep=" "))
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return df.where(col < cut.cast(dtype))
     out = df.withColumn(ts_col, event_time(df, ts_col))
     return out.where(F.col(ts_col) < cut.cast("timestamp"))

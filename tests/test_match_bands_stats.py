@@ -115,3 +115,17 @@ def test_value_counts_single_shuffle(spark):
     df = spark.createDataFrame([("a", "x"), ("a", None), ("b", "x")], "c1 string, c2 string")
     got = {(r.column, r.value, r["count"]) for r in value_counts(df, ["c1", "c2"]).collect()}
     assert got == {("c1", "a", 2), ("c1", "b", 1), ("c2", "x", 2), ("c2", None, 1)}
+
+
+def test_recency_zero_with_a_timestamp_clock(spark, tags):
+    """A timestamp clock behaves like the reference's ``now``: an order earlier
+    the same day has recency 0; a later one is in the future and ignored."""
+    orders = spark.createDataFrame([(1, dt.datetime(2020, 7, 1, 8, 0)), (2, dt.datetime(2020, 7, 1, 18, 0)),
+                                    (2, dt.datetime(2020, 6, 20, 9, 0))], "m long, t timestamp_ntz")
+    now = dt.datetime(2020, 7, 1, 12, 0)
+    got = {r.userId: r.consumercycle for r in
+           consume_cycle_tag(orders, "m", "t", attribute_rules(tags, 347), now).collect()}
+    assert got == {1: "last 7 days", 2: "last 2 weeks"}
+    from tagsmith.operators.bands import last_activity
+    days = {r.userId: r.days for r in last_activity(orders, "m", "t", now).collect()}
+    assert days == {1: 0, 2: 11}
