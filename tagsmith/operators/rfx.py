@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagsmith.functions.dates import as_date, before_as_of, days_since
+from tagsmith.functions.dates import as_date, before_as_of, clock, days_since
 from tagsmith.functions.scores import RFE_BANDS, RFM_BANDS, Bands
 
 
@@ -86,32 +86,37 @@ def lifecycle_tag(logs: DataFrame, id_col: str, url_col: str, ts_col: str, as_of
                   new_days: int = 3, inactive_days: int = 7) -> DataFrame:
     """Six-class lifecycle from visits before ``as_of``.
 
-    d = days since the last visit.  loyal: at least 2 visits on the last day
-    (``as_of - 1``), all on different pages; new: first visit within
+    d = days since the last visit.  loyal: at least 2 visits in the 24 hours
+    before the clock, all on different pages; new: first visit within
     ``new_days``; returning: d <= ``returning_days`` with some gap between
     consecutive visits longer than ``gap_days``; active: d <= ``active_days``;
     inactive: d <= ``inactive_days``; else lost.
 
-    Visits are first reduced to one row per (user, day, page) and then per
-    (user, day) before the ``lag`` window, so the window sees at most one row
-    per active day of a user however many visits the user has.
+    Visits are bucketed by whole days before the clock (bucket 0 = the last
+    24 hours; for a midnight clock these are calendar days), reduced to one
+    row per (user, bucket, page) and then per (user, bucket) before the
+    ``lag`` window, so the window sees at most one row per active day of a
+    user however many visits the user has.
     """
     src = before_as_of(logs, ts_col, as_of).select(
         F.col(id_col).alias(user_col), F.col(url_col).alias("_url"), F.col(ts_col).alias("_ts"))
-    last_day = F.lit(as_date(as_of).fromordinal(as_date(as_of).toordinal() - 1))
-    per_page = (src.groupBy(user_col, F.to_date("_ts").alias("_day"), "_url")
+    now = F.lit(clock(as_of).isoformat(sep=" ")).cast(src.schema["_ts"].dataType)
+    # whole days before the clock: bucket 0 is the last 24 hours
+    bucket = F.floor(F.timestamp_diff("SECOND", F.col("_ts"), now) / 86400)
+    per_page = (src.groupBy(user_col, bucket.alias("_b"), "_url")
                 .agg(F.count(F.lit(1)).alias("_n"), F.min("_ts").alias("_lo"), F.max("_ts").alias("_hi")))
-    per_day = (per_page.groupBy(user_col, "_day")
+    per_day = (per_page.groupBy(user_col, "_b")
                .agg(F.sum("_n").alias("_visits"), F.count(F.lit(1)).alias("_pages"),
                     F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")))
-    w = Window.partitionBy(user_col).orderBy("_day")
+    w = Window.partitionBy(user_col).orderBy(F.col("_b").desc())
     gap = F.col("_lo") - F.lag("_hi").over(w)
     with_gap = per_day.withColumn("_long_gap", gap > F.expr(f"INTERVAL {int(gap_days)} DAYS"))
+    last = F.col("_b") == 0
     per_user = with_gap.groupBy(user_col).agg(
         F.max("_hi").alias("_last"), F.min("_lo").alias("_first"),
         F.max(F.col("_long_gap").cast("int")).alias("_gap"),
-        F.sum(F.when(F.col("_day") == last_day, F.col("_visits")).otherwise(0)).alias("_lv"),
-        F.sum(F.when(F.col("_day") == last_day, F.col("_pages")).otherwise(0)).alias("_lp"),
+        F.sum(F.when(last, F.col("_visits")).otherwise(0)).alias("_lv"),
+        F.sum(F.when(last, F.col("_pages")).otherwise(0)).alias("_lp"),
     )
     d = days_since("_last", as_of)
     first = days_since("_first", as_of)

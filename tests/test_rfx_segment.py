@@ -144,3 +144,14 @@ def test_rfm_and_cycle_on_epoch_text(spark, tags):
     cyc = {r.userId: r.consumercycle for r in
            consume_cycle_tag(o, "memberid", "finishtime", attribute_rules(tags, 347), AS_OF).collect()}
     assert cyc == {"1": "last 7 days", "2": "last half year"}
+
+
+def test_lifecycle_last_24h_with_timestamp_clock(spark):
+    now = dt.datetime(2020, 1, 31, 6, 0)
+    rows = [(1, "/a", dt.datetime(2020, 1, 30, 23, 0)), (1, "/a", dt.datetime(2020, 1, 31, 1, 0)),  # same page twice
+            (1, "/x", dt.datetime(2020, 1, 10)),
+            (2, "/a", dt.datetime(2020, 1, 30, 23, 0)), (2, "/b", dt.datetime(2020, 1, 31, 1, 0)),
+            (2, "/x", dt.datetime(2020, 1, 10))]
+    logs = spark.createDataFrame(rows, "u long, url string, t timestamp_ntz")
+    got = {r.userId: r.lifecycle for r in lifecycle_tag(logs, "u", "url", "t", now).collect()}
+    assert got == {1: "returning", 2: "loyal"}
