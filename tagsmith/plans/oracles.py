@@ -4,7 +4,8 @@ Each statement is written directly against the raw tables (views named like
 the parquet files); fixtures (tag rules, dimension tables, score bands,
 centres) are inlined as literal ``VALUES`` / ``CASE`` text from the same
 constants the Spark side uses.  Column names and types follow the Spark
-result: counts BIGINT, day differences INTEGER, money DECIMAL(20,2).
+result: counts BIGINT, day differences INTEGER, money as DOUBLE (from the
+exact DECIMAL(20,2) sum).
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ def _rfm_metrics() -> str:
 SELECT o_custkey AS userId,
        CAST(datediff('day', CAST(max(o_orderdate) AS DATE), DATE '{OAS}') AS INTEGER) AS recency,
        count(o_orderkey) AS frequency,
-       CAST(sum(CAST(o_totalprice AS DECIMAL(10,2))) AS DECIMAL(20,2)) AS monetary
+       CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(10,2))) AS DECIMAL(20,2)) AS DOUBLE) AS monetary
 FROM orders WHERE o_orderdate < TIMESTAMP '{OAS}' GROUP BY o_custkey"""
 
 

@@ -126,7 +126,10 @@ def q_value_counts(spark, d):
 
 # ---------------------------------------------------------------- RFM / RFE
 def _rfm_metrics(spark, d):
-    return X.rfm_metrics(SI.orders(spark, d), "o_custkey", "o_orderkey", "o_totalprice", "o_orderdate", OAS)
+    """RFM metrics; the exact decimal(20,2) sum is exposed as double so the
+    comparison does not depend on how an engine hands decimals to clients."""
+    m = X.rfm_metrics(SI.orders(spark, d), "o_custkey", "o_orderkey", "o_totalprice", "o_orderdate", OAS)
+    return m.withColumn("monetary", F.col("monetary").cast("double"))
 
 
 def _rfm_scores(spark, d):

@@ -40,6 +40,25 @@ def norm(v):
     return v
 
 
+def frame_rows(pdf):
+    """Rows of a pandas frame as plain Python values (NaN/NaT -> None)."""
+    import pandas as pd
+    out = []
+    for rec in pdf.itertuples(index=False, name=None):
+        row = []
+        for v in rec:
+            if v is None or (not isinstance(v, (list, tuple)) and not hasattr(v, "__len__") and pd.isna(v)):
+                row.append(None)
+            elif hasattr(v, "item") and not hasattr(v, "__len__"):
+                row.append(v.item())
+            elif isinstance(v, pd.Timestamp):
+                row.append(v.to_pydatetime())
+            else:
+                row.append(v)
+        out.append(tuple(row))
+    return out
+
+
 def digest(rows, cols):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     lines = sorted(json.dumps([norm(r[i]) for i in order], default=str) for r in rows)
@@ -50,6 +69,7 @@ def main():
     args = sys.argv[1:]
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     plain = "--plain" in args
+    via_pandas = "--pandas" in args
     names = [a for a in args if not a.startswith(("/", "--"))]
     import duckdb
     from tagsmith.session import build_session
@@ -71,7 +91,7 @@ def main():
         t0 = time.time()
         try:
             sdf = fn(spark, sf_dir)
-            srows = [tuple(r) for r in sdf.collect()]
+            srows = frame_rows(sdf.toPandas()) if via_pandas else [tuple(r) for r in sdf.collect()]
             scols = sdf.columns
             stypes = [f.dataType.simpleString() for f in sdf.schema.fields]
         except Exception as exc:  # noqa: BLE001
@@ -85,7 +105,7 @@ def main():
         try:
             res = con.execute(oracles[name])
             ocols = [d[0] for d in res.description]
-            orows = res.fetchall()
+            orows = frame_rows(res.df()) if via_pandas else res.fetchall()
             otypes = [str(d[1]) for d in res.description]
         except Exception as exc:  # noqa: BLE001
             bad += 1
