@@ -11,12 +11,17 @@ from pyspark.sql import functions as F
 def profile_wide(results: list[DataFrame], key: str = "userId") -> DataFrame:
     """Merge per-tag results ``(key, tag)`` (at most one row per key each)
     into one row per key.  All results are stacked and grouped once, so N
-    tags cost one shuffle, not N joins."""
+    tags cost one shuffle, not N joins.
+
+    Rows of different results never share a map partition, so a map-side
+    partial aggregate cannot shrink anything; hash-partitioning by key first
+    lets a single sort feed both aggregate phases (string maxima are sort
+    aggregates).  A key has at most N rows, so no partition can be skewed."""
     if not results:
         raise ValueError("no tag results to merge")
     stacked = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results)
     tag_cols = [c for c in stacked.columns if c != key]
-    return stacked.groupBy(key).agg(*[F.max(c).alias(c) for c in tag_cols])
+    return stacked.repartition(key).groupBy(key).agg(*[F.max(c).alias(c) for c in tag_cols])
 
 
 def profile_upsert(old: DataFrame, new: DataFrame, key: str = "userId") -> DataFrame:

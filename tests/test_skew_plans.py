@@ -13,7 +13,7 @@ from conftest import SF_SMALL
 from plan_util import exchange_children, plan_text
 
 AGGREGATING = ["pay_type", "consume_cycle", "age_band", "rfm_metrics", "rfe_metrics", "rfe_lifecycle",
-               "value_counts", "top_n_per_group", "usg_vote", "unmatched_values", "profile_wide",
+               "value_counts", "top_n_per_group", "usg_vote", "unmatched_values",
                "classification_metrics", "wssse", "cluster_profile"]
 PRE_AGG = {"HashAggregate", "SortAggregate", "WindowGroupLimit", "ObjectHashAggregate"}
 
@@ -28,6 +28,18 @@ def test_shuffles_carry_partial_aggregates(spark, name):
     assert not raw, f"{name}: raw rows shuffled under {raw}"
 
 
+def test_profile_merge_shuffles_per_user_results_once(spark):
+    """The merge's own shuffle moves the stacked tag results, each already
+    one row per user (so a user has at most one row per tag); every shuffle
+    below it is a pre-aggregated one."""
+    plan = plan_text(E.queries()["profile_wide"](spark, SF_SMALL))
+    kids = exchange_children(plan)
+    assert kids.count("Union") == 1
+    assert all(k in PRE_AGG or k in ("Sort", "Union") for k in kids), kids
+    tree = plan.split("\n\n(1)")[0]
+    assert tree.count("Sort (") >= 1 and "REPARTITION_BY_COL" in plan
+
+
 def test_hot_user_gets_same_answer(spark, tags):
     """One user with a third of the orders: favourite value, RFM and votes
     still agree with a brute-force computation."""
