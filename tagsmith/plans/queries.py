@@ -260,7 +260,7 @@ def q_usg_vote(spark, d):
 
 def q_hash_split(spark, d):
     o = load_table(spark, d, "orders", ["o_orderkey"])
-    return E.hash_split(o, ["o_orderkey"])
+    return E.hash_split(o, ["o_orderkey"], method="md5")
 
 
 def q_classification_metrics(spark, d):

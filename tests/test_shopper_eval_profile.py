@@ -39,11 +39,14 @@ def test_votes_exact_threshold_and_orphan_line(spark, tags):
     assert tagged == {1: "male", 2: "neutral", 3: "female"}
 
 
-def test_hash_split_deterministic(spark):
+@pytest.mark.parametrize("method", ["xxhash64", "md5"])
+def test_hash_split_deterministic(spark, method):
     df = spark.range(0, 2000)
-    a = {r.id: r.is_train for r in hash_split(df, ["id"]).collect()}
-    b = {r.id: r.is_train for r in hash_split(df.repartition(7), ["id"]).collect()}
+    a = {r.id: r.is_train for r in hash_split(df, ["id"], method=method).collect()}
+    b = {r.id: r.is_train for r in hash_split(df.repartition(7), ["id"], method=method).collect()}
     assert a == b and 0.75 < sum(a.values()) / len(a) < 0.85
+    with pytest.raises(ValueError):
+        hash_split(df, ["id"], method="crc")
 
 
 def test_classification_metrics_match_spark_ml(spark):
