@@ -6,11 +6,13 @@ from tagsmith.functions.rules import (
     range_end, range_start, rule_options, is_range_rule,
 )
 from tagsmith.functions.dates import (
-    compact_date, compact_text_date, days_since, epoch_to_ts, window_bounds,
+    before_as_of, clock, compact_date, compact_text_date, days_since, epoch_to_ts, event_time,
+    window_bounds,
 )
 
 __all__ = [
     "Bands", "RFM_BANDS", "RFE_BANDS",
     "rule_options", "range_start", "range_end", "is_range_rule",
     "compact_date", "compact_text_date", "days_since", "epoch_to_ts", "window_bounds",
+    "before_as_of", "clock", "event_time",
 ]
