@@ -58,11 +58,20 @@ def seed_labels(goods: DataFrame, female_colors, female_products,
     return goods.withColumn("label", F.when(cond, 1).otherwise(0))
 
 
+def recent_orders(orders: DataFrame, date_col: str, as_of, lookback_days: int) -> DataFrame:
+    """Orders of the last ``lookback_days`` days before the clock."""
+    from tagsmith.functions.dates import as_date, before_as_of
+    lo = as_date(as_of).toordinal() - int(lookback_days)
+    recent = before_as_of(orders, date_col, as_of)
+    return recent.where(F.to_date(date_col) >= F.lit(as_date(as_of).fromordinal(lo)))
+
+
 def gender_votes(lines: DataFrame, orders: DataFrame, line_order_col: str, order_col: str,
                  user_of_order: str, class_col: str, user_col: str = "userId") -> DataFrame:
     """``(userId, total, male, female)``: lines per user and how many are of
     class 0 (male) / 1 (female).  Lines are summed per order first (partial
-    aggregation, shuffle on the order key), then joined to orders."""
+    aggregation, shuffle on the order key), then joined to orders (pass
+    ``recent_orders(...)`` to vote over a look-back window only)."""
     per_order = lines.groupBy(F.col(line_order_col).alias("_ok")).agg(
         F.count(F.lit(1)).alias("_t"),
         F.sum(F.when(F.col(class_col) == 0, 1).otherwise(0)).alias("_m"),

@@ -98,3 +98,15 @@ def test_classifier_demo_on_columns(spark):
     pred, metrics = classify(df, ["x", "y"], "category", ["k"])
     assert pred.count() == 200 and set(metrics) == {"accuracy", "f1", "weightedPrecision", "weightedRecall"}
     assert 0.0 <= metrics["accuracy"] <= 1.0
+
+
+def test_votes_over_a_lookback_window(spark, tags):
+    import datetime as dt
+    from tagsmith.operators.shopper import recent_orders
+    lines = spark.createDataFrame([(10, 0), (11, 1), (11, 1)], "ok long, cls int")
+    orders = spark.createDataFrame([(10, 1, dt.datetime(2020, 6, 1)), (11, 1, dt.datetime(2019, 6, 1))],
+                                   "ok long, u long, d timestamp_ntz")
+    every = {r.userId: (r.total, r.male) for r in gender_votes(lines, orders, "ok", "ok", "u", "cls").collect()}
+    recent = recent_orders(orders, "d", dt.date(2020, 7, 1), 180)
+    half_year = {r.userId: (r.total, r.male) for r in gender_votes(lines, recent, "ok", "ok", "u", "cls").collect()}
+    assert every == {1: (3, 1)} and half_year == {1: (1, 1)}
