@@ -10,7 +10,7 @@ exact DECIMAL(20,2) sum).
 
 from __future__ import annotations
 
-from tagsmith.functions.scores import RFM_BANDS
+from tagsmith.functions.scores import RFE_BANDS, RFM_BANDS
 from tagsmith.plans import standins as SI
 from tagsmith.plans.catalog import rules_of, values_sql
 from tagsmith.plans.queries import (
@@ -61,8 +61,8 @@ SELECT user_id AS userId,
 FROM events WHERE ts < TIMESTAMP '{EAS}' GROUP BY user_id"""
 
 
-def _rfe_scores() -> str:
-    return _scores(_rfe_metrics(), TEST_RFE_BANDS, ["recency", "frequency", "engagements"])
+def _rfe_scores(bands=None) -> str:
+    return _scores(_rfe_metrics(), bands or TEST_RFE_BANDS, ["recency", "frequency", "engagements"])
 
 
 def _dist_list(cols=("r_score", "f_score", "m_score")) -> str:
@@ -92,12 +92,13 @@ LEFT JOIN (SELECT name, min(id) AS id FROM {colors} GROUP BY name) c ON split_pa
 LEFT JOIN (SELECT name, min(id) AS id FROM {products} GROUP BY name) pr ON p.p_type = pr.name"""
 
 
-def _votes() -> str:
+def _votes(order_filter: str = "TRUE") -> str:
     return f"""
 SELECT o.o_custkey AS userId, count(*) AS total,
        CAST(sum(CASE WHEN g.label = 0 THEN 1 ELSE 0 END) AS BIGINT) AS male,
        CAST(sum(CASE WHEN g.label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS female
-FROM ({_goods()}) g JOIN orders o ON g.l_orderkey = o.o_orderkey GROUP BY o.o_custkey"""
+FROM ({_goods()}) g JOIN orders o ON g.l_orderkey = o.o_orderkey
+WHERE {order_filter} GROUP BY o.o_custkey"""
 
 
 def _vote_class() -> str:
@@ -188,6 +189,7 @@ SELECT 'o_orderpriority', o_orderpriority, count(*) FROM orders GROUP BY o_order
                          f"FROM ({_rfm_scores()})")
     q["rfe_metrics"] = _rfe_metrics()
     q["rfe_scores"] = _rfe_scores()
+    q["rfe_default_scores"] = _rfe_scores(RFE_BANDS)
     q["rfe_lifecycle"] = f"""
 WITH e AS (SELECT user_id, ts, event_type || props AS url FROM events
            WHERE event_type = 'purchase' AND ts < TIMESTAMP '{EAS}'),
@@ -242,6 +244,10 @@ SELECT c.c_custkey AS userId, c.c_mktsegment, r.label_idx FROM customer c JOIN r
                      f"FROM ({_goods()}) g JOIN orders o ON g.l_orderkey = o.o_orderkey")
     q["usg_vote"] = (f"SELECT v.userId, v.total, v.male, v.female, t.name AS usg FROM ({_votes()}) v "
                      f"LEFT JOIN {_rules(380)} t ON {_vote_class()} = t.rule")
+    recent = (f"o.o_orderdate < TIMESTAMP '{OAS}' AND "
+              f"CAST(o.o_orderdate AS DATE) >= DATE '{OAS}' - INTERVAL 180 DAY")
+    q["usg_vote_recent"] = (f"SELECT v.userId, v.total, v.male, v.female, t.name AS usg FROM ({_votes(recent)}) v "
+                            f"LEFT JOIN {_rules(380)} t ON {_vote_class()} = t.rule")
     # The tree learns the seed rule from (colour, product); on these tables it
     # reproduces it exactly, so the tree's tags equal the seed-label vote.
     q["usg_tree"] = f"SELECT userId, usg FROM ({q['usg_vote']})"

@@ -168,6 +168,10 @@ def q_rfe_scores(spark, d):
     return _rfe_scores(spark, d)
 
 
+def q_rfe_default_scores(spark, d):
+    return X.rfe_scores(_rfe_metrics(spark, d))
+
+
 def q_rfe_lifecycle(spark, d):
     return X.lifecycle_tag(SI.logs(spark, d, purchases_only=True), "user_id", "loc_url", "ts", EAS)
 
@@ -258,6 +262,14 @@ def q_usg_vote(spark, d):
     return U.vote_tag(_seed_votes(spark, d), attribute_rules(_tags(spark), 380), keep_counts=True)
 
 
+def q_usg_vote_recent(spark, d):
+    """Votes over the orders of the last half year only (180 days)."""
+    o = U.recent_orders(load_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate"]),
+                        "o_orderdate", OAS, 180)
+    votes = U.gender_votes(_usg_lines(spark, d), o, "l_orderkey", "o_orderkey", "o_custkey", "label")
+    return U.vote_tag(votes, attribute_rules(_tags(spark), 380), keep_counts=True)
+
+
 def q_hash_split(spark, d):
     o = load_table(spark, d, "orders", ["o_orderkey"])
     return E.hash_split(o, ["o_orderkey"], method="md5")
@@ -353,6 +365,7 @@ QUERIES: dict[str, Query] = {
     "rfm_weighted": q_rfm_weighted,
     "rfe_metrics": q_rfe_metrics,
     "rfe_scores": q_rfe_scores,
+    "rfe_default_scores": q_rfe_default_scores,
     "rfe_lifecycle": q_rfe_lifecycle,
     "nearest_center": q_nearest_center,
     "wssse": q_wssse,
@@ -367,6 +380,7 @@ QUERIES: dict[str, Query] = {
     "seed_labels": q_seed_labels,
     "usg_join": q_usg_join,
     "usg_vote": q_usg_vote,
+    "usg_vote_recent": q_usg_vote_recent,
     "hash_split": q_hash_split,
     "classification_metrics": q_classification_metrics,
     "usg_tree": q_usg_tree,
