@@ -97,7 +97,18 @@ def segment_by_kmeans(scores: DataFrame, score_cols: list[str], rules: DataFrame
     # the per-user scores are read twice (histogram, final join): materialise
     # them once in the checkpoint folder instead of recomputing the metrics
     scores = cut_lineage(scores.select(id_col, *score_cols))
-    hist = score_histogram(scores, score_cols)
+    hist = cut_lineage(score_histogram(scores, score_cols))
+    distinct = hist.count()  # at most 5 ** len(score_cols)
+    if distinct <= k:
+        # Each distinct vector is its own cluster (zero cost), which is what
+        # KMeans returns when there are no more distinct points than k.
+        from tagsmith.plans.local import local_frame
+        centers = sorted(tuple(float(r[c]) for c in score_cols) for r in hist.select(*score_cols).collect())
+        points = local_frame(spark, [(*c, i) for i, c in enumerate(centers)],
+                             ", ".join(f"{c} double" for c in score_cols) + ", prediction int")
+        tags = center_tag_table(spark, centers, rules)
+        mapping = points.join(F.broadcast(tags), "prediction").select(*score_cols, F.col("tag").alias(tag_col))
+        return join_small(scores, mapping, list(score_cols), "inner").select(id_col, tag_col)
 
     def train():
         return fit_kmeans(hist, score_cols, k, max_iters, seed)[0]

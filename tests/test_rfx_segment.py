@@ -155,3 +155,15 @@ def test_lifecycle_last_24h_with_timestamp_clock(spark):
     logs = spark.createDataFrame(rows, "u long, url string, t timestamp_ntz")
     got = {r.userId: r.lifecycle for r in lifecycle_tag(logs, "u", "url", "t", now).collect()}
     assert got == {1: "returning", 2: "loyal"}
+
+
+def test_segment_with_fewer_distinct_vectors_than_k(spark, tags):
+    """Reference bands on small data: two distinct score vectors, five tags.
+    Each vector is its own cluster; the higher sum gets the higher-value tag."""
+    rows = [(i, 5.0, 1.0, 2.0) if i % 3 else (i, 1.0, 1.0, 1.0) for i in range(30)]
+    scores = spark.createDataFrame(rows, "userId long, r_score double, f_score double, m_score double")
+    got = {r.userId: r.rfm for r in segment_by_kmeans(scores, ["r_score", "f_score", "m_score"],
+                                                       attribute_rules(tags, 361), "rfm").collect()}
+    assert len(got) == 30
+    assert {got[i] for i in range(30) if i % 3} == {"high value"}
+    assert {got[i] for i in range(30) if not i % 3} == {"upper-middle value"}

@@ -107,3 +107,43 @@ def test_bucketed_profile_upsert_shuffles_only_new_side(spark):
     again = attach_profile_table(spark, "tp_v2_copy", f"{d}/v2", "userId BIGINT, a STRING, b STRING", buckets=8)
     assert again.count() == 3000
     assert len(exchange_children(plan_text(profile_upsert(again, new)))) == 1
+
+
+def test_readme_usage_flow(spark):
+    """The README's usage example, on local files: catalogue from storage,
+    a rule-driven match tag, payment and RFM tags on epoch-text orders, and a
+    bucketed profile upsert."""
+    import datetime as dt
+    from tagsmith.operators import (match_tag, pay_type_tag, profile_wide, rfm_metrics, rfm_scores,
+                                    segment_by_kmeans)
+    from tagsmith.plans.catalog import ALL_TAGS
+    from tagsmith.plans.run import run_tag
+    from tagsmith.sources import load_table
+    from tagsmith.sources.store import upsert_profile_table
+    d = _scratch()
+    users = spark.createDataFrame([(str(i), str(1 + i % 3)) for i in range(60)], "id string, gender string")
+    users.write.parquet(f"{d}/users")
+    rows = [r if r[0] != 318 else (318, "gender", f"inType=parquet\npath={d}/users\nselectFieldNames=id,gender", 4, 314)
+            for r in ALL_TAGS]
+    spark.createDataFrame(rows, "id long, name string, rule string, level int, pid long").write.parquet(f"{d}/tags")
+    tags = read_catalog(spark, "parquet", path=f"{d}/tags")
+    epoch = lambda day: str(int(dt.datetime(2024, 5, day, tzinfo=dt.timezone.utc).timestamp()))
+    orders = spark.createDataFrame(
+        [(str(i % 60), f"o{i}", f"{(i * 37) % 5000}.50", epoch(1 + i % 28), ["alipay", "wxpay", "cod"][i % 3])
+         for i in range(600)], "memberid string, ordersn string, orderamount string, finishtime string, "
+                               "paymentcode string")
+    orders.write.parquet(f"{d}/orders.parquet")
+    orders = load_table(spark, d, "orders", ["memberid", "ordersn", "orderamount", "finishtime", "paymentcode"])
+
+    gender = run_tag(spark, tags, 318, base_dir=None,
+                     tagger=lambda u, rules: match_tag(u, "id", "gender", rules, "gender"))
+    payment = pay_type_tag(orders, "memberid", "paymentcode", attribute_rules(tags, 356))
+    scores = rfm_scores(rfm_metrics(orders, "memberid", "ordersn", "orderamount", "finishtime", "2024-06-01"))
+    value = segment_by_kmeans(scores, ["r_score", "f_score", "m_score"], attribute_rules(tags, 361), "rfm")
+    spark.createDataFrame([("0", "old")], "userId string, note string") \
+        .write.bucketBy(4, "userId").option("path", f"{d}/p0").saveAsTable("readme_profile_0")
+    upsert_profile_table(profile_wide([gender, payment, value]), "readme_profile_0", "readme_profile_1",
+                         f"{d}/p1", buckets=4)
+    p = spark.table("readme_profile_1")
+    assert p.count() == 60 and set(p.columns) == {"userId", "note", "gender", "payment", "rfm"}
+    assert p.where("userId = '0'").first().note == "old"
