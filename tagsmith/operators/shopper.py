@@ -99,6 +99,10 @@ def vote_tag(votes: DataFrame, rules: DataFrame, tag_col: str = "usg", user_col:
     return join_small(v, r, v["_cls"] == r["_rule"], "left").select(*keep, tag_col)
 
 
+class EmptyTrainingData(ValueError):
+    """No order line reached the training histogram."""
+
+
 def train_gender_tree(lines: DataFrame, split_keys: list[str], train_pct: int = 80,
                       params: dict | None = None):
     """Decision tree on (color, product) -> label from a weighted histogram.
@@ -112,6 +116,8 @@ def train_gender_tree(lines: DataFrame, split_keys: list[str], train_pct: int =
     hist = (split.groupBy("color", "product", "label", "is_train")
             .agg(F.count(F.lit(1)).cast("double").alias("n")))
     hist = cut_lineage(assemble(hist, ["color", "product"], "raw_features"))
+    if not hist.where("is_train").limit(1).count():
+        raise EmptyTrainingData("no order lines in the training split")
     indexer = VectorIndexer(inputCol="raw_features", outputCol="features",
                             maxCategories=MAX_CATEGORIES).fit(hist)
     feats = indexer.transform(hist)
@@ -143,8 +149,12 @@ def usg_tag(lines: DataFrame, orders: DataFrame, rules: DataFrame, line_order_co
             order_col: str, user_of_order: str, split_keys: list[str], tag_col: str = "usg",
             user_col: str = "userId") -> DataFrame:
     """End to end: lines with ``color``, ``product``, ``label`` -> tree ->
-    per-pair prediction -> per-user vote -> tag."""
-    model, indexer, _acc, hist = train_gender_tree(lines, split_keys)
+    per-pair prediction -> per-user vote -> tag.  No lines, no tags."""
+    try:
+        model, indexer, _acc, hist = train_gender_tree(lines, split_keys)
+    except EmptyTrainingData:
+        return (orders.select(F.col(user_of_order).alias(user_col)).limit(0)
+                .withColumn(tag_col, F.lit(None).cast("string")))
     pairs = hist.select("color", "product", "raw_features").dropDuplicates(["color", "product"])
     pred = model.transform(indexer.transform(pairs)).select(
         "color", "product", F.col("prediction").cast("int").alias("_cls"))

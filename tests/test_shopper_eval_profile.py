@@ -110,3 +110,16 @@ def test_votes_over_a_lookback_window(spark, tags):
     recent = recent_orders(orders, "d", dt.date(2020, 7, 1), 180)
     half_year = {r.userId: (r.total, r.male) for r in gender_votes(lines, recent, "ok", "ok", "u", "cls").collect()}
     assert every == {1: (3, 1)} and half_year == {1: (1, 1)}
+
+
+def test_usg_tag_degenerate_inputs(spark, tags):
+    from tagsmith.operators.shopper import usg_tag
+    orders = spark.createDataFrame([(1, 10), (2, 20)], "ok long, u long")
+    schema = "ok long, ln int, color int, product int, label int"
+    one_class = spark.createDataFrame([(1, 1, 1, 2, 0), (2, 1, 2, 3, 0), (2, 2, 1, 2, 0)], schema)
+    got = {r.userId: r.usg for r in usg_tag(one_class, orders, attribute_rules(tags, 380), "ok", "ok", "u",
+                                            ["ok", "ln"]).collect()}
+    assert got == {10: "male", 20: "male"}
+    empty = usg_tag(spark.createDataFrame([], schema), orders, attribute_rules(tags, 380), "ok", "ok", "u",
+                    ["ok", "ln"])
+    assert empty.count() == 0 and empty.columns == ["userId", "usg"]
