@@ -1,6 +1,7 @@
 """Property tests: operators against brute-force Python on random inputs.
 Each example runs Spark jobs, so the example counts are kept small."""
 
+import os
 from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
@@ -11,7 +12,7 @@ from tagsmith.operators.joins import range_join
 from tagsmith.operators.profile import profile_upsert
 from tagsmith.operators.stats import favourite_value
 
-SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SETTINGS = settings(max_examples=int(os.environ.get("PROPERTY_EXAMPLES", "12")), deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 ranges_st = st.lists(st.tuples(st.integers(-50, 200), st.integers(0, 120)), min_size=1, max_size=12)
 values_st = st.lists(st.one_of(st.none(), st.integers(-60, 330)), min_size=0, max_size=40)
@@ -80,3 +81,41 @@ def test_profile_upsert_matches_dict_merge(spark, old, new):
         nb, nc = new.get(k, (None, None))
         expect[k] = (oa, nb if nb is not None else ob, nc)
     assert got == expect
+
+
+@SETTINGS
+@given(visits=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 30 * 24 * 60), st.sampled_from(["/a", "/b", "/c"])),
+                       min_size=1, max_size=40),
+       clock_minutes=st.sampled_from([0, 7 * 60 + 13, 23 * 60 + 59]))
+def test_lifecycle_matches_brute_force(spark, visits, clock_minutes):
+    import datetime as dt
+    from tagsmith.operators.rfx import lifecycle_tag
+    base = dt.datetime(2020, 1, 1)
+    now = dt.datetime(2020, 1, 25) + dt.timedelta(minutes=clock_minutes)
+    rows = [(u, p, base + dt.timedelta(minutes=m)) for u, m, p in visits]
+    df = spark.createDataFrame(rows, "u long, url string, t timestamp_ntz")
+    got = {r.userId: r.lifecycle for r in lifecycle_tag(df, "u", "url", "t", now).collect()}
+
+    expect = {}
+    for u in {r[0] for r in rows}:
+        ts = sorted((t, p) for uu, p, t in rows if uu == u and t < now)
+        if not ts:
+            continue
+        d = (now.date() - ts[-1][0].date()).days
+        first = (now.date() - ts[0][0].date()).days
+        recent = [p for t, p in ts if t >= now - dt.timedelta(days=1)]
+        gap = any(b[0] - a[0] > dt.timedelta(days=7) for a, b in zip(ts, ts[1:]))
+        if len(recent) >= 2 and len(recent) == len(set(recent)):
+            cls = "loyal"
+        elif first <= 3:
+            cls = "new"
+        elif d <= 3 and gap:
+            cls = "returning"
+        elif d <= 2:
+            cls = "active"
+        elif d <= 7:
+            cls = "inactive"
+        else:
+            cls = "lost"
+        expect[u] = cls
+    assert got == expect
