@@ -21,12 +21,16 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               max_rows: int = DEFAULT_BROADCAST_ROWS, bound_from: DataFrame | None = None) -> DataFrame:
     """``big.join(small)``; ``small`` is broadcast only when proven small.
-    ``how`` must keep ``big`` on the streamed side (inner, left, semi, anti)."""
+    ``how`` must keep ``big`` on the streamed side (inner, left, semi, anti).
+
+    ``bound_from`` is a frame whose row count bounds ``small``'s (e.g. the
+    rule rows that ``small`` de-duplicates); counting it is cheaper when it
+    needs no shuffle."""
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti", "semi", "anti"):
         raise ValueError(f"join_small cannot broadcast the right side of a {how!r} join")
-    if has_at_most(small, max_rows):
+    if has_at_most(small if bound_from is None else bound_from, max_rows):
         small = F.broadcast(small)
     return big.join(small, on, how)
 

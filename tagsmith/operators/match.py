@@ -36,7 +36,8 @@ def match_tag(df: DataFrame, id_col: str, field: str, rules: DataFrame, tag_col:
     r = distinct_rules(rules).select(F.col("rule").alias("_rule"), F.col("name").alias(tag_col))
     base = df.select(F.col(id_col).alias(user_col), F.col(field).cast("string").alias("_value"))
     how = "inner" if on_miss == "drop" else "left"
-    out = join_small(base, r, base["_value"] == r["_rule"], how)
+    # de-duplicated rules never outnumber the rule rows: count those
+    out = join_small(base, r, base["_value"] == r["_rule"], how, bound_from=rules)
     tag = F.col(tag_col)
     if on_miss == "error":
         tag = F.when(tag.isNull(), F.raise_error(
@@ -50,5 +51,5 @@ def unmatched_values(df: DataFrame, field: str, rules: DataFrame) -> DataFrame:
     (nulls included as a null value)."""
     r = distinct_rules(rules).select(F.col("rule").alias("_rule"))
     base = df.select(F.col(field).cast("string").alias("value"))
-    missing = join_small(base, r, base["value"] == r["_rule"], "left_anti")
+    missing = join_small(base, r, base["value"] == r["_rule"], "left_anti", bound_from=rules)
     return missing.groupBy("value").agg(F.count(F.lit(1)).alias("rows"))

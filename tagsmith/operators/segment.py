@@ -108,7 +108,7 @@ def segment_by_kmeans(scores: DataFrame, score_cols: list[str], rules: DataFrame
                              ", ".join(f"{c} double" for c in score_cols) + ", prediction int")
         tags = center_tag_table(spark, centers, rules)
         mapping = points.join(F.broadcast(tags), "prediction").select(*score_cols, F.col("tag").alias(tag_col))
-        return join_small(scores, mapping, list(score_cols), "inner").select(id_col, tag_col)
+        return join_small(scores, mapping, list(score_cols), "inner", bound_from=hist).select(id_col, tag_col)
 
     def train():
         return fit_kmeans(hist, score_cols, k, max_iters, seed)[0]
@@ -121,8 +121,8 @@ def segment_by_kmeans(scores: DataFrame, score_cols: list[str], rules: DataFrame
     # tags has exactly k rows (k counted above)
     mapping = triples.join(F.broadcast(tags), "prediction").select(*score_cols, F.col("tag").alias(tag_col))
     # the mapping has one row per distinct score vector (<= 5**len(score_cols))
-    return join_small(scores.select(id_col, *score_cols), mapping, list(score_cols), "inner") \
-        .select(id_col, tag_col)
+    return join_small(scores.select(id_col, *score_cols), mapping, list(score_cols), "inner",
+                      bound_from=hist).select(id_col, tag_col)
 
 
 # --- deterministic sub-steps with given centres (SQL-checkable) ---

@@ -43,8 +43,8 @@ def encode_dims(goods: DataFrame, colors: DataFrame, products: DataFrame,
     dimension table).  Dimensions are joined with a checked broadcast."""
     c = _dim_ids(colors).select(F.col("name").alias("_cname"), F.col("id").alias("_cid"))
     p = _dim_ids(products).select(F.col("name").alias("_pname"), F.col("id").alias("_pid"))
-    out = join_small(goods, c, goods[color_col] == c["_cname"], "left")
-    out = join_small(out, p, out[product_col] == p["_pname"], "left")
+    out = join_small(goods, c, goods[color_col] == c["_cname"], "left", bound_from=colors)
+    out = join_small(out, p, out[product_col] == p["_pname"], "left", bound_from=products)
     return (out.withColumn("color", F.coalesce(F.col("_cid"), F.lit(0)).cast("int"))
             .withColumn("product", F.coalesce(F.col("_pid"), F.lit(0)).cast("int"))
             .drop("_cname", "_cid", "_pname", "_pid"))
@@ -96,7 +96,7 @@ def vote_tag(votes: DataFrame, rules: DataFrame, tag_col: str = "usg", user_col:
     r = distinct_rules(rules).select(F.col("rule").alias("_rule"), F.col("name").alias(tag_col))
     keep = [user_col, "total", "male", "female"] if keep_counts else [user_col]
     v = votes.select(*keep, vote_class(share).cast("string").alias("_cls"))
-    return join_small(v, r, v["_cls"] == r["_rule"], "left").select(*keep, tag_col)
+    return join_small(v, r, v["_cls"] == r["_rule"], "left", bound_from=rules).select(*keep, tag_col)
 
 
 class EmptyTrainingData(ValueError):
@@ -158,6 +158,8 @@ def usg_tag(lines: DataFrame, orders: DataFrame, rules: DataFrame, line_order_co
     pairs = hist.select("color", "product", "raw_features").dropDuplicates(["color", "product"])
     pred = model.transform(indexer.transform(pairs)).select(
         "color", "product", F.col("prediction").cast("int").alias("_cls"))
-    scored = join_small(lines.select(line_order_col, "color", "product"), pred, ["color", "product"], "inner")
+    # one prediction per distinct (color, product) pair of the histogram
+    scored = join_small(lines.select(line_order_col, "color", "product"), pred, ["color", "product"], "inner",
+                        bound_from=hist)
     votes = gender_votes(scored, orders, line_order_col, order_col, user_of_order, "_cls", user_col)
     return vote_tag(votes, rules, tag_col, user_col)
