@@ -87,9 +87,14 @@ def center_tag_table(spark: SparkSession, centers, rules: DataFrame) -> DataFram
 
 def segment_by_kmeans(scores: DataFrame, score_cols: list[str], rules: DataFrame, tag_col: str,
                       id_col: str = "userId", max_iters=MAX_ITERS, seed: int = SEED,
-                      model_path: str | None = None) -> DataFrame:
+                      model_path: str | None = None, weighted: bool = True) -> DataFrame:
     """``(userId, tag_col)`` by KMeans over score vectors, with
-    k = number of level-5 rules and clusters named by centre rank."""
+    k = number of level-5 rules and clusters named by centre rank.
+
+    ``weighted=True`` trains on the weighted histogram of distinct score
+    vectors (same objective, work independent of the number of users);
+    ``weighted=False`` trains on one row per user, as the reference does —
+    every iteration then reads every user."""
     spark = scores.sparkSession
     k = rules.count()
     if k < 2:
@@ -111,7 +116,9 @@ def segment_by_kmeans(scores: DataFrame, score_cols: list[str], rules: DataFrame
         return join_small(scores, mapping, list(score_cols), "inner", bound_from=hist).select(id_col, tag_col)
 
     def train():
-        return fit_kmeans(hist, score_cols, k, max_iters, seed)[0]
+        if weighted:
+            return fit_kmeans(hist, score_cols, k, max_iters, seed)[0]
+        return fit_kmeans(scores.select(*score_cols), score_cols, k, max_iters, seed, weight_col=None)[0]
 
     model = load_or_train(model_path, KMeansModel, train) if model_path else train()
     if len(model.clusterCenters()) != k:

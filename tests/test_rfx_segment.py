@@ -167,3 +167,15 @@ def test_segment_with_fewer_distinct_vectors_than_k(spark, tags):
     assert len(got) == 30
     assert {got[i] for i in range(30) if i % 3} == {"high value"}
     assert {got[i] for i in range(30) if not i % 3} == {"upper-middle value"}
+
+
+def test_segment_per_user_training_matches_invariants(spark, tags, scores):
+    cols = ["r_score", "f_score", "m_score"]
+    seg = segment_by_kmeans(scores, cols, attribute_rules(tags, 361), "rfm", weighted=False).collect()
+    assert len(seg) == 3000 and len({r.rfm for r in seg}) == 5
+    # users with the same score vector always share a tag
+    vec = {r.userId: (r.r_score, r.f_score, r.m_score) for r in scores.collect()}
+    by_vec = {}
+    for r in seg:
+        by_vec.setdefault(vec[r.userId], set()).add(r.rfm)
+    assert all(len(v) == 1 for v in by_vec.values())
