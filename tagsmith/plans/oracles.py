@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from tagsmith.functions.scores import RFE_BANDS, RFM_BANDS
 from tagsmith.plans import standins as SI
-from tagsmith.plans.catalog import rules_of, values_sql
+from tagsmith.plans.catalog import ALL_TAGS, rules_of, values_sql
 from tagsmith.plans.queries import (
     EAS, FIXED_CENTERS, OAS, OLD_AS_OF, TEST_RFE_BANDS, TEST_RFM_BANDS,
 )
@@ -172,6 +172,18 @@ GROUP BY 1"""
     q["age_band"] = _age_band()
     q["consume_cycle"] = _consume_cycle(OAS)
     q["pay_type"] = _pay_type("TRUE")
+    cat = values_sql([(i, n, r, lvl, pid) for (i, n, r, lvl, pid) in ALL_TAGS if i == 356 or pid == 356],
+                     ["id", "name", "rule", "level", "pid"])
+    q["tag_lookup"] = f"""
+WITH p AS ({_pay_type("TRUE")}),
+c AS (SELECT payment AS k, count(*) AS users FROM p GROUP BY payment
+      UNION ALL SELECT '#all', count(*) FROM p)
+SELECT DISTINCT t.id, t.name, t.rule, t.level, COALESCE(c.users, 0) AS users
+FROM {cat} LEFT JOIN c ON c.k = CASE WHEN t.level = 4 THEN '#all' ELSE t.name END"""
+    q["range_rules"] = f"""
+SELECT r.name, r.s AS start, r.e AS "end", COALESCE(c.users, 0) AS users
+FROM {_ranges(347)} r LEFT JOIN (SELECT consumercycle, count(*) AS users FROM ({_consume_cycle(OAS)})
+                                 GROUP BY consumercycle) c ON c.consumercycle = r.name"""
     q["top_n_per_group"] = """
 SELECT o_custkey, o_orderkey, o_totalprice, CAST(rn AS INTEGER) AS "rank" FROM (
   SELECT o_custkey, o_orderkey, o_totalprice,

@@ -23,7 +23,7 @@ from tagsmith.operators import shopper as U
 from tagsmith.operators import stats as ST
 from tagsmith.operators.match import match_tag, unmatched_values
 from tagsmith.plans import standins as SI
-from tagsmith.plans.catalog import attribute_rules, catalog
+from tagsmith.plans.catalog import attribute_rules, catalog, tag_lookup
 from tagsmith.plans.run import run_tag
 from tagsmith.sources.business import business_scan, condition_filter, rolling_windows, scan_options
 from tagsmith.sources.tables import load_table
@@ -112,6 +112,33 @@ def q_pay_type(spark, d):
                    lambda biz, rules: ST.pay_type_tag(biz, "o_custkey", "o_orderpriority", rules))
 
 
+def q_tag_lookup(spark, d):
+    """The payment tag and its children (one lookup, distinct, ordered by
+    level and id) with the number of users holding each; the level-4 row
+    counts every tagged user (the rollup's grand total)."""
+    tags = _tags(spark)
+    result = run_tag(spark, tags, 356, d,
+                     lambda biz, rules: ST.pay_type_tag(biz, "o_custkey", "o_orderpriority", rules))
+    counts = result.rollup("payment").agg(F.count(F.lit(1)).alias("users"),
+                                         F.grouping("payment").alias("_total"))
+    counts = counts.select(F.when(F.col("_total") == 1, F.lit("#all")).otherwise(F.col("payment")).alias("_key"),
+                           "users")
+    looked_up = tag_lookup(tags, 356)
+    keyed = looked_up.withColumn("_key", F.when(F.col("level") == 4, F.lit("#all")).otherwise(F.col("name")))
+    return (keyed.join(counts, "_key", "left")
+            .select("id", "name", "rule", "level", F.coalesce(F.col("users"), F.lit(0)).alias("users")))
+
+
+def q_range_rules(spark, d):
+    """Consumption-cycle rules parsed into bands, with the users in each."""
+    tags = _tags(spark)
+    bands = B.range_rules(attribute_rules(tags, 347))
+    tagged = B.consume_cycle_tag(SI.orders(spark, d), "o_custkey", "o_orderdate", attribute_rules(tags, 347), OAS)
+    per_band = tagged.groupBy(F.col("consumercycle").alias("name")).agg(F.count(F.lit(1)).alias("users"))
+    return bands.join(per_band, "name", "left").select(
+        "name", "start", "end", F.coalesce(F.col("users"), F.lit(0)).alias("users"))
+
+
 def q_top_n_per_group(spark, d):
     o = load_table(spark, d, "orders", ["o_custkey", "o_orderkey", "o_totalprice"])
     top = ST.top_n_per_group(o, ["o_custkey"], [F.col("o_totalprice").desc(), F.col("o_orderkey")], 3,
@@ -357,6 +384,8 @@ QUERIES: dict[str, Query] = {
     "age_band": q_age_band,
     "consume_cycle": q_consume_cycle,
     "pay_type": q_pay_type,
+    "tag_lookup": q_tag_lookup,
+    "range_rules": q_range_rules,
     "top_n_per_group": q_top_n_per_group,
     "value_counts": q_value_counts,
     "rfm_metrics": q_rfm_metrics,
