@@ -13,7 +13,9 @@ def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int,
     """Rows ranked ``1..n`` in each group by ``order`` (make it total to get
     a deterministic answer).  ``row_number() <= n`` lets Spark insert a
     WindowGroupLimit that keeps only ``n`` rows per group before the shuffle,
-    so a hot group does not travel whole to one task."""
+    so a hot group does not travel whole to one task (Spark does this for
+    ``n`` up to ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 by
+    default)."""
     if n < 1:
         raise ValueError("n must be >= 1")
     w = Window.partitionBy(*keys).orderBy(*order)
