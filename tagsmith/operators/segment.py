@@ -87,14 +87,16 @@ def center_tag_table(spark: SparkSession, centers, rules: DataFrame) -> DataFram
 
 def segment_by_kmeans(scores: DataFrame, score_cols: list[str], rules: DataFrame, tag_col: str,
                       id_col: str = "userId", max_iters=MAX_ITERS, seed: int = SEED,
-                      model_path: str | None = None, weighted: bool = True) -> DataFrame:
+                      model_path: str | None = None, weighted: bool = True, scale: bool = False) -> DataFrame:
     """``(userId, tag_col)`` by KMeans over score vectors, with
     k = number of level-5 rules and clusters named by centre rank.
 
     ``weighted=True`` trains on the weighted histogram of distinct score
     vectors (same objective, work independent of the number of users);
     ``weighted=False`` trains on one row per user, as the reference does —
-    every iteration then reads every user."""
+    every iteration then reads every user.  ``scale=True`` min-max scales the
+    features to [0, 1] first (the reference's documented tuning option; the
+    histogram holds every distinct vector, so its extremes are the users')."""
     spark = scores.sparkSession
     k = rules.count()
     if k < 2:
@@ -115,16 +117,33 @@ def segment_by_kmeans(scores: DataFrame, score_cols: list[str], rules: DataFrame
         mapping = points.join(F.broadcast(tags), "prediction").select(*score_cols, F.col("tag").alias(tag_col))
         return join_small(scores, mapping, list(score_cols), "inner", bound_from=hist).select(id_col, tag_col)
 
+    feat_cols = list(score_cols)
+    if scale:
+        feat_cols = [f"_scaled_{c}" for c in score_cols]
+        bounds = hist.agg(*[F.min(c).alias(f"lo_{c}") for c in score_cols],
+                          *[F.max(c).alias(f"hi_{c}") for c in score_cols]).first()
+
+        def scaled(df):
+            out = df
+            for c, fc in zip(score_cols, feat_cols):
+                lo, hi = float(bounds[f"lo_{c}"]), float(bounds[f"hi_{c}"])
+                expr = ((F.col(c) - F.lit(lo)) / F.lit(hi - lo)) if hi != lo else F.lit(0.5)
+                out = out.withColumn(fc, expr)
+            return out
+    else:
+        def scaled(df):
+            return df
+
     def train():
         if weighted:
-            return fit_kmeans(hist, score_cols, k, max_iters, seed)[0]
-        return fit_kmeans(scores.select(*score_cols), score_cols, k, max_iters, seed, weight_col=None)[0]
+            return fit_kmeans(scaled(hist), feat_cols, k, max_iters, seed)[0]
+        return fit_kmeans(scaled(scores.select(*score_cols)), feat_cols, k, max_iters, seed, weight_col=None)[0]
 
     model = load_or_train(model_path, KMeansModel, train) if model_path else train()
     if len(model.clusterCenters()) != k:
         raise ValueError(f"model has {len(model.clusterCenters())} clusters, rules name {k}")
     tags = center_tag_table(spark, model.clusterCenters(), rules)
-    triples = model.transform(assemble(hist.select(*score_cols), score_cols)).select(*score_cols, "prediction")
+    triples = model.transform(assemble(scaled(hist.select(*score_cols)), feat_cols)).select(*score_cols, "prediction")
     # tags has exactly k rows (k counted above)
     mapping = triples.join(F.broadcast(tags), "prediction").select(*score_cols, F.col("tag").alias(tag_col))
     # the mapping has one row per distinct score vector (<= 5**len(score_cols))

@@ -179,3 +179,9 @@ def test_segment_per_user_training_matches_invariants(spark, tags, scores):
     for r in seg:
         by_vec.setdefault(vec[r.userId], set()).add(r.rfm)
     assert all(len(v) == 1 for v in by_vec.values())
+
+
+def test_segment_with_minmax_scaled_features(spark, tags, scores):
+    cols = ["r_score", "f_score", "m_score"]
+    seg = segment_by_kmeans(scores, cols, attribute_rules(tags, 361), "rfm", scale=True).collect()
+    assert len(seg) == 3000 and len({r.rfm for r in seg}) == 5
