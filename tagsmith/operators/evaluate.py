@@ -100,6 +100,15 @@ def prepare_features(df: DataFrame, features) -> tuple[DataFrame, list[str]]:
     return df, list(features)
 
 
+def demo_pipeline(cols: list[str], label_col: str, lr: LogisticRegression) -> Pipeline:
+    """StringIndexer(label) -> VectorAssembler -> Normalizer(p=2) -> ``lr``."""
+    return Pipeline(stages=[
+        StringIndexer(inputCol=label_col, outputCol="label_idx", stringOrderType="frequencyDesc"),
+        VectorAssembler(inputCols=cols, outputCol="raw_features"),
+        Normalizer(inputCol="raw_features", outputCol="features", p=2.0),
+        lr])
+
+
 def train_classifier(df: DataFrame, features, label_col: str, params: dict | None = None):
     """The classifier demo's pipeline: StringIndexer(label) -> VectorAssembler
     -> Normalizer(p=2) -> LogisticRegression (maxIter 10, regParam 0.3,
@@ -107,11 +116,8 @@ def train_classifier(df: DataFrame, features, label_col: str, params: dict | Non
     ``prepare_features(df, features)[0]`` with the model to predict."""
     params = {**LOGREG_PARAMS, **(params or {})}
     data, cols = prepare_features(df, features)
-    stages = [StringIndexer(inputCol=label_col, outputCol="label_idx", stringOrderType="frequencyDesc"),
-              VectorAssembler(inputCols=cols, outputCol="raw_features"),
-              Normalizer(inputCol="raw_features", outputCol="features", p=2.0),
-              LogisticRegression(featuresCol="features", labelCol="label_idx", **params)]
-    return Pipeline(stages=stages).fit(data), data
+    lr = LogisticRegression(featuresCol="features", labelCol="label_idx", **params)
+    return demo_pipeline(cols, label_col, lr).fit(data), data
 
 
 def evaluate_predictions(pred: DataFrame, label_col: str = "label_idx", prediction_col: str = "prediction",
@@ -141,3 +147,23 @@ def classify(df: DataFrame, feature_array, label_col: str, split_keys: list[str]
     model = load_or_train(model_path, PipelineModel, train) if model_path else train()
     pred = model.transform(prepare_features(data, feature_array)[0])
     return pred, evaluate_predictions(pred.where(~F.col("is_train")))
+
+
+def tune_classifier(df: DataFrame, features, label_col: str, reg_params=(0.01, 0.1, 0.3),
+                    elastic_net_params=(0.0, 0.5, 0.8), train_ratio: float = 0.8, parallelism: int = 4,
+                    seed: int = 123):
+    """Hyper-parameter search for the demo pipeline with Spark ML's
+    ``TrainValidationSplit`` (accuracy on the validation part); candidate
+    models are fitted concurrently.  Returns the best pipeline model."""
+    from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+    data, cols = prepare_features(df, features)
+    lr = LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=LOGREG_PARAMS["maxIter"])
+    pipeline = demo_pipeline(cols, label_col, lr)
+    grid = (ParamGridBuilder().addGrid(lr.regParam, list(reg_params))
+            .addGrid(lr.elasticNetParam, list(elastic_net_params)).build())
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    tvs = TrainValidationSplit(estimator=pipeline, estimatorParamMaps=grid, trainRatio=train_ratio,
+                               evaluator=MulticlassClassificationEvaluator(labelCol="label_idx",
+                                                                           metricName="accuracy"),
+                               parallelism=parallelism, seed=seed)
+    return tvs.fit(data).bestModel

@@ -123,3 +123,13 @@ def test_usg_tag_degenerate_inputs(spark, tags):
     empty = usg_tag(spark.createDataFrame([], schema), orders, attribute_rules(tags, 380), "ok", "ok", "u",
                     ["ok", "ln"])
     assert empty.count() == 0 and empty.columns == ["userId", "usg"]
+
+
+def test_tune_classifier_picks_a_grid_point(spark):
+    from tagsmith.operators.evaluate import prepare_features, tune_classifier
+    rows = [(float(i % 7), float((i * 3) % 5), "a" if (i % 7) > 3 else "b") for i in range(300)]
+    df = spark.createDataFrame(rows, "x double, y double, category string")
+    best = tune_classifier(df, ["x", "y"], "category", reg_params=(0.0, 0.3), elastic_net_params=(0.0,))
+    lr = best.stages[-1]
+    assert lr.getRegParam() in (0.0, 0.3)
+    assert best.transform(prepare_features(df, ["x", "y"])[0]).count() == 300
