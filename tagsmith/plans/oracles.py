@@ -178,7 +178,7 @@ GROUP BY 1"""
 WITH p AS ({_pay_type("TRUE")}),
 c AS (SELECT payment AS k, count(*) AS users FROM p GROUP BY payment
       UNION ALL SELECT '#all', count(*) FROM p)
-SELECT DISTINCT t.id, t.name, t.rule, t.level, COALESCE(c.users, 0) AS users
+SELECT DISTINCT CAST(t.id AS BIGINT) AS id, t.name, t.rule, t.level, COALESCE(c.users, 0) AS users
 FROM {cat} LEFT JOIN c ON c.k = CASE WHEN t.level = 4 THEN '#all' ELSE t.name END"""
     q["range_rules"] = f"""
 SELECT r.name, r.s AS start, r.e AS "end", COALESCE(c.users, 0) AS users

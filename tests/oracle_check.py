@@ -18,6 +18,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+# Spark simple type -> DuckDB type name, for the schema comparison
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE", "float": "FLOAT"}
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -114,10 +118,12 @@ def main():
         ok_cols = sorted(scols) == sorted(ocols)
         ok_n = len(srows) == len(orows)
         ok_h = ok_cols and digest(srows, scols) == digest(orows, ocols)
-        status = "ok  " if (ok_cols and ok_n and ok_h) else "FAIL"
+        stype = dict(zip(scols, (SPARK_TO_DUCK.get(t, t) for t in stypes)))
+        ok_t = ok_cols and all(stype[c] == t for c, t in zip(ocols, otypes))
+        status = "ok  " if (ok_cols and ok_n and ok_h and ok_t) else "FAIL"
         if status != "ok  ":
             bad += 1
-        print(f"{status} {name}: rows {len(srows)}/{len(orows)} cols={ok_cols} hash={ok_h} {el:.1f}s"
+        print(f"{status} {name}: rows {len(srows)}/{len(orows)} cols={ok_cols} types={ok_t} hash={ok_h} {el:.1f}s"
               + ("" if ok_cols else f" spark={scols} duck={ocols}")
               + f" types spark={stypes} duck={otypes}" * (status != "ok  "))
     print(f"{bad} failing")
