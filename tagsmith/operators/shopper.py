@@ -104,7 +104,7 @@ class EmptyTrainingData(ValueError):
 
 
 def train_gender_tree(lines: DataFrame, split_keys: list[str], train_pct: int = 80,
-                      params: dict | None = None):
+                      params: dict | None = None, evaluate: bool = True):
     """Decision tree on (color, product) -> label from a weighted histogram.
 
     Returns ``(model, indexer_model, test_accuracy, histogram)``.  The
@@ -125,11 +125,13 @@ def train_gender_tree(lines: DataFrame, split_keys: list[str], train_pct: int =
                                   predictionCol="prediction", **params)
     model = tree.fit(feats.where("is_train"))
     test = model.transform(feats.where("not is_train"))
-    try:
-        acc = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
-                                                weightCol="n", metricName="accuracy").evaluate(test)
-    except Exception:  # an empty held-out split has no accuracy
-        acc = float("nan")
+    acc = float("nan")
+    if evaluate:
+        try:
+            acc = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
+                                                    weightCol="n", metricName="accuracy").evaluate(test)
+        except Exception:  # an empty held-out split has no accuracy
+            pass
     return model, indexer, acc, hist
 
 
@@ -138,7 +140,7 @@ def tree_holdout_metrics(lines: DataFrame, split_keys: list[str]) -> DataFrame:
     against the seed labels, from the weighted confusion matrix of the test
     side of the histogram (one row)."""
     from tagsmith.operators.evaluate import confusion_metrics
-    model, indexer, _acc, hist = train_gender_tree(lines, split_keys)
+    model, indexer, _acc, hist = train_gender_tree(lines, split_keys, evaluate=False)
     test = model.transform(indexer.transform(hist.where("not is_train")))
     cm = test.groupBy(F.col("label").cast("double").alias("l"), F.col("prediction").alias("p")) \
         .agg(F.sum("n").cast("long").alias("n"))
@@ -151,7 +153,7 @@ def usg_tag(lines: DataFrame, orders: DataFrame, rules: DataFrame, line_order_co
     """End to end: lines with ``color``, ``product``, ``label`` -> tree ->
     per-pair prediction -> per-user vote -> tag.  No lines, no tags."""
     try:
-        model, indexer, _acc, hist = train_gender_tree(lines, split_keys)
+        model, indexer, _acc, hist = train_gender_tree(lines, split_keys, evaluate=False)
     except EmptyTrainingData:
         return (orders.select(F.col(user_of_order).alias(user_col)).limit(0)
                 .withColumn(tag_col, F.lit(None).cast("string")))
