@@ -67,15 +67,18 @@ def recent_orders(orders: DataFrame, date_col: str, as_of, lookback_days: int) -
 
 
 def gender_votes(lines: DataFrame, orders: DataFrame, line_order_col: str, order_col: str,
-                 user_of_order: str, class_col: str, user_col: str = "userId") -> DataFrame:
+                 user_of_order: str, class_col: str, user_col: str = "userId",
+                 weight_col: str | None = None) -> DataFrame:
     """``(userId, total, male, female)``: lines per user and how many are of
     class 0 (male) / 1 (female).  Lines are summed per order first (partial
     aggregation, shuffle on the order key), then joined to orders (pass
-    ``recent_orders(...)`` to vote over a look-back window only)."""
+    ``recent_orders(...)`` to vote over a look-back window only).  With
+    ``weight_col`` each input row stands for that many lines."""
+    w = F.col(weight_col).cast("long") if weight_col else F.lit(1)
     per_order = lines.groupBy(F.col(line_order_col).alias("_ok")).agg(
-        F.count(F.lit(1)).alias("_t"),
-        F.sum(F.when(F.col(class_col) == 0, 1).otherwise(0)).alias("_m"),
-        F.sum(F.when(F.col(class_col) == 1, 1).otherwise(0)).alias("_f"))
+        F.sum(w).cast("long").alias("_t"),
+        F.sum(F.when(F.col(class_col) == 0, w).otherwise(0)).cast("long").alias("_m"),
+        F.sum(F.when(F.col(class_col) == 1, w).otherwise(0)).cast("long").alias("_f"))
     o = orders.select(F.col(order_col).alias("_ok"), F.col(user_of_order).alias(user_col))
     joined = per_order.join(o, "_ok")
     return joined.groupBy(user_col).agg(
@@ -103,19 +106,17 @@ class EmptyTrainingData(ValueError):
     """No order line reached the training histogram."""
 
 
-def train_gender_tree(lines: DataFrame, split_keys: list[str], train_pct: int = 80,
-                      params: dict | None = None, evaluate: bool = True):
-    """Decision tree on (color, product) -> label from a weighted histogram.
+def fit_gender_tree(hist: DataFrame, params: dict | None = None, evaluate: bool = True):
+    """Decision tree on (color, product) -> label from a weighted histogram
+    ``(color, product, label, is_train, n)``.
 
     Returns ``(model, indexer_model, test_accuracy, histogram)``.  The
     accuracy is agreement with the seed rule on the held-out split — the
     labels are a function of the features, so it measures fit, not truth.
     """
     params = {**TREE_PARAMS, **(params or {})}
-    split = hash_split(lines, split_keys, train_pct)
-    hist = (split.groupBy("color", "product", "label", "is_train")
-            .agg(F.count(F.lit(1)).cast("double").alias("n")))
-    hist = cut_lineage(assemble(hist, ["color", "product"], "raw_features"))
+    hist = cut_lineage(assemble(hist.withColumn("n", F.col("n").cast("double")),
+                                ["color", "product"], "raw_features"))
     if not hist.where("is_train").limit(1).count():
         raise EmptyTrainingData("no order lines in the training split")
     indexer = VectorIndexer(inputCol="raw_features", outputCol="features",
@@ -135,6 +136,16 @@ def train_gender_tree(lines: DataFrame, split_keys: list[str], train_pct: int =
     return model, indexer, acc, hist
 
 
+def train_gender_tree(lines: DataFrame, split_keys: list[str], train_pct: int = 80,
+                      params: dict | None = None, evaluate: bool = True):
+    """The tree from order lines: a deterministic per-line split, then the
+    weighted (color, product, label, is_train) histogram (see
+    ``fit_gender_tree``)."""
+    split = hash_split(lines, split_keys, train_pct)
+    hist = split.groupBy("color", "product", "label", "is_train").agg(F.count(F.lit(1)).alias("n"))
+    return fit_gender_tree(hist, params, evaluate)
+
+
 def tree_holdout_metrics(lines: DataFrame, split_keys: list[str]) -> DataFrame:
     """Held-out accuracy / weighted precision, recall and F1 of the tree
     against the seed labels, from the weighted confusion matrix of the test
@@ -149,11 +160,21 @@ def tree_holdout_metrics(lines: DataFrame, split_keys: list[str]) -> DataFrame:
 
 def usg_tag(lines: DataFrame, orders: DataFrame, rules: DataFrame, line_order_col: str,
             order_col: str, user_of_order: str, split_keys: list[str], tag_col: str = "usg",
-            user_col: str = "userId") -> DataFrame:
+            user_col: str = "userId", train_pct: int = 80) -> DataFrame:
     """End to end: lines with ``color``, ``product``, ``label`` -> tree ->
-    per-pair prediction -> per-user vote -> tag.  No lines, no tags."""
+    per-pair prediction -> per-user vote -> tag.  No lines, no tags.
+
+    The order lines are read once: one pass counts lines per (order, colour,
+    product, label, split side) — the per-line split is kept — and is
+    checkpointed; the training histogram and the vote are both computed from
+    those counts, so the line-level join behind ``lines`` is not repeated
+    for scoring."""
+    split = hash_split(lines, split_keys, train_pct)
+    counts = cut_lineage(split.groupBy(line_order_col, "color", "product", "label", "is_train")
+                         .agg(F.count(F.lit(1)).alias("n")))
     try:
-        model, indexer, _acc, hist = train_gender_tree(lines, split_keys, evaluate=False)
+        hist = counts.groupBy("color", "product", "label", "is_train").agg(F.sum("n").alias("n"))
+        model, indexer, _acc, hist = fit_gender_tree(hist, evaluate=False)
     except EmptyTrainingData:
         return (orders.select(F.col(user_of_order).alias(user_col)).limit(0)
                 .withColumn(tag_col, F.lit(None).cast("string")))
@@ -161,7 +182,7 @@ def usg_tag(lines: DataFrame, orders: DataFrame, rules: DataFrame, line_order_co
     pred = model.transform(indexer.transform(pairs)).select(
         "color", "product", F.col("prediction").cast("int").alias("_cls"))
     # one prediction per distinct (color, product) pair of the histogram
-    scored = join_small(lines.select(line_order_col, "color", "product"), pred, ["color", "product"], "inner",
-                        bound_from=hist)
-    votes = gender_votes(scored, orders, line_order_col, order_col, user_of_order, "_cls", user_col)
+    scored = join_small(counts, pred, ["color", "product"], "inner", bound_from=hist)
+    votes = gender_votes(scored, orders, line_order_col, order_col, user_of_order, "_cls", user_col,
+                         weight_col="n")
     return vote_tag(votes, rules, tag_col, user_col)
