@@ -50,3 +50,35 @@ def consume_cycle_tag(orders: DataFrame, id_col: str, ts_col: str, rules: DataFr
     a user beyond the last band gets no tag."""
     days = last_activity(orders, id_col, ts_col, as_of, user_col, "_days")
     return band_tag(days, user_col, "_days", rules, tag_col, user_col)
+
+
+def order_span(orders: DataFrame, id_col: str, ts_col: str, as_of, user_col: str = "userId") -> DataFrame:
+    """``(userId, first, days)`` in one pass over the orders: the first order
+    ever (``first``) and the days from the last order before the clock to the
+    clock (``days``; null when every order is at or after it).  Feeds both
+    the age-band stand-in and the consumption cycle without a second scan."""
+    from tagsmith.functions.dates import clock, event_time
+    ts = event_time(orders, ts_col)
+    cut = F.lit(clock(as_of).isoformat(sep=" ")).cast(orders.schema[ts_col].dataType) \
+        if orders.schema[ts_col].dataType.typeName() in ("timestamp", "timestamp_ntz", "date") \
+        else F.lit(clock(as_of).isoformat(sep=" ")).cast("timestamp")
+    span = orders.groupBy(F.col(id_col).alias(user_col)).agg(
+        F.min(ts).alias("first"), F.max(F.when(ts < cut, ts)).alias("_last"))
+    return span.select(user_col, "first", days_since("_last", as_of).alias("days"))
+
+
+def cycle_and_age_tags(orders: DataFrame, id_col: str, ts_col: str, cycle_rules: DataFrame,
+                       age_rules: DataFrame, as_of, user_col: str = "userId",
+                       cycle_col: str = "consumercycle", age_col: str = "agerange") -> DataFrame:
+    """``(userId, consumercycle, agerange)`` from one ``order_span`` pass:
+    both band lookups are left joins on the same per-user row, so the orders
+    are read and shuffled once.  Users with neither tag are left out."""
+    span = order_span(orders, id_col, ts_col, as_of, user_col).withColumn("_born", compact_date("first"))
+    cyc = range_rules(cycle_rules).select(F.col("name").alias(cycle_col), F.col("start").alias("_cs"),
+                                          F.col("end").alias("_ce"))
+    age = range_rules(age_rules).select(F.col("name").alias(age_col), F.col("start").alias("_as"),
+                                        F.col("end").alias("_ae"))
+    out = range_join(span, "days", cyc, "_cs", "_ce", how="left")
+    out = range_join(out, "_born", age, "_as", "_ae", how="left")
+    return (out.where(F.col(cycle_col).isNotNull() | F.col(age_col).isNotNull())
+            .select(user_col, cycle_col, age_col))

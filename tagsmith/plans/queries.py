@@ -351,17 +351,16 @@ def q_usg_tree_metrics(spark, d):
 def _profile(spark, d, as_of, with_segment=True):
     tags = _tags(spark)
     o = SI.orders(spark, d)
-    results = [
-        ST.pay_type_tag(o.where(F.col("o_orderdate") < F.lit(as_of).cast("timestamp_ntz")),
-                        "o_custkey", "o_orderpriority", attribute_rules(tags, 356)),
-        B.consume_cycle_tag(o, "o_custkey", "o_orderdate", attribute_rules(tags, 347), as_of),
-    ]
+    pay = ST.pay_type_tag(o.where(F.col("o_orderdate") < F.lit(as_of).cast("timestamp_ntz")),
+                          "o_custkey", "o_orderpriority", attribute_rules(tags, 356))
     if with_segment:
-        results.append(match_tag(SI.users(spark, d), "c_custkey", "c_mktsegment",
-                                 attribute_rules(tags, 390), "segment"))
-        results.append(B.age_band_tag(SI.first_order_birthdays(spark, d), "o_custkey", "birthday",
-                                      attribute_rules(tags, 338)))
-    return PR.profile_wide(results)
+        # consumption cycle and first-order age band from one pass over orders
+        dated = B.cycle_and_age_tags(o, "o_custkey", "o_orderdate", attribute_rules(tags, 347),
+                                     attribute_rules(tags, 338), as_of)
+        segment = match_tag(SI.users(spark, d), "c_custkey", "c_mktsegment", attribute_rules(tags, 390), "segment")
+        return PR.profile_wide([pay, dated, segment])
+    cycle = B.consume_cycle_tag(o, "o_custkey", "o_orderdate", attribute_rules(tags, 347), as_of)
+    return PR.profile_wide([pay, cycle])
 
 
 def q_profile_wide(spark, d):

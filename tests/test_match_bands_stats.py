@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.errors import PySparkException
 
 from plan_util import plan_text
@@ -129,3 +130,19 @@ def test_recency_zero_with_a_timestamp_clock(spark, tags):
     from tagsmith.operators.bands import last_activity
     days = {r.userId: r.days for r in last_activity(orders, "m", "t", now).collect()}
     assert days == {1: 0, 2: 11}
+
+
+def test_cycle_and_age_in_one_pass_equal_separate_tags(spark, tags):
+    from tagsmith.operators.bands import cycle_and_age_tags
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    as_of = "2001-08-02"
+    cyc_rules, age_rules = attribute_rules(tags, 347), attribute_rules(tags, 338)
+    both = {r.userId: (r.consumercycle, r.agerange) for r in
+            cycle_and_age_tags(o, "o_custkey", "o_orderdate", cyc_rules, age_rules, as_of).collect()}
+    cyc = {r.userId: r.consumercycle for r in consume_cycle_tag(o, "o_custkey", "o_orderdate", cyc_rules, as_of).collect()}
+    born = o.groupBy("o_custkey").agg(F.min("o_orderdate").alias("b"))
+    age = {r.userId: r.agerange for r in age_band_tag(born, "o_custkey", "b", age_rules).collect()}
+    users = set(cyc) | set(age)
+    assert both == {u: (cyc.get(u), age.get(u)) for u in users}
+    assert plan_text(cycle_and_age_tags(o, "o_custkey", "o_orderdate", cyc_rules, age_rules, as_of)) \
+        .split("\n\n(1)")[0].count("Scan parquet") == 1
