@@ -3,7 +3,7 @@
 from tagsmith.operators.joins import has_at_most, join_small, range_join
 from tagsmith.operators.match import distinct_rules, match_tag, unmatched_values
 from tagsmith.operators.bands import (
-    age_band_tag, band_tag, consume_cycle_tag, last_activity, range_rules,
+    age_band_tag, band_tag, consume_cycle_tag, cycle_and_age_tags, last_activity, order_span, range_rules,
 )
 from tagsmith.operators.stats import favourite_value, pay_type_tag, top_n_per_group, value_counts
 from tagsmith.operators.rfx import (
