@@ -80,20 +80,38 @@ def event_time(df, col: str) -> Column:
         .otherwise(F.try_to_timestamp(text))
 
 
-def before_as_of(df, ts_col: str, as_of):
-    """Rows before the clock (``as_of`` as a date = its midnight, or a
-    timestamp) with ``ts_col`` as a timestamp.  A typed column is compared
-    with a typed literal, so Parquet gets it as a pushed filter; other
-    columns are converted first."""
+def _typed_time(dtype) -> bool:
+    from pyspark.sql import types as T
+    return isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType))
+
+
+def with_event_time(df, ts_col: str):
+    """``df`` with ``ts_col`` as a date / timestamp (converted only when it is
+    text or a number, so typed columns keep their Parquet pushdown)."""
+    if _typed_time(df.schema[ts_col].dataType):
+        return df
+    return df.withColumn(ts_col, event_time(df, ts_col))
+
+
+def is_before_clock(df, ts_col: str, as_of) -> Column:
+    """Condition ``ts_col`` strictly before the clock (``as_of`` as a date =
+    its midnight, or a timestamp); ``ts_col`` must be a date or timestamp
+    (see ``with_event_time``).  Compared with a typed literal."""
     from pyspark.sql import types as T
     t = clock(as_of)
     dtype = df.schema[ts_col].dataType
     col = F.col(ts_col)
     if isinstance(dtype, T.DateType):
         day = F.lit(t.date())
-        return df.where(col < day if t.time() == _dt.time(0) else col <= day)
-    cut = F.lit(t.isoformat(sep=" "))
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return df.where(col < cut.cast(dtype))
-    out = df.withColumn(ts_col, event_time(df, ts_col))
-    return out.where(F.col(ts_col) < cut.cast("timestamp"))
+        return col < day if t.time() == _dt.time(0) else col <= day
+    if not _typed_time(dtype):
+        raise TypeError(f"{ts_col} is {dtype.simpleString()}; convert it with with_event_time first")
+    return col < F.lit(t.isoformat(sep=" ")).cast(dtype)
+
+
+def before_as_of(df, ts_col: str, as_of):
+    """Rows before the clock with ``ts_col`` as a date / timestamp.  A typed
+    column is compared with a typed literal, so Parquet gets it as a pushed
+    filter; other columns are converted first."""
+    out = with_event_time(df, ts_col)
+    return out.where(is_before_clock(out, ts_col, as_of))

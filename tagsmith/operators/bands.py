@@ -57,13 +57,11 @@ def order_span(orders: DataFrame, id_col: str, ts_col: str, as_of, user_col: str
     ever (``first``) and the days from the last order before the clock to the
     clock (``days``; null when every order is at or after it).  Feeds both
     the age-band stand-in and the consumption cycle without a second scan."""
-    from tagsmith.functions.dates import clock, event_time
-    ts = event_time(orders, ts_col)
-    cut = F.lit(clock(as_of).isoformat(sep=" ")).cast(orders.schema[ts_col].dataType) \
-        if orders.schema[ts_col].dataType.typeName() in ("timestamp", "timestamp_ntz", "date") \
-        else F.lit(clock(as_of).isoformat(sep=" ")).cast("timestamp")
-    span = orders.groupBy(F.col(id_col).alias(user_col)).agg(
-        F.min(ts).alias("first"), F.max(F.when(ts < cut, ts)).alias("_last"))
+    from tagsmith.functions.dates import is_before_clock, with_event_time
+    o = with_event_time(orders, ts_col)
+    before = is_before_clock(o, ts_col, as_of)
+    span = o.groupBy(F.col(id_col).alias(user_col)).agg(
+        F.min(ts_col).alias("first"), F.max(F.when(before, F.col(ts_col))).alias("_last"))
     return span.select(user_col, "first", days_since("_last", as_of).alias("days"))
 
 

@@ -33,8 +33,9 @@ def rfm_metrics(orders: DataFrame, id_col: str, order_col: str, amount_col: str,
 def rfe_metrics(logs: DataFrame, id_col: str, url_col: str, ts_col: str, as_of,
                 user_col: str = "userId") -> DataFrame:
     """``(userId, recency, frequency, engagements)``: days since the last
-    visit, visits (page views) and distinct pages (count distinct, planned by
-    Spark as an Expand + two-level aggregate)."""
+    visit, visits (page views) and distinct pages.  The count distinct is
+    planned as a two-level aggregate — by (user, page), then by user — so a
+    user with many visits is spread over its pages before the user shuffle."""
     src = before_as_of(logs, ts_col, as_of)
     agg = src.groupBy(F.col(id_col).alias(user_col)).agg(
         F.max(ts_col).alias("_last"),
