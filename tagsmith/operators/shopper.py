@@ -117,6 +117,9 @@ def fit_gender_tree(hist: DataFrame, params: dict | None = None, evaluate: bool
     params = {**TREE_PARAMS, **(params or {})}
     hist = cut_lineage(assemble(hist.withColumn("n", F.col("n").cast("double")),
                                 ["color", "product"], "raw_features"))
+    # at most |colours| x |products| x 4 rows: read the materialised copy as one
+    # partition (after the checkpoint, so the aggregation above stays parallel)
+    hist = hist.coalesce(1)
     if not hist.where("is_train").limit(1).count():
         raise EmptyTrainingData("no order lines in the training split")
     indexer = VectorIndexer(inputCol="raw_features", outputCol="features",
