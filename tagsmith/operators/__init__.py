@@ -10,13 +10,16 @@ from tagsmith.operators.rfx import (
     lifecycle_tag, rfe_metrics, rfe_scores, rfm_metrics, rfm_scores, score, weighted_score,
 )
 from tagsmith.operators.segment import (
-    cluster_profile, fit_kmeans, nearest_center, rank_centers, score_histogram,
-    segment_by_kmeans, update_centers, wssse,
+    assemble, center_ranks, center_tag_table, cluster_profile, fit_kmeans, nearest_center, rank_centers,
+    score_histogram, segment_by_kmeans, update_centers, wssse,
 )
 from tagsmith.operators.shopper import (
-    encode_dims, gender_votes, seed_labels, train_gender_tree, usg_tag, vote_tag,
+    encode_dims, fit_gender_tree, gender_votes, recent_orders, seed_labels, train_gender_tree,
+    tree_holdout_metrics, usg_tag, vote_class, vote_tag,
 )
 from tagsmith.operators.evaluate import (
-    classification_metrics, hash_split, l2_normalize, label_index, minmax_scale, train_classifier,
+    classification_metrics, classify, confusion_metrics, evaluate_predictions, hash_split, l2_normalize,
+    label_index, minmax_scale, prepare_features, train_classifier, tune_classifier,
 )
+from tagsmith.operators.lineage import cut_lineage
 from tagsmith.operators.profile import profile_upsert, profile_wide
