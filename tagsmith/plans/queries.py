@@ -363,6 +363,20 @@ def _profile(spark, d, as_of, with_segment=True):
     return PR.profile_wide([pay, cycle])
 
 
+def q_profile_full(spark, d):
+    """Every tag pipeline on the stand-ins, merged into one row per user:
+    segment, nationality, consumption cycle and age band, payment, RFM and
+    RFE segments, lifecycle and shopping gender (rows only: it includes the
+    KMeans segments)."""
+    tags = _tags(spark)
+    dated = B.cycle_and_age_tags(SI.orders(spark, d), "o_custkey", "o_orderdate", attribute_rules(tags, 347),
+                                 attribute_rules(tags, 338), OAS)
+    return PR.profile_wide([
+        q_match_inner(spark, d), q_match_left(spark, d), dated, q_pay_type(spark, d),
+        q_rfm_segments(spark, d), q_rfe_segments(spark, d), q_rfe_lifecycle(spark, d), q_usg_tree(spark, d),
+    ])
+
+
 def q_profile_wide(spark, d):
     return _profile(spark, d, OAS)
 
@@ -416,5 +430,6 @@ QUERIES: dict[str, Query] = {
     "logreg_metrics": q_logreg_metrics,
     "usg_tree_metrics": q_usg_tree_metrics,
     "profile_wide": q_profile_wide,
+    "profile_full": q_profile_full,
     "profile_upsert": q_profile_upsert,
 }

@@ -11,7 +11,8 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from plan_util import plan_text
 
-ROWS_ONLY = {"rfm_segments", "rfe_segments", "logreg_classify", "logreg_metrics", "usg_tree_metrics"}
+ROWS_ONLY = {"rfm_segments", "rfe_segments", "logreg_classify", "logreg_metrics", "usg_tree_metrics",
+             "profile_full"}
 TRAINED = ROWS_ONLY | {"usg_tree"}  # plans of these run training jobs while being built
 
 
