@@ -1,7 +1,7 @@
 """Tagging operators: DataFrame -> DataFrame functions."""
 
 from tagsmith.operators.joins import has_at_most, join_small, range_join
-from tagsmith.operators.match import distinct_rules, match_tag, unmatched_values
+from tagsmith.operators.match import distinct_rules, match_tag, match_tags, unmatched_values
 from tagsmith.operators.bands import (
     age_band_tag, band_tag, consume_cycle_tag, cycle_and_age_tags, last_activity, order_span, range_rules,
 )

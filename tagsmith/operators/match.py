@@ -53,3 +53,27 @@ def unmatched_values(df: DataFrame, field: str, rules: DataFrame) -> DataFrame:
     base = df.select(F.col(field).cast("string").alias("value"))
     missing = join_small(base, r, base["value"] == r["_rule"], "left_anti", bound_from=rules)
     return missing.groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def match_tags(df: DataFrame, id_col: str, specs, user_col: str = "userId") -> DataFrame:
+    """Several match tags over the same table in one pass.
+
+    ``specs`` is a list of ``(field, rules, tag_col)``.  Each is a left join
+    against its (checked, broadcast) rules, so the table is scanned once and
+    never shuffled; a value no rule covers leaves that tag null, and rows
+    with no tag at all are left out — the same cells ``match_tag`` with
+    ``on_miss="drop"`` would give each tag separately."""
+    import functools
+    import operator
+
+    specs = list(specs)
+    if not specs:
+        raise ValueError("no match tags given")
+    out = df.select(F.col(id_col).alias(user_col),
+                    *[F.col(field).cast("string").alias(f"_v{i}") for i, (field, _, _) in enumerate(specs)])
+    for i, (_, rules, tag_col) in enumerate(specs):
+        r = distinct_rules(rules).select(F.col("rule").alias(f"_r{i}"), F.col("name").alias(tag_col))
+        out = join_small(out, r, out[f"_v{i}"] == r[f"_r{i}"], "left", bound_from=rules).drop(f"_r{i}")
+    tag_cols = [t for _, _, t in specs]
+    any_tag = functools.reduce(operator.or_, [F.col(t).isNotNull() for t in tag_cols])
+    return out.where(any_tag).select(user_col, *tag_cols)

@@ -21,7 +21,7 @@ from tagsmith.operators import rfx as X
 from tagsmith.operators import segment as S
 from tagsmith.operators import shopper as U
 from tagsmith.operators import stats as ST
-from tagsmith.operators.match import match_tag, unmatched_values
+from tagsmith.operators.match import match_tag, match_tags, unmatched_values
 from tagsmith.plans import standins as SI
 from tagsmith.plans.catalog import attribute_rules, catalog, tag_lookup
 from tagsmith.plans.run import run_tag
@@ -369,10 +369,14 @@ def q_profile_full(spark, d):
     RFE segments, lifecycle and shopping gender (rows only: it includes the
     KMeans segments)."""
     tags = _tags(spark)
+    # the match tags on the users table in one scan, the date tags in one orders pass
+    matched = match_tags(SI.users(spark, d), "c_custkey",
+                         [("c_mktsegment", attribute_rules(tags, 390), "segment"),
+                          ("c_nationkey", attribute_rules(tags, 332), "nationality")])
     dated = B.cycle_and_age_tags(SI.orders(spark, d), "o_custkey", "o_orderdate", attribute_rules(tags, 347),
                                  attribute_rules(tags, 338), OAS)
     return PR.profile_wide([
-        q_match_inner(spark, d), q_match_left(spark, d), dated, q_pay_type(spark, d),
+        matched, dated, q_pay_type(spark, d),
         q_rfm_segments(spark, d), q_rfe_segments(spark, d), q_rfe_lifecycle(spark, d), q_usg_tree(spark, d),
     ])
 

@@ -146,3 +146,19 @@ def test_cycle_and_age_in_one_pass_equal_separate_tags(spark, tags):
     assert both == {u: (cyc.get(u), age.get(u)) for u in users}
     assert plan_text(cycle_and_age_tags(o, "o_custkey", "o_orderdate", cyc_rules, age_rules, as_of)) \
         .split("\n\n(1)")[0].count("Scan parquet") == 1
+
+
+def test_match_tags_one_pass_equals_separate(spark, tags):
+    from tagsmith.operators.match import match_tags
+    users = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    seg_rules, nat_rules = attribute_rules(tags, 390), attribute_rules(tags, 332)
+    both = {r.userId: (r.segment, r.nationality) for r in match_tags(
+        users, "c_custkey", [("c_mktsegment", seg_rules, "segment"), ("c_nationkey", nat_rules, "nationality")]
+    ).collect()}
+    seg = {r.userId: r.segment for r in match_tag(users, "c_custkey", "c_mktsegment", seg_rules, "segment").collect()}
+    nat = {r.userId: r.nationality for r in
+           match_tag(users, "c_custkey", "c_nationkey", nat_rules, "nationality").collect()}
+    assert both == {u: (seg.get(u), nat.get(u)) for u in set(seg) | set(nat)}
+    tree = plan_text(match_tags(users, "c_custkey", [("c_mktsegment", seg_rules, "segment"),
+                                                     ("c_nationkey", nat_rules, "nationality")])).split("\n\n(1)")[0]
+    assert tree.count("Scan parquet") == 1 and tree.count("BroadcastHashJoin") == 2
