@@ -165,6 +165,11 @@ WHERE o_orderstatus <> 'P' AND o_orderdate >= {YESTERDAY} - INTERVAL 180 DAY AND
     q["match_inner"] = _segment()
     q["match_left"] = (f"SELECT c.c_custkey AS userId, t.name AS nationality FROM customer c "
                        f"LEFT JOIN {_rules(332)} t ON CAST(c.c_nationkey AS VARCHAR) = t.rule")
+    q["match_multi"] = f"""
+SELECT c.c_custkey AS userId, s.name AS segment, n.name AS nationality FROM customer c
+LEFT JOIN {_rules(390)} s ON c.c_mktsegment = s.rule
+LEFT JOIN {_rules(332)} n ON CAST(c.c_nationkey AS VARCHAR) = n.rule
+WHERE s.name IS NOT NULL OR n.name IS NOT NULL"""
     q["unmatched_values"] = f"""
 SELECT CAST(c_nationkey AS VARCHAR) AS value, count(*) AS "rows" FROM customer c
 WHERE NOT EXISTS (SELECT 1 FROM {_rules(332)} t WHERE t.rule = CAST(c.c_nationkey AS VARCHAR))

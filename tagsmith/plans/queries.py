@@ -89,6 +89,14 @@ def q_match_left(spark, d):
                                                 on_miss="null"))
 
 
+def q_match_multi(spark, d):
+    """Segment and nationality tags in one pass over the users table."""
+    tags = _tags(spark)
+    return match_tags(SI.users(spark, d), "c_custkey",
+                      [("c_mktsegment", attribute_rules(tags, 390), "segment"),
+                       ("c_nationkey", attribute_rules(tags, 332), "nationality")])
+
+
 def q_unmatched_values(spark, d):
     return unmatched_values(SI.users(spark, d), "c_nationkey", attribute_rules(_tags(spark), 332))
 
@@ -397,6 +405,7 @@ QUERIES: dict[str, Query] = {
     "business_scan": q_business_scan,
     "match_inner": q_match_inner,
     "match_left": q_match_left,
+    "match_multi": q_match_multi,
     "unmatched_values": q_unmatched_values,
     "age_band": q_age_band,
     "consume_cycle": q_consume_cycle,
