@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tagsmith.operators.joins import join_small
 from tagsmith.operators.lineage import cut_lineage
+from tagsmith.sources.literal import local_frame
 from tagsmith.sources.store import load_or_train
 
 # fixed values: the reference's KMeans trials (maxIter 5, 10, 20) and seed 31
@@ -82,7 +83,6 @@ def center_ranks(centers) -> list[tuple[int, int]]:
 def center_tag_table(spark: SparkSession, centers, rules: DataFrame) -> DataFrame:
     """``(prediction, tag)``: the rank of each centre matched to the level-5
     rule with that index (rule ``"0"`` = rank 0)."""
-    from tagsmith.plans.local import local_frame
     ranks = local_frame(spark, center_ranks(centers), "prediction int, rank int")
     r = rules.select(F.col("rule").alias("_rule"), F.col("name").alias("tag"))
     return join_small(ranks, r, F.col("rank").cast("string") == F.col("_rule"), "left") \
@@ -113,7 +113,6 @@ def segment_by_kmeans(scores: DataFrame, score_cols: list[str], rules: DataFrame
     if distinct <= k:
         # Each distinct vector is its own cluster (zero cost), which is what
         # KMeans returns when there are no more distinct points than k.
-        from tagsmith.plans.local import local_frame
         centers = sorted(tuple(float(r[c]) for c in score_cols) for r in hist.select(*score_cols).collect())
         points = local_frame(spark, [(*c, i) for i, c in enumerate(centers)],
                              ", ".join(f"{c} double" for c in score_cols) + ", prediction int")

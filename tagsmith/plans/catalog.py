@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagsmith.plans.local import local_frame
+from tagsmith.sources.literal import local_frame
 
 CATALOG_SCHEMA = "id long, name string, rule string, level int, pid long"
 

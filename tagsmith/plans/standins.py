@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagsmith.plans.local import local_frame
+from tagsmith.sources.literal import local_frame
 from tagsmith.operators.shopper import encode_dims, seed_labels
 from tagsmith.sources.tables import load_table
 

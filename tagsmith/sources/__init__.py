@@ -5,6 +5,7 @@ from tagsmith.sources.business import (
     business_scan, condition_filter, parse_condition, rolling_window, rolling_windows, scan_options,
 )
 from tagsmith.sources.files import read_csv
+from tagsmith.sources.literal import local_frame
 from tagsmith.sources.catalog_source import read_catalog, read_dimension
 from tagsmith.sources.store import (
     load_or_train, read_profile, write_profile,
@@ -13,5 +14,5 @@ from tagsmith.sources.store import (
 __all__ = [
     "load_table", "business_scan", "condition_filter", "parse_condition",
     "rolling_window", "rolling_windows", "scan_options", "read_csv", "read_catalog", "read_dimension", "load_or_train",
-    "read_profile", "write_profile",
+    "read_profile", "write_profile", "local_frame",
 ]
