@@ -39,3 +39,13 @@ def run_and_save(spark: SparkSession, tags: DataFrame, tag_id: int, base_dir: st
     result = run_tag(spark, tags, tag_id, base_dir, tagger, as_of)
     merged = profile_upsert(read_profile(spark, profile_base, previous), result, key) if previous else result
     return write_profile(merged, profile_base, version, key, buckets)
+
+
+def upsert_profile_table(new: DataFrame, old_table: str, new_table: str, path: str,
+                         key: str = "userId", buckets: int = 64) -> str:
+    """Cell-level upsert of ``new`` into the bucketed ``old_table``, saved as
+    the bucketed ``new_table`` (the next run's old profile)."""
+    from tagsmith.operators.profile import profile_upsert
+    from tagsmith.sources.store import write_profile_table
+    merged = profile_upsert(new.sparkSession.table(old_table), new, key)
+    return write_profile_table(merged, new_table, path, key, buckets)

@@ -80,12 +80,3 @@ def attach_profile_table(spark: SparkSession, table: str, path: str, ddl_columns
                   f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {int(buckets)} BUCKETS "
                   f"LOCATION '{path}'")
     return spark.table(table)
-
-
-def upsert_profile_table(new: DataFrame, old_table: str, new_table: str, path: str,
-                         key: str = "userId", buckets: int = 64) -> str:
-    """Cell-level upsert of ``new`` into the bucketed ``old_table``, saved as
-    the bucketed ``new_table`` (the next run's old profile)."""
-    from tagsmith.operators.profile import profile_upsert
-    merged = profile_upsert(new.sparkSession.table(old_table), new, key)
-    return write_profile_table(merged, new_table, path, key, buckets)

@@ -90,7 +90,8 @@ def test_half_written_version_is_rewritten(spark):
 def test_bucketed_profile_upsert_shuffles_only_new_side(spark):
     from plan_util import exchange_children, plan_text
     from tagsmith.operators.profile import profile_upsert
-    from tagsmith.sources.store import attach_profile_table, upsert_profile_table, write_profile_table
+    from tagsmith.plans.run import upsert_profile_table
+    from tagsmith.sources.store import attach_profile_table, write_profile_table
     d = _scratch()
     old = spark.range(0, 2000).selectExpr("id AS userId", "CAST(id % 7 AS STRING) AS a", "CAST(id % 5 AS STRING) AS b")
     write_profile_table(old, "tp_v1", f"{d}/v1", buckets=8)
@@ -119,7 +120,7 @@ def test_readme_usage_flow(spark):
     from tagsmith.plans.catalog import ALL_TAGS
     from tagsmith.plans.run import run_tag
     from tagsmith.sources import load_table
-    from tagsmith.sources.store import upsert_profile_table
+    from tagsmith.plans.run import upsert_profile_table
     d = _scratch()
     users = spark.createDataFrame([(str(i), str(1 + i % 3)) for i in range(60)], "id string, gender string")
     users.write.parquet(f"{d}/users")
