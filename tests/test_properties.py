@@ -119,3 +119,31 @@ def test_lifecycle_matches_brute_force(spark, visits, clock_minutes):
             cls = "lost"
         expect[u] = cls
     assert got == expect
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 5)), max_size=50), n=st.integers(1, 4))
+def test_top_n_matches_brute_force(spark, rows, n):
+    from pyspark.sql import functions as F
+    from tagsmith.operators.stats import top_n_per_group
+    data = [(g, v, k) for k, (g, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "g long, v long, k long")
+    got = sorted((r.g, r.k, r.rk) for r in
+                 top_n_per_group(df, ["g"], [F.col("v").desc(), F.col("k")], n, rank_col="rk").collect())
+    expect = []
+    for g in {g for g, _, _ in data}:
+        ordered = sorted((r for r in data if r[0] == g), key=lambda r: (-r[1], r[2]))[:n]
+        expect += [(g, k, i + 1) for i, (_, _, k) in enumerate(ordered)]
+    assert got == sorted(expect)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.sampled_from("abc")), st.sampled_from(["x", "y"])),
+                     max_size=40))
+def test_value_counts_matches_counter(spark, rows):
+    from tagsmith.operators.stats import value_counts
+    df = spark.createDataFrame(rows, "c1 string, c2 string")
+    got = {(r.column, r.value, r["count"]) for r in value_counts(df, ["c1", "c2"]).collect()}
+    expect = {("c1", v, n) for v, n in Counter(a for a, _ in rows).items()} | \
+             {("c2", v, n) for v, n in Counter(b for _, b in rows).items()}
+    assert got == expect
