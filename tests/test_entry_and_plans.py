@@ -45,3 +45,18 @@ def test_oracles_match_at_smallest_scale():
     fails = [ln for ln in lines if ln.startswith("FAIL")]
     assert not fails, "\n".join(fails)
     assert len(lines) == len(E.queries())
+
+
+def test_library_runs_no_python_on_executors():
+    """No UDF, pandas function or RDD lambda anywhere in the library."""
+    import re
+    root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tagsmith")
+    pattern = re.compile(r"createDataFrame|\.rdd\b|mapInPandas|applyInPandas|pandas_udf|F\.udf\(|"
+                         r"foreachPartition|mapPartitions")
+    hits = []
+    for dirpath, _, files in os.walk(root):
+        for f in files:
+            if f.endswith(".py"):
+                text = open(os.path.join(dirpath, f)).read()
+                hits += [f"{f}: {m.group(0)}" for m in pattern.finditer(text)]
+    assert not hits, hits
