@@ -148,3 +148,11 @@ def test_readme_usage_flow(spark):
     p = spark.table("readme_profile_1")
     assert p.count() == 60 and set(p.columns) == {"userId", "note", "gender", "payment", "rfm"}
     assert p.where("userId = '0'").first().note == "old"
+
+
+def test_jdbc_catalog_lookup_is_pushed_as_a_query():
+    from tagsmith.sources.catalog_source import jdbc_catalog_options
+    opts = jdbc_catalog_options({"url": "jdbc:x", "dbtable": "tag_catalogue"}, 356)
+    assert "dbtable" not in opts and opts["url"] == "jdbc:x"
+    assert opts["query"] == "SELECT id, name, rule, level, pid FROM tag_catalogue WHERE id = 356 OR pid = 356"
+    assert jdbc_catalog_options({"dbtable": "t"}, None) == {"dbtable": "t"}
