@@ -185,6 +185,17 @@ c AS (SELECT payment AS k, count(*) AS users FROM p GROUP BY payment
       UNION ALL SELECT '#all', count(*) FROM p)
 SELECT DISTINCT CAST(t.id AS BIGINT) AS id, t.name, t.rule, t.level, COALESCE(c.users, 0) AS users
 FROM {cat} LEFT JOIN c ON c.k = CASE WHEN t.level = 4 THEN '#all' ELSE t.name END"""
+    business = [(i, rule) for (i, _n, rule, lvl, _p) in ALL_TAGS if lvl == 4 and rule]
+    kv = values_sql([(i, rule) for i, rule in business], ["id", "rule"])
+    counts = " UNION ALL ".join(
+        f"SELECT CAST({i} AS BIGINT) AS id, count(*) AS \"rows\" FROM "
+        + next(line.split("=", 1)[1] for line in rule.split("\n") if line.startswith("table="))
+        for i, rule in business)
+    q["rule_options"] = f"""
+WITH lines AS (SELECT CAST(id AS BIGINT) AS id, unnest(string_split(rule, chr(10))) AS line FROM {kv})
+SELECT l.id, split_part(l.line, '=', 1) AS "key", substr(l.line, strpos(l.line, '=') + 1) AS value, c."rows"
+FROM lines l JOIN ({counts}) c ON c.id = l.id
+WHERE l.line <> ''"""
     q["range_rules"] = f"""
 SELECT r.name, r.s AS start, r.e AS "end", COALESCE(c.users, 0) AS users
 FROM {_ranges(347)} r LEFT JOIN (SELECT consumercycle, count(*) AS users FROM ({_consume_cycle(OAS)})

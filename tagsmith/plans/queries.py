@@ -147,6 +147,22 @@ def q_range_rules(spark, d):
         "name", "start", "end", F.coalesce(F.col("users"), F.lit(0)).alias("users"))
 
 
+def q_rule_options(spark, d):
+    """Every business tag's rule parsed into (key, value) rows, with the
+    number of rows its source holds.  The rules are parsed in the JVM
+    (``str_to_map``); the business tags are a handful of catalogue rows, and
+    each source is counted by one scan (all in one job)."""
+    from functools import reduce
+    from tagsmith.functions.rules import rule_options
+    tags = _tags(spark)
+    business = tags.where((F.col("level") == 4) & F.col("rule").isNotNull())
+    pairs = business.select("id", F.explode(rule_options("rule")).alias("key", "value"))
+    counts = [business_scan(spark, scan_options(r.rule), d).agg(F.count(F.lit(1)).alias("rows"))
+              .select(F.lit(r.id).cast("long").alias("id"), "rows")
+              for r in business.select("id", "rule").collect()]
+    return pairs.join(reduce(lambda a, b: a.unionByName(b), counts), "id")
+
+
 def q_top_n_per_group(spark, d):
     o = load_table(spark, d, "orders", ["o_custkey", "o_orderkey", "o_totalprice"])
     top = ST.top_n_per_group(o, ["o_custkey"], [F.col("o_totalprice").desc(), F.col("o_orderkey")], 3,
@@ -411,6 +427,7 @@ QUERIES: dict[str, Query] = {
     "consume_cycle": q_consume_cycle,
     "pay_type": q_pay_type,
     "tag_lookup": q_tag_lookup,
+    "rule_options": q_rule_options,
     "range_rules": q_range_rules,
     "top_n_per_group": q_top_n_per_group,
     "value_counts": q_value_counts,
