@@ -43,17 +43,20 @@ def score_histogram(scores: DataFrame, cols: list[str], weight_col: str = "n") -
 
 
 def fit_kmeans(hist: DataFrame, cols: list[str], k: int, max_iters=MAX_ITERS, seed: int = SEED,
-               weight_col: str | None = "n", parallelism: int | None = None, small: bool = False
-               ) -> tuple[KMeansModel, list[tuple[float, int]]]:
+               weight_col: str | None = "n", parallelism: int | None = None, small: bool = False,
+               materialize: bool = True) -> tuple[KMeansModel, list[tuple[float, int]]]:
     """Fit one model per ``maxIter`` and keep the lowest training cost
     (WSSSE; ties keep the earlier trial).  The trials are independent, so
     they are submitted as concurrent Spark jobs (like ``CrossValidator``'s
     ``parallelism``).  ``small=True`` (a bounded histogram) reads the
     materialised training set as one partition, so each iteration is one
-    task.  Returns ``(best_model, [(cost, maxIter), ...])``."""
+    task.  ``materialize=False`` when ``hist`` is already checkpointed.
+    Returns ``(best_model, [(cost, maxIter), ...])``."""
     from concurrent.futures import ThreadPoolExecutor
 
-    data = cut_lineage(assemble(hist, cols))
+    data = assemble(hist, cols)
+    if materialize:
+        data = cut_lineage(data)
     if small:
         data = data.coalesce(1)  # after the checkpoint: only the read is merged
 
@@ -138,8 +141,8 @@ def segment_by_kmeans(scores: DataFrame, score_cols: list[str], rules: DataFrame
             return df
 
     def train():
-        if weighted:  # <= 5 ** len(score_cols) rows: one partition
-            return fit_kmeans(scaled(hist), feat_cols, k, max_iters, seed, small=True)[0]
+        if weighted:  # <= 5 ** len(score_cols) rows, already checkpointed: one partition
+            return fit_kmeans(scaled(hist), feat_cols, k, max_iters, seed, small=True, materialize=False)[0]
         return fit_kmeans(scaled(scores.select(*score_cols)), feat_cols, k, max_iters, seed, weight_col=None)[0]
 
     model = load_or_train(model_path, KMeansModel, train) if model_path else train()
