@@ -59,6 +59,9 @@ def condition_filter(df: DataFrame, conditions, keep_missing: bool = False) -> D
     comma separated string; each value is cast to its column's type so the
     comparison is pushed to the Parquet reader unchanged.
 
+    Comparisons follow the column type: typed columns compare by value,
+    text columns compare as text (byte order, like the wide-column store's
+    filters), so cast numeric text first if a numeric order is meant.
     A null field fails a comparison (SQL semantics).  ``keep_missing=True``
     lets rows with a null field pass that condition instead, as a wide-column
     store's single-column filter does for rows without the column."""
