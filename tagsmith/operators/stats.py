@@ -8,18 +8,38 @@ from pyspark.sql import functions as F
 from tagsmith.operators.match import match_tag
 
 
+# Spark limits each group to n rows before the shuffle (WindowGroupLimit) up to
+# this n (spark.sql.optimizer.windowGroupLimitThreshold's default); above it
+# the rows of a group are spread over salt buckets first.
+WINDOW_GROUP_LIMIT = 1000
+SALT_BUCKETS = 64
+
+
 def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int,
-                    rank_col: str | None = None) -> DataFrame:
+                    rank_col: str | None = None, salt_buckets: int | None = None) -> DataFrame:
     """Rows ranked ``1..n`` in each group by ``order`` (make it total to get
-    a deterministic answer).  ``row_number() <= n`` lets Spark insert a
-    WindowGroupLimit that keeps only ``n`` rows per group before the shuffle,
-    so a hot group does not travel whole to one task (Spark does this for
-    ``n`` up to ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 by
-    default)."""
+    a deterministic answer).
+
+    ``row_number() <= n`` lets Spark insert a WindowGroupLimit that keeps
+    only ``n`` rows per group before the shuffle, so a hot group does not
+    travel whole to one task.  For ``n`` above Spark's limit threshold (or
+    when ``salt_buckets`` is given) the group is first split into salt
+    buckets: the top ``n`` of each (group, bucket) is kept, and the final
+    ranking sees at most ``buckets * n`` rows per group — exact, because the
+    group's top ``n`` is always among the buckets' top ``n``.  Buckets come
+    from a hash of the whole row, so a retried task salts the same way."""
     if n < 1:
         raise ValueError("n must be >= 1")
+    if salt_buckets is None and n > WINDOW_GROUP_LIMIT:
+        salt_buckets = SALT_BUCKETS
+    src = df
+    if salt_buckets:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(int(salt_buckets)))
+        src = (df.withColumn("_salt", salt)
+               .withColumn("_rs", F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*order)))
+               .where(F.col("_rs") <= n).drop("_rs", "_salt"))
     w = Window.partitionBy(*keys).orderBy(*order)
-    ranked = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
+    ranked = src.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
     return ranked.withColumnRenamed("_rn", rank_col) if rank_col else ranked.drop("_rn")
 
 

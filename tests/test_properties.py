@@ -147,3 +147,16 @@ def test_value_counts_matches_counter(spark, rows):
     expect = {("c1", v, n) for v, n in Counter(a for a, _ in rows).items()} | \
              {("c2", v, n) for v, n in Counter(b for _, b in rows).items()}
     assert got == expect
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 5)), max_size=60), n=st.integers(1, 4),
+       buckets=st.integers(2, 5))
+def test_salted_top_n_equals_plain(spark, rows, n, buckets):
+    from pyspark.sql import functions as F
+    from tagsmith.operators.stats import top_n_per_group
+    df = spark.createDataFrame([(g, v, k) for k, (g, v) in enumerate(rows)], "g long, v long, k long")
+    order = [F.col("v").desc(), F.col("k")]
+    plain = sorted(top_n_per_group(df, ["g"], order, n, rank_col="rk").collect())
+    salted = sorted(top_n_per_group(df, ["g"], order, n, rank_col="rk", salt_buckets=buckets).collect())
+    assert plain == salted
