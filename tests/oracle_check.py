@@ -2,7 +2,9 @@
 correctness gate, reproduced locally): row count, column names/types, and an
 order-insensitive hash of the values.
 
-    python tests/oracle_check.py [sf_dir] [name ...]
+    python tests/oracle_check.py [sf_dir] [name ...] [--plain] [--pandas] [--round]
+
+Floats are compared exactly unless ``--round`` is given.
 """
 
 from __future__ import annotations
@@ -26,13 +28,16 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+ROUND_FLOATS = "--round" in sys.argv  # default: floats must match bit for bit
+
+
 def norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return round(v, 6) if ROUND_FLOATS else repr(v)
     if isinstance(v, decimal.Decimal):
         return str(v.normalize()) if v == v else "nan"
     if isinstance(v, (dt.datetime, dt.date)):
