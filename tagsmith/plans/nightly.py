@@ -19,6 +19,7 @@ from tagsmith.operators import rfx as X
 from tagsmith.operators import segment as S
 from tagsmith.operators import shopper as U
 from tagsmith.operators import stats as ST
+from tagsmith.operators.lineage import cut_lineage
 from tagsmith.operators.match import match_tags
 from tagsmith.operators.profile import profile_wide
 from tagsmith.plans.catalog import attribute_rules
@@ -49,8 +50,9 @@ def nightly_profile(tags: DataFrame, users: DataFrame, orders: DataFrame, logs:
                     colors: DataFrame | None, products: DataFrame | None, as_of, female_colors=(), female_products=(),
                     fields: Fields = Fields(), rfm_bands=None, rfe_bands=None) -> DataFrame:
     """One row per user with every standard tag: the match tags, age band,
-    consumption cycle, payment, customer value (RFM), activity (RFE) and
-    shopping gender.  Inputs that are ``None`` skip their tags."""
+    consumption cycle, payment, customer value (RFM), activity (RFE),
+    lifecycle and shopping gender.  Inputs that are ``None`` skip their
+    tags."""
     f = fields
     rules = lambda tag_id: attribute_rules(tags, tag_id)
     results = []
@@ -59,13 +61,17 @@ def nightly_profile(tags: DataFrame, users: DataFrame, orders: DataFrame, logs:
         results.append(match_tags(users, f.user_id, present))
     if f.birthday in users.columns:
         results.append(B.age_band_tag(users, f.user_id, f.birthday, rules(338)))
-    results.append(B.consume_cycle_tag(orders, f.member_id, f.finish_time, rules(347), as_of))
+    # one aggregation of the orders per user feeds both the RFM segments and
+    # the consumption cycle (its recency is the cycle's day count)
+    metrics = cut_lineage(X.rfm_metrics(orders, f.member_id, f.order_sn, f.amount, f.finish_time, as_of))
+    results.append(B.band_tag(metrics, "userId", "recency", rules(347), "consumercycle"))
     results.append(ST.pay_type_tag(orders, f.member_id, f.payment, rules(356)))
-    rfm = X.rfm_scores(X.rfm_metrics(orders, f.member_id, f.order_sn, f.amount, f.finish_time, as_of), rfm_bands)
+    rfm = X.rfm_scores(metrics, rfm_bands)
     results.append(S.segment_by_kmeans(rfm, ["r_score", "f_score", "m_score"], rules(361), "rfm"))
     if logs is not None:
         rfe = X.rfe_scores(X.rfe_metrics(logs, f.log_user, f.log_url, f.log_time, as_of), rfe_bands)
         results.append(S.segment_by_kmeans(rfe, ["r_score", "f_score", "e_score"], rules(367), "rfe"))
+        results.append(X.lifecycle_tag(logs, f.log_user, f.log_url, f.log_time, as_of))
     if goods is not None and colors is not None and products is not None:
         lines = U.seed_labels(U.encode_dims(goods, colors, products, f.color, f.product),
                               female_colors, female_products, f.color, f.product)

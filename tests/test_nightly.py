@@ -44,10 +44,17 @@ def test_nightly_profile_on_reference_format(spark):
     rows = profile.collect()
     assert len(rows) == 40 and len({r.userId for r in rows}) == 40
     assert set(profile.columns) == {"userId", "gender", "job", "political", "nationality", "agerange",
-                                    "consumercycle", "payment", "rfm", "rfe", "usg"}
+                                    "consumercycle", "payment", "rfm", "rfe", "lifecycle", "usg"}
     by = {r.userId: r for r in rows}
     assert by["0"].gender == "male" and by["1"].gender == "female"          # codes: 1 = male, 2 = female
     assert {r.payment for r in rows} <= {"alipay", "wxpay", "chinapay", "cod"}
     names = {n for (_i, n, _r, lvl, p) in ALL_TAGS if lvl == 5 and p in (361, 367, 380)}
     assert {r.rfm for r in rows} | {r.rfe for r in rows} | {r.usg for r in rows} <= names
     assert all(r.rfm for r in rows) and all(r.usg for r in rows)
+    assert {r.lifecycle for r in rows} <= {"loyal", "new", "returning", "active", "inactive", "lost"}
+    # the cycle from the shared RFM pass equals the stand-alone operator
+    from tagsmith.operators.bands import consume_cycle_tag
+    from tagsmith.plans.catalog import attribute_rules
+    alone = {r.userId: r.consumercycle for r in
+             consume_cycle_tag(orders, "memberid", "finishtime", attribute_rules(tags, 347), "2024-06-01").collect()}
+    assert {u: by[u].consumercycle for u in by if by[u].consumercycle} == alone
