@@ -41,6 +41,10 @@ def test_nightly_profile_on_reference_format(spark):
 
     profile = nightly_profile(tags, users, orders, logs, goods, colors, products, "2024-06-01",
                               female_colors=["pink", "white"], female_products=["blender", "steamer"])
+    from plan_util import plan_text
+    plan = plan_text(profile)
+    for bad in ("CartesianProduct", "PythonUDF", "ArrowEvalPython", "BatchEvalPython"):
+        assert bad not in plan
     rows = profile.collect()
     assert len(rows) == 40 and len({r.userId for r in rows}) == 40
     assert set(profile.columns) == {"userId", "gender", "job", "political", "nationality", "agerange",
