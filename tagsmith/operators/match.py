@@ -55,25 +55,35 @@ def unmatched_values(df: DataFrame, field: str, rules: DataFrame) -> DataFrame:
     return missing.groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def match_tags(df: DataFrame, id_col: str, specs, user_col: str = "userId") -> DataFrame:
-    """Several match tags over the same table in one pass.
-
-    ``specs`` is a list of ``(field, rules, tag_col)``.  Each is a left join
-    against its (checked, broadcast) rules, so the table is scanned once and
-    never shuffled; a value no rule covers leaves that tag null, and rows
-    with no tag at all are left out — the same cells ``match_tag`` with
-    ``on_miss="drop"`` would give each tag separately."""
+def match_tags(df: DataFrame, id_col: str, specs, user_col: str = "userId", bands=()) -> DataFrame:
+    """Several match (and band) tags over the same table in one pass.
+
+    ``specs`` is a list of ``(field, rules, tag_col)``; each is a left join
+    against its (checked, broadcast) rules.  ``bands`` is a list of
+    ``(value, rules, tag_col)`` with ``value`` a column name or expression
+    (e.g. a birthday as ``yyyyMMdd``) matched against ``lo-hi`` rules by a left
+    range join.  The table is scanned once and never shuffled; a value no
+    rule covers leaves that tag null, and rows with no tag at all are left
+    out — the same cells each tag's own operator gives."""
     import functools
     import operator
 
-    specs = list(specs)
-    if not specs:
-        raise ValueError("no match tags given")
+    from tagsmith.operators.bands import range_rules
+    from tagsmith.operators.joins import range_join
+
+    specs, bands = list(specs), list(bands)
+    if not specs and not bands:
+        raise ValueError("no tags given")
     out = df.select(F.col(id_col).alias(user_col),
-                    *[F.col(field).cast("string").alias(f"_v{i}") for i, (field, _, _) in enumerate(specs)])
+                    *[F.col(field).cast("string").alias(f"_v{i}") for i, (field, _, _) in enumerate(specs)],
+                    *[(F.col(v) if isinstance(v, str) else v).alias(f"_b{j}") for j, (v, _, _) in enumerate(bands)])
     for i, (_, rules, tag_col) in enumerate(specs):
         r = distinct_rules(rules).select(F.col("rule").alias(f"_r{i}"), F.col("name").alias(tag_col))
         out = join_small(out, r, out[f"_v{i}"] == r[f"_r{i}"], "left", bound_from=rules).drop(f"_r{i}")
-    tag_cols = [t for _, _, t in specs]
+    for j, (_, rules, tag_col) in enumerate(bands):
+        rr = range_rules(rules).select(F.col("name").alias(tag_col), F.col("start").alias(f"_s{j}"),
+                                       F.col("end").alias(f"_e{j}"))
+        out = range_join(out, f"_b{j}", rr, f"_s{j}", f"_e{j}", how="left")
+    tag_cols = [t for _, _, t in specs] + [t for _, _, t in bands]
     any_tag = functools.reduce(operator.or_, [F.col(t).isNotNull() for t in tag_cols])
     return out.where(any_tag).select(user_col, *tag_cols)

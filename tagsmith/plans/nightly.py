@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagsmith.functions.dates import compact_date, compact_text_date
 from tagsmith.operators import bands as B
 from tagsmith.operators import rfx as X
 from tagsmith.operators import segment as S
@@ -57,10 +58,13 @@ def nightly_profile(tags: DataFrame, users: DataFrame, orders: DataFrame, logs:
     rules = lambda tag_id: attribute_rules(tags, tag_id)
     results = []
     present = [(col, rules(tid), tag) for tid, (col, tag) in f.match_fields.items() if col in users.columns]
-    if present:
-        results.append(match_tags(users, f.user_id, present))
+    bands = []
     if f.birthday in users.columns:
-        results.append(B.age_band_tag(users, f.user_id, f.birthday, rules(338)))
+        dtype = users.schema[f.birthday].dataType.typeName()
+        born = compact_text_date(f.birthday) if dtype == "string" else compact_date(f.birthday)
+        bands.append((born, rules(338), "agerange"))
+    if present or bands:  # every users-table tag from one scan
+        results.append(match_tags(users, f.user_id, present, bands=bands))
     # one aggregation of the orders per user feeds both the RFM segments and
     # the consumption cycle (its recency is the cycle's day count)
     metrics = cut_lineage(X.rfm_metrics(orders, f.member_id, f.order_sn, f.amount, f.finish_time, as_of))

@@ -162,3 +162,14 @@ def test_match_tags_one_pass_equals_separate(spark, tags):
     tree = plan_text(match_tags(users, "c_custkey", [("c_mktsegment", seg_rules, "segment"),
                                                      ("c_nationkey", nat_rules, "nationality")])).split("\n\n(1)")[0]
     assert tree.count("Scan parquet") == 1 and tree.count("BroadcastHashJoin") == 2
+
+
+def test_match_tags_with_a_band_equals_separate(spark, tags):
+    from tagsmith.functions.dates import compact_text_date
+    from tagsmith.operators.match import match_tags
+    users = spark.createDataFrame([("1", "1", "1982-01-11"), ("2", "9", "1959-12-31"), ("3", "9", "bad"),
+                                   ("4", None, "2001-05-05")], "id string, gender string, birthday string")
+    got = {r.userId: (r.gender, r.agerange) for r in match_tags(
+        users, "id", [("gender", attribute_rules(tags, 318), "gender")],
+        bands=[(compact_text_date("birthday"), attribute_rules(tags, 338), "agerange")]).collect()}
+    assert got == {"1": ("male", "80s"), "2": (None, "50s"), "4": (None, "00s")}
