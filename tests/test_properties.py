@@ -160,3 +160,18 @@ def test_salted_top_n_equals_plain(spark, rows, n, buckets):
     plain = sorted(top_n_per_group(df, ["g"], order, n, rank_col="rk").collect())
     salted = sorted(top_n_per_group(df, ["g"], order, n, rank_col="rk", salt_buckets=buckets).collect())
     assert plain == salted
+
+
+@SETTINGS
+@given(uppers=st.lists(st.integers(-20, 20), min_size=1, max_size=5, unique=True), strict=st.booleans(),
+       values=st.lists(st.one_of(st.none(), st.integers(-30, 30)), min_size=1, max_size=20))
+def test_band_sql_text_agrees_with_spark_expression(spark, uppers, strict, values):
+    """The CASE text the DuckDB oracles use and the Spark expression agree."""
+    import duckdb
+    uppers = sorted(uppers)
+    b = Bands(tuple(uppers), tuple(range(1, len(uppers) + 2)), strict=strict)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "k int, v int")
+    got = {r.k: r.s for r in df.select("k", b.expr("v").alias("s")).collect()}
+    rows = ", ".join(f"({i}, {'NULL' if v is None else v})" for i, v in enumerate(values))
+    duck = dict(duckdb.sql(f"SELECT k, {b.sql('v')} AS s FROM (VALUES {rows}) AS t(k, v)").fetchall())
+    assert got == duck
