@@ -176,6 +176,11 @@ WHERE NOT EXISTS (SELECT 1 FROM {_rules(332)} t WHERE t.rule = CAST(c.c_nationke
 GROUP BY 1"""
     q["age_band"] = _age_band()
     q["consume_cycle"] = _consume_cycle(OAS)
+    q["order_span"] = f"""
+SELECT o_custkey AS userId, min(o_orderdate) AS "first",
+       CAST(datediff('day', CAST(max(o_orderdate) FILTER (WHERE o_orderdate < TIMESTAMP '{OAS}') AS DATE),
+                     DATE '{OAS}') AS INTEGER) AS days
+FROM orders GROUP BY o_custkey"""
     q["pay_type"] = _pay_type("TRUE")
     cat = values_sql([(i, n, r, lvl, pid) for (i, n, r, lvl, pid) in ALL_TAGS if i == 356 or pid == 356],
                      ["id", "name", "rule", "level", "pid"])

@@ -115,6 +115,12 @@ def q_consume_cycle(spark, d):
                    lambda biz, rules: B.consume_cycle_tag(biz, "o_custkey", "o_orderdate", rules, OAS), OAS)
 
 
+def q_order_span(spark, d):
+    """First order ever and days since the last order before the clock,
+    per customer, in one pass (feeds the age band and the cycle)."""
+    return B.order_span(SI.orders(spark, d), "o_custkey", "o_orderdate", OAS)
+
+
 def q_pay_type(spark, d):
     return run_tag(spark, _tags(spark), 356, d,
                    lambda biz, rules: ST.pay_type_tag(biz, "o_custkey", "o_orderpriority", rules))
@@ -425,6 +431,7 @@ QUERIES: dict[str, Query] = {
     "unmatched_values": q_unmatched_values,
     "age_band": q_age_band,
     "consume_cycle": q_consume_cycle,
+    "order_span": q_order_span,
     "pay_type": q_pay_type,
     "tag_lookup": q_tag_lookup,
     "rule_options": q_rule_options,
