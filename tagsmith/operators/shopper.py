@@ -163,7 +163,7 @@ def tree_holdout_metrics(lines: DataFrame, split_keys: list[str]) -> DataFrame:
 
 def usg_tag(lines: DataFrame, orders: DataFrame, rules: DataFrame, line_order_col: str,
             order_col: str, user_of_order: str, split_keys: list[str], tag_col: str = "usg",
-            user_col: str = "userId", train_pct: int = 80) -> DataFrame:
+            user_col: str = "userId", train_pct: int = 80, reuse_counts: bool = True) -> DataFrame:
     """End to end: lines with ``color``, ``product``, ``label`` -> tree ->
     per-pair prediction -> per-user vote -> tag.  No lines, no tags.
 
@@ -171,10 +171,15 @@ def usg_tag(lines: DataFrame, orders: DataFrame, rules: DataFrame, line_order_co
     product, label, split side) — the per-line split is kept — and is
     checkpointed; the training histogram and the vote are both computed from
     those counts, so the line-level join behind ``lines`` is not repeated
-    for scoring."""
+    for scoring.  ``reuse_counts=False`` skips the checkpoint and lets the
+    vote recompute the counts (a second pass over ``lines``) — cheaper when
+    writing line-sized data to the shared checkpoint store costs more than
+    re-running the join; the result is the same."""
     split = hash_split(lines, split_keys, train_pct)
-    counts = cut_lineage(split.groupBy(line_order_col, "color", "product", "label", "is_train")
-                         .agg(F.count(F.lit(1)).alias("n")))
+    counts = (split.groupBy(line_order_col, "color", "product", "label", "is_train")
+              .agg(F.count(F.lit(1)).alias("n")))
+    if reuse_counts:
+        counts = cut_lineage(counts)
     try:
         hist = counts.groupBy("color", "product", "label", "is_train").agg(F.sum("n").alias("n"))
         model, indexer, _acc, hist = fit_gender_tree(hist, evaluate=False)

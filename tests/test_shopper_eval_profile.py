@@ -133,3 +133,16 @@ def test_tune_classifier_picks_a_grid_point(spark):
     lr = best.stages[-1]
     assert lr.getRegParam() in (0.0, 0.3)
     assert best.transform(prepare_features(df, ["x", "y"])[0]).count() == 300
+
+
+def test_usg_tag_same_with_or_without_reused_counts(spark, tags):
+    from tagsmith.operators.shopper import usg_tag
+    from tagsmith.plans import standins as SI
+    d = "/root/testdata/sf0.001"
+    lines = SI.goods(spark, d)
+    orders = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", "o_custkey")
+    args = (lines, orders, attribute_rules(tags, 380), "l_orderkey", "o_orderkey", "o_custkey",
+            ["l_orderkey", "l_linenumber"])
+    a = sorted(usg_tag(*args).collect())
+    b = sorted(usg_tag(*args, reuse_counts=False).collect())
+    assert a == b and len(a) > 0
