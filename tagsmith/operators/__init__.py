@@ -7,7 +7,7 @@ from tagsmith.operators.bands import (
 )
 from tagsmith.operators.stats import favourite_value, pay_type_tag, top_n_per_group, value_counts
 from tagsmith.operators.rfx import (
-    lifecycle_tag, rfe_metrics, rfe_scores, rfm_metrics, rfm_scores, score, weighted_score,
+    lifecycle_tag, order_facts, rfe_metrics, rfe_scores, rfm_metrics, rfm_scores, score, weighted_score,
 )
 from tagsmith.operators.segment import (
     assemble, center_ranks, center_tag_table, cluster_profile, fit_kmeans, nearest_center, rank_centers,

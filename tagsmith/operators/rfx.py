@@ -128,3 +128,23 @@ def lifecycle_tag(logs: DataFrame, id_col: str, url_col: str, ts_col: str, as_of
            .when(d <= inactive_days, "inactive")
            .otherwise("lost"))
     return per_user.select(user_col, tag.alias(tag_col))
+
+
+def order_facts(orders: DataFrame, id_col: str, order_col: str, amount_col: str, ts_col: str, as_of,
+                user_col: str = "userId") -> DataFrame:
+    """``(userId, first, recency, frequency, monetary)`` in one pass over
+    the orders: the first order ever, and the RFM metrics over the orders
+    before the clock (``recency`` null, ``frequency`` 0 for a user whose
+    orders are all at or after it).  One aggregation then feeds the RFM
+    segments, the consumption cycle (its day count is the recency) and a
+    first-order age band."""
+    from tagsmith.functions.dates import is_before_clock, with_event_time
+    o = with_event_time(orders, ts_col)
+    before = is_before_clock(o, ts_col, as_of)
+    agg = o.groupBy(F.col(id_col).alias(user_col)).agg(
+        F.min(ts_col).alias("first"),
+        F.max(F.when(before, F.col(ts_col))).alias("_last"),
+        F.count(F.when(before, F.col(order_col))).alias("frequency"),
+        F.sum(F.when(before, F.col(amount_col).cast("decimal(10,2)"))).cast("decimal(20,2)").alias("monetary"),
+    )
+    return agg.select(user_col, "first", days_since("_last", as_of).alias("recency"), "frequency", "monetary")

@@ -21,6 +21,7 @@ from tagsmith.operators import rfx as X
 from tagsmith.operators import segment as S
 from tagsmith.operators import shopper as U
 from tagsmith.operators import stats as ST
+from tagsmith.operators.lineage import cut_lineage
 from tagsmith.operators.match import match_tag, match_tags, unmatched_values
 from tagsmith.plans import standins as SI
 from tagsmith.plans.catalog import attribute_rules, catalog, tag_lookup
@@ -399,15 +400,20 @@ def q_profile_full(spark, d):
     RFE segments, lifecycle and shopping gender (rows only: it includes the
     KMeans segments)."""
     tags = _tags(spark)
-    # the match tags on the users table in one scan, the date tags in one orders pass
+    # the match tags on the users table in one scan
     matched = match_tags(SI.users(spark, d), "c_custkey",
                          [("c_mktsegment", attribute_rules(tags, 390), "segment"),
                           ("c_nationkey", attribute_rules(tags, 332), "nationality")])
-    dated = B.cycle_and_age_tags(SI.orders(spark, d), "o_custkey", "o_orderdate", attribute_rules(tags, 347),
-                                 attribute_rules(tags, 338), OAS)
+    # one aggregation of the orders feeds the RFM segments, the cycle and the age band
+    facts = cut_lineage(X.order_facts(SI.orders(spark, d), "o_custkey", "o_orderkey", "o_totalprice",
+                                      "o_orderdate", OAS))
+    metrics = facts.where(F.col("recency").isNotNull()).select("userId", "recency", "frequency", "monetary")
+    cycle = B.band_tag(metrics, "userId", "recency", attribute_rules(tags, 347), "consumercycle")
+    age = B.age_band_tag(facts, "userId", "first", attribute_rules(tags, 338))
+    rfm = S.segment_by_kmeans(X.rfm_scores(metrics, TEST_RFM_BANDS), RFM_COLS, attribute_rules(tags, 361), "rfm")
     return PR.profile_wide([
-        matched, dated, q_pay_type(spark, d),
-        q_rfm_segments(spark, d), q_rfe_segments(spark, d), q_rfe_lifecycle(spark, d), q_usg_tree(spark, d),
+        matched, cycle, age, q_pay_type(spark, d), rfm,
+        q_rfe_segments(spark, d), q_rfe_lifecycle(spark, d), q_usg_tree(spark, d),
     ])
 
 

@@ -185,3 +185,18 @@ def test_segment_with_minmax_scaled_features(spark, tags, scores):
     cols = ["r_score", "f_score", "m_score"]
     seg = segment_by_kmeans(scores, cols, attribute_rules(tags, 361), "rfm", scale=True).collect()
     assert len(seg) == 3000 and len({r.rfm for r in seg}) == 5
+
+
+def test_order_facts_metrics_equal_rfm_metrics(spark):
+    from tagsmith.operators.rfx import order_facts
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    for clock in ("2001-08-02", "1999-01-01", dt.datetime(1999, 1, 1, 12, 0)):
+        facts = order_facts(o, "o_custkey", "o_orderkey", "o_totalprice", "o_orderdate", clock)
+        got = sorted(tuple(r) for r in facts.where("recency IS NOT NULL")
+                     .select("userId", "recency", "frequency", "monetary").collect())
+        expect = sorted(tuple(r) for r in
+                        rfm_metrics(o, "o_custkey", "o_orderkey", "o_totalprice", "o_orderdate", clock).collect())
+        assert got == expect and len(expect) > 0
+    firsts = {r.userId: r.first for r in order_facts(o, "o_custkey", "o_orderkey", "o_totalprice",
+                                                     "o_orderdate", "1999-01-01").collect()}
+    assert firsts == {r.o_custkey: r.f for r in o.groupBy("o_custkey").agg(F.min("o_orderdate").alias("f")).collect()}
