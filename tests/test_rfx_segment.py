@@ -200,3 +200,17 @@ def test_order_facts_metrics_equal_rfm_metrics(spark):
     firsts = {r.userId: r.first for r in order_facts(o, "o_custkey", "o_orderkey", "o_totalprice",
                                                      "o_orderdate", "1999-01-01").collect()}
     assert firsts == {r.o_custkey: r.f for r in o.groupBy("o_custkey").agg(F.min("o_orderdate").alias("f")).collect()}
+
+
+def test_order_facts_on_epoch_text_equal_rfm_metrics(spark):
+    from tagsmith.operators.rfx import order_facts
+    e = lambda y, m, d: str(int(dt.datetime(y, m, d, 12, tzinfo=dt.timezone.utc).timestamp()))
+    rows = [("1", "a", "2479.45", e(2020, 1, 28)), ("1", "b", "20.55", e(2020, 1, 2)),
+            ("2", "c", "5.5", e(2019, 9, 1)), ("2", "d", "1.0", "not a time"), ("3", "e", "9.9", e(2020, 3, 1))]
+    o = spark.createDataFrame(rows, "memberid string, ordersn string, orderamount string, finishtime string")
+    facts = {r.userId: (r.recency, r.frequency, r.monetary) for r in
+             order_facts(o, "memberid", "ordersn", "orderamount", "finishtime", AS_OF).collect()}
+    rfm = {r.userId: (r.recency, r.frequency, r.monetary) for r in
+           rfm_metrics(o, "memberid", "ordersn", "orderamount", "finishtime", AS_OF).collect()}
+    assert {u: v for u, v in facts.items() if v[0] is not None} == rfm
+    assert facts["3"] == (None, 0, None)  # only a future order
