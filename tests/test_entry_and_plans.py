@@ -37,10 +37,15 @@ def test_plan_has_no_python_udf_or_cartesian(spark, name):
     assert "ReadSchema" in plan
 
 
-def test_oracles_match_at_smallest_scale():
+ORACLE_SCALES = [SF_SMALL] + [f"/root/testdata/sf{x}" for x in os.environ.get("ORACLE_SCALES", "").split(",") if x]
+
+
+@pytest.mark.parametrize("sf_dir", ORACLE_SCALES)
+def test_oracles_match(sf_dir):
+    """Every oracle at sf0.001; more scales with ORACLE_SCALES=0.01,0.1."""
     here = os.path.dirname(os.path.abspath(__file__))
-    out = subprocess.run([sys.executable, os.path.join(here, "oracle_check.py"), SF_SMALL],
-                         capture_output=True, text=True, timeout=900)
+    out = subprocess.run([sys.executable, os.path.join(here, "oracle_check.py"), sf_dir],
+                         capture_output=True, text=True, timeout=1800)
     lines = [ln for ln in out.stdout.splitlines() if ln.startswith(("ok", "FAIL", "rows"))]
     fails = [ln for ln in lines if ln.startswith("FAIL")]
     assert not fails, "\n".join(fails)
