@@ -15,11 +15,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagsmith.llm.token_planes import read_tokens, write_tokens
+    from tagsmith.llm.tokens import vocabulary_path
+    path = common.table_path(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path, vocabulary_path(), end_id=2, layout="bit")
+    return read_tokens(spark, path, layout="bit", with_ids=False)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagsmith.llm.simhash_cover import simhash_groups
     return simhash_groups(table(spark, sf_dir, "documents"), width=4, max_bits=4)
 
 
+def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagsmith.llm.packing import pack
+    from tagsmith.llm.tokens import vocabulary_path
+    pieces = pack(table(spark, sf_dir, "documents"), vocabulary_path(), end_id=2, unit=64)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagsmith.llm.decontam import mark_contamination
     marked = mark_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
@@ -34,7 +49,9 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_planes": op2_token_planes,
     "op4_simhash": op4_simhash,
+    "op5_pack": op5_pack,
     "op7_decontaminate": op7_decontaminate,
     "op8_warc": op8_warc,
 }
