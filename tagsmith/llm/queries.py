@@ -10,11 +10,19 @@ from pyspark.sql import functions as F
 
 from tagsmith.llm import common
 
+# the queries' own key; a real run passes a secret of its own
+PII_KEY = b"registered queries"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagsmith.llm.vector_dedup import embedding_groups
+    return embedding_groups(table(spark, sf_dir, "embeddings"), reach=0.98)
+
+
 def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagsmith.llm.token_planes import read_tokens, write_tokens
     from tagsmith.llm.tokens import vocabulary_path
@@ -23,6 +31,12 @@ def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path, layout="bit", with_ids=False)
 
 
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagsmith.llm.surrogates import pseudonymise
+    docs = pseudonymise(table(spark, sf_dir, "documents"), PII_KEY, with_types="types")
+    return docs.select("doc_id", F.size("types").cast("long").alias("n_entities"), F.array_join("types", ",").alias("types"), "text")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagsmith.llm.simhash_cover import simhash_groups
     return simhash_groups(table(spark, sf_dir, "documents"), width=4, max_bits=4)
@@ -35,6 +49,11 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagsmith.llm.langid_ppm import identify
+    return identify(table(spark, sf_dir, "documents"), modulus=4, held_out=2)
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagsmith.llm.decontam import mark_contamination
     marked = mark_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
@@ -48,10 +67,16 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_digest(spark, path)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagsmith.llm.quality_qda import score_quality
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), modulus=3, held_out=1)
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagsmith.llm.lm_bloom import score_documents
+    return score_documents(table(spark, sf_dir, "documents"), held_out_modulus=5, held_out_remainder=1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_token_planes": op2_token_planes,
-    "op4_simhash": op4_simhash,
-    "op5_pack": op5_pack,
-    "op7_decontaminate": op7_decontaminate,
-    "op8_warc": op8_warc,
-}
+    f.__name__: f for f in (op1_embedding_dedup, op2_token_planes, op3_surrogates, op4_simhash, op5_pack, op6_langid,
+                            op7_decontaminate, op8_warc, op9_quality, op10_lm_score)}
