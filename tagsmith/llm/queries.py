@@ -27,8 +27,8 @@ def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagsmith.llm.token_planes import read_tokens, write_tokens
     from tagsmith.llm.tokens import vocabulary_path
     path = common.table_path(spark, "tokens")
-    write_tokens(table(spark, sf_dir, "documents"), path, vocabulary_path(), end_id=2, layout="bit")
-    return read_tokens(spark, path, layout="bit", with_ids=False)
+    write_tokens(table(spark, sf_dir, "documents"), path, vocabulary_path(), end_id=2, layout="byte")
+    return read_tokens(spark, path, layout="byte", with_ids=False)
 
 
 def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +39,7 @@ def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tagsmith.llm.simhash_cover import simhash_groups
-    return simhash_groups(table(spark, sf_dir, "documents"), width=4, max_bits=4)
+    return simhash_groups(table(spark, sf_dir, "documents"), width=4, max_bits=4).select("doc_id", "fingerprint", "component_id")
 
 
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +77,11 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), held_out_modulus=5, held_out_remainder=1)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_embedding_dedup, op2_token_planes, op3_surrogates, op4_simhash, op5_pack, op6_langid,
-                            op7_decontaminate, op8_warc, op9_quality, op10_lm_score)}
+                            op7_decontaminate, op8_warc, op9_quality, op10_lm_score, pipeline)}
