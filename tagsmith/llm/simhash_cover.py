@@ -23,8 +23,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tagsmith.llm.common import Links, components, map_batches, ship, stash, words_of
+from tagsmith.llm.common import Links, add_columns, components, fresh, map_batches, ship, stash, words_of
 
 BLOCKS = ((0, 22), (22, 21), (43, 21))  # (lowest bit, width)
 CODE = 15                               # length of the Hamming code
@@ -171,9 +172,10 @@ def near_links(distinct: DataFrame, max_bits: int = 4, per_group: int = 100_000,
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    width: int = 4, max_bits: int = 4) -> DataFrame:
-    """One row per document: ``id_col``, fingerprint (16 hex digits) and
+    """One row per document: ``id_col``, fingerprint (16 hex digits),
     component_id, the smallest id reachable over links of at most
-    ``max_bits`` differing bits.
+    ``max_bits`` differing bits, and class, a name of the component that
+    exists without ids too.
 
     Equal fingerprints are collapsed before the search and attached again by
     a join, so a group of copies costs one fingerprint.  Null text counts as
@@ -191,6 +193,26 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rep_of = reps.join(classes, reps["rep"] == classes["node"], "left").select(
         "fp", "first", F.coalesce("component", "rep").alias("root"))
     least = rep_of.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_fp = rep_of.join(least, "root").select("fp", "component_id")
+    by_fp = rep_of.join(least, "root").select("fp", "component_id", F.col("root").alias("class"))
     return fps.join(by_fp, "fp").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "class")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, max_bits: int = 4) -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates: the one
+    with the smallest id.  Rows that repeat its id and text stay once.  Of a
+    group without any id one row stays."""
+    groups = simhash_groups(docs, id_col, text_col, width, max_bits)
+    stay = stash(groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col, "fingerprint", "class"), "stay")
+    mark = fresh(docs, "hash")
+    # the join leaves rows dealt and sorted by id, which is all the second step needs
+    named = docs.join(stay.where(F.col(id_col).isNotNull()).select(id_col), id_col, "left_semi") \
+        .withColumn(mark, F.xxhash64(text_col)).dropDuplicates([id_col, mark]).select(*docs.columns)
+    bare = stay.where(F.col(id_col).isNull()).groupBy("class").agg(F.min("fingerprint").alias("fingerprint"))
+    if bare.isEmpty():
+        return named
+    fp, fpc = T.StructType([T.StructField(mark, T.LongType())]), F.conv("fingerprint", 16, -10).cast("long")
+    marked = add_columns(docs.where(F.col(id_col).isNull()), [text_col], lambda x: [pa.array(
+        np.array([fingerprint(t, width) for t in x.to_pylist()], np.uint64).view(np.int64))], fp, 256)
+    once = marked.join(bare.select(fpc.alias(mark)), mark, "left_semi").dropDuplicates([mark])
+    return named.select(*docs.columns).union(once.select(*docs.columns))
