@@ -1 +1,71 @@
-ORACLES: dict[str, str] = {}
+"""DuckDB statements of the corpus queries that SQL can express.
+
+The others have none and are tested against brute force, round trips or
+held-out accuracy in ``tests/llm``: tokenizer ids (op2, op5), XXH64 shingles
+(op4), keyed surrogates (op3), trained models (op6, op9, op10) and the
+pipeline.
+"""
+
+from __future__ import annotations
+
+OP1 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e,
+         label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+         AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS ok
+  FROM embeddings),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.ok AND b.ok AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(a, b) AS (
+  SELECT vec_id, vec_id FROM v
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN least ON least.a = v.vec_id LEFT JOIN degree ON degree.a = v.vec_id"""
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP7 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+item AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, len(g) AS n, array_to_string(g, ' ') AS g FROM (
+    SELECT item_id, unnest(list_transform(range(1, greatest(1, len(w) - 9) + 1), lambda i: w[i:i + 9])) AS g
+    FROM item WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT n FROM win),
+spot AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g FROM (
+    SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n)),
+hit AS (SELECT doc_id, item_id, i, spot.n FROM spot JOIN win ON spot.n = win.n AND spot.g = win.g),
+marked AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+OP8 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+g AS (SELECT body, min(page_id) AS head FROM p GROUP BY body),
+bits AS (
+  SELECT page_id, body, list_transform(range(0, 4), lambda k:
+      list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(range(1, 11), lambda j:
+        CAST(strpos('0123456789abcdef', substr(h, 10 * k + j, 1)) - 1 AS BIGINT))), lambda x, y: x * 16 + y)) AS v
+  FROM p)
+SELECT bits.page_id, CAST(octet_length(encode(bits.body)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v[i // 8 + 1] >> (35 - 5 * (i % 8))) & 31 AS INTEGER) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> head THEN head END AS refers_to
+FROM bits JOIN g ON g.body = bits.body"""
+
+ORACLES: dict[str, str] = {"op1_embedding_dedup": OP1, "op7_decontaminate": OP7, "op8_warc": OP8}
