@@ -78,7 +78,7 @@ class Filter:
 
     def spots(self, keys: np.ndarray, level: np.ndarray | int) -> Iterator[np.ndarray]:
         """Bit positions (within the segment) of (key, level), one hash at a time."""
-        h = _mix(keys + np.uint64(2) * np.asarray(level, np.uint64) * GOLD + np.uint64(1))
+        h = _mix(keys + np.uint64(2) * np.asarray(level, np.uint64).reshape(-1) * GOLD + np.uint64(1))
         one, two = h & np.uint64(0xFFFFFFFF), (h >> np.uint64(32)) | np.uint64(1)
         for i in range(self.hashes):
             yield (one + np.uint64(i) * two) & np.uint64(SEGMENT_BITS - 1)

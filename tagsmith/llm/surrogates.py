@@ -81,8 +81,8 @@ def _mod97(iban: str) -> int:
 
 def find(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, type, normal form) of the entities of a text, left to
-    right and disjoint.  Where patterns overlap, the earlier type of the list
-    wins."""
+    right and disjoint: what a type earlier in the list takes, the later ones
+    do not see."""
     if not text:
         return []
     digit = _DIGIT.search(text) is not None
@@ -92,11 +92,10 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
             continue
         if kind == "secret" and not _CUE.search(text) or kind == "name" and not _HONOR.search(text):
             continue
-        for m in pattern.finditer(text):
-            a, b = m.span(group)
-            for one in _checked(kind, text, a, b, m):
-                if not any(one[0] < e and s < one[1] for s, e, _, _ in found):
-                    found.append(one)
+        own = [one for m in pattern.finditer(text) for one in _checked(kind, text, *m.span(group), m)]
+        for a, b, _, _ in own:  # later patterns do not see what is taken
+            text = text[:a] + "\0" * (b - a) + text[b:]
+        found += own
     return sorted(found)
 
 

@@ -105,7 +105,7 @@ class Encoder:
                 word, low = core.isalpha(), core.lower()
             else:
                 t = core.decode("utf-8", "surrogatepass")
-                word, low = t.isalpha() and max(t) < "\u0250", core
+                word, low = t.isalpha() and t.lower().isalpha() and max(t) < "\u0250", core
             if not word:
                 other.append(i)
             elif low == p:
