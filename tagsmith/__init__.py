@@ -9,7 +9,6 @@ Spark ML primitives:
 * ``sources``    — rule-driven business scans, CSV, profile / model sinks;
 * ``plans``      — tag catalogue fixtures, test-table stand-ins, the
   run-a-tag template and the registered query set;
-* ``streaming``  — intentionally empty: the tagging jobs are batch jobs.
 """
 
 __version__ = "0.1.0"

@@ -18,10 +18,12 @@ def _c(x: Column | str) -> Column:
 
 
 def rule_options(rule: Column | str) -> Column:
-    """``key=value`` lines -> ``map<string,string>`` (blank lines ignored)."""
-    cleaned = F.regexp_replace(F.regexp_replace(_c(rule), r"\r", ""), r"\n+", "\n")
-    cleaned = F.regexp_replace(cleaned, r"^\n|\n$", "")
-    return F.str_to_map(cleaned, F.lit("\n"), F.lit("="))
+    """``key=value`` lines -> ``map<string,string>``; blank lines are ignored
+    and keys and values trimmed, as ``scan_options`` does for one rule."""
+    lines = F.filter(F.split(F.regexp_replace(_c(rule), r"\r", ""), "\n"), lambda x: F.trim(x) != "")
+    return F.map_from_entries(F.transform(lines, lambda x: F.struct(
+        F.trim(F.substring_index(x, "=", 1)).alias("key"),
+        F.when(F.contains(x, F.lit("=")), F.trim(F.substr(x, F.position(F.lit("="), x) + 1))).alias("value"))))
 
 
 def is_range_rule(rule: Column | str) -> Column:

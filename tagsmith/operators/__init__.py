@@ -7,15 +7,15 @@ from tagsmith.operators.bands import (
 )
 from tagsmith.operators.stats import favourite_value, pay_type_tag, top_n_per_group, value_counts
 from tagsmith.operators.rfx import (
-    lifecycle_tag, order_facts, rfe_metrics, rfe_scores, rfm_metrics, rfm_scores, score, weighted_score,
+    lifecycle_tag, malformed_amounts, order_facts, rfe_metrics, rfe_scores, rfm_metrics, rfm_scores, score, value_per_cluster, value_ranks, weighted_score,
 )
 from tagsmith.operators.segment import (
     assemble, center_ranks, center_tag_table, cluster_profile, fit_kmeans, nearest_center, rank_centers,
-    score_histogram, segment_by_kmeans, update_centers, wssse,
+    score_histogram, segment_by_kmeans, segment_model, segment_report, update_centers, vector_tags, wssse,
 )
 from tagsmith.operators.shopper import (
     encode_dims, fit_gender_tree, gender_votes, recent_orders, seed_labels, train_gender_tree,
-    tree_holdout_metrics, usg_tag, vote_class, vote_tag,
+    training_histogram, tree_holdout_metrics, usg_tag, vote_class, vote_tag,
 )
 from tagsmith.operators.evaluate import (
     classification_metrics, classify, confusion_metrics, evaluate_predictions, hash_split, l2_normalize,

@@ -7,9 +7,12 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import MinMaxScaler, Normalizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagsmith.operators.joins import join_small
+from tagsmith.operators.lineage import cut_lineage
+
 
 def hash_split(df: DataFrame, keys: list[str], train_pct: int = 80, out: str = "is_train",
                method: str = "xxhash64") -> DataFrame:
@@ -29,10 +32,28 @@ def hash_split(df: DataFrame, keys: list[str], train_pct: int = 80, out: str = "
     return df.withColumn(out, bucket < F.lit(int(train_pct)))
 
 
-def label_index(df: DataFrame, col: str, out: str = "label_idx") -> DataFrame:
-    """StringIndexer: most frequent value -> 0.0; equal counts alphabetical."""
-    return StringIndexer(inputCol=col, outputCol=out, stringOrderType="frequencyDesc",
-                         handleInvalid="keep").fit(df).transform(df)
+MAX_LABELS = 100_000
+
+
+def label_index(df: DataFrame, col: str, out: str = "label_idx", nulls: str = "drop",
+                max_labels: int = MAX_LABELS) -> DataFrame:
+    """Label indices as StringIndexer gives them: most frequent value -> 0.0,
+    equal counts alphabetical.  Rows with a null label are dropped, or kept
+    with a null index (``nulls="keep"``).
+
+    The values are counted by one partially aggregated group-by and joined
+    back, so they do not pass through the driver; more than ``max_labels``
+    distinct values are refused (such a column is no label)."""
+    if nulls not in ("drop", "keep"):
+        raise ValueError("nulls must be 'drop' or 'keep'")
+    counts = cut_lineage(df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_label")).agg(F.count(F.lit(1)).alias("_n")))
+    distinct = counts.count()
+    if distinct > max_labels:
+        raise ValueError(f"{col} has {distinct} distinct values, over max_labels = {max_labels}")
+    order = Window.orderBy(F.col("_n").desc(), "_label")  # at most max_labels rows
+    index = counts.select("_label", (F.row_number().over(order) - 1).cast("double").alias(out))
+    return join_small(df, index, df[col] == index["_label"], "left" if nulls == "keep" else "inner",
+                      bound_from=counts).drop("_label")
 
 
 def l2_normalize(df: DataFrame, array_col: str, out: str = "normalized") -> DataFrame:
@@ -113,20 +134,24 @@ def train_classifier(df: DataFrame, features, label_col: str, params: dict | Non
     """The classifier demo's pipeline: StringIndexer(label) -> VectorAssembler
     -> Normalizer(p=2) -> LogisticRegression (maxIter 10, regParam 0.3,
     elasticNet 0.8).  Returns ``(pipeline_model, prepared_df)``; transform
-    ``prepare_features(df, features)[0]`` with the model to predict."""
+    ``prepare_features(df, features)[0]`` with the model to predict.  A label
+    that occurs only outside the training rows gets the index after the last
+    one (no prediction can equal it)."""
     params = {**LOGREG_PARAMS, **(params or {})}
     data, cols = prepare_features(df, features)
     lr = LogisticRegression(featuresCol="features", labelCol="label_idx", **params)
-    return demo_pipeline(cols, label_col, lr).fit(data), data
-
-
-def evaluate_predictions(pred: DataFrame, label_col: str = "label_idx", prediction_col: str = "prediction",
-                         metrics=("accuracy", "f1", "weightedPrecision", "weightedRecall")) -> dict[str, float]:
-    """Spark ML's multiclass evaluator for each metric name (one aggregate
-    job per metric, no rows collected)."""
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    return {m: MulticlassClassificationEvaluator(labelCol=label_col, predictionCol=prediction_col,
-                                                 metricName=m).evaluate(pred) for m in metrics}
+    model = demo_pipeline(cols, label_col, lr).fit(data)
+    model.stages[0].setHandleInvalid("keep")  # for scoring only: the training classes are fixed
+    return model, data
+
+
+def evaluate_predictions(pred: DataFrame, label_col: str = "label_idx",
+                         prediction_col: str = "prediction") -> dict[str, float]:
+    """accuracy, f1, weightedPrecision and weightedRecall from one confusion
+    matrix, in one pass over the predictions."""
+    m = classification_metrics(pred, label_col, prediction_col).first()
+    return {"accuracy": m["accuracy"], "f1": m["f1"], "weightedPrecision": m["weighted_precision"],
+            "weightedRecall": m["weighted_recall"]}
 
 
 def classify(df: DataFrame, feature_array, label_col: str, split_keys: list[str],

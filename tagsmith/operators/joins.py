@@ -1,23 +1,44 @@
 """Joins against small sides, with the size checked before broadcasting.
 
-``broadcast()`` is only applied after a bounded count proves the side holds at
-most ``max_rows`` rows (``limit(max_rows + 1).count()`` stops reading each
-partition after that many rows).  Beyond the bound the join is a normal
-shuffle join, which AQE may still turn into a broadcast from measured sizes.
+``broadcast()`` is only applied after a measurement proves the side small in
+rows and in bytes.  The measurement is one partially aggregated count and sum:
+each task sends two numbers, whatever the side's size.  Beyond the bound the
+join is a normal shuffle join, which AQE may still turn into a broadcast from
+measured sizes.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A broadcast side is shipped to every executor; 1M narrow rows is a few
-# tens of MB, well inside executor memory.
+# A broadcast side is shipped to every executor: bound rows and bytes.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def row_bytes(df: DataFrame):
+    """Estimated bytes of a row as an expression: the length of text, binary
+    and nested values (as text), 8 for any other value."""
+    fixed, varying = 0, []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            varying.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            varying.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)))
+        fixed += 8
+    out = F.lit(fixed).cast("long")
+    for v in varying:
+        out = out + v
+    return out
+
+
+def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes."""
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
@@ -25,9 +46,9 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     """``big.join(small)``; ``small`` is broadcast only when proven small.
     ``how`` must keep ``big`` on the streamed side (inner, left, semi, anti).
 
-    ``bound_from`` is a frame whose row count bounds ``small``'s (e.g. the
-    rule rows that ``small`` de-duplicates); counting it is cheaper when it
-    needs no shuffle."""
+    ``bound_from`` is a frame that holds at least ``small``'s rows and values
+    (e.g. the rule rows that ``small`` de-duplicates); measuring it is cheaper
+    when it needs no shuffle."""
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti", "semi", "anti"):
         raise ValueError(f"join_small cannot broadcast the right side of a {how!r} join")
     if has_at_most(small if bound_from is None else bound_from, max_rows):

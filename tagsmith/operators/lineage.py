@@ -9,15 +9,16 @@ from pyspark.sql import DataFrame
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the session's checkpoint folder (the shared
     folder named by ``spark.checkpoint.dir`` on a cluster), so repeated reads
-    use one materialised copy that survives a lost executor.
+    use one materialised copy that survives a lost executor.  Without a
+    folder a cluster session raises; a local one gets a scratch folder.
 
     The input is cached for the duration of the checkpoint: writing a
     reliable checkpoint runs a second job over the data, which would otherwise
-    recompute the whole plan.  Without a checkpoint folder (never the case
-    with ``build_session``) the result is only persisted."""
+    recompute the whole plan.  The cache is released in any case."""
+    from tagsmith.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if not df.sparkSession.sparkContext.getCheckpointDir():
-        return cached
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()

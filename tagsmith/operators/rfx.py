@@ -7,6 +7,28 @@ from pyspark.sql import functions as F
 
 from tagsmith.functions.dates import as_date, before_as_of, clock, days_since
 from tagsmith.functions.scores import RFE_BANDS, RFM_BANDS, Bands
+from tagsmith.operators.joins import join_small
+from tagsmith.operators.lineage import cut_lineage
+
+
+AMOUNT = "decimal(20,2)"  # of one order; sums have decimal(30,2)
+
+
+def amount(df: DataFrame, col: str):
+    """The amount as a decimal; null for text that is no number and for
+    values beyond the decimal's range."""
+    from pyspark.sql import types as T
+    c = F.col(col)
+    if isinstance(df.schema[col].dataType, T.StringType):
+        c = F.trim(c)
+    return c.try_cast(AMOUNT)
+
+
+def malformed_amounts(orders: DataFrame, amount_col: str) -> DataFrame:
+    """One row: orders whose amount is present but malformed (left out of
+    every sum), and orders without an amount."""
+    return orders.agg(F.count_if(F.col(amount_col).isNotNull() & amount(orders, amount_col).isNull()).alias("malformed"),
+                      F.count_if(F.col(amount_col).isNull()).alias("missing"))
 
 
 def rfm_metrics(orders: DataFrame, id_col: str, order_col: str, amount_col: str, ts_col: str,
@@ -14,7 +36,8 @@ def rfm_metrics(orders: DataFrame, id_col: str, order_col: str, amount_col: str,
     """``(userId, recency, frequency, monetary)``.
 
     recency = days from the last order to ``as_of``; frequency = orders;
-    monetary = sum of amounts as ``decimal(20,2)``.  One partially aggregated
+    monetary = sum of the well-formed amounts as ``decimal(30,2)`` (null if
+    there is none; see ``malformed_amounts``).  One partially aggregated
     shuffle on the user key.  ``lookback_days`` optionally limits the orders
     to the last n days before ``as_of``.
     """
@@ -25,7 +48,7 @@ def rfm_metrics(orders: DataFrame, id_col: str, order_col: str, amount_col: str,
     agg = src.groupBy(F.col(id_col).alias(user_col)).agg(
         F.max(ts_col).alias("_last"),
         F.count(order_col).alias("frequency"),
-        F.sum(F.col(amount_col).cast("decimal(10,2)")).cast("decimal(20,2)").alias("monetary"),
+        F.sum(amount(src, amount_col)).alias("monetary"),
     )
     return agg.select(user_col, days_since("_last", as_of).alias("recency"), "frequency", "monetary")
 
@@ -77,8 +100,31 @@ def weighted_score(scores: DataFrame, weights: dict[str, float] | None = None,
     return scores.select(id_col, total.alias(out))
 
 
-# fixed values: the lifecycle classes, in the order the first match wins
-LIFECYCLE_ORDER = ("loyal", "new", "returning", "active", "inactive", "lost")
+def value_ranks(values: DataFrame, top_share: float = 0.2, value_col: str = "value", id_col: str = "userId") -> DataFrame:
+    """``(userId, value, rank, is_top)``: the users ranked by value (highest
+    first, equal values share a rank), and whether a user belongs to the best
+    ``top_share`` of the users.  A null value has no rank.
+
+    The rank comes from the histogram of distinct values (scores take a few
+    values each), so the users are joined, never sorted: rank = 1 + users with
+    a higher value."""
+    hist = values.where(F.col(value_col).isNotNull()).groupBy(value_col).agg(F.count(F.lit(1)).alias("_n"))
+    hist = cut_lineage(hist)
+    above = F.sum("_n").over(Window.orderBy(F.col(value_col).desc()).rowsBetween(Window.unboundedPreceding, -1))
+    total = hist.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    ranked = hist.select(value_col, (F.coalesce(above, F.lit(0)) + 1).alias("rank"))
+    limit = F.ceil(F.lit(float(top_share)) * F.lit(total))
+    out = join_small(values.select(id_col, value_col), ranked, value_col, "left", bound_from=hist)
+    return out.select(id_col, value_col, "rank", F.coalesce(F.col("rank") <= limit, F.lit(False)).alias("is_top"))
+
+
+def value_per_cluster(assigned: DataFrame, value, pred_col: str = "prediction", weight_col: str | None = None) -> DataFrame:
+    """Per cluster: users, mean and total value (``value`` is an expression
+    or a column); ``weight_col`` for a score histogram."""
+    w = F.lit(1) if weight_col is None else F.col(weight_col)
+    v = F.col(value) if isinstance(value, str) else value
+    got = assigned.groupBy(pred_col).agg(F.sum(w.cast("long")).alias("users"), F.sum(v * w).alias("total_value"))
+    return got.select(pred_col, "users", (F.col("total_value") / F.col("users")).alias("mean_value"), "total_value")
 
 
 def lifecycle_tag(logs: DataFrame, id_col: str, url_col: str, ts_col: str, as_of,
@@ -94,7 +140,8 @@ def lifecycle_tag(logs: DataFrame, id_col: str, url_col: str, ts_col: str, as_of
     inactive: d <= ``inactive_days``; else lost.
 
     Visits are bucketed by whole days before the clock (bucket 0 = the last
-    24 hours; for a midnight clock these are calendar days), reduced to one
+    24 hours, their first instant included; for a midnight clock these are
+    calendar days), reduced to one
     row per (user, bucket, page) and then per (user, bucket) before the
     ``lag`` window, so the window sees at most one row per active day of a
     user however many visits the user has.
@@ -102,8 +149,8 @@ def lifecycle_tag(logs: DataFrame, id_col: str, url_col: str, ts_col: str, as_of
     src = before_as_of(logs, ts_col, as_of).select(
         F.col(id_col).alias(user_col), F.col(url_col).alias("_url"), F.col(ts_col).alias("_ts"))
     now = F.lit(clock(as_of).isoformat(sep=" ")).cast(src.schema["_ts"].dataType)
-    # whole days before the clock: bucket 0 is the last 24 hours
-    bucket = F.floor(F.timestamp_diff("SECOND", F.col("_ts"), now) / 86400)
+    # bucket 0 holds clock - 1 day <= visit < clock
+    bucket = F.floor((F.timestamp_diff("MICROSECOND", F.col("_ts"), now) - 1) / 86_400_000_000)
     per_page = (src.groupBy(user_col, bucket.alias("_b"), "_url")
                 .agg(F.count(F.lit(1)).alias("_n"), F.min("_ts").alias("_lo"), F.max("_ts").alias("_hi")))
     per_day = (per_page.groupBy(user_col, "_b")
@@ -145,6 +192,6 @@ def order_facts(orders: DataFrame, id_col: str, order_col: str, amount_col: str,
         F.min(ts_col).alias("first"),
         F.max(F.when(before, F.col(ts_col))).alias("_last"),
         F.count(F.when(before, F.col(order_col))).alias("frequency"),
-        F.sum(F.when(before, F.col(amount_col).cast("decimal(10,2)"))).cast("decimal(20,2)").alias("monetary"),
+        F.sum(F.when(before, amount(o, amount_col))).alias("monetary"),
     )
     return agg.select(user_col, "first", days_since("_last", as_of).alias("recency"), "frequency", "monetary")

@@ -24,7 +24,7 @@ from tagsmith.operators.evaluate import hash_split
 from tagsmith.operators.joins import join_small
 from tagsmith.operators.lineage import cut_lineage
 from tagsmith.operators.match import distinct_rules
-from tagsmith.operators.segment import assemble
+from tagsmith.operators.segment import SMALL_HISTOGRAM, assemble
 
 # fixed values: the reference's decision-tree settings and vote threshold
 TREE_PARAMS = {"maxDepth": 5, "maxBins": 32, "impurity": "gini"}
@@ -111,15 +111,16 @@ def fit_gender_tree(hist: DataFrame, params: dict | None = None, evaluate: bool
     ``(color, product, label, is_train, n)``.
 
     Returns ``(model, indexer_model, test_accuracy, histogram)``.  The
-    accuracy is agreement with the seed rule on the held-out split — the
-    labels are a function of the features, so it measures fit, not truth.
+    accuracy is agreement with the seed rule on the held-out split (NaN if
+    that is empty).
     """
     params = {**TREE_PARAMS, **(params or {})}
     hist = cut_lineage(assemble(hist.withColumn("n", F.col("n").cast("double")),
                                 ["color", "product"], "raw_features"))
-    # at most |colours| x |products| x 4 rows: read the materialised copy as one
-    # partition (after the checkpoint, so the aggregation above stays parallel)
-    hist = hist.coalesce(1)
+    # |colours| x |products| x 4 rows at most; if that is few, read the
+    # materialised copy as one partition
+    if hist.count() <= SMALL_HISTOGRAM:
+        hist = hist.coalesce(1)
     if not hist.where("is_train").limit(1).count():
         raise EmptyTrainingData("no order lines in the training split")
     indexer = VectorIndexer(inputCol="raw_features", outputCol="features",
@@ -130,31 +131,34 @@ def fit_gender_tree(hist: DataFrame, params: dict | None = None, evaluate: bool
     model = tree.fit(feats.where("is_train"))
     test = model.transform(feats.where("not is_train"))
     acc = float("nan")
-    if evaluate:
-        try:
-            acc = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
-                                                    weightCol="n", metricName="accuracy").evaluate(test)
-        except Exception:  # an empty held-out split has no accuracy
-            pass
+    if evaluate and test.limit(1).count():
+        acc = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
+                                                weightCol="n", metricName="accuracy").evaluate(test)
     return model, indexer, acc, hist
 
 
+def training_histogram(lines: DataFrame, split_keys: list[str], train_pct: int = 80,
+                       method: str = "xxhash64") -> DataFrame:
+    """(color, product, label, is_train, n) from order lines with a
+    deterministic per-line split; partially aggregated, so the lines are read
+    and never written."""
+    split = hash_split(lines, split_keys, train_pct, method=method)
+    return split.groupBy("color", "product", "label", "is_train").agg(F.count(F.lit(1)).alias("n"))
+
+
 def train_gender_tree(lines: DataFrame, split_keys: list[str], train_pct: int = 80,
-                      params: dict | None = None, evaluate: bool = True):
-    """The tree from order lines: a deterministic per-line split, then the
-    weighted (color, product, label, is_train) histogram (see
+                      params: dict | None = None, evaluate: bool = True, method: str = "xxhash64"):
+    """The tree from order lines (see ``training_histogram`` and
     ``fit_gender_tree``)."""
-    split = hash_split(lines, split_keys, train_pct)
-    hist = split.groupBy("color", "product", "label", "is_train").agg(F.count(F.lit(1)).alias("n"))
-    return fit_gender_tree(hist, params, evaluate)
+    return fit_gender_tree(training_histogram(lines, split_keys, train_pct, method), params, evaluate)
 
 
-def tree_holdout_metrics(lines: DataFrame, split_keys: list[str]) -> DataFrame:
+def tree_holdout_metrics(lines: DataFrame, split_keys: list[str], method: str = "xxhash64") -> DataFrame:
     """Held-out accuracy / weighted precision, recall and F1 of the tree
     against the seed labels, from the weighted confusion matrix of the test
     side of the histogram (one row)."""
     from tagsmith.operators.evaluate import confusion_metrics
-    model, indexer, _acc, hist = train_gender_tree(lines, split_keys, evaluate=False)
+    model, indexer, _acc, hist = train_gender_tree(lines, split_keys, evaluate=False, method=method)
     test = model.transform(indexer.transform(hist.where("not is_train")))
     cm = test.groupBy(F.col("label").cast("double").alias("l"), F.col("prediction").alias("p")) \
         .agg(F.sum("n").cast("long").alias("n"))
@@ -163,34 +167,26 @@ def tree_holdout_metrics(lines: DataFrame, split_keys: list[str]) -> DataFrame:
 
 def usg_tag(lines: DataFrame, orders: DataFrame, rules: DataFrame, line_order_col: str,
             order_col: str, user_of_order: str, split_keys: list[str], tag_col: str = "usg",
-            user_col: str = "userId", train_pct: int = 80, reuse_counts: bool = True) -> DataFrame:
+            user_col: str = "userId", train_pct: int = 80, method: str = "xxhash64",
+            keep_counts: bool = False) -> DataFrame:
     """End to end: lines with ``color``, ``product``, ``label`` -> tree ->
     per-pair prediction -> per-user vote -> tag.  No lines, no tags.
 
-    The order lines are read once: one pass counts lines per (order, colour,
-    product, label, split side) — the per-line split is kept — and is
-    checkpointed; the training histogram and the vote are both computed from
-    those counts, so the line-level join behind ``lines`` is not repeated
-    for scoring.  ``reuse_counts=False`` skips the checkpoint and lets the
-    vote recompute the counts (a second pass over ``lines``) — cheaper when
-    writing line-sized data to the shared checkpoint store costs more than
-    re-running the join; the result is the same."""
-    split = hash_split(lines, split_keys, train_pct)
-    counts = (split.groupBy(line_order_col, "color", "product", "label", "is_train")
-              .agg(F.count(F.lit(1)).alias("n")))
-    if reuse_counts:
-        counts = cut_lineage(counts)
+    Two passes over the lines, neither written: one counts them into the
+    training histogram (a few hundred rows), the other joins each line with
+    the class predicted for its (colour, product) pair and votes.  Pass
+    ``recent_orders(...)`` to vote over a look-back window."""
     try:
-        hist = counts.groupBy("color", "product", "label", "is_train").agg(F.sum("n").alias("n"))
-        model, indexer, _acc, hist = fit_gender_tree(hist, evaluate=False)
+        model, indexer, _acc, hist = train_gender_tree(lines, split_keys, train_pct, evaluate=False, method=method)
     except EmptyTrainingData:
-        return (orders.select(F.col(user_of_order).alias(user_col)).limit(0)
-                .withColumn(tag_col, F.lit(None).cast("string")))
+        empty = orders.select(F.col(user_of_order).alias(user_col)).limit(0)
+        for c in ("total", "male", "female") if keep_counts else ():
+            empty = empty.withColumn(c, F.lit(None).cast("long"))
+        return empty.withColumn(tag_col, F.lit(None).cast("string"))
     pairs = hist.select("color", "product", "raw_features").dropDuplicates(["color", "product"])
     pred = model.transform(indexer.transform(pairs)).select(
         "color", "product", F.col("prediction").cast("int").alias("_cls"))
     # one prediction per distinct (color, product) pair of the histogram
-    scored = join_small(counts, pred, ["color", "product"], "inner", bound_from=hist)
-    votes = gender_votes(scored, orders, line_order_col, order_col, user_of_order, "_cls", user_col,
-                         weight_col="n")
-    return vote_tag(votes, rules, tag_col, user_col)
+    scored = join_small(lines.select(line_order_col, "color", "product"), pred, ["color", "product"], "inner", bound_from=pred)
+    votes = gender_votes(scored, orders, line_order_col, order_col, user_of_order, "_cls", user_col)
+    return vote_tag(votes, rules, tag_col, user_col, keep_counts=keep_counts)

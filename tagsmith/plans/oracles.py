@@ -17,6 +17,20 @@ from tagsmith.plans.queries import (
     EAS, FIXED_CENTERS, OAS, OLD_AS_OF, TEST_RFE_BANDS, TEST_RFM_BANDS,
 )
 
+# multiclass metrics of the (label l, prediction p) rows of x
+_METRICS = """labels AS (SELECT l, count(*) AS actual, count(*) FILTER (WHERE l = p) AS tp FROM x GROUP BY l),
+preds AS (SELECT p AS l, count(*) AS predicted FROM x GROUP BY p),
+per AS (SELECT a.actual, a.tp,
+               CASE WHEN COALESCE(b.predicted, 0) > 0 THEN a.tp / b.predicted ELSE 0.0 END AS prec,
+               a.tp / a.actual AS rec
+        FROM labels a LEFT JOIN preds b USING (l))
+SELECT round(sum(tp) / sum(actual), 6) AS accuracy,
+       round(sum(actual * prec) / sum(actual), 6) AS weighted_precision,
+       round(sum(actual * rec) / sum(actual), 6) AS weighted_recall,
+       round(sum(actual * CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0.0 END) / sum(actual), 6)
+         AS f1
+FROM per"""
+
 YESTERDAY = "DATE '2001-08-01'"
 
 
@@ -78,6 +92,23 @@ def _assigned() -> str:
             f"FROM (SELECT *, {_dist_list()} AS ds FROM ({_rfm_scores()}) AS s) AS x")
 
 
+def _hash_pct(key: str, start: int) -> str:
+    return f"(CAST(('0x' || substr(md5({key}), {start}, 8)) AS BIGINT) % 100)"
+
+
+def _noisy_goods() -> str:
+    key = "CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)"
+    return (f"SELECT l_orderkey, l_linenumber, color, product, CASE WHEN {_hash_pct(key, 9)} < {SI.NOISE_PCT} "
+            f"THEN 1 - label ELSE label END AS label, {_hash_pct(key, 1)} < 80 AS is_train FROM ({_goods()})")
+
+
+def _majority() -> str:
+    """Class of each (colour, product) pair: the majority of its training
+    lines, which is what a deep enough tree predicts."""
+    return (f"SELECT color, product, CASE WHEN 2 * sum(label) > count(*) THEN 1 ELSE 0 END AS cls "
+            f"FROM ({_noisy_goods()}) WHERE is_train GROUP BY color, product")
+
+
 def _goods() -> str:
     colors = values_sql(SI.COLORS, ["id", "name"])
     products = values_sql(SI.PRODUCTS, ["id", "name"])
@@ -158,7 +189,7 @@ WHERE o_orderstatus <> 'P' AND o_totalprice >= 50000 AND o_totalprice <= 450000
     q["rolling_window"] = " UNION ALL ".join(
         f"SELECT '{label}' AS \"window\", o_orderkey, o_custkey, o_orderdate FROM orders "
         f"WHERE o_orderdate >= {YESTERDAY} - INTERVAL {days} DAY AND o_orderdate < DATE '{OAS}'"
-        for label, days in (("day#30", 30), ("month#6", 180), ("year#1", 365)))
+        for label, days in (("o_orderdate#day#30", 30), ("o_orderdate#month#6", 180), ("o_orderdate#year#1", 365)))
     q["business_scan"] = f"""
 SELECT o_orderkey, o_custkey, o_orderpriority FROM orders
 WHERE o_orderstatus <> 'P' AND o_orderdate >= {YESTERDAY} - INTERVAL 180 DAY AND o_orderdate < DATE '{OAS}'"""
@@ -220,19 +251,49 @@ SELECT 'o_orderpriority', o_orderpriority, count(*) FROM orders GROUP BY o_order
     q["rfm_weighted"] = (f"SELECT userId, r_score * CAST(0.25 AS DOUBLE) + f_score * CAST(0.25 AS DOUBLE) "
                          f"+ m_score * CAST(0.5 AS DOUBLE) AS value "
                          f"FROM ({_rfm_scores()})")
+    bad = "o_orderkey % 97 = 0 OR o_orderkey % 89 = 0"
+    q["rfm_text"] = f"""
+SELECT CAST(o_custkey AS VARCHAR) AS userId,
+       CAST(datediff('day', CAST(max(o_orderdate) AS DATE), DATE '{OAS}') AS INTEGER) AS recency,
+       count(*) AS frequency,
+       CAST(CAST(sum(CASE WHEN {bad} THEN NULL ELSE CAST(o_totalprice AS DECIMAL(20,2)) END) AS DECIMAL(30,2)) AS DOUBLE) AS monetary
+FROM orders WHERE o_orderdate < TIMESTAMP '{OAS}' AND o_orderkey % 83 <> 0 GROUP BY o_custkey"""
+    q["malformed_amounts"] = f"SELECT count(*) FILTER (WHERE {bad}) AS malformed, CAST(0 AS BIGINT) AS missing FROM orders"
+    total = "SELECT count(*) FROM v"
+    q["rfm_value_ranks"] = f"""
+WITH v AS ({q['rfm_weighted']})
+SELECT userId, value, rank() OVER (ORDER BY value DESC) AS "rank",
+       rank() OVER (ORDER BY value DESC) <= ceil(0.2 * ({total})) AS is_top FROM v"""
+    q["rfe_activity_ranks"] = f"""
+WITH v AS (SELECT userId, r_score + f_score + e_score AS activity FROM ({_rfe_scores()}))
+SELECT userId, activity, rank() OVER (ORDER BY activity DESC) AS "rank",
+       rank() OVER (ORDER BY activity DESC) <= ceil(0.1 * ({total})) AS is_top FROM v"""
+    q["rfm_value_per_cluster"] = f"""
+SELECT prediction, count(*) AS users, round(avg(value), 6) AS mean_value, round(sum(value), 6) AS total_value FROM (
+  SELECT prediction, 0.25 * r_score + 0.25 * f_score + 0.5 * m_score AS value FROM ({_assigned()})) GROUP BY prediction"""
+    for kind, metrics_sql, cols in (("rfm", _rfm_scores(), "r_score, f_score, m_score"), ("rfe", _rfe_scores(), "r_score, f_score, e_score")):
+        q[f"{kind}_segments_report"] = f"""
+SELECT count(*) AS users, count(*) AS tagged, count(DISTINCT ({cols})) AS vectors, CAST(0 AS BIGINT) AS two_tags,
+       CAST(0 AS BIGINT) AS not_nearest, CAST(0 AS BIGINT) AS inversions FROM ({metrics_sql})"""
+    split = _hash_pct("CAST(vec_id AS VARCHAR)", 1)
+    q["logreg_report"] = f"""
+WITH e AS (SELECT label, {split} < 80 AS is_train FROM embeddings)
+SELECT label, CAST(row_number() OVER (ORDER BY count(*) FILTER (WHERE is_train) DESC, CAST(label AS VARCHAR)) - 1 AS DOUBLE) AS label_idx,
+       count(*) AS "rows", count(*) FILTER (WHERE is_train) AS train_rows, CAST(0 AS BIGINT) AS outside
+FROM e GROUP BY label"""
     q["rfe_metrics"] = _rfe_metrics()
     q["rfe_scores"] = _rfe_scores()
     q["rfe_default_scores"] = _rfe_scores(RFE_BANDS)
     q["rfe_lifecycle"] = f"""
 WITH e AS (SELECT user_id, ts, event_type || props AS url FROM events
-           WHERE event_type = 'purchase' AND ts < TIMESTAMP '{EAS}'),
+           WHERE ts < TIMESTAMP '{EAS}'),
 g AS (SELECT user_id, max(CASE WHEN gap > INTERVAL 7 DAY THEN 1 ELSE 0 END) AS has_gap FROM (
         SELECT user_id, ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS gap FROM e) GROUP BY user_id),
 u AS (SELECT user_id,
              datediff('day', CAST(max(ts) AS DATE), DATE '{EAS}') AS d,
              datediff('day', CAST(min(ts) AS DATE), DATE '{EAS}') AS first_d,
-             count(*) FILTER (WHERE CAST(ts AS DATE) = DATE '{EAS}' - INTERVAL 1 DAY) AS lv,
-             count(DISTINCT url) FILTER (WHERE CAST(ts AS DATE) = DATE '{EAS}' - INTERVAL 1 DAY) AS lp
+             count(*) FILTER (WHERE ts >= TIMESTAMP '{EAS}' - INTERVAL 1 DAY) AS lv,
+             count(DISTINCT url) FILTER (WHERE ts >= TIMESTAMP '{EAS}' - INTERVAL 1 DAY) AS lp
       FROM e GROUP BY user_id)
 SELECT u.user_id AS userId,
        CASE WHEN lv >= 2 AND lv = lp THEN 'loyal'
@@ -281,9 +342,18 @@ SELECT c.c_custkey AS userId, c.c_mktsegment, r.label_idx FROM customer c JOIN r
               f"CAST(o.o_orderdate AS DATE) >= DATE '{OAS}' - INTERVAL 180 DAY")
     q["usg_vote_recent"] = (f"SELECT v.userId, v.total, v.male, v.female, t.name AS usg FROM ({_votes(recent)}) v "
                             f"LEFT JOIN {_rules(380)} t ON {_vote_class()} = t.rule")
-    # The tree learns the seed rule from (colour, product); on these tables it
-    # reproduces it exactly, so the tree's tags equal the seed-label vote.
-    q["usg_tree"] = f"SELECT userId, usg FROM ({q['usg_vote']})"
+    voted = f"""
+SELECT o.o_custkey AS userId, count(*) AS total,
+       CAST(sum(CASE WHEN m.cls = 0 THEN 1 ELSE 0 END) AS BIGINT) AS male,
+       CAST(sum(CASE WHEN m.cls = 1 THEN 1 ELSE 0 END) AS BIGINT) AS female
+FROM ({_goods()}) g JOIN ({_majority()}) m USING (color, product) JOIN orders o ON g.l_orderkey = o.o_orderkey
+GROUP BY o.o_custkey"""
+    q["usg_tree"] = (f"SELECT v.userId, v.total, v.male, v.female, t.name AS usg FROM ({voted}) v "
+                     f"LEFT JOIN {_rules(380)} t ON {_vote_class()} = t.rule")
+    q["usg_tree_metrics"] = f"""
+WITH x AS (SELECT g.label AS l, m.cls AS p FROM ({_noisy_goods()}) g JOIN ({_majority()}) m USING (color, product)
+           WHERE NOT g.is_train),
+{_METRICS}"""
     q["hash_split"] = ("SELECT o_orderkey, (CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8)) AS BIGINT)"
                        " % 100) < 80 AS is_train FROM orders")
     q["classification_metrics"] = f"""
@@ -291,18 +361,18 @@ WITH v AS (SELECT userId, CASE WHEN male / total >= 0.6 THEN 0 WHEN female / tot
            FROM ({_votes()})),
 x AS (SELECT g.label AS l, v.p FROM ({_goods()}) g JOIN orders o ON g.l_orderkey = o.o_orderkey
       JOIN v ON v.userId = o.o_custkey),
-labels AS (SELECT l, count(*) AS actual, count(*) FILTER (WHERE l = p) AS tp FROM x GROUP BY l),
-preds AS (SELECT p AS l, count(*) AS predicted FROM x GROUP BY p),
-per AS (SELECT a.actual, a.tp,
-               CASE WHEN COALESCE(b.predicted, 0) > 0 THEN a.tp / b.predicted ELSE 0.0 END AS prec,
-               a.tp / a.actual AS rec
-        FROM labels a LEFT JOIN preds b USING (l))
-SELECT round(sum(tp) / sum(actual), 6) AS accuracy,
-       round(sum(actual * prec) / sum(actual), 6) AS weighted_precision,
-       round(sum(actual * rec) / sum(actual), 6) AS weighted_recall,
-       round(sum(actual * CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0.0 END) / sum(actual), 6)
-         AS f1
-FROM per"""
+{_METRICS}"""
+    nations = (f"SELECT c.c_custkey AS userId, n.name AS nationality FROM customer c "
+               f"JOIN {_rules(332)} n ON CAST(c.c_nationkey AS VARCHAR) = n.rule")
+    parts = [("segment", _segment()), ("nationality", nations), ("consumercycle", _consume_cycle(OAS)),
+             ("agerange", _age_band()), ("payment", _pay_type(f"o_orderdate < TIMESTAMP '{OAS}'")),
+             ("lifecycle", q["rfe_lifecycle"])]
+    names = [n for n, _ in parts]
+    rows = " UNION ALL ".join(
+        "SELECT userId, " + ", ".join(m if m == n else f"CAST(NULL AS VARCHAR) AS {m}" for m in names) + f" FROM ({sql}) AS s"
+        for n, sql in parts)
+    q["profile_full_untrained"] = (f"SELECT userId, {', '.join(f'max({n}) AS {n}' for n in names)} FROM ({rows}) u "
+                                   f"GROUP BY userId")
     q["profile_wide"] = _profile(OAS)
     old, new = _profile(OLD_AS_OF), _profile(OAS, with_segment=False)
     q["profile_upsert"] = f"""

@@ -2,8 +2,9 @@
 
 Each query is ``(spark, sf_dir) -> DataFrame`` and reads whole tables.  Every
 query with an SQL form has an independent DuckDB statement in ``ORACLES``
-with the same column names and types.  KMeans / tree / regression results
-depend on training and are checked by row count only.
+with the same column names and types.  KMeans and regression results depend
+on training; each has a companion query that reports invariants of the result
+(or its untrained columns) and is checked against SQL.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tagsmith.functions.dates import before_as_of
 from tagsmith.functions.scores import Bands
 from tagsmith.operators import bands as B
 from tagsmith.operators import evaluate as E
@@ -57,6 +59,7 @@ CONDITIONS = ["o_orderstatus[NE]P", "o_totalprice[GE]50000", "o_totalprice[le]45
 SCAN_RULE = ("inType=parquet\ntable=orders\nselectFieldNames=o_orderkey,o_custkey,o_orderpriority\n"
              "whereCondition=o_orderdate#month#6\nfilterConditions=o_orderstatus[NE]P")
 OLD_AS_OF = "2000-01-01"
+SOURCE_KEYS = ("inType", "table", "path", "whereCondition", "filterConditions")
 
 
 def _tags(spark):
@@ -123,8 +126,8 @@ def q_order_span(spark, d):
 
 
 def q_pay_type(spark, d):
-    return run_tag(spark, _tags(spark), 356, d,
-                   lambda biz, rules: ST.pay_type_tag(biz, "o_custkey", "o_orderpriority", rules))
+    o = before_as_of(SI.orders(spark, d), "o_orderdate", OAS)
+    return ST.pay_type_tag(o, "o_custkey", "o_orderpriority", attribute_rules(_tags(spark), 356))
 
 
 def q_tag_lookup(spark, d):
@@ -134,14 +137,15 @@ def q_tag_lookup(spark, d):
     tags = _tags(spark)
     result = run_tag(spark, tags, 356, d,
                      lambda biz, rules: ST.pay_type_tag(biz, "o_custkey", "o_orderpriority", rules))
-    counts = result.rollup("payment").agg(F.count(F.lit(1)).alias("users"),
-                                         F.grouping("payment").alias("_total"))
+    per_tag = result.groupBy("payment").agg(F.count(F.lit(1)).alias("n"))
+    counts = per_tag.rollup("payment").agg(F.sum("n").alias("users"), F.grouping("payment").alias("_total"))
     counts = counts.select(F.when(F.col("_total") == 1, F.lit("#all")).otherwise(F.col("payment")).alias("_key"),
                            "users")
     looked_up = tag_lookup(tags, 356)
     keyed = looked_up.withColumn("_key", F.when(F.col("level") == 4, F.lit("#all")).otherwise(F.col("name")))
     return (keyed.join(counts, "_key", "left")
-            .select("id", "name", "rule", "level", F.coalesce(F.col("users"), F.lit(0)).alias("users")))
+            .select("id", "name", "rule", "level", F.coalesce(F.col("users"), F.lit(0)).alias("users"))
+            .orderBy("level", "id"))
 
 
 def q_range_rules(spark, d):
@@ -156,18 +160,21 @@ def q_range_rules(spark, d):
 
 def q_rule_options(spark, d):
     """Every business tag's rule parsed into (key, value) rows, with the
-    number of rows its source holds.  The rules are parsed in the JVM
-    (``str_to_map``); the business tags are a handful of catalogue rows, and
-    each source is counted by one scan (all in one job)."""
+    number of rows its source holds.  The rules are parsed in the JVM; rules
+    that read the same rows (table and conditions) share one count, all in
+    one job."""
     from functools import reduce
     from tagsmith.functions.rules import rule_options
     tags = _tags(spark)
     business = tags.where((F.col("level") == 4) & F.col("rule").isNotNull())
-    pairs = business.select("id", F.explode(rule_options("rule")).alias("key", "value"))
+    options = rule_options("rule")
+    source = F.concat_ws("|", *(F.coalesce(options[k], F.lit("")) for k in SOURCE_KEYS))
+    pairs = business.select("id", source.alias("source"), F.explode(options).alias("key", "value"))
+    # one row per source, of which there are as many as business tables
+    one = business.groupBy(source.alias("source")).agg(F.min("rule").alias("rule")).collect()
     counts = [business_scan(spark, scan_options(r.rule), d).agg(F.count(F.lit(1)).alias("rows"))
-              .select(F.lit(r.id).cast("long").alias("id"), "rows")
-              for r in business.select("id", "rule").collect()]
-    return pairs.join(reduce(lambda a, b: a.unionByName(b), counts), "id")
+              .select(F.lit(r.source).alias("source"), "rows") for r in one]
+    return pairs.join(reduce(lambda a, b: a.unionByName(b), counts), "source").drop("source")
 
 
 def q_top_n_per_group(spark, d):
@@ -194,6 +201,35 @@ def _rfm_scores(spark, d):
     return X.rfm_scores(_rfm_metrics(spark, d), TEST_RFM_BANDS)
 
 
+def q_rfm_text(spark, d):
+    """RFM metrics over all-text orders, some of them malformed."""
+    m = X.rfm_metrics(SI.text_orders(spark, d), "memberid", "ordersn", "orderamount", "finishtime", OAS)
+    return m.withColumn("monetary", F.col("monetary").cast("double"))
+
+
+def q_malformed_amounts(spark, d):
+    return X.malformed_amounts(SI.text_orders(spark, d), "orderamount")
+
+
+def q_rfm_value_ranks(spark, d):
+    """Users ranked by weighted value, and the best fifth of them."""
+    return X.value_ranks(X.weighted_score(_rfm_scores(spark, d)), top_share=0.2)
+
+
+def q_rfe_activity_ranks(spark, d):
+    """Users ranked by their activity (equal weights of the RFE scores)."""
+    return X.value_ranks(X.weighted_score(_rfe_scores(spark, d), {c: 1.0 for c in RFE_COLS}, "activity"),
+                         top_share=0.1, value_col="activity")
+
+
+def q_rfm_value_per_cluster(spark, d):
+    hist = S.score_histogram(_rfm_scores(spark, d), RFM_COLS)
+    value = sum((F.col(c) * F.lit(w) for c, w in X.RFM_WEIGHTS.items()), F.lit(0.0))
+    got = X.value_per_cluster(S.nearest_center(hist, RFM_COLS, FIXED_CENTERS), value, weight_col="n")
+    return got.select("prediction", "users", F.round("mean_value", 6).alias("mean_value"),
+                      F.round("total_value", 6).alias("total_value"))
+
+
 def _rfe_metrics(spark, d):
     return X.rfe_metrics(SI.logs(spark, d), "user_id", "loc_url", "ts", EAS)
 
@@ -231,7 +267,7 @@ def q_rfe_default_scores(spark, d):
 
 
 def q_rfe_lifecycle(spark, d):
-    return X.lifecycle_tag(SI.logs(spark, d, purchases_only=True), "user_id", "loc_url", "ts", EAS)
+    return X.lifecycle_tag(SI.logs(spark, d), "user_id", "loc_url", "ts", EAS)
 
 
 # ---------------------------------------------------------------- KMeans steps
@@ -239,21 +275,34 @@ def q_nearest_center(spark, d):
     return S.nearest_center(_rfm_scores(spark, d), RFM_COLS, FIXED_CENTERS).select("userId", "prediction")
 
 
+def _rfm_assigned_vectors(spark, d):
+    """The distinct score vectors (a few hundred at most) with their users and
+    nearest fixed centre."""
+    hist = S.score_histogram(_rfm_scores(spark, d), RFM_COLS)
+    return S.nearest_center(hist, RFM_COLS, FIXED_CENTERS)
+
+
 def q_wssse(spark, d):
-    return S.wssse(_rfm_scores(spark, d), RFM_COLS, FIXED_CENTERS)
+    return S.wssse(S.score_histogram(_rfm_scores(spark, d), RFM_COLS), RFM_COLS, FIXED_CENTERS, weight_col="n")
 
 
 def q_center_rank_tags(spark, d):
-    assigned = S.nearest_center(_rfm_scores(spark, d), RFM_COLS, FIXED_CENTERS)
-    centers = S.update_centers(assigned, RFM_COLS)
+    centers = S.update_centers(_rfm_assigned_vectors(spark, d), RFM_COLS, weight_col="n")
     ranked = S.rank_centers(centers, RFM_COLS, attribute_rules(_tags(spark), 361))
     return ranked.select("prediction", F.round("center_sum", 6).alias("center_sum"),
                          F.col("rank").cast("int").alias("rank"), "points", "tag")
 
 
 def q_cluster_profile(spark, d):
-    assigned = S.nearest_center(_rfm_scores(spark, d), RFM_COLS, FIXED_CENTERS)
-    return S.cluster_profile(assigned, RFM_COLS)
+    return S.cluster_profile(_rfm_assigned_vectors(spark, d), RFM_COLS, weight_col="n")
+
+
+def q_rfm_segments_report(spark, d):
+    return S.segment_report(_rfm_scores(spark, d), RFM_COLS, attribute_rules(_tags(spark), 361))
+
+
+def q_rfe_segments_report(spark, d):
+    return S.segment_report(_rfe_scores(spark, d), RFE_COLS, attribute_rules(_tags(spark), 367))
 
 
 def q_rfm_segments(spark, d):
@@ -274,7 +323,7 @@ def q_rfe_segments(spark, d):
 # ---------------------------------------------------------------- feature stages
 def q_minmax_scale(spark, d):
     cols = ["recency", "frequency", "monetary"]
-    scaled = E.minmax_scale(_rfm_metrics(spark, d), cols)
+    scaled = E.minmax_scale(cut_lineage(_rfm_metrics(spark, d)), cols)
     return scaled.select("userId", *[F.round(F.col("scaled")[i], 6).alias(f"{c}_scaled")
                                      for i, c in enumerate(cols)])
 
@@ -353,14 +402,18 @@ def q_classification_metrics(spark, d):
     return m.select(*[F.round(c, 6).alias(c) for c in m.columns])
 
 
+SPLIT_KEYS = ["l_orderkey", "l_linenumber"]
+
+
 def q_usg_tree(spark, d):
+    """Shopping gender by the tree, trained on noisy seed labels."""
     o = load_table(spark, d, "orders", ["o_orderkey", "o_custkey"])
-    return U.usg_tag(_usg_lines(spark, d), o, attribute_rules(_tags(spark), 380),
-                     "l_orderkey", "o_orderkey", "o_custkey", ["l_orderkey", "l_linenumber"])
+    return U.usg_tag(SI.noisy_goods(spark, d), o, attribute_rules(_tags(spark), 380),
+                     "l_orderkey", "o_orderkey", "o_custkey", SPLIT_KEYS, method="md5", keep_counts=True)
 
 
 def q_logreg_classify(spark, d):
-    e = E.hash_split(load_table(spark, d, "embeddings", ["vec_id", "embedding", "label"]), ["vec_id"])
+    e = E.hash_split(load_table(spark, d, "embeddings", ["vec_id", "embedding", "label"]), ["vec_id"], method="md5")
     model, _ = E.train_classifier(e.where("is_train"), "embedding", "label")
     scored = model.transform(E.prepare_features(e, "embedding")[0])
     return scored.select("vec_id", "label", "label_idx", F.col("prediction").alias("predicted_index"),
@@ -374,8 +427,20 @@ def q_logreg_metrics(spark, d):
     return E.classification_metrics(scored, "label_idx", "predicted_index")
 
 
+def q_logreg_report(spark, d):
+    """Facts about the classifier's output that SQL knows too: rows, training
+    rows, the training class of each index (its rank by frequency) and how
+    many rows have a prediction outside the classes."""
+    scored = q_logreg_classify(spark, d)
+    per = scored.groupBy("label", "label_idx").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("is_train").alias("train_rows"),
+        F.sum(F.when(F.col("predicted_index").between(0, 9), 0).otherwise(1)).alias("outside"))
+    return per.select("label", "label_idx", "rows", "train_rows", "outside")
+
+
 def q_usg_tree_metrics(spark, d):
-    return U.tree_holdout_metrics(_usg_lines(spark, d), ["l_orderkey", "l_linenumber"])
+    m = U.tree_holdout_metrics(SI.noisy_goods(spark, d), SPLIT_KEYS, method="md5")
+    return m.select(*[F.round(c, 6).alias(c) for c in m.columns])
 
 
 # ---------------------------------------------------------------- profile
@@ -397,8 +462,8 @@ def _profile(spark, d, as_of, with_segment=True):
 def q_profile_full(spark, d):
     """Every tag pipeline on the stand-ins, merged into one row per user:
     segment, nationality, consumption cycle and age band, payment, RFM and
-    RFE segments, lifecycle and shopping gender (rows only: it includes the
-    KMeans segments)."""
+    RFE segments, lifecycle and shopping gender.  ``profile_full_untrained``
+    checks its untrained columns against SQL."""
     tags = _tags(spark)
     # the match tags on the users table in one scan
     matched = match_tags(SI.users(spark, d), "c_custkey",
@@ -413,10 +478,15 @@ def q_profile_full(spark, d):
     rfm = S.segment_by_kmeans(X.rfm_scores(metrics, TEST_RFM_BANDS), RFM_COLS, attribute_rules(tags, 361), "rfm")
     return PR.profile_wide([
         matched, cycle, age, q_pay_type(spark, d), rfm,
-        q_rfe_segments(spark, d), q_rfe_lifecycle(spark, d), q_usg_tree(spark, d),
+        q_rfe_segments(spark, d), q_rfe_lifecycle(spark, d), q_usg_tree(spark, d).select("userId", "usg"),
     ])
 
 
+def q_profile_full_untrained(spark, d):
+    return q_profile_full(spark, d).select("userId", "segment", "nationality", "consumercycle", "agerange", "payment",
+                                           "lifecycle")
+
+
 def q_profile_wide(spark, d):
     return _profile(spark, d, OAS)
 
@@ -448,6 +518,11 @@ QUERIES: dict[str, Query] = {
     "rfm_scores": q_rfm_scores,
     "rfm_default_scores": q_rfm_default_scores,
     "rfm_weighted": q_rfm_weighted,
+    "rfm_text": q_rfm_text,
+    "malformed_amounts": q_malformed_amounts,
+    "rfm_value_ranks": q_rfm_value_ranks,
+    "rfe_activity_ranks": q_rfe_activity_ranks,
+    "rfm_value_per_cluster": q_rfm_value_per_cluster,
     "rfe_metrics": q_rfe_metrics,
     "rfe_scores": q_rfe_scores,
     "rfe_default_scores": q_rfe_default_scores,
@@ -458,6 +533,8 @@ QUERIES: dict[str, Query] = {
     "cluster_profile": q_cluster_profile,
     "rfm_segments": q_rfm_segments,
     "rfe_segments": q_rfe_segments,
+    "rfm_segments_report": q_rfm_segments_report,
+    "rfe_segments_report": q_rfe_segments_report,
     "minmax_scale": q_minmax_scale,
     "l2_normalize": q_l2_normalize,
     "label_index": q_label_index,
@@ -471,8 +548,10 @@ QUERIES: dict[str, Query] = {
     "usg_tree": q_usg_tree,
     "logreg_classify": q_logreg_classify,
     "logreg_metrics": q_logreg_metrics,
+    "logreg_report": q_logreg_report,
     "usg_tree_metrics": q_usg_tree_metrics,
     "profile_wide": q_profile_wide,
     "profile_full": q_profile_full,
+    "profile_full_untrained": q_profile_full_untrained,
     "profile_upsert": q_profile_upsert,
 }

@@ -38,12 +38,6 @@ def orders(spark: SparkSession, d: str) -> DataFrame:
                       ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"])
 
 
-def first_order_birthdays(spark: SparkSession, d: str) -> DataFrame:
-    """Stand-in birthday: a customer's first order date."""
-    o = load_table(spark, d, "orders", ["o_custkey", "o_orderdate"])
-    return o.groupBy("o_custkey").agg(F.min("o_orderdate").alias("birthday"))
-
-
 def parts(spark: SparkSession, d: str) -> DataFrame:
     p = load_table(spark, d, "part", ["p_partkey", "p_name", "p_type"])
     return p.select("p_partkey", F.split("p_name", " ").getItem(0).alias("ogcolor"),
@@ -74,8 +68,28 @@ def goods(spark: SparkSession, d: str) -> DataFrame:
     return li.join(p, li["l_partkey"] == p["p_partkey"], "inner").drop("p_partkey", "l_partkey")
 
 
-def logs(spark: SparkSession, d: str, purchases_only: bool = False) -> DataFrame:
+# share of order lines (percent, by a hash of the line's key) whose seed label is flipped
+NOISE_PCT = 15
+
+
+def noisy_goods(spark: SparkSession, d: str) -> DataFrame:
+    """``goods`` with some seed labels flipped, so the label is no function
+    of the codes and a tree has to find the majority."""
+    key = F.md5(F.concat_ws("|", "l_orderkey", "l_linenumber"))
+    flip = F.pmod(F.conv(F.substring(key, 9, 8), 16, 10).cast("long"), F.lit(100)) < NOISE_PCT
+    return goods(spark, d).withColumn("label", F.when(flip, 1 - F.col("label")).otherwise(F.col("label")))
+
+
+def text_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as the reference's stores hold them: every column text, times as
+    epoch seconds; some amounts and times malformed."""
+    o, k = orders(spark, d), F.col("o_orderkey")
+    amount = F.when(k % 97 == 0, "n/a").when(k % 89 == 0, "").otherwise(F.col("o_totalprice").cast("string"))
+    time = F.when(k % 83 == 0, "soon").otherwise(F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).cast("string"))
+    return o.select(F.col("o_custkey").cast("string").alias("memberid"), k.cast("string").alias("ordersn"),
+                    amount.alias("orderamount"), time.alias("finishtime"))
+
+
+def logs(spark: SparkSession, d: str) -> DataFrame:
     e = load_table(spark, d, "events", ["user_id", "ts", "event_type", "props"])
-    if purchases_only:
-        e = e.where(F.col("event_type") == "purchase")
     return e.select("user_id", "ts", F.concat("event_type", "props").alias("loc_url"))

@@ -72,15 +72,17 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) is a scratch folder created.
-    """
+    ``spark.checkpoint.dir`` names a folder that all executors share and is
+    used as is.  Where it is unset, a local session (tests, bench) gets a
+    scratch folder and a cluster session raises."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tagsmith-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -102,8 +102,8 @@ def rolling_window(df: DataFrame, spec: str, as_of) -> DataFrame:
 def rolling_windows(df: DataFrame, specs: list[str], as_of, label_col: str = "window") -> DataFrame:
     """Several rolling windows in one scan: the OR of the windows is pushed
     to the reader, and each row is emitted once per window it falls in, with
-    ``label_col`` = ``unit#amount``."""
-    preds = [(spec.split("#", 1)[1], _window_predicate(df, spec, as_of)) for spec in specs]
+    ``label_col`` = the window's ``field#unit#amount``."""
+    preds = [("#".join(p.strip() for p in spec.split("#")), _window_predicate(df, spec, as_of)) for spec in specs]
     hits = F.array(*[F.when(p, F.lit(label)) for label, p in preds])
     any_hit = functools.reduce(operator.or_, [p for _, p in preds])
     return (df.where(any_hit).select(F.explode(F.array_compact(hits)).alias(label_col), *df.columns))

@@ -11,14 +11,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its file system.  Any failure to tell (no
+    permission, no connection) is raised."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(conf).exists(p))
+
+
 def is_committed(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a committed Parquet result (the commit
-    protocol only moves data files into place when the job succeeds)."""
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - forces file listing
-        return True
-    except Exception:  # missing folder, or only a half-written temporary tree
-        return False
+    """True when ``path`` holds the marker that the commit protocol writes
+    after all data files of a job are in place."""
+    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
 def write_profile(df: DataFrame, base_path: str, version: str, key: str = "userId",
@@ -45,12 +49,9 @@ def read_profile(spark: SparkSession, base_path: str, version: str) -> DataFrame
 def load_or_train(path: str, model_cls, train):
     """Load a saved model of ``model_cls`` from ``path``; if there is none,
     call ``train()`` and save its result there."""
-    try:
+    spark = SparkSession.active()
+    if is_committed(spark, f"{path.rstrip('/')}/metadata"):
         return model_cls.load(path)
-    except Exception as exc:  # Spark raises a JVM error for a missing path
-        if "does not exist" not in str(exc) and "Path does not exist" not in str(exc) \
-                and "FileNotFound" not in str(exc) and "PATH_NOT_FOUND" not in str(exc):
-            raise
     model = train()
     model.write().overwrite().save(path)
     return model

@@ -62,3 +62,12 @@ def test_nightly_profile_on_reference_format(spark):
     alone = {r.userId: r.consumercycle for r in
              consume_cycle_tag(orders, "memberid", "finishtime", attribute_rules(tags, 347), "2024-06-01").collect()}
     assert {u: by[u].consumercycle for u in by if by[u].consumercycle} == alone
+
+    # a run at an earlier clock: every tag sees the orders before it only
+    import pytest
+    early = {r.userId: r for r in nightly_profile(tags, users, orders, None, None, None, None, "2024-03-01", lookback_days=60).collect()}
+    lo, hi = (int(dt.datetime(2024, m, d, tzinfo=dt.timezone.utc).timestamp()) for m, d in ((1, 1), (3, 1)))
+    paid = {r.memberid for r in orders.collect() if lo <= int(r.finishtime) < hi}
+    assert {u for u, r in early.items() if r.payment} == paid == {u for u, r in early.items() if r.rfm}
+    with pytest.raises(ValueError, match="job"):
+        nightly_profile(tags, users.drop("job"), orders, None, None, None, None, "2024-06-01")

@@ -9,7 +9,7 @@ from tagsmith.operators.rfx import (
     lifecycle_tag, rfe_metrics, rfm_metrics, rfm_scores, weighted_score,
 )
 from tagsmith.operators.segment import (
-    center_ranks, fit_kmeans, nearest_center, score_histogram, segment_by_kmeans, wssse,
+    assemble, center_ranks, fit_kmeans, nearest_center, score_histogram, segment_by_kmeans, wssse,
 )
 from tagsmith.plans.catalog import attribute_rules
 
@@ -105,7 +105,7 @@ def test_weighted_histogram_cost_equals_per_user_cost(spark, scores):
     cols = ["r_score", "f_score", "m_score"]
     hist = score_histogram(scores, cols)
     assert hist.count() <= 125 and hist.agg(F.sum("n")).first()[0] == 3000
-    model, trials = fit_kmeans(hist, cols, 5)
+    model, trials = fit_kmeans(assemble(hist, cols).cache(), 5)
     assert [t[1] for t in trials] == [5, 10, 20]
     assert model.summary.trainingCost == pytest.approx(min(t[0] for t in trials))
     centers = [tuple(map(float, c)) for c in model.clusterCenters()]
@@ -158,8 +158,8 @@ def test_lifecycle_last_24h_with_timestamp_clock(spark):
 
 
 def test_segment_with_fewer_distinct_vectors_than_k(spark, tags):
-    """Reference bands on small data: two distinct score vectors, five tags.
-    Each vector is its own cluster; the higher sum gets the higher-value tag."""
+    """Two distinct score vectors, five tags: KMeans finds two centres, and
+    the ranks that exist are named."""
     rows = [(i, 5.0, 1.0, 2.0) if i % 3 else (i, 1.0, 1.0, 1.0) for i in range(30)]
     scores = spark.createDataFrame(rows, "userId long, r_score double, f_score double, m_score double")
     got = {r.userId: r.rfm for r in segment_by_kmeans(scores, ["r_score", "f_score", "m_score"],
@@ -169,6 +169,55 @@ def test_segment_with_fewer_distinct_vectors_than_k(spark, tags):
     assert {got[i] for i in range(30) if not i % 3} == {"upper-middle value"}
 
 
+@pytest.mark.parametrize("scale", [False, True])
+def test_saved_model_gives_a_vector_the_same_tag_every_day(spark, tags, scores, tmp_path, scale):
+    cols, rules, path = ["r_score", "f_score", "m_score"], attribute_rules(tags, 361), f"{tmp_path}/m{scale}"
+    args = dict(score_cols=cols, rules=rules, tag_col="rfm", model_path=path, scale=scale)
+    first = {r.userId: r.rfm for r in segment_by_kmeans(scores, **args).collect()}
+    vec = {r.userId: (r.r_score, r.f_score, r.m_score) for r in scores.collect()}
+    tag_of = {vec[u]: t for u, t in first.items()}
+    some = sorted(tag_of)[10:13]  # another day: three vectors only
+    day = spark.createDataFrame([(i, *v) for i, v in enumerate(some)], scores.schema)
+    assert {r.userId: r.rfm for r in segment_by_kmeans(day, **args).collect()} == {i: tag_of[v] for i, v in enumerate(some)}
+
+
+def test_users_with_a_null_score_stay(spark, tags, scores):
+    cols = ["r_score", "f_score", "m_score"]
+    more = scores.union(spark.createDataFrame([(9001, None, 1.0, 1.0)], scores.schema))
+    got = {r.userId: r.rfm for r in segment_by_kmeans(more, cols, attribute_rules(tags, 361), "rfm").collect()}
+    assert len(got) == 3001 and got[9001] is None and all(t for u, t in got.items() if u != 9001)
+    only = spark.createDataFrame([(1, None, None, None)], scores.schema)
+    assert [tuple(r) for r in segment_by_kmeans(only, cols, attribute_rules(tags, 361), "rfm").collect()] == [(1, None)]
+
+
+def test_lifecycle_visit_exactly_a_day_ago(spark):
+    now = dt.datetime(2020, 1, 31)
+    rows = [(1, "/a", dt.datetime(2020, 1, 30)), (1, "/b", dt.datetime(2020, 1, 30, 12)), (1, "/x", dt.datetime(2020, 1, 2)),
+            (2, "/a", dt.datetime(2020, 1, 29, 23, 59, 59, 999999)), (2, "/b", dt.datetime(2020, 1, 30, 12)), (2, "/x", dt.datetime(2020, 1, 2))]
+    logs = spark.createDataFrame(rows, "u long, url string, t timestamp_ntz")
+    got = {r.userId: r.lifecycle for r in lifecycle_tag(logs, "u", "url", "t", now).collect()}
+    assert got == {1: "loyal", 2: "returning"}
+
+
+def test_malformed_and_large_amounts(spark):
+    from tagsmith.operators.rfx import malformed_amounts
+    rows = [(1, "a", "abc"), (1, "b", " 2.50 "), (1, "c", None), (2, "d", "100000000"), (2, "e", "1e5"), (3, "f", "")]
+    o = spark.createDataFrame([(*r, dt.datetime(2020, 1, 1)) for r in rows], "u long, o string, m string, t timestamp_ntz")
+    got = {r.userId: (r.frequency, r.monetary) for r in rfm_metrics(o, "u", "o", "m", "t", AS_OF).collect()}
+    assert got == {1: (3, Decimal("2.50")), 2: (2, Decimal("100100000.00")), 3: (1, None)}
+    assert tuple(malformed_amounts(o, "m").first()) == (2, 1)
+
+
+def test_value_ranks_and_clusters(spark):
+    from tagsmith.operators.rfx import value_per_cluster, value_ranks
+    v = spark.createDataFrame([(1, 5.0), (2, 4.0), (3, 5.0), (4, 1.0), (5, None)], "userId long, value double")
+    got = {r.userId: (r.rank, r.is_top) for r in value_ranks(v, top_share=0.5).collect()}
+    assert got == {1: (1, True), 3: (1, True), 2: (3, False), 4: (4, False), 5: (None, False)}
+    a = spark.createDataFrame([(0, 2.0, 3), (0, 4.0, 1), (1, 1.0, 2)], "prediction int, value double, n long")
+    assert {r.prediction: (r.users, r.mean_value, r.total_value) for r in value_per_cluster(a, "value", weight_col="n").collect()} \
+        == {0: (4, 2.5, 10.0), 1: (2, 1.0, 2.0)}
+
+
 def test_segment_per_user_training_matches_invariants(spark, tags, scores):
     cols = ["r_score", "f_score", "m_score"]
     seg = segment_by_kmeans(scores, cols, attribute_rules(tags, 361), "rfm", weighted=False).collect()

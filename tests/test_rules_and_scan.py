@@ -119,7 +119,7 @@ def test_rolling_windows_single_scan_matches_separate(spark):
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey", "o_orderdate")
     specs = ["o_orderdate#day#30", "o_orderdate#month#6", "o_orderdate#year#1"]
     one = sorted((r.window, r.o_orderkey) for r in rolling_windows(o, specs, "2001-08-02").collect())
-    sep = sorted((s.split("#", 1)[1], r.o_orderkey) for s in specs
+    sep = sorted((s, r.o_orderkey) for s in specs
                  for r in rolling_window(o, s, "2001-08-02").collect())
     assert one == sep and len(one) > 0
     tree = plan_text(rolling_windows(o, specs, "2001-08-02")).split("\n\n(1)")[0]
@@ -146,3 +146,30 @@ def test_business_scan_every_input_type(spark, fmt):
     expect = o.where("o_orderpriority = '1-URGENT'").select("o_orderkey", "o_orderpriority")
     norm = lambda df: sorted((int(r[0]), r[1]) for r in df.collect())
     assert norm(got) == norm(expect) and len(norm(expect)) > 0
+
+
+def test_one_rule_parser(spark):
+    from tagsmith.sources.business import scan_options
+    text = " inType = parquet \r\n\n table=orders\nselectFieldNames=a,b\nwhereCondition=x=y"
+    df = spark.createDataFrame([(text,)], "rule string")
+    assert df.select(rule_options("rule").alias("m")).first()["m"] == scan_options(text)
+
+
+def test_window_labels_tell_fields_apart(spark):
+    import datetime as dt
+    from tagsmith.sources.business import rolling_windows
+    df = spark.createDataFrame([(dt.date(2020, 1, 20), dt.date(2019, 1, 1))], "a date, b date")
+    assert [r.window for r in rolling_windows(df, ["a#day#30", "b#day#30"], "2020-01-31").collect()] == ["a#day#30"]
+
+
+def test_size_check_moves_no_rows_to_one_task(spark):
+    import contextlib
+    import io
+    from pyspark.sql import functions as F
+    from tagsmith.operators.joins import has_at_most, row_bytes
+    df = spark.range(0, 1000, 1, 8).withColumn("t", F.repeat(F.lit("x"), 100))
+    assert has_at_most(df, 1000) and not has_at_most(df, 999) and not has_at_most(df, 1000, max_bytes=100_000)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.agg(F.count(F.lit(1)), F.sum(row_bytes(df))).explain()
+    assert "Limit" not in buf.getvalue() and "partial_count" in buf.getvalue()

@@ -87,6 +87,29 @@ def test_half_written_version_is_rewritten(spark):
         write_profile(df, base, "7")
 
 
+def test_a_failing_check_does_not_overwrite(spark, monkeypatch):
+    from tagsmith.sources import store
+    base = _scratch() + "/profile"
+    store.write_profile(spark.createDataFrame([(1, "a")], "userId long, t string"), base, "1")
+
+    def denied(*_):
+        raise PermissionError("no access")
+    monkeypatch.setattr(store, "path_exists", denied)
+    with pytest.raises(PermissionError):
+        store.write_profile(spark.createDataFrame([(2, "b")], "userId long, t string"), base, "1")
+    assert [tuple(r) for r in read_profile(spark, base, "1").collect()] == [(1, "a")]
+
+
+def test_data_without_the_commit_marker_is_not_committed(spark):
+    import os
+    from tagsmith.sources.store import is_committed, write_profile
+    base = _scratch() + "/profile"
+    path = write_profile(spark.createDataFrame([(1, "a")], "userId long, t string"), base, "1")
+    assert is_committed(spark, path)
+    os.remove(f"{path}/_SUCCESS")
+    assert not is_committed(spark, path) and not is_committed(spark, f"{base}/none")
+
+
 def test_bucketed_profile_upsert_shuffles_only_new_side(spark):
     from plan_util import exchange_children, plan_text
     from tagsmith.operators.profile import profile_upsert
