@@ -19,6 +19,7 @@ each with one slice, and the marks of the passes are merged per document.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -170,18 +171,18 @@ def _positions(ids, start, size: int, known: np.ndarray) -> tuple[np.ndarray, np
     return at[hit], pos[hit]
 
 
-def _slices(benchmark: DataFrame, slice_bytes: int) -> list[list[tuple]]:
-    """The benchmark on the driver, in slices of bounded size.  A row at a
-    time is fetched, and only one slice is held by a caller that drops it."""
-    out, size = [[]], 0
+def _slices(benchmark: DataFrame, slice_bytes: int) -> Iterator[list[tuple]]:
+    """The benchmark on the driver, one slice of bounded size at a time (a
+    single empty one for an empty benchmark)."""
+    out, size = [], 0
     for item_id, text in benchmark.toLocalIterator():
         n = 64 + len(text or "")
         if size and size + n > slice_bytes:
-            out.append([])
-            size = 0
-        out[-1].append((item_id, text))
+            yield out
+            out, size = [], 0
+        out.append((item_id, text))
         size += n
-    return out
+    yield out
 
 
 def mark_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
