@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -22,3 +24,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         return cached.checkpoint(eager=True)
     finally:
         cached.unpersist()
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new path for a written table in the shared checkpoint folder."""
+    from tagsmith.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -14,7 +14,7 @@ from tagsmith.functions.scores import RFE_BANDS, RFM_BANDS
 from tagsmith.plans import standins as SI
 from tagsmith.plans.catalog import ALL_TAGS, rules_of, values_sql
 from tagsmith.plans.queries import (
-    EAS, FIXED_CENTERS, OAS, OLD_AS_OF, TEST_RFE_BANDS, TEST_RFM_BANDS,
+    EAS, FIXED_CENTERS, OAS, OLD_AS_OF, PRICE_BANDS, TEST_RFE_BANDS, TEST_RFM_BANDS,
 )
 
 # multiclass metrics of the (label l, prediction p) rows of x
@@ -322,6 +322,22 @@ FROM ({_assigned()}) GROUP BY prediction"""
         rng = f"(max({x}) OVER () - min({x}) OVER ())"
         mm.append(f"round(CASE WHEN {rng} <> 0 THEN {x} * (1.0 / {rng}) + (-min({x}) OVER () * (1.0 / {rng})) "
                   f"ELSE 0.5 END, 6) AS {c}_scaled")
+    q["kmeans_trials"] = (f"SELECT count(*) AS users, CAST(3 AS BIGINT) AS trials, TRUE AS lowest, TRUE AS cost_matches "
+                          f"FROM ({_rfm_scores()})")
+    q["catalog_scan"] = _segment()
+    q["dimension_scan"] = f"SELECT l_orderkey, l_linenumber, color, product FROM ({_goods()})"
+    q["csv_scan"] = "SELECT c_custkey, c_mktsegment, c_nationkey FROM customer"
+    q["profile_store"] = (f"SELECT coalesce(s.userId, p.userId) AS userId, s.segment, p.payment FROM ({_segment()}) s "
+                          f"FULL OUTER JOIN ({_pay_type('TRUE')}) p ON s.userId = p.userId")
+    q["model_store"] = (f"SELECT count(*) AS users, count(*) AS tagged, CAST(0 AS BIGINT) AS differing "
+                        f"FROM ({_rfm_scores()})")
+    q["price_bands"] = f"""
+SELECT b.band, count(*) AS orders FROM (SELECT CAST(floor(o_totalprice) AS BIGINT) AS price FROM orders) o
+JOIN (SELECT range AS band FROM range({PRICE_BANDS})) b ON o.price BETWEEN b.band * 2500 AND b.band * 2500 + 2499
+GROUP BY b.band"""
+    q["top_customers"] = """
+SELECT o_custkey AS userId, CAST(sum(CAST(o_totalprice AS DECIMAL(20,2))) AS DOUBLE) AS total
+FROM orders GROUP BY o_custkey ORDER BY total DESC, userId LIMIT 10"""
     q["minmax_scale"] = f"SELECT userId, {', '.join(mm)} FROM ({_rfm_metrics()})"
     q["l2_normalize"] = """
 SELECT vec_id, CAST(i - 1 AS INTEGER) AS dim, round(CAST(embedding[i] AS DOUBLE) / norm, 6) AS value FROM (

@@ -23,12 +23,16 @@ from tagsmith.operators import rfx as X
 from tagsmith.operators import segment as S
 from tagsmith.operators import shopper as U
 from tagsmith.operators import stats as ST
-from tagsmith.operators.lineage import cut_lineage
+from tagsmith.operators.joins import range_join
+from tagsmith.operators.lineage import cut_lineage, work_path
 from tagsmith.operators.match import match_tag, match_tags, unmatched_values
 from tagsmith.plans import standins as SI
 from tagsmith.plans.catalog import attribute_rules, catalog, tag_lookup
-from tagsmith.plans.run import run_tag
+from tagsmith.plans.run import run_and_save, run_tag
 from tagsmith.sources.business import business_scan, condition_filter, rolling_windows, scan_options
+from tagsmith.sources.catalog_source import read_catalog, read_dimension
+from tagsmith.sources.files import read_csv
+from tagsmith.sources.store import read_profile
 from tagsmith.sources.tables import load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +63,7 @@ CONDITIONS = ["o_orderstatus[NE]P", "o_totalprice[GE]50000", "o_totalprice[le]45
 SCAN_RULE = ("inType=parquet\ntable=orders\nselectFieldNames=o_orderkey,o_custkey,o_orderpriority\n"
              "whereCondition=o_orderdate#month#6\nfilterConditions=o_orderstatus[NE]P")
 OLD_AS_OF = "2000-01-01"
+PRICE_BANDS = 300
 SOURCE_KEYS = ("inType", "table", "path", "whereCondition", "filterConditions")
 
 
@@ -320,6 +325,87 @@ def q_rfe_segments(spark, d):
     return run_tag(spark, _tags(spark), 367, d, tagger)
 
 
+def q_kmeans_trials(spark, d):
+    """The reference's three trials over the users' scores: their number, and
+    whether the chosen model has the lowest cost and its cost is the users'
+    within-set error."""
+    scores = _rfm_scores(spark, d)
+    hist = cut_lineage(S.score_histogram(scores, RFM_COLS))
+    model, trials = S.fit_kmeans(S.feature_stages(RFM_COLS, False).fit(hist).transform(hist.coalesce(1)), 5)
+    cost, centers = model.summary.trainingCost, [tuple(map(float, c)) for c in model.clusterCenters()]
+    w = S.wssse(scores, RFM_COLS, centers)
+    return w.select(F.col("points").alias("users"), F.lit(len(trials)).cast("long").alias("trials"),
+                    F.lit(cost <= min(t[0] for t in trials)).alias("lowest"),
+                    (F.abs(F.col("wssse") - cost) <= 1e-6 * cost).alias("cost_matches"))
+
+
+# ---------------------------------------------------------------- stores: written, read back, checked
+def q_catalog_scan(spark, d):
+    """A match tag run from a catalogue file."""
+    path = work_path(spark, "catalogue")
+    _tags(spark).write.parquet(path)
+    return run_tag(spark, read_catalog(spark, "parquet", path=path), 390, d,
+                   lambda biz, rules: match_tag(biz, "c_custkey", "c_mktsegment", rules, "segment"))
+
+
+def q_dimension_scan(spark, d):
+    """Order lines encoded with dimension tables read from files."""
+    colors, products = SI.dims(spark)
+    read = []
+    for name, frame in (("colors", colors), ("products", products)):
+        path = work_path(spark, name)
+        frame.write.json(path)
+        read.append(read_dimension(spark, "json", path=path))
+    p = U.encode_dims(SI.parts(spark, d), *read).select("p_partkey", "color", "product")
+    li = load_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey"])
+    return li.join(p, li["l_partkey"] == p["p_partkey"]).select("l_orderkey", "l_linenumber", "color", "product")
+
+
+def q_csv_scan(spark, d):
+    """The users as CSV text, read with a schema."""
+    path = work_path(spark, "users-csv")
+    users = SI.users(spark, d)
+    users.write.option("header", "true").csv(path)
+    return read_csv(spark, path, users.schema, header=True)
+
+
+def q_profile_store(spark, d):
+    """Two tags run and saved as profile versions, the second merged into
+    the first; the second version read back."""
+    base, tags = work_path(spark, "profile"), _tags(spark)
+    run_and_save(spark, tags, 390, d, lambda b, r: match_tag(b, "c_custkey", "c_mktsegment", r, "segment"), base, "1")
+    run_and_save(spark, tags, 356, d, lambda b, r: ST.pay_type_tag(b, "o_custkey", "o_orderpriority", r), base, "2",
+                 previous="1")
+    return read_profile(spark, base, "2").select("userId", "segment", "payment")
+
+
+def q_model_store(spark, d):
+    """Segments by a model that is trained and saved, then by the saved one:
+    users, users with a tag, and users whose tag differs."""
+    path, scores, rules = work_path(spark, "model"), cut_lineage(_rfm_scores(spark, d)), attribute_rules(_tags(spark), 361)
+    first = S.segment_by_kmeans(scores, RFM_COLS, rules, "a", model_path=path, scale=True)
+    again = S.segment_by_kmeans(scores, RFM_COLS, rules, "b", model_path=path, scale=True)
+    return first.join(again, "userId").agg(
+        F.count(F.lit(1)).alias("users"), F.count("a").alias("tagged"),
+        F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("differing"))
+
+
+def q_price_bands(spark, d):
+    """Orders per price band, with more bands than a nested loop should
+    compare (the bucketed range join)."""
+    bands = spark.range(PRICE_BANDS).select(F.col("id").alias("band"), (F.col("id") * 2500).alias("start"),
+                                            (F.col("id") * 2500 + 2499).alias("end"))
+    o = load_table(spark, d, "orders", ["o_totalprice"]).select(F.floor("o_totalprice").alias("price"))
+    return range_join(o, "price", bands).groupBy("band").agg(F.count(F.lit(1)).alias("orders"))
+
+
+def q_top_customers(spark, d):
+    """The ten customers with the highest order total."""
+    o = load_table(spark, d, "orders", ["o_custkey", "o_totalprice"])
+    total = F.sum(F.col("o_totalprice").cast("decimal(20,2)")).cast("double")
+    return o.groupBy(F.col("o_custkey").alias("userId")).agg(total.alias("total")).orderBy(F.desc("total"), "userId").limit(10)
+
+
 # ---------------------------------------------------------------- feature stages
 def q_minmax_scale(spark, d):
     cols = ["recency", "frequency", "monetary"]
@@ -535,6 +621,14 @@ QUERIES: dict[str, Query] = {
     "rfe_segments": q_rfe_segments,
     "rfm_segments_report": q_rfm_segments_report,
     "rfe_segments_report": q_rfe_segments_report,
+    "kmeans_trials": q_kmeans_trials,
+    "catalog_scan": q_catalog_scan,
+    "dimension_scan": q_dimension_scan,
+    "csv_scan": q_csv_scan,
+    "profile_store": q_profile_store,
+    "model_store": q_model_store,
+    "price_bands": q_price_bands,
+    "top_customers": q_top_customers,
     "minmax_scale": q_minmax_scale,
     "l2_normalize": q_l2_normalize,
     "label_index": q_label_index,

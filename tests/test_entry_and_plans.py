@@ -17,7 +17,7 @@ from tagsmith.plans.queries import QUERIES
 ROWS_ONLY = {"rfm_segments", "rfe_segments", "logreg_classify", "logreg_metrics", "profile_full"}
 # plans of these run training jobs while being built, or start from a checkpoint
 TRAINED = ROWS_ONLY | {"usg_tree", "usg_tree_metrics", "rfm_segments_report", "rfe_segments_report", "logreg_report",
-                       "profile_full_untrained", "minmax_scale"}
+                       "profile_full_untrained", "minmax_scale", "kmeans_trials", "model_store", "csv_scan", "profile_store"}
 
 
 def test_entry_runs(spark):
