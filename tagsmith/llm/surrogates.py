@@ -41,25 +41,27 @@ SYLLABLES = {  # fixed values: opening and inner syllables, and endings by gende
               {"m": "νος ρος λος μος τος δος".split(), "f": "να ρα λα μα τα δα".split(), "n": "νη ρη λη μη τη δη".split()}),
 }
 
+# every form of address contains one of its stems
+_STEMS = tuple(h for h in HONORIFICS if not any(o != h and o in h for o in HONORIFICS))
 _name = "|".join(sorted(HONORIFICS, key=len, reverse=True))
 _SECRET = r"password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?token"
-# (type, what a text must hold at all, pattern, group that is the entity), most specific first
-PATTERNS: list[tuple[str, str, re.Pattern, int]] = [
-    ("private_key", "PRIVATE KEY", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----\s*([A-Za-z0-9+/=\s]+?)\s*-----END [A-Z ]*PRIVATE KEY-----"), 1),
-    ("jwt", "eyJ", re.compile(r"\beyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,}"), 0),
-    ("key", "", re.compile(r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\bgh[pousr]_[A-Za-z0-9]{20,}|\bsk-[A-Za-z0-9_-]{20,}|\bxox[abprs]-[A-Za-z0-9-]{10,}|\bAIza[\w-]{35}"), 0),
-    ("secret", "", re.compile(rf"(?i)\b(?:{_SECRET})\b[\"']?\s*[:=]\s*[\"']?([^\s\"',;]{{6,}})"), 1),
-    ("email", "@", re.compile(r"(?<![\w.+-])[\w.+-]*\w@(?:[^\W_](?:[\w-]*[^\W_])?\.)+[^\W\d_]{2,}"), 0),
-    ("iban", "", re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"), 0),
-    ("card", "", re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)"), 0),
-    ("ssn", "-", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"), 0),
-    ("ipv4", ".", re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)"), 0),
-    ("ipv6", ":", re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){3,7}(?::?[0-9A-Fa-f]{1,4})(?![\w:])"), 0),
-    ("phone", "", re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w]|[.-]\d)"), 0),
-    ("name", "", re.compile(rf"\b(?:{_name})\.? ((?:[^\W\d_][\w'’-]+ )?[^\W\d_][\w'’-]+)"), 1),
+# (type, texts of which one must occur, pattern, group that is the entity), most specific first
+PATTERNS: list[tuple[str, tuple[str, ...], re.Pattern, int]] = [
+    ("private_key", ("PRIVATE KEY",), re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----\s*([A-Za-z0-9+/=\s]+?)\s*-----END [A-Z ]*PRIVATE KEY-----"), 1),
+    ("jwt", ("eyJ",), re.compile(r"\beyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,}"), 0),
+    ("key", ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xox", "AIza"), re.compile(r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\bgh[pousr]_[A-Za-z0-9]{20,}|\bsk-[A-Za-z0-9_-]{20,}|\bxox[abprs]-[A-Za-z0-9-]{10,}|\bAIza[\w-]{35}"), 0),
+    ("secret", ("=", ":"), re.compile(rf"(?i)\b(?:{_SECRET})\b[\"']?\s*[:=]\s*[\"']?([^\s\"',;]{{6,}})"), 1),
+    ("email", ("@",), re.compile(r"(?<![\w.+-])[\w.+-]*\w@(?:[^\W_](?:[\w-]*[^\W_])?\.)+[^\W\d_]{2,}"), 0),
+    ("iban", (), re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"), 0),
+    ("card", (), re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)"), 0),
+    ("ssn", ("-",), re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"), 0),
+    ("ipv4", (".",), re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)"), 0),
+    ("ipv6", (":",), re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){3,7}(?::?[0-9A-Fa-f]{1,4})(?![\w:])"), 0),
+    ("phone", (), re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w]|[.-]\d)"), 0),
+    ("name", _STEMS, re.compile(rf"\b(?:{_name})\.? ((?:[^\W\d_][\w'’-]+ )?[^\W\d_][\w'’-]+)"), 1),
 ]
 _PLAIN_PHONE = re.compile(r"(?:1([ .-]))?\d{3}([ .-])\d{3}\2\d{4}")
-_DIGIT, _CUE = re.compile(r"\d"), re.compile(rf"(?i){_SECRET}")
+_DIGIT, _CUE = re.compile(r"[0-9]"), re.compile(rf"(?i){_SECRET}")
 _HONOR = re.compile(rf"\b({_name})\b")
 
 
@@ -88,9 +90,10 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
     digit = _DIGIT.search(text) is not None
     found: list[tuple[int, int, str, str]] = []
     for kind, needs, pattern, group in PATTERNS:
-        if needs not in text or not digit and kind in ("card", "ssn", "ipv4", "phone", "iban"):
+        if needs and not any(n in text for n in needs) or not digit and kind in ("card", "ssn", "ipv4", "phone", "iban"):
             continue
-        if kind == "secret" and not _CUE.search(text) or kind == "name" and not _HONOR.search(text):
+        if kind == "secret" and not _CUE.search(text) or kind == "name" and not _HONOR.search(text) \
+                or kind == "ipv6" and text.count(":") < 3:
             continue
         own = [one for m in pattern.finditer(text) for one in _checked(kind, text, *m.span(group), m)]
         for a, b, _, _ in own:  # later patterns do not see what is taken
