@@ -143,17 +143,18 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     the component named by its smallest node, for every node with a link.
 
     Alternates the large-star and small-star steps of Kiveris et al. (2014):
-    each step joins a table of links with its per-node minimum, so a hub is a
-    skewed join side (split by AQE), never one task's group.  Each round is
-    written to the shared folder."""
+    each step joins a table of links with its per-node minimum.  The minima
+    are written first: a join of two plainly shuffled tables is one whose
+    skewed partitions AQE can split, so a hub is never one task's group.  Each
+    round is written to the shared folder."""
     e = stash(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
               .where("u <> v").distinct(), "links")
     facts = None
     while True:
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = stash(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "lowest")
+        large = stash(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "links")
+        low = stash(large.groupBy("u").agg(F.min("v").alias("m")), "lowest")
         small = large.join(low, "u")
         e = stash(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                   .union(low.select("u", F.col("m").alias("v"))).distinct(), "links")

@@ -192,7 +192,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = components(near_links(reps, max_bits))
     rep_of = reps.join(classes, reps["rep"] == classes["node"], "left").select(
         "fp", "first", F.coalesce("component", "rep").alias("root"))
-    least = rep_of.groupBy("root").agg(F.min("first").alias("component_id"))
+    rep_of = stash(rep_of, "roots")
+    least = stash(rep_of.groupBy("root").agg(F.min("first").alias("component_id")), "least")  # both written: a large component is a join side that AQE splits
     by_fp = rep_of.join(least, "root").select("fp", "component_id", F.col("root").alias("class"))
     return fps.join(by_fp, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "class")

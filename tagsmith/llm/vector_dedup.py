@@ -5,7 +5,7 @@
    (label, centroid) of its ``overlap`` nearest centroids.
 3. Each shard builds a flat graph: the nearest candidates of a node, robustly
    pruned (a candidate is dropped if a nearer kept one lies ``alpha`` times
-   closer to it than the node does).
+   closer to it than the node does), with the nearest reverse edges.
 4. The adjacency lists of a node from its shards are united.
 5. Every node of a shard searches the united graph there: greedily from the
    shard's medoid and its own place, keeping a beam, and expanding every node
@@ -13,7 +13,8 @@
 6. What the search found is verified by the cosine in double precision.
 
 A shard with more than ``block`` nodes is cut into pieces; each pair of pieces
-is searched in a task of its own, so no task grows with a crowded shard.  A
+is searched in a task of its own, which adds the graph's edges between the two
+pieces, so no task grows with a crowded shard.  A
 task returns counts and a spanning forest, never the pairs themselves; a pair
 that shares several shards is counted in the first of them only.
 """
@@ -43,8 +44,10 @@ def unit_vectors(values: list) -> list[bytes | None]:
     return out
 
 
-def fit_centroids(sample: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
-    """Spherical k-means on the sample."""
+def fit_centroids(sample: np.ndarray, k: int, apart: float = 0.0, rounds: int = 8, seed: int = 7) -> np.ndarray:
+    """Spherical k-means on the sample.  Of centroids closer than ``apart``
+    that of the larger cluster stays, so that none divides a group of
+    near-duplicates."""
     rng = np.random.default_rng(seed)
     c = sample[rng.choice(len(sample), k, replace=False)]
     for _ in range(rounds):
@@ -53,7 +56,12 @@ def fit_centroids(sample: np.ndarray, k: int, rounds: int = 8, seed: int = 7) ->
         np.add.at(new, at, sample)
         size = np.sqrt((new * new).sum(1, keepdims=True))
         c = np.where(size > 1e-12, new / np.maximum(size, 1e-12), c)
-    return c
+    order = np.argsort(-np.bincount((sample @ c.T).argmax(1), minlength=k), kind="stable")
+    kept: list[int] = []
+    for i in order.tolist():
+        if not kept or (np.linalg.norm(c[kept] - c[i], axis=1) >= apart).all():
+            kept.append(i)
+    return c[kept]
 
 
 def robust_prune(x: np.ndarray, degree: int, candidates: int, alpha: float) -> np.ndarray:
@@ -80,6 +88,22 @@ def robust_prune(x: np.ndarray, degree: int, candidates: int, alpha: float) -> n
     return out
 
 
+def with_reverse(x: np.ndarray, adjacency: np.ndarray) -> np.ndarray:
+    """The graph with the nearest reverse edges of each node added (as many
+    as it has columns), so that a node nobody points at can be found."""
+    n, degree = adjacency.shape
+    p, s = np.nonzero(adjacency >= 0)
+    c = adjacency[p, s]
+    order = np.lexsort((-np.einsum("ij,ij->i", x[p], x[c]), c))
+    p, c = p[order], c[order]
+    rank = np.arange(len(c)) - np.searchsorted(c, c)
+    out = np.full((n, 2 * degree), -1)
+    out[:, :degree] = adjacency
+    on = rank < degree
+    out[c[on], degree + rank[on]] = p[on]
+    return out
+
+
 def range_search(x: np.ndarray, adjacency: np.ndarray, queries: np.ndarray, reach: float, slack: float = 0.05,
                  beam: int = 16, step: int = 256) -> tuple[np.ndarray, np.ndarray]:
     """(query, node) pairs with a dot product of at least ``reach`` that the
@@ -158,7 +182,7 @@ def embedding_groups(vectors: DataFrame, reach: float = 0.98, overlap: int = 3,
     width = int(size.mode()[0]) if len(size) else 8  # centroids for the usual length; others share shard 0
     base = _matrix(list(picked[size == width])) if len(size) else np.zeros((0, 1))
     k = int(min(max_centroids, max(1, n * overlap // (max(1, labels) * (block // 2))), max(1, len(base) // 8)))
-    sent = spark.sparkContext.broadcast(fit_centroids(base, k) if len(base) else np.zeros((1, 1)))
+    sent = spark.sparkContext.broadcast(fit_centroids(base, k, 2.5 * np.sqrt(2 - 2 * reach)) if len(base) else np.zeros((1, 1)))
 
     def assign(t: pa.Table) -> pa.Table:
         vec, own = t.column(1).to_pylist(), []
@@ -180,11 +204,12 @@ def embedding_groups(vectors: DataFrame, reach: float = 0.98, overlap: int = 3,
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         node = pdf["node"].to_numpy()
-        adj = robust_prune(_matrix(pdf["vec"]), degree, candidates, alpha)
+        x = _matrix(pdf["vec"])
+        adj = with_reverse(x, robust_prune(x, degree, candidates, alpha))
         return pd.DataFrame({"node": node, "near": [node[a[a >= 0]] for a in adj]})
     lists = dealt.select("label", "width", "shard", "piece", "node", "vec").groupBy("label", "width", "shard", "piece") \
         .applyInPandas(build, "node long, near array<long>")
-    # at most overlap * degree neighbours a node
+    # at most 2 * overlap * degree neighbours a node
     united = stash(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
     # pieces i <= j of a shard meet in the task (i, j)
     every = F.sequence(F.lit(0), F.col("pieces") - 1)
@@ -199,6 +224,8 @@ def embedding_groups(vectors: DataFrame, reach: float = 0.98, overlap: int = 3,
         adj = np.full((len(node), max(1, max(map(len, near)))), -1)
         for r, a in enumerate(near):
             adj[r, :len(a)] = a
+        if piece.min() != piece.max():
+            adj = np.concatenate([adj, with_reverse(x, robust_prune(x, degree, candidates, alpha))], axis=1)
         links = Links(len(node))
         n_links = np.zeros(len(node), np.int64)
         own = [set(s.tolist()) for s in pdf["shards"]]
@@ -224,7 +251,8 @@ def embedding_groups(vectors: DataFrame, reach: float = 0.98, overlap: int = 3,
     classes = components(found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     facts = nodes.select("node", "first", "copies").join(counts, "node", "left").join(classes, "node", "left") \
         .withColumn("component", F.coalesce("component", "node"))
-    least = facts.groupBy("component").agg(F.min("first").alias("least"))
+    facts = stash(facts, "facts")
+    least = stash(facts.groupBy("component").agg(F.min("first").alias("least")), "least")  # both written: a large component is a join side that AQE splits
     facts = facts.join(least, "component").select("node", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "least")
     whole = rows.select("id", "node").join(facts, "node", "left").select(
         F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
