@@ -6,9 +6,10 @@ N-gram counts are quantised on a logarithmic scale: a count c has the level
 (n-gram, 2), ... until a probe fails.  A count is never underestimated; a
 false positive raises it by a level.
 
-The filter is blocked: a key's bits all lie in one segment, chosen by the key,
-so Spark builds the segments apart (one shuffle of the per-task counts) and
-the filter is their concatenation.  Its size is bounded by ``max_bits``
+The filter is blocked twice.  A key's bits all lie in one segment, chosen by
+the key, so Spark builds the segments apart (one shuffle of the per-task
+counts) and the filter is their concatenation.  The bits of one (n-gram, level)
+lie in one 64-bit word of the segment, so a membership probe reads one word.  Its size is bounded by ``max_bits``
 whatever the corpus (the false-positive rate then grows), which bounds the
 broadcast.
 
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 
 from tagsmith.llm.common import map_batches, remainder, ship, stash, words_of
 
-SEGMENT_BITS = 1 << 16
-START, END = (np.uint64(xxhash.xxh64_intdigest(x, 7)) for x in (b"\x01start", b"\x01end"))  # not words: below \x20
+WORDS = 1 << 10  # 64-bit words of a segment
+START, END = (np.uint64(xxhash.xxh64_intdigest(x, 7)) for x in (b"\x01start", b"\x01end"))  # hashed with another seed than words
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 A, B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -70,18 +71,36 @@ def text_keys(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Filter:
     """Blocked Bloom filter of (key, level) pairs over ``segments`` segments."""
 
-    def __init__(self, segments: int, hashes: int, base: float, bits: np.ndarray | None = None):
-        self.segments, self.hashes, self.base, self.bits = segments, hashes, base, bits
+    def __init__(self, segments: int, hashes: int, base: float, words: np.ndarray | None = None):
+        if not 1 <= hashes <= 6:
+            raise ValueError("hashes must be 1..6")
+        self.segments, self.hashes, self.base, self.words = segments, hashes, base, words
+        self.top = 64  # no count has a higher level
 
     def segment(self, keys: np.ndarray) -> np.ndarray:
-        return (_mix(keys ^ GOLD) >> np.uint64(20)) % np.uint64(self.segments)
-
-    def spots(self, keys: np.ndarray, level: np.ndarray | int) -> Iterator[np.ndarray]:
-        """Bit positions (within the segment) of (key, level), one hash at a time."""
-        h = _mix(keys + np.uint64(2) * np.asarray(level, np.uint64).reshape(-1) * GOLD + np.uint64(1))
-        one, two = h & np.uint64(0xFFFFFFFF), (h >> np.uint64(32)) | np.uint64(1)
-        for i in range(self.hashes):
-            yield (one + np.uint64(i) * two) & np.uint64(SEGMENT_BITS - 1)
+        """Segments are ranges of the (evenly spread) keys, so sorted keys
+        probe the filter from its beginning to its end."""
+        return ((keys >> np.uint64(32)) * np.uint64(self.segments) >> np.uint64(32)).astype(np.int64)
+
+    def probe(self, h: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """(word within the segment, bits in it) of a level of the keys whose
+        mixed hash is ``h``."""
+        m = (h + np.uint64(level * int(GOLD) & (1 << 64) - 1)) * A
+        word, m = (m >> np.uint64(54)).astype(np.int64), m >> np.uint64(18)
+        bits = np.uint64(1) << (m & np.uint64(63))
+        for i in range(1, self.hashes):
+            bits |= np.uint64(1) << (m >> np.uint64(6 * i) & np.uint64(63))
+        return word, bits
+
+    def put(self, words: np.ndarray, at: np.ndarray, keys: np.ndarray, level: np.ndarray) -> None:
+        """Set (key, 1) .. (key, level) in ``words``, where a key's segment
+        begins at word ``at``."""
+        h = _mix(keys ^ GOLD)
+        for lv in range(1, int(level.max(initial=0)) + 1):
+            on = level >= lv
+            at, h, level = at[on], h[on], level[on]
+            word, bits = self.probe(h, lv)
+            np.bitwise_or.at(words, at + word, bits)
 
     def level(self, count: np.ndarray) -> np.ndarray:
         return 1 + np.floor(np.log(np.maximum(count, 1)) / np.log(self.base) + 1e-9).astype(np.int64)
@@ -94,25 +113,17 @@ class Filter:
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Levels by repeated membership probes (0: not in the filter)."""
-        out = np.zeros(len(keys), np.int64)
-        alive, level = np.arange(len(keys)), 1
-        seg = self.segment(keys).astype(np.int64) * (SEGMENT_BITS // 8)
-        while len(alive):
-            inside = np.ones(len(alive), bool)
-            for bit in self.spots(keys[alive], level):
-                bit = bit.astype(np.int64)
-                inside &= (self.bits[seg[alive] + (bit >> 3)] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
-            alive = alive[inside]
+        out, alive, level = np.zeros(len(keys), np.int64), np.arange(len(keys)), 1
+        at, h = self.segment(keys) * WORDS, _mix(keys ^ GOLD)
+        while len(alive) and level <= self.top:
+            word, bits = self.probe(h, level)
+            on = np.flatnonzero(self.words[at + word] & bits == bits)
+            alive, at, h = alive[on], at[on], h[on]
             out[alive] = level
             level += 1
         return out
 
 
-def _counted(keys: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    key, at = np.unique(np.concatenate(keys), return_inverse=True)
-    return key, np.bincount(at, np.concatenate(times).astype(np.float64)).astype(np.int64)
-
-
 def _gather(train: DataFrame, filt: Filter, flush: int = 1 << 21) -> DataFrame:
     """(seg, kind, key, n): counts of words (kind 1) and pairs (kind 2),
     added up per task before the shuffle."""
@@ -158,14 +169,9 @@ def _build(counts: DataFrame, filt: Filter) -> DataFrame:
                                                   pa.array(key[word]), pa.array(n[word])], names)
             level = filt.level(n)
             own, at = np.unique(seg, return_inverse=True)
-            page = np.stack([bits.setdefault(int(s), np.zeros(SEGMENT_BITS // 8, np.uint8)) for s in own]) \
-                if len(own) else np.zeros((0, SEGMENT_BITS // 8), np.uint8)
-            flat, keys = page.reshape(-1), key.view(np.uint64)
-            for lv in range(1, int(level.max(initial=0)) + 1):
-                on = np.flatnonzero(level >= lv)
-                for bit in filt.spots(keys[on], lv):
-                    bit = bit.astype(np.int64)
-                    np.bitwise_or.at(flat, at[on] * (SEGMENT_BITS // 8) + (bit >> 3), np.left_shift(1, bit & 7).astype(np.uint8))
+            page = np.stack([bits.setdefault(int(s), np.zeros(WORDS, np.uint64)) for s in own]) \
+                if len(own) else np.zeros((0, WORDS), np.uint64)
+            filt.put(page.reshape(-1), at * WORDS, key.view(np.uint64), level)
             for s, b in zip(own.tolist(), page):
                 bits[s] = b.copy()
         for s, b in bits.items():
@@ -198,15 +204,16 @@ def score_documents(docs: DataFrame, held_out_modulus: int = 5, held_out_remaind
     train = src.where("not out").select("text")
     # a filter in proportion to the text, up to the bound: about a word per 6 bytes, words and pairs
     text_bytes = train.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    want = max(SEGMENT_BITS, min(max_bits, bits_per_key * text_bytes // 3))
-    filt = Filter(want // SEGMENT_BITS, hashes, base)
+    want = max(64 * WORDS, min(max_bits, bits_per_key * text_bytes // 3))
+    filt = Filter(want // (64 * WORDS), hashes, base)
     counts = _gather(train, filt).repartition("seg").groupBy("seg", "kind", "key").agg(F.sum("n").alias("n"))
     model = stash(_build(counts.select("seg", "kind", "key", "n"), filt), "lm")
     exact = model.where("bits is null and key <> %d" % START.view(np.int64)).select("key", "n")
     n_all, n_types = exact.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    filt.bits = np.zeros(filt.segments * (SEGMENT_BITS // 8), np.uint8)  # at most max_bits / 8 bytes
+    filt.words = np.zeros(filt.segments * WORDS, np.uint64)  # at most max_bits / 8 bytes
     for seg, raw in model.where("bits is not null").select("seg", "bits").toLocalIterator():
-        filt.bits[seg * (SEGMENT_BITS // 8):(seg + 1) * (SEGMENT_BITS // 8)] = np.frombuffer(raw, np.uint8)
+        filt.words[seg * WORDS:(seg + 1) * WORDS] = np.frombuffer(raw, np.uint64)
+    filt.top = int(filt.level(np.array([n_all]))[0])
     sent = spark.sparkContext.broadcast(filt)
     scorer = _Scorer(n_all, n_types, prior)
     if 12 * n_types <= vocabulary_bytes:
@@ -222,10 +229,11 @@ def score_documents(docs: DataFrame, held_out_modulus: int = 5, held_out_remaind
         def run(t: pa.Table) -> pa.Table:
             texts = t.column("text").to_pylist()
             word, before, start = text_keys(texts)
-            n = _lookup(*words.value, word)
+            own, at = np.unique(word, return_inverse=True)
+            n = _lookup(*words.value, own)[at]
             return pa.table([t.column("id"), t.column("out"), pa.array(np.diff(start)), pa.array(np.add.reduceat((n > 0).astype(np.int64), start[:-1])),
                              pa.array(np.full(len(texts), n_all)), pa.array(np.add.reduceat(scorer.base(n), start[:-1])),
-                             pa.array(np.add.reduceat(scorer.model(sent.value, word, before), start[:-1]))], names=OUT)
+                             pa.array(np.add.reduceat(scorer.model(sent.value, word, before, start, own, at), start[:-1]))], names=OUT)
         return map_batches(src, run, SCHEMA, 256).withColumnRenamed("id", id_col)
     return _by_join(src, exact, sent, scorer).withColumnRenamed("id", id_col)
 
@@ -242,22 +250,23 @@ class _Scorer:
     def base(self, n: np.ndarray) -> np.ndarray:
         return np.log10((n + 0.5) / self.total)
 
-    def model(self, filt: Filter, word: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """log10 P per token, each distinct word and pair probed once."""
-        own, at = np.unique(np.concatenate([word, before]), return_inverse=True)
-        single = filt.count(filt.find(own))
-        c_word, c_before = single[at[:len(word)]], single[at[len(word):]]
+    def model(self, filt: Filter, word: np.ndarray, before: np.ndarray, start: np.ndarray,
+              own: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """log10 P per token, each distinct word (``word = own[at]``) and pair
+        probed once; a token's history is the token before it in its text."""
+        c_word = filt.count(filt.find(own))[at]
+        c_before = np.concatenate([[0.0], c_word[:-1]])
+        c_before[start[:-1]] = filt.count(filt.find(np.array([START])))[0]
         pairs, at = np.unique(pair_keys(before, word), return_inverse=True)
         c_pair = np.minimum(filt.count(filt.find(pairs))[at], np.minimum(c_word, c_before))
         return np.log10((c_pair + self.prior * (c_word + 0.5) / self.total) / (c_before + self.prior))
 
 
-def _lookup(keys: np.ndarray, n: np.ndarray, word: np.ndarray) -> np.ndarray:
+def _lookup(keys: np.ndarray, n: np.ndarray, own: np.ndarray) -> np.ndarray:
     if not len(keys):
-        return np.zeros(len(word), np.int64)
-    own, back = np.unique(word, return_inverse=True)
+        return np.zeros(len(own), np.int64)
     at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-    return np.where(keys[at] == own, n[at], 0).astype(np.int64)[back]
+    return np.where(keys[at] == own, n[at], 0).astype(np.int64)
 
 
 def _arrow_batches(df: DataFrame) -> Iterator[pa.RecordBatch]:
@@ -284,7 +293,7 @@ def _by_join(src: DataFrame, exact: DataFrame, sent, scorer: _Scorer) -> DataFra
                 word, before, start = text_keys(t.column(1).to_pylist())
                 if not t.num_rows:
                     continue
-                model = np.add.reduceat(scorer.model(sent.value, word, before), start[:-1])
+                model = np.add.reduceat(scorer.model(sent.value, word, before, start, *np.unique(word, return_inverse=True)), start[:-1])
                 each = [np.unique(word[a:b], return_counts=True) for a, b in zip(start, start[1:])]
                 rows = np.arange(row, row + t.num_rows, dtype=np.int64) + (part << 40)
                 row += t.num_rows

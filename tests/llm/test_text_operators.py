@@ -376,17 +376,13 @@ def test_quality_held_out_accuracy(spark):
 # ---- language model ------------------------------------------------------
 
 def test_bloom_counts_never_underestimate():
-    from tagsmith.llm.lm_bloom import SEGMENT_BITS, Filter
+    from tagsmith.llm.lm_bloom import WORDS, Filter
     rng = np.random.default_rng(0)
-    keys = rng.integers(0, 1 << 63, 4000, dtype=np.uint64)
+    keys = rng.integers(0, 1 << 63, 4000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     n = rng.zipf(1.5, 4000).clip(1, 10 ** 6)
-    f = Filter(2, 4, 1.5, np.zeros(2 * SEGMENT_BITS // 8, np.uint8))
-    level, seg = f.level(n), f.segment(keys).astype(np.int64)
-    for lv in range(1, level.max() + 1):
-        on = level >= lv
-        for bit in f.spots(keys[on], lv):
-            bit = bit.astype(np.int64)
-            np.bitwise_or.at(f.bits, seg[on] * (SEGMENT_BITS // 8) + (bit >> 3), np.left_shift(1, bit & 7).astype(np.uint8))
+    f = Filter(3, 4, 1.5, np.zeros(3 * WORDS, np.uint64))
+    level = f.level(n)
+    f.put(f.words, f.segment(keys) * WORDS, keys, level)
     found = f.find(keys)
     assert (found >= level).all() and (found == level).mean() > 0.9
     assert (f.find(rng.integers(0, 1 << 63, 4000, dtype=np.uint64)) == 0).mean() > 0.9
