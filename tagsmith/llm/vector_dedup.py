@@ -24,24 +24,35 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tagsmith.llm.common import Links, components, map_batches, ship, stash
+from tagsmith.llm.common import Links, add_columns, components, map_batches, ship, stash
 
 
-def unit_vectors(values: list) -> list[bytes | None]:
-    """Unit vectors as little-endian doubles; None for a null or zero vector
+def valid_vectors(column: pa.ListArray, kind: str) -> pa.Array:
+    """The vectors' components as bytes; null for a null, empty or zero vector
     and for null or non-finite components."""
-    out: list[bytes | None] = []
-    for v in values:
-        x = None if v is None or any(c is None for c in v) else np.array(v, float)
-        if x is None or not len(x) or not np.isfinite(x).all() or not x.any():
-            out.append(None)
-            continue
-        x = x / np.abs(x).max()  # no overflow in the norm
-        out.append((x / np.sqrt((x * x).sum())).astype("<f8").tobytes())
-    return out
+    size = np.diff(column.offsets.to_numpy())
+    if column.null_count == 0 and column.flatten().null_count == 0 and len(size) and size.min() == size.max() > 0:
+        x = column.flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(len(size), -1)
+        ok = np.isfinite(x).all(1) & x.any(1)
+        raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(x.strides[0]), len(x), [None, pa.py_buffer(np.ascontiguousarray(x))])
+        return pc.if_else(pa.array(ok), raw.cast(pa.binary()), pa.scalar(None, pa.binary()))
+    out = []
+    for v in column.to_pylist():
+        x = None if v is None or any(c is None for c in v) else np.array(v, kind)
+        out.append(None if x is None or not x.any() or not np.isfinite(x).all() else x.tobytes())
+    return pa.array(out, pa.binary())
+
+
+def unit_matrix(column, kind: str) -> np.ndarray:
+    """Unit vectors (double) of components stored as bytes."""
+    x = np.frombuffer(b"".join(column), kind).reshape(len(column), -1).astype(float)
+    x /= np.abs(x).max(1, keepdims=True)  # no overflow in the norm
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
 def fit_centroids(sample: np.ndarray, k: int, apart: float = 0.0, rounds: int = 8, seed: int = 7) -> np.ndarray:
@@ -141,12 +152,8 @@ def range_search(x: np.ndarray, adjacency: np.ndarray, queries: np.ndarray, reac
     return tuple(np.concatenate(found, 1)) if found else (np.zeros(0, np.int64),) * 2
 
 
-def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), "<f8").reshape(len(column), -1)
-
-
-def embedding_groups(vectors: DataFrame, reach: float = 0.98, overlap: int = 3, block: int = 2048, degree: int = 32,
-                     candidates: int = 64, alpha: float = 1.2, sample: int = 20_000, max_centroids: int = 4096,
+def embedding_groups(vectors: DataFrame, reach: float = 0.98, overlap: int = 3, block: int = 2048, degree: int = 16,
+                     candidates: int = 48, alpha: float = 1.2, sample: int = 20_000, max_centroids: int = 4096,
                      id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row per vector: id, n_links (other vectors linked directly),
     component_id (smallest id reachable by links, itself included) and kept
@@ -164,39 +171,34 @@ def embedding_groups(vectors: DataFrame, reach: float = 0.98, overlap: int = 3,
     spark = vectors.sparkSession
     ship(spark)
 
-    def unit(t: pa.Table) -> pa.Table:
-        return pa.table([t.column(0), t.column(1), pa.array(unit_vectors(t.column(2).to_pylist()), pa.binary())],
-                        names=["id", "label", "vec"])
-    src = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"),
-                         F.col(vector_col).cast("array<double>").alias("vec"))
-    rows = map_batches(src, unit, "id long, label string, vec binary", 4096)
-    node = F.xxhash64("label", "vec", F.md5("vec"))  # equal vectors of a label are one node
-    rows = stash(rows.select("id", "label", F.when(F.col("label").isNotNull() & F.col("vec").isNotNull(), node).alias("node"), "vec"), "vectors")
-    valid = rows.where("node is not null")
-    nodes = stash(valid.groupBy("node").agg(F.min("id").alias("first"), F.count("*").alias("copies"),
-                                            F.any_value("label").alias("label"), F.any_value("vec").alias("vec")), "nodes")
+    kind = "<f4" if vectors.schema[vector_col].dataType.elementType.typeName() == "float" else "<f8"
+    rows = _vectors(vectors, kind, id_col, vector_col, label_col)
+    # equal vectors of a label are one node
+    rows = rows.withColumn("node", F.when(F.col("label").isNotNull() & F.col("vec").isNotNull(),
+                                          F.xxhash64("label", "vec", F.md5("vec"))))
+    nodes = stash(rows.where("node is not null").groupBy("node").agg(
+        F.min("id").alias("first"), F.count("*").alias("copies"), F.any_value("label").alias("label"),
+        F.any_value("vec").alias("vec")), "nodes")
     n, labels = nodes.agg(F.count("*"), F.approx_count_distinct(F.concat_ws(":", "label", F.octet_length("vec")))).first()
     share = min(1.0, sample / max(n, 1))
     picked = nodes.where(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 30)) < int(share * (1 << 30))).select("vec").toPandas()["vec"]
     size = picked.map(len)
     width = int(size.mode()[0]) if len(size) else 8  # centroids for the usual length; others share shard 0
-    base = _matrix(list(picked[size == width])) if len(size) else np.zeros((0, 1))
+    base = unit_matrix(list(picked[size == width]), kind) if len(size) else np.zeros((0, 1))
     k = int(min(max_centroids, max(1, n * overlap // (max(1, labels) * (block // 2))), max(1, len(base) // 8)))
     sent = spark.sparkContext.broadcast(fit_centroids(base, k, 2.5 * np.sqrt(2 - 2 * reach)) if len(base) else np.zeros((1, 1)))
 
-    def assign(t: pa.Table) -> pa.Table:
-        vec, own = t.column(1).to_pylist(), []
+    def assign(column: pa.Array) -> list[pa.Array]:
+        vec = column.to_pylist()
         usual = np.array([len(v) == width for v in vec])
         own = np.full((len(vec), min(overlap, len(sent.value))), -1)
         if usual.any():
-            sim = _matrix([v for v, u in zip(vec, usual) if u]) @ sent.value.T
-            top = np.argpartition(-sim, own.shape[1] - 1, axis=1)[:, :own.shape[1]]
-            own[usual] = np.sort(top, 1)
-        shards = [sorted(set(o)) if u else [0] for o, u in zip(own.tolist(), usual)]
-        return pa.table([t.column(0), pa.array(shards, pa.list_(pa.int32()))], names=["node", "shards"])
-    where = map_batches(nodes.select("node", "vec"), assign, "node long, shards array<int>", 4096)
-    placed = nodes.select("node", "copies", "label", "vec").join(where, "node")
-    placed = stash(placed.select("*", F.octet_length("vec").alias("width")), "placed")
+            sim = unit_matrix([v for v, u in zip(vec, usual) if u], kind) @ sent.value.T
+            own[usual] = np.sort(np.argpartition(-sim, own.shape[1] - 1, axis=1)[:, :own.shape[1]], 1)
+        shards = [o if u else [0] for o, u in zip(own.tolist(), usual)]
+        return [pa.array(shards, pa.list_(pa.int32())), pa.array([len(v) for v in vec], pa.int32())]
+    new = T.StructType([T.StructField("shards", T.ArrayType(T.IntegerType())), T.StructField("width", T.IntegerType())])
+    placed = stash(add_columns(nodes.select("node", "copies", "label", "vec"), ["vec"], assign, new, 4096), "placed")
     dealt = placed.withColumn("shard", F.explode("shards"))
     crowded = dealt.groupBy("label", "width", "shard").count().select(
         "label", "width", "shard", F.ceil(F.col("count") / block).cast("int").alias("pieces"))
@@ -204,7 +206,7 @@ def embedding_groups(vectors: DataFrame, reach: float = 0.98, overlap: int = 3,
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         node = pdf["node"].to_numpy()
-        x = _matrix(pdf["vec"])
+        x = unit_matrix(pdf["vec"], kind)
         adj = with_reverse(x, robust_prune(x, degree, candidates, alpha))
         return pd.DataFrame({"node": node, "near": [node[a[a >= 0]] for a in adj]})
     lists = dealt.select("label", "width", "shard", "piece", "node", "vec").groupBy("label", "width", "shard", "piece") \
@@ -217,7 +219,7 @@ def embedding_groups(vectors: DataFrame, reach: float = 0.98, overlap: int = 3,
         .withColumn("i", F.least("piece", "other")).withColumn("j", F.greatest("piece", "other"))
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, node = _matrix(pdf["vec"]), pdf["node"].to_numpy()
+        x, node = unit_matrix(pdf["vec"], kind), pdf["node"].to_numpy()
         shard, copies, piece = int(pdf["shard"].iloc[0]), pdf["copies"].to_numpy(), pdf["piece"].to_numpy()
         place = {v: p for p, v in enumerate(node.tolist())}
         near = [[place[v] for v in a.tolist() if v in place] for a in pdf["near"]]
@@ -239,10 +241,10 @@ def embedding_groups(vectors: DataFrame, reach: float = 0.98, overlap: int = 3,
             ok = np.concatenate([np.einsum("ij,ij->i", x[u[s:s + 65536]], x[v[s:s + 65536]]) >= reach for s in range(0, len(u), 65536)]) if len(u) else np.zeros(0, bool)
             u, v = u[ok], v[ok]
             links.add(u, v)
-            lists, kind = np.unique(np.array([",".join(map(str, sorted(s))) for s in own]), return_inverse=True)
+            lists, which = np.unique(np.array([",".join(map(str, sorted(s))) for s in own]), return_inverse=True)
             sets = [set(map(int, s.split(","))) for s in lists]
             here = np.array([[min(a & b, default=-1) == shard for b in sets] for a in sets])
-            counted = here[kind[u], kind[v]]
+            counted = here[which[u], which[v]]
             np.add.at(n_links, u[counted], copies[v[counted]])
         return pd.DataFrame({"node": node, "n": n_links, "root": node[links.label]})
     found = stash(tasks.select("label", "width", "shard", "i", "j", "piece", "node", "vec", "copies", "shards", "near")
@@ -260,16 +262,21 @@ def embedding_groups(vectors: DataFrame, reach: float = 0.98, overlap: int = 3,
     return whole.withColumn("kept", F.col(id_col) == F.col("component_id"))
 
 
+def _vectors(vectors: DataFrame, kind: str, id_col: str, vector_col: str, label_col: str) -> DataFrame:
+    """(id, label, vec): the components as bytes, null where invalid."""
+    def run(t: pa.Table) -> pa.Table:
+        return pa.table([t.column(0), t.column(1), valid_vectors(t.column(2).combine_chunks(), kind)], names=["id", "label", "vec"])
+    src = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).alias("vec"))
+    return map_batches(src, run, "id long, label string, vec binary", 4096)
+
+
 def audit_recall(vectors: DataFrame, groups: DataFrame, reach: float = 0.98, queries: int = 500, id_col: str = "vec_id",
                  vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row: links that brute force finds for a bounded sample of about
     ``queries`` vectors (against all rows), links counted in ``groups`` for
     them, and their ratio."""
-    def unit(t: pa.Table) -> pa.Table:
-        return pa.table([t.column(0), t.column(1), pa.array(unit_vectors(t.column(2).to_pylist()), pa.binary())], names=["id", "label", "vec"])
-    rows = map_batches(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"),
-                                      F.col(vector_col).cast("array<double>").alias("vec")), unit, "id long, label string, vec binary", 4096) \
-        .where("label is not null and vec is not null and id is not null")
+    kind = "<f4" if vectors.schema[vector_col].dataType.elementType.typeName() == "float" else "<f8"
+    rows = _vectors(vectors, kind, id_col, vector_col, label_col).where("label is not null and vec is not null and id is not null")
     share = min(1.0, queries / max(1, rows.count()))
     some = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).toPandas()
 
@@ -279,7 +286,7 @@ def audit_recall(vectors: DataFrame, groups: DataFrame, reach: float = 0.98, que
         for key, mine in some.groupby(["label", some["vec"].map(len)]):
             on = [i for i, (v, x) in enumerate(zip(label, vec)) if v == key[0] and len(x) == key[1]]
             if on:
-                near = _matrix(list(mine["vec"])) @ _matrix([vec[i] for i in on]).T >= reach
+                near = unit_matrix(list(mine["vec"]), kind) @ unit_matrix([vec[i] for i in on], kind).T >= reach
                 near &= mine["id"].to_numpy()[:, None] != np.array([ids[i] for i in on])[None]
                 out[mine.index.to_numpy()] += near.sum(1)
         return pa.table([pa.array(some["id"].to_numpy()), pa.array(out)], names=[id_col, "n"])
