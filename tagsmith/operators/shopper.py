@@ -119,9 +119,10 @@ def fit_gender_tree(hist: DataFrame, params: dict | None = None, evaluate: bool
                                 ["color", "product"], "raw_features"))
     # |colours| x |products| x 4 rows at most; if that is few, read the
     # materialised copy as one partition
-    if hist.count() <= SMALL_HISTOGRAM:
+    rows, train_rows = hist.agg(F.count(F.lit(1)), F.count_if("is_train")).first()
+    if rows <= SMALL_HISTOGRAM:
         hist = hist.coalesce(1)
-    if not hist.where("is_train").limit(1).count():
+    if not train_rows:
         raise EmptyTrainingData("no order lines in the training split")
     indexer = VectorIndexer(inputCol="raw_features", outputCol="features",
                             maxCategories=MAX_CATEGORIES).fit(hist)
@@ -187,6 +188,6 @@ def usg_tag(lines: DataFrame, orders: DataFrame, rules: DataFrame, line_order_co
     pred = model.transform(indexer.transform(pairs)).select(
         "color", "product", F.col("prediction").cast("int").alias("_cls"))
     # one prediction per distinct (color, product) pair of the histogram
-    scored = join_small(lines.select(line_order_col, "color", "product"), pred, ["color", "product"], "inner", bound_from=pred)
+    scored = join_small(lines.select(line_order_col, "color", "product"), pred, ["color", "product"], "inner", bound_from=hist.select("color", "product"))
     votes = gender_votes(scored, orders, line_order_col, order_col, user_of_order, "_cls", user_col)
     return vote_tag(votes, rules, tag_col, user_col, keep_counts=keep_counts)
