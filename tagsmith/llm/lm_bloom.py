@@ -9,13 +9,16 @@ false positive raises it by a level.
 The filter is blocked twice.  A key's bits all lie in one segment, chosen by
 the key, so Spark builds the segments apart (one shuffle of the per-task
 counts) and the filter is their concatenation.  The bits of one (n-gram, level)
-lie in one 64-bit word of the segment, so a membership probe reads one word.  Its size is bounded by ``max_bits``
-whatever the corpus (the false-positive rate then grows), which bounds the
-broadcast.
-
-Next to the model score, the additive base score uses exact unigram counts:
-as one broadcast table of (64-bit word key, count) while that is below
-``vocabulary_bytes``, else by a join of the documents' words with the counts.
+lie in one 64-bit word of the segment, so a membership probe reads one word.
+The filter grows with the corpus: it has ``bits_per_key`` bits for every
+(n-gram, level) that the corpus can hold.
+
+Next to the model score, the additive base score uses exact unigram counts.
+While the filter has at most ``max_bits`` bits and the table of (64-bit word
+key, count) at most ``vocabulary_bytes``, both are broadcast.  Above either
+bound the documents' distinct keys go to the segments by a shuffle, and the
+levels and counts found there come back to the documents; no task and not the
+driver then holds more than a bucket of segments.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from pyspark.sql import functions as F
 from tagsmith.llm.common import map_batches, remainder, ship, stash, words_of
 
 WORDS = 1 << 10  # 64-bit words of a segment
+BUCKET = 512  # segments that a shuffled probe goes to together (4 MB)
 START, END = (np.uint64(xxhash.xxh64_intdigest(x, 7)) for x in (b"\x01start", b"\x01end"))  # hashed with another seed than words
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 A, B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -76,6 +80,7 @@ class Filter:
             raise ValueError("hashes must be 1..6")
         self.segments, self.hashes, self.base, self.words = segments, hashes, base, words
         self.top = 64  # no count has a higher level
+        self.first = 0  # the segment with which ``words`` begins
 
     def segment(self, keys: np.ndarray) -> np.ndarray:
         """Segments are ranges of the (evenly spread) keys, so sorted keys
@@ -114,7 +119,7 @@ class Filter:
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Levels by repeated membership probes (0: not in the filter)."""
         out, alive, level = np.zeros(len(keys), np.int64), np.arange(len(keys)), 1
-        at, h = self.segment(keys) * WORDS, _mix(keys ^ GOLD)
+        at, h = (self.segment(keys) - self.first) * WORDS, _mix(keys ^ GOLD)
         while len(alive) and level <= self.top:
             word, bits = self.probe(h, level)
             on = np.flatnonzero(self.words[at + word] & bits == bits)
@@ -194,6 +199,9 @@ def score_documents(docs: DataFrame, held_out_modulus: int = 5, held_out_remaind
     (c(hw) + prior P(w)) / (c(h) + prior), P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)),
     all its counts c as the filter has them and c(hw) at most c(h) and c(w).
 
+    ``max_bits`` and ``vocabulary_bytes`` bound what is broadcast, not what is
+    counted; the result does not depend on them.
+
     Null or empty text is the end token alone.  A null id is no held-out one.
     Repeated rows are learned and scored each; other columns are ignored; an
     empty table gives no rows.  Words are told apart by 64-bit keys."""
@@ -202,21 +210,26 @@ def score_documents(docs: DataFrame, held_out_modulus: int = 5, held_out_remaind
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
                       F.coalesce(remainder(F.col(id_col), held_out_modulus) == held_out_remainder, F.lit(False)).alias("out"))
     train = src.where("not out").select("text")
-    # a filter in proportion to the text, up to the bound: about a word per 6 bytes, words and pairs
-    text_bytes = train.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    want = max(64 * WORDS, min(max_bits, bits_per_key * text_bytes // 3))
-    filt = Filter(want // (64 * WORDS), hashes, base)
+    # the levels of a count are no more than ``steep`` times the count, so the
+    # tokens and pairs bound the (n-gram, level) pairs; a text of n separators
+    # has at most n + 1 words, an end token and a start
+    gaps = F.octet_length("text") - F.octet_length(F.translate("text", " \t\n\x0b\x0c\r", ""))
+    most = train.agg(F.coalesce(F.sum(2 * (F.coalesce(gaps, F.lit(-1)) + 2) + 1), F.lit(0))).first()[0]
+    few = np.arange(1, 65)
+    steep = float((Filter(1, hashes, base).level(few) / few).max())
+    want = max(64 * WORDS, int(bits_per_key * steep * most))
+    filt = Filter(-(-want // (64 * WORDS)), hashes, base)
     counts = _gather(train, filt).repartition("seg").groupBy("seg", "kind", "key").agg(F.sum("n").alias("n"))
     model = stash(_build(counts.select("seg", "kind", "key", "n"), filt), "lm")
     exact = model.where("bits is null and key <> %d" % START.view(np.int64)).select("key", "n")
     n_all, n_types = exact.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    filt.words = np.zeros(filt.segments * WORDS, np.uint64)  # at most max_bits / 8 bytes
-    for seg, raw in model.where("bits is not null").select("seg", "bits").toLocalIterator():
-        filt.words[seg * WORDS:(seg + 1) * WORDS] = np.frombuffer(raw, np.uint64)
     filt.top = int(filt.level(np.array([n_all]))[0])
-    sent = spark.sparkContext.broadcast(filt)
     scorer = _Scorer(n_all, n_types, prior)
-    if 12 * n_types <= vocabulary_bytes:
+    if filt.segments * WORDS * 64 <= max(max_bits, 64 * WORDS) and 12 * n_types <= vocabulary_bytes:
+        filt.words = np.zeros(filt.segments * WORDS, np.uint64)  # at most max_bits / 8 bytes
+        for seg, raw in model.where("bits is not null").select("seg", "bits").toLocalIterator():
+            filt.words[seg * WORDS:(seg + 1) * WORDS] = np.frombuffer(raw, np.uint64)
+        sent = spark.sparkContext.broadcast(filt)
         key, n = np.zeros(n_types, np.int64), np.zeros(n_types, np.int64)
         i = 0
         for batch in _arrow_batches(exact):
@@ -235,7 +248,7 @@ def score_documents(docs: DataFrame, held_out_modulus: int = 5, held_out_remaind
                              pa.array(np.full(len(texts), n_all)), pa.array(np.add.reduceat(scorer.base(n), start[:-1])),
                              pa.array(np.add.reduceat(scorer.model(sent.value, word, before, start, own, at), start[:-1]))], names=OUT)
         return map_batches(src, run, SCHEMA, 256).withColumnRenamed("id", id_col)
-    return _by_join(src, exact, sent, scorer).withColumnRenamed("id", id_col)
+    return _by_shuffle(src, model, filt, scorer).withColumnRenamed("id", id_col)
 
 
 OUT = ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -255,10 +268,13 @@ class _Scorer:
         """log10 P per token, each distinct word (``word = own[at]``) and pair
         probed once; a token's history is the token before it in its text."""
         c_word = filt.count(filt.find(own))[at]
-        c_before = np.concatenate([[0.0], c_word[:-1]])
-        c_before[start[:-1]] = filt.count(filt.find(np.array([START])))[0]
         pairs, at = np.unique(pair_keys(before, word), return_inverse=True)
-        c_pair = np.minimum(filt.count(filt.find(pairs))[at], np.minimum(c_word, c_before))
+        return self.terms(c_word, filt.count(filt.find(np.array([START])))[0], filt.count(filt.find(pairs))[at], start)
+
+    def terms(self, c_word: np.ndarray, c_start: float, c_pair: np.ndarray, start: np.ndarray) -> np.ndarray:
+        c_before = np.concatenate([[0.0], c_word[:-1]])
+        c_before[start[:-1]] = c_start
+        c_pair = np.minimum(c_pair, np.minimum(c_word, c_before))
         return np.log10((c_pair + self.prior * (c_word + 0.5) / self.total) / (c_before + self.prior))
 
 
@@ -282,33 +298,153 @@ def _arrow_batches(df: DataFrame) -> Iterator[pa.RecordBatch]:
         yield from pa.ipc.open_stream(row.raw)
 
 
-def _by_join(src: DataFrame, exact: DataFrame, sent, scorer: _Scorer) -> DataFrame:
-    """The same rows for any vocabulary: the documents' distinct words meet
-    their counts in a join, and the sums come back to the documents."""
+def _planes(x: np.ndarray) -> bytes:
+    """64-bit numbers, byte by byte, so that the shuffle compresses high zeros."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unplaned(raw, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).reshape(-1).view(kind)
+
+
+def _parcels(src: DataFrame, rows: int = 8192, text_bytes: int = 12 << 20) -> DataFrame:
+    """The documents in parcels of about ``text_bytes``, one row (parcel,
+    docs) each, so that a parcel is never divided; ``docs`` is a compressed
+    Arrow stream of (id, out, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, row = TaskContext.get().partitionId(), 0
+        part, n = TaskContext.get().partitionId(), 0
+        held: list = []
+        size = 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            nonlocal n, size
+            if held:
+                ids, texts, outs = zip(*held)
+                docs = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(outs, pa.bool_()), pa.array(texts, pa.large_string())],
+                                                  ["id", "out", "text"])
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, docs.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                    w.write_batch(docs)
+                yield pa.RecordBatch.from_arrays([pa.array([(part << 40) + n]), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                                                 ["parcel", "docs"])
+                held.clear()
+                n, size = n + 1, 0
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
-                t = batch.slice(i, 256)
-                word, before, start = text_keys(t.column(1).to_pylist())
-                if not t.num_rows:
+                for one in zip(*(batch.slice(i, 256).column(c).to_pylist() for c in range(3))):
+                    held.append(one)
+                    size += len(one[1] or "")
+                    if len(held) >= rows or size >= text_bytes:
+                        yield from out()
+        yield from out()
+    return stash(src.select("id", "text", "out").mapInArrow(run, "parcel long, docs binary"), "lm-parcels")
+
+
+def _unpacked(docs) -> list[list]:
+    """ids, held-out flags and texts of a parcel."""
+    t = pa.ipc.open_stream(docs).read_all()
+    return [t.column(i).to_pylist() for i in range(3)]
+
+
+def _by_shuffle(src: DataFrame, model: DataFrame, filt: Filter, scorer: _Scorer) -> DataFrame:
+    """The same rows for any corpus.  A parcel's distinct keys, sorted, fall
+    into runs, one per bucket of segments; each run is sent to its bucket, and
+    what is found there comes back to the parcel in the order of the buckets."""
+    parcels = _parcels(src)
+    schema = ("bucket int, step int, seg int, raw binary, key long, n long, parcel long, words binary, pairs binary")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                word, before, _ = text_keys(_unpacked(batch.column(1)[i].as_buffer())[2])
+                sets = [np.unique(np.append(word, START)), np.unique(pair_keys(before, word))]
+                at = [filt.segment(k) // BUCKET for k in sets]
+                for b in np.unique(np.concatenate(at)).tolist():
+                    words, pairs = (_planes(np.diff(k[np.searchsorted(a, b):np.searchsorted(a, b, "right")], prepend=np.uint64(0)))
+                                    for k, a in zip(sets, at))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([b], pa.int32()), pa.array([2], pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()),
+                         pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), batch.column(0).slice(i, 1), pa.array([words]), pa.array([pairs])],
+                        ["bucket", "step", "seg", "raw", "key", "n", "parcel", "words", "pairs"])
+
+    def place(t: pa.Table) -> pa.Table:  # the bucket of a word's count
+        seg = filt.segment(t.column("key").to_numpy().view(np.uint64))
+        return pa.table([pa.array((seg // BUCKET).astype(np.int32)), t.column("key"), t.column("n")], names=["bucket", "key", "n"])
+    bits = model.where("bits is not null").select(
+        F.floor(F.col("seg") / BUCKET).cast("int").alias("bucket"), F.lit(0).alias("step"), "seg", F.col("bits").alias("raw"))
+    exact = map_batches(model.where("bits is null and key <> %d" % START.view(np.int64)).select("key", "n"), place,
+                        "bucket int, key long, n long", 8192).withColumn("step", F.lit(1))
+    asked = parcels.mapInArrow(ask, schema)
+    met = asked.unionByName(bits, allowMissingColumns=True).unionByName(exact, allowMissingColumns=True) \
+        .repartition("bucket").sortWithinPartitions("bucket", "step")
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, part, held, counts = -1, filt, [], None
+        for batch in batches:
+            bucket, step = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cut = np.flatnonzero((np.diff(bucket) != 0) | (np.diff(step) != 0)) + 1
+            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(bucket)]):
+                if a == b:
+                    continue
+                if bucket[a] != own:
+                    own, held, counts = int(bucket[a]), [], None
+                    part = Filter(filt.segments, filt.hashes, filt.base, np.zeros(BUCKET * WORDS, np.uint64))
+                    part.top, part.first = filt.top, own * BUCKET
+                rows = batch.slice(a, b - a)
+                if step[a] == 0:
+                    for seg, raw in zip(rows.column(2).to_pylist(), rows.column(3)):
+                        at = (seg - part.first) * WORDS
+                        part.words[at:at + WORDS] = np.frombuffer(raw.as_buffer(), np.uint64)
                     continue
-                model = np.add.reduceat(scorer.model(sent.value, word, before, start, *np.unique(word, return_inverse=True)), start[:-1])
-                each = [np.unique(word[a:b], return_counts=True) for a, b in zip(start, start[1:])]
-                rows = np.arange(row, row + t.num_rows, dtype=np.int64) + (part << 40)
-                row += t.num_rows
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows), t.column(0), t.column(2), pa.array(np.diff(start)), pa.array(model),
-                     pa.array([k.view(np.int64) for k, _ in each], pa.list_(pa.int64())),
-                     pa.array([m for _, m in each], pa.list_(pa.int64()))], ["row", "id", "out", "n_tokens", "score", "keys", "times"])
-    rows = stash(src.mapInArrow(run, "row long, id long, out boolean, n_tokens long, score double, keys array<long>, times array<long>"),
-                 "lm-rows", "zstd")
-    each = rows.select("row", F.explode(F.arrays_zip("keys", "times")).alias("x")).select(
-        "row", F.col("x.keys").alias("key"), F.col("x.times").alias("m"))
-    found = each.join(exact, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    sums = found.groupBy("row").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("m")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("m") * F.log10((F.col("n") + 0.5) / scorer.total)).alias("base_score"))
-    return rows.join(sums, "row").select(
-        "id", F.col("out").alias("held_out"), "n_tokens", "n_known", F.lit(scorer.n_all).cast("long").alias("train_tokens"),
-        "base_score", "score")
+                if step[a] == 1:
+                    held.append((rows.column(4).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64),
+                                 rows.column(5).to_numpy(zero_copy_only=False).astype(np.int64)))
+                    continue
+                if counts is None:
+                    key = np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in held)])
+                    n = np.concatenate([np.zeros(0, np.int64), *(m for _, m in held)])
+                    order = np.argsort(key)
+                    counts, held = (key[order], n[order]), []
+                for i in range(rows.num_rows):
+                    words, pairs = (np.cumsum(_unplaned(rows.column(c)[i].as_buffer(), np.uint64), dtype=np.uint64) for c in (7, 8))
+                    yield pa.RecordBatch.from_arrays(
+                        [rows.column(6).slice(i, 1), pa.array([own], pa.int32()), pa.array([part.find(words).astype(np.uint8).tobytes()]),
+                         pa.array([_planes(_lookup(*counts, words))]), pa.array([part.find(pairs).astype(np.uint8).tobytes()])],
+                        ["parcel", "bucket", "levels", "counts", "pairs"])
+    found = met.mapInArrow(answer, "parcel long, bucket int, levels binary, counts binary, pairs binary")
+    back = parcels.withColumn("bucket", F.lit(-1)).unionByName(found, allowMissingColumns=True) \
+        .repartition("parcel").sortWithinPartitions("parcel", "bucket") \
+        .select("docs", "levels", "counts", "pairs")
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs, got = None, []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if docs is None:
+                return
+            ids, outs, texts = docs
+            word, before, start = text_keys(texts)
+            own = np.unique(np.append(word, START))
+            pairs, pair_at = np.unique(pair_keys(before, word), return_inverse=True)
+            level, pair = (np.concatenate([np.frombuffer(x[i], np.uint8) for x in got]) for i in (0, 2))
+            n = np.concatenate([_unplaned(x[1], np.int64) for x in got])
+            if len(level) != len(own) or len(pair) != len(pairs):
+                raise RuntimeError("a parcel's answers are not whole")
+            at = np.searchsorted(own, word)
+            n, c_own, c_pair = n[at], filt.count(level.astype(np.int64)), filt.count(pair.astype(np.int64))[pair_at]
+            score = scorer.terms(c_own[at], c_own[np.searchsorted(own, START)], c_pair, start)
+            first = start[:-1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(outs, pa.bool_()), pa.array(np.diff(start)), pa.array(np.add.reduceat((n > 0).astype(np.int64), first)),
+                 pa.array(np.full(len(ids), scorer.n_all)), pa.array(np.add.reduceat(scorer.base(n), first)),
+                 pa.array(np.add.reduceat(score, first))], OUT)
+        for batch in batches:
+            new = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            for i in range(batch.num_rows):
+                if new[i]:
+                    yield from out()
+                    docs, got = _unpacked(batch.column(0)[i].as_buffer()), []
+                else:
+                    got.append([batch.column(c)[i].as_py() for c in (1, 2, 3)])
+        yield from out()
+    return back.mapInArrow(finish, SCHEMA)

@@ -421,6 +421,27 @@ def test_lm_scores(spark, vocabulary_bytes):
     assert score_documents(df.limit(0), vocabulary_bytes=vocabulary_bytes).count() == 0
 
 
+def test_lm_scores_do_not_depend_on_the_broadcast_bounds(spark):
+    from tagsmith.llm.lm_bloom import score_documents
+    rng = random.Random(5)
+    df = docs_of(spark, [*EDGE, *((50 + i, prose(rng, 80)) for i in range(80))], extra=True)
+    order = lambda r: (r["doc_id"] is None, r["doc_id"], r["n_tokens"])
+
+    def rows(**how):
+        return [tuple(r) for r in sorted(score_documents(df, **how).collect(), key=order)]
+
+    def close(a, b):
+        assert [x[:5] for x in a] == [x[:5] for x in b]
+        assert np.allclose([x[5:] for x in a], [x[5:] for x in b], rtol=1e-9)
+    sent = rows(bits_per_key=2000)  # a filter of several buckets
+    close(rows(bits_per_key=2000, max_bits=1 << 16), sent)
+    close(rows(bits_per_key=2000, vocabulary_bytes=0), sent)
+    small = rows(max_bits=1 << 16)  # the filter grows past the bound instead of filling up
+    error = [abs(a[6] - b[6]) / a[2] for a, b in zip(small, sent)]
+    assert np.mean(error) < 0.02
+    assert score_documents(df.limit(0), max_bits=0, vocabulary_bytes=-1).count() == 0
+
+
 # ---- surrogates ----------------------------------------------------------
 
 def test_surrogate_formats():
