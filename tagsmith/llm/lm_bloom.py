@@ -225,7 +225,7 @@ def score_documents(docs: DataFrame, held_out_modulus: int = 5, held_out_remaind
     n_all, n_types = exact.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     filt.top = int(filt.level(np.array([n_all]))[0])
     scorer = _Scorer(n_all, n_types, prior)
-    if filt.segments * WORDS * 64 <= max(max_bits, 64 * WORDS) and 12 * n_types <= vocabulary_bytes:
+    if filt.segments * WORDS * 64 <= max(max_bits, 64 * WORDS) and 16 * n_types <= vocabulary_bytes:
         filt.words = np.zeros(filt.segments * WORDS, np.uint64)  # at most max_bits / 8 bytes
         for seg, raw in model.where("bits is not null").select("seg", "bits").toLocalIterator():
             filt.words[seg * WORDS:(seg + 1) * WORDS] = np.frombuffer(raw, np.uint64)
@@ -236,8 +236,7 @@ def score_documents(docs: DataFrame, held_out_modulus: int = 5, held_out_remaind
             m = batch.num_rows
             key[i:i + m], n[i:i + m] = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             i += m
-        order = np.argsort(key.view(np.uint64))
-        words = spark.sparkContext.broadcast((key.view(np.uint64)[order], np.minimum(n[order], 2 ** 32 - 1).astype(np.uint32)))
+        words = spark.sparkContext.broadcast(_table(key.view(np.uint64), n))
 
         def run(t: pa.Table) -> pa.Table:
             texts = t.column("text").to_pylist()
@@ -278,6 +277,12 @@ class _Scorer:
         return np.log10((c_pair + self.prior * (c_word + 0.5) / self.total) / (c_before + self.prior))
 
 
+def _table(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts in key order, in 64 bits each."""
+    order = np.argsort(key)
+    return key[order], n[order]
+
+
 def _lookup(keys: np.ndarray, n: np.ndarray, own: np.ndarray) -> np.ndarray:
     if not len(keys):
         return np.zeros(len(own), np.int64)
@@ -403,8 +408,7 @@ def _by_shuffle(src: DataFrame, model: DataFrame, filt: Filter, scorer: _Scorer)
                 if counts is None:
                     key = np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in held)])
                     n = np.concatenate([np.zeros(0, np.int64), *(m for _, m in held)])
-                    order = np.argsort(key)
-                    counts, held = (key[order], n[order]), []
+                    counts, held = _table(key, n), []
                 for i in range(rows.num_rows):
                     words, pairs = (np.cumsum(_unplaned(rows.column(c)[i].as_buffer(), np.uint64), dtype=np.uint64) for c in (7, 8))
                     yield pa.RecordBatch.from_arrays(

@@ -442,6 +442,12 @@ def test_lm_scores_do_not_depend_on_the_broadcast_bounds(spark):
     assert score_documents(df.limit(0), max_bits=0, vocabulary_bytes=-1).count() == 0
 
 
+def test_exact_counts_have_64_bits():
+    from tagsmith.llm.lm_bloom import _lookup, _table
+    key, n = np.array([9, 2 ** 63 + 1, 4], np.uint64), np.array([2 ** 32 + 5, 1, 2 ** 40])
+    assert _lookup(*_table(key, n), np.array([4, 5, 9, 2 ** 63 + 1], np.uint64)).tolist() == [2 ** 40, 0, 2 ** 32 + 5, 1]
+
+
 # ---- surrogates ----------------------------------------------------------
 
 def test_surrogate_formats():
