@@ -8,6 +8,12 @@ valid check digits, names with an ending of the same gender, reserved domains
 and address ranges.  Each occurrence gets the replacement in its own format
 (separators, case), so all mentions of an entity stay the same entity.
 
+Names are found behind forms of address; in the same text their later mentions
+without one are found too, in the same spelling (capitalised, if the form of
+address came with capitals only).  A name is one entity whether it stands as a
+given or a family name.  Its gender is the one gender that its forms of
+address in the whole corpus have, else none.
+
 Draws are checked over the whole corpus: no two entities of a type may share
 a replacement, and no replacement may be another entity's original.  Colliding
 entities draw again with the next attempt number, until none collides.
@@ -58,8 +64,9 @@ PATTERNS: list[tuple[str, tuple[str, ...], re.Pattern, int]] = [
     ("ipv4", (".",), re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)"), 0),
     ("ipv6", (":",), re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){3,7}(?::?[0-9A-Fa-f]{1,4})(?![\w:])"), 0),
     ("phone", (), re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w]|[.-]\d)"), 0),
-    ("name", _STEMS, re.compile(rf"\b(?:{_name})\.? ((?:[^\W\d_][\w'’-]+ )?[^\W\d_][\w'’-]+)"), 1),
+    ("name", _STEMS, re.compile(rf"\b(?:{_name})\b\.?(?: (?:{_name})\b\.?)*"), 0),  # forms of address; the names follow
 ]
+_WORD = re.compile(r" ([^\W\d_][\w'’-]+)")
 _PLAIN_PHONE = re.compile(r"(?:1([ .-]))?\d{3}([ .-])\d{3}\2\d{4}")
 _DIGIT, _CUE = re.compile(r"[0-9]"), re.compile(rf"(?i){_SECRET}")
 _HONOR = re.compile(rf"\b({_name})\b")
@@ -95,13 +102,53 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
         if kind == "secret" and not _CUE.search(text) or kind == "name" and not _HONOR.search(text) \
                 or kind == "ipv6" and text.count(":") < 3:
             continue
-        own = [one for m in pattern.finditer(text) for one in _checked(kind, text, *m.span(group), m)]
+        own = _names(text, pattern) if kind == "name" else [one for m in pattern.finditer(text) for one in _checked(kind, text, *m.span(group), m)]
         for a, b, _, _ in own:  # later patterns do not see what is taken
             text = text[:a] + "\0" * (b - a) + text[b:]
         found += own
     return sorted(found)
 
 
+def _names(text: str, pattern: re.Pattern) -> list[tuple[int, int, str, str]]:
+    """The one or two capitalised words behind forms of address, and other
+    mentions of these words in the text."""
+    found, forms = [], {}
+    for m in pattern.finditer(text):
+        gender = next((HONORIFICS[t] for t in _HONOR.findall(m.group()) if HONORIFICS[t] != "n"), "n")
+        words, at = [], m.end()
+        while len(words) < 2 and (w := _WORD.match(text, at)) and w.group(1)[0].isupper() and w.group(1) not in HONORIFICS:
+            name = re.sub(r"(?:['’]s)?['’-]*$", "", w.group(1))
+            words.append((w.start(1), w.start(1) + len(name), name))
+            at = w.end()
+            if len(name) < len(w.group(1)):
+                break
+        for i, (x, y, name) in enumerate(words):
+            kind = f"given_{gender}" if len(words) > 1 and i == 0 else "family"
+            found.append((x, y, kind, name.casefold()))
+            for form in {name, name.capitalize()} if name.isupper() else {name}:
+                forms.setdefault(form, (kind, name.casefold()))
+    if forms:
+        for a, b, _, _ in found:
+            text = text[:a] + "\0" * (b - a) + text[b:]
+        again = "|".join(map(re.escape, sorted(forms, key=len, reverse=True)))
+        found += [(*m.span(), *forms[m.group()]) for m in re.finditer(rf"(?<!\w)(?:{again})(?!\w)", text)]
+    return found
+
+
+def _who(kind: str) -> str:
+    """The type within which a normal form is one entity."""
+    return "name" if kind == "family" or kind.startswith("given") else kind
+
+
+def _genders(found: list[tuple[int, int, str, str]]) -> dict[str, set]:
+    """The genders with which a text has its names (n: none)."""
+    out: dict[str, set] = {}
+    for _, _, kind, norm in found:
+        if _who(kind) == "name":
+            out.setdefault(norm, set()).add(kind[-1] if kind.startswith("given") else "n")
+    return out
+
+
 def _checked(kind: str, text: str, a: int, b: int, m: re.Match) -> Iterator[tuple[int, int, str, str]]:
     s = text[a:b]
     d = _digits(s)
@@ -125,14 +172,6 @@ def _checked(kind: str, text: str, a: int, b: int, m: re.Match) -> Iterator[tupl
         marked = s[0] == "+" or "(" in s or s[0] == "0" and len(d) < len(s) or _PLAIN_PHONE.fullmatch(s)
         if marked and (8 if s[0] == "+" else 10) <= len(d) <= 15:
             yield a, b, kind, d
-    elif kind == "name":
-        gender = HONORIFICS[_HONOR.match(text, m.start()).group(1)]
-        words = [(w.start() + a, w.end() + a, w.group()) for w in re.finditer(r"\S+", s)]
-        for i, (x, y, w) in enumerate(words):
-            if not w[0].isupper():  # script without case or a plain word
-                return
-            given = len(words) > 1 and i == 0
-            yield x, y, f"given_{gender}" if given else "family", w.casefold()
     else:
         yield a, b, kind, d if kind == "ssn" else s
 
@@ -170,7 +209,7 @@ def script_of(word: str) -> str:
 def draw(key: bytes, kind: str, norm: str, attempt: int = 0) -> str:
     """The replacement's normal form.  From the eighth attempt on secrets and
     names grow, so that a crowded format cannot run out of replacements."""
-    r = _Stream(key, kind, norm, attempt)
+    r = _Stream(key, _who(kind), norm, attempt)
     extra = max(0, attempt - 7)
     if kind in ("card", "account"):
         body = norm[0] + "".join(r.of("0123456789") for _ in norm[2:])
@@ -195,7 +234,7 @@ def draw(key: bytes, kind: str, norm: str, attempt: int = 0) -> str:
         site = _Stream(key, "host", host)  # one host stays one host
         word = _alike(local, r)
         return f"{word}{''.join(r.of('0123456789') for _ in range(max(0, 6 - len(word)) + extra))}@h{site.below(1 << 32):08x}.example"
-    if kind == "family" or kind.startswith("given"):
+    if _who(kind) == "name":
         inner, endings = SYLLABLES[script_of(norm)]
         gender = kind[-1] if kind.startswith("given") else "n"
         return "".join(inner[r.below(len(inner))] for _ in range(3 + extra)) + endings[gender][r.below(len(endings[gender]))]
@@ -212,38 +251,57 @@ def dress(kind: str, original: str, norm: str) -> str:
     if kind == "iban":
         it = iter(norm)
         return "".join(c if c == " " else next(it) for c in original)
-    if kind == "family" or kind.startswith("given"):
+    if _who(kind) == "name":
         return norm.upper() if original.isupper() and len(original) > 1 else norm.capitalize()
     if kind == "ipv6" and original != original.lower():
         return norm.upper()
     return norm
 
 
-def replace(text: str | None, key: bytes, attempt_of: Callable[[str, str], int]) -> tuple[str | None, list[str]]:
-    """(the text with its entities replaced, the types found)."""
+def replace(text: str | None, key: bytes, attempt_of: Callable[[str, str], int],
+            gender_of: Callable[[str], str | None] = lambda n: None) -> tuple[str | None, list[str]]:
+    """(the text with its entities replaced, the types found).  A name whose
+    gender ``gender_of`` does not tell has the one that the text gives it."""
     out, at, kinds = [], 0, []
-    for a, b, kind, norm in find(text):
-        out += [text[at:a], dress(kind, text[a:b], draw(key, kind, norm, attempt_of(kind, norm)))]
+    found = find(text)
+    genders = _genders(found)
+    for a, b, kind, norm in found:
+        drawn, who = kind, _who(kind)
+        if who == "name":
+            sure = genders[norm] - {"n"}
+            drawn = f"given_{gender_of(norm) or (min(sure) if len(sure) == 1 else 'n')}"
+        out += [text[at:a], dress(kind, text[a:b], draw(key, drawn, norm, attempt_of(who, norm)))]
         at = b
         kinds.append(kind)
     return (text if not kinds else "".join(out) + text[at:]), kinds
 
 
 def _redraws(docs: DataFrame, key: bytes, text_col: str) -> DataFrame:
-    """(kind, norm, attempt) of the entities whose first draw collides."""
+    """(kind, norm, attempt, gender) of the entities whose first draw collides
+    and of the names that texts have with different genders."""
     def found(t: pa.Table) -> pa.Table:
-        rows = sorted({(k, n) for x in t.column(0).to_pylist() for _, _, k, n in find(x)})
-        return pa.table([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], names=["kind", "norm"])
-    entities = stash(map_batches(docs.select(F.col(text_col).cast("string")), found, "kind string, norm string", 512)
-                     .distinct(), "entities")
+        rows = set()
+        for x in t.column(0).to_pylist():
+            got = find(x)
+            rows |= {(k, n, "") for _, _, k, n in got if _who(k) != "name"}
+            rows |= {("name", n, g) for n, all_g in _genders(got).items() for g in all_g}
+        rows = sorted(rows)
+        return pa.table([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], names=["kind", "norm", "gender"])
+    m, f, n = (F.max(F.when(F.col("gender") == g, 1).otherwise(0)) for g in "mfn")
+    entities = stash(map_batches(docs.select(F.col(text_col).cast("string")), found, "kind string, norm string, gender string", 512)
+                     .groupBy("kind", "norm").agg(m.alias("m"), f.alias("f"), n.alias("n"))
+                     .select("kind", "norm", F.expr("case when m > f then 'm' when f > m then 'f' else 'n' end").alias("gender"),
+                             F.expr("m + f + n > 1").alias("mixed")), "entities")
 
     def drawn(t: pa.Table) -> pa.Table:
-        k, n, a = (t.column(i).to_pylist() for i in range(3))
+        k, n, g, _, a = (t.column(i).to_pylist() for i in range(5))
+        k = [f"given_{h}" if x == "name" else x for x, h in zip(k, g)]
         return t.append_column("new", pa.array([draw(key, *x) for x in zip(k, n, a)], pa.string()))
     state = entities.withColumn("attempt", F.lit(0))
+    cols = ["kind", "norm", "gender", "mixed"]
     while True:
-        state = stash(map_batches(state.select("kind", "norm", "attempt"), drawn,
-                                  "kind string, norm string, attempt int, new string", 8192), "draws")
+        state = stash(map_batches(state.select(*cols, "attempt"), drawn,
+                                  "kind string, norm string, gender string, mixed boolean, attempt int, new string", 8192), "draws")
         first = state.groupBy("kind", "new").agg(F.min("norm").alias("owner"), F.count("*").alias("n"))
         real = entities.select("kind", F.col("norm").alias("new"), F.lit(True).alias("real"))
         clash = first.join(real, ["kind", "new"], "left").where("n > 1 or real").select(
@@ -252,8 +310,8 @@ def _redraws(docs: DataFrame, key: bytes, text_col: str) -> DataFrame:
         again = stash(again, "redraws")
         if again.isEmpty():
             break
-        state = state.join(again, ["kind", "norm"], "left").select("kind", "norm", F.coalesce("next", "attempt").alias("attempt"))
-    return state.where("attempt > 0").select("kind", "norm", "attempt")
+        state = state.join(again, ["kind", "norm"], "left").select(*cols, F.coalesce("next", "attempt").alias("attempt"))
+    return state.where("attempt > 0 or mixed").select("kind", "norm", "attempt", "gender")
 
 
 def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text", with_types: str | None = None,
@@ -267,7 +325,8 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text", with_types
     get different ones.  Rows are changed in place, one by one, so ties and
     repeated rows need no rule.
 
-    The entities that had to draw again go to the tasks by broadcast, in
+    The entities that had to draw again, and the names met with different
+    genders, go to the tasks by broadcast, in
     slices of ``slice_rows``; with more slices, the texts pass once per slice
     and each row collects its own entities' attempts."""
     if not 1 <= len(key) <= 64:
@@ -283,27 +342,30 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text", with_types
 
     def note(sent):
         def run(text, *before):
-            mine = [{f"{k}\x1f{n}\x1f{sent.value[(k, n)]}" for _, _, k, n in find(x) if (k, n) in sent.value} for x in text.to_pylist()]
+            mine = [{f"{w}\x1f{n}\x1f{sent.value[(w, n)]}" for _, _, k, n in find(x) if (w := _who(k), n) in sent.value} for x in text.to_pylist()]
             if before:
                 mine = [m | set(b) for m, b in zip(mine, before[0].to_pylist())]
             return [pa.array([sorted(m) for m in mine], pa.list_(pa.string()))]
         return run
-    for k, n, a in redraws.toLocalIterator():
+    for k, n, a, g in redraws.toLocalIterator():
         if len(slices[-1]) >= slice_rows:  # a full slice: note its entities in the rows and drop it
             sent = spark.sparkContext.broadcast(slices.pop())
             out = add_columns(out, [text_col] + [noted] * any_noted, note(sent),
                               T.StructType([T.StructField(noted, T.ArrayType(T.StringType()))]), 512)
             any_noted = True
             slices.append({})
-        slices[-1][(k, n)] = a
+        slices[-1][(k, n)] = f"{a}{g}"  # the attempt, and the gender as the last letter
     last = spark.sparkContext.broadcast(slices[-1])
 
     def run(text, *before):
         rows = []
         known = last.value
         for i, x in enumerate(text.to_pylist()):
-            told = {tuple(e.split("\x1f")[:2]): int(e.rsplit("\x1f", 1)[1]) for e in (before[0][i].as_py() if before else ())}
-            rows.append(replace(x, key, lambda k, n: told.get((k, n)) or known.get((k, n), 0)))
+            told = {tuple(e.split("\x1f")[:2]): e.rsplit("\x1f", 1)[1] for e in (before[0][i].as_py() if before else ())}
+
+            def of(k, n):
+                return told.get((k, n)) or known.get((k, n))
+            rows.append(replace(x, key, lambda k, n: int((of(k, n) or "0n")[:-1]), lambda n: (of("name", n) or " ")[-1].strip()))
         made = [pa.array([r[0] for r in rows], pa.string())]
         return made + ([pa.array([sorted(r[1]) for r in rows], pa.list_(pa.string()))] if with_types else [])
     result = add_columns(out, [text_col] + [noted] * any_noted, run, new, 512)

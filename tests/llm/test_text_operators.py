@@ -504,3 +504,19 @@ def test_surrogates_stay_distinct(spark):
     assert pseudonymise(df.limit(0), b"key").count() == 0
     with pytest.raises(ValueError):
         pseudonymise(df, b"")
+
+
+def test_a_name_is_one_entity(spark):
+    from tagsmith.llm.surrogates import find, pseudonymise, replace
+    kinds = lambda t: [(t[a:b], k) for a, b, k, _ in find(t)]
+    assert kinds("Mr Smith said that Mrs Smith, Mr Smith's wife, left. Smith ran.") == [("Smith", "family")] * 4
+    assert kinds("Prof. Dr. Mueller met Frau Dr. Anna Weber") == [("Mueller", "family"), ("Anna", "given_f"), ("Weber", "family")]
+    assert kinds("Mr and Mrs Smith") == [("Smith", "family")] and kinds("Mr SMITH, Smith") == [("SMITH", "family"), ("Smith", "family")]
+    new, _ = replace("Dr Anna Weber and Frau Anna Weber", b"k", lambda k, n: 0)
+    assert new.split(" and Frau ")[0][3:] == new.split(" and Frau ")[1] and new.split()[1][-1] == "a"
+    df = docs_of(spark, [(1, "Dr Anna Weber came"), (2, "Frau Anna Weber left"), (3, "Prof. Dr. Weber said"), (4, "Mr Weber Anna")])
+    for how in ({}, {"slice_rows": 1}):
+        out = {r["doc_id"]: r["text"].split() for r in pseudonymise(df, b"key", **how).collect()}
+        anna, weber = out[1][1:3]
+        assert out[2][1:3] == [anna, weber] and out[3][2] == weber and out[4][1:] == [weber, anna]
+        assert anna[-1] == "a" and not {"Anna", "Weber"} & {w for t in out.values() for w in t}
