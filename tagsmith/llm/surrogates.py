@@ -22,6 +22,7 @@ entities draw again with the next attempt number, until none collides.
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from collections.abc import Callable, Iterator
 
@@ -62,11 +63,13 @@ PATTERNS: list[tuple[str, tuple[str, ...], re.Pattern, int]] = [
     ("card", (), re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)"), 0),
     ("ssn", ("-",), re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"), 0),
     ("ipv4", (".",), re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)"), 0),
-    ("ipv6", (":",), re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){3,7}(?::?[0-9A-Fa-f]{1,4})(?![\w:])"), 0),
-    ("phone", (), re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w]|[.-]\d)"), 0),
+    ("ipv6", (":",), re.compile(r"(?:(?<![\w:.])|(?<=[G-Zg-z]:)(?!:))(?:[0-9A-Fa-f]{1,4})?:(?:[0-9A-Fa-f]{0,4}:)+[0-9A-Fa-f]{0,4}(?![\w:])"), 0),
+    ("phone", (), re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}|(?:\(\d{1,4}\)[ .-]?)?\d{2,4})(?:[ .-]?\d{2,4}){1,5}(?![\w]|[.-]\d)"), 0),
     ("name", _STEMS, re.compile(rf"\b(?:{_name})\b\.?(?: (?:{_name})\b\.?)*"), 0),  # forms of address; the names follow
 ]
 _WORD = re.compile(r" ([^\W\d_][\w'’-]+)")
+_MAC = re.compile(r"(?:[0-9A-Fa-f]{2}:){5}[0-9A-Fa-f]{2}")
+_DATE = re.compile(r"\d\d([ .-])\d\d\1\d{4}")
 _PLAIN_PHONE = re.compile(r"(?:1([ .-]))?\d{3}([ .-])\d{3}\2\d{4}")
 _DIGIT, _CUE = re.compile(r"[0-9]"), re.compile(rf"(?i){_SECRET}")
 _HONOR = re.compile(rf"\b({_name})\b")
@@ -100,7 +103,7 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
         if needs and not any(n in text for n in needs) or not digit and kind in ("card", "ssn", "ipv4", "phone", "iban"):
             continue
         if kind == "secret" and not _CUE.search(text) or kind == "name" and not _HONOR.search(text) \
-                or kind == "ipv6" and text.count(":") < 3:
+                or kind == "ipv6" and text.count(":") < 2:
             continue
         own = _names(text, pattern) if kind == "name" else [one for m in pattern.finditer(text) for one in _checked(kind, text, *m.span(group), m)]
         for a, b, _, _ in own:  # later patterns do not see what is taken
@@ -167,10 +170,19 @@ def _checked(kind: str, text: str, a: int, b: int, m: re.Match) -> Iterator[tupl
         if all(int(x) < 256 for x in s.split(".")):
             yield a, b, kind, ".".join(str(int(x)) for x in s.split("."))
     elif kind == "ipv6":
-        yield a, b, kind, s.lower()
+        if s.endswith(":") and not s.endswith("::"):
+            s, b = s[:-1], b - 1
+        if _MAC.fullmatch(s):
+            yield a, b, kind, s.lower()
+        elif s != "::":
+            try:
+                yield a, b, kind, ipaddress.IPv6Address(s).compressed
+            except ValueError:
+                pass
     elif kind == "phone":
         marked = s[0] == "+" or "(" in s or s[0] == "0" and len(d) < len(s) or _PLAIN_PHONE.fullmatch(s)
-        if marked and (8 if s[0] == "+" else 10) <= len(d) <= 15:
+        trunk = d[0] == "0" and not _DATE.fullmatch(s)  # marked and national
+        if marked and (8 if s[0] == "+" or trunk else 10) <= len(d) <= 15:
             yield a, b, kind, d
     else:
         yield a, b, kind, d if kind == "ssn" else s
@@ -218,7 +230,7 @@ def draw(key: bytes, kind: str, norm: str, attempt: int = 0) -> str:
         last = r.of("0123456789")
         return next(body + c for c in last + "0123456789" if not luhn(body + c))
     if kind == "phone":
-        keep = 1 if norm[0] == "1" else 2 if len(norm) > 10 else 0  # the country's digits
+        keep = 1 if norm[0] == "1" or norm[0] == "0" and len(norm) <= 10 else 2 if len(norm) > 10 else 0  # the country's digits
         return norm[:keep] + r.of("23456789") + "".join(r.of("0123456789") for _ in norm[keep + 1:])
     if kind == "ssn":  # the range 900-999 is never issued
         return "9" + "".join(r.of("0123456789") for _ in norm[1:])
@@ -228,7 +240,13 @@ def draw(key: bytes, kind: str, norm: str, attempt: int = 0) -> str:
     if kind == "ipv4":
         return f"10.{r.below(256)}.{r.below(256)}.{r.below(256)}"
     if kind == "ipv6":
-        return "fd" + "".join(r.of("0123456789abcdef") if c in "0123456789abcdef" else c for c in norm[2:])
+        if _MAC.fullmatch(norm):
+            return "fd" + "".join(r.of("0123456789abcdef") if c in "0123456789abcdef" else c for c in norm[2:])
+        full = norm.split("::")
+        groups = [[r.of("123456789abcdef") + "".join(r.of("0123456789abcdef") for _ in g[1:]) for g in side.split(":") if g] for side in full]
+        first = f"fd{r.of('0123456789abcdef')}{r.of('0123456789abcdef')}"
+        groups[0] = [first, *groups[0][1:]]
+        return ipaddress.IPv6Address("::".join(map(":".join, groups))).compressed
     if kind == "email":
         local, host = norm.split("@", 1)
         site = _Stream(key, "host", host)  # one host stays one host

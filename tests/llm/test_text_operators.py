@@ -520,3 +520,17 @@ def test_a_name_is_one_entity(spark):
         anna, weber = out[1][1:3]
         assert out[2][1:3] == [anna, weber] and out[3][2] == weber and out[4][1:] == [weber, anna]
         assert anna[-1] == "a" and not {"Anna", "Weber"} & {w for t in out.values() for w in t}
+
+
+def test_surrogates_of_ordinary_phones_and_ipv6():
+    from tagsmith.llm.surrogates import find, replace
+    for kind, text in [("phone", t) for t in ("+33 1 23 45 67 89", "+61 2 1234 5678", "+81 3 1234 5678", "030 123456", "(02) 123 4567", "+49 (0)30 123456")] \
+            + [("ipv6", t) for t in ("2001:db8::1", "fe80::1ff:fe23:4567:890a", "::1", "2001:DB8:0:1::5", "fd00::", "1:2:3:4:5:6:7:8", "aa:bb:cc:dd:ee:ff")]:
+        for around in ("%s", "at %s, then", "(%s)", "to %s."):
+            whole = around % text
+            assert [(whole[a:b], k) for a, b, k, _ in find(whole)] == [(text, kind)], whole
+            new, _ = replace(whole, b"k", lambda k, n: 0)
+            assert text not in new and [k for _, _, k, _ in find(new)] == [kind], (whole, new)
+    assert find("x 2001:db8::1 y")[0][3] == find("2001:0DB8:0::1: up")[0][3]
+    for clean in ("01-02-2020", "01.02.2020 at 10:30:45", "std::add a :: b", "1:2:3:4", "pages 100 200", "0.123 456"):
+        assert find(clean) == [], clean
