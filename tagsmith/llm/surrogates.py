@@ -218,30 +218,40 @@ def script_of(word: str) -> str:
     return "cyrillic" if "Ѐ" <= c <= "ӿ" else "greek" if "Ͱ" <= c <= "Ͽ" else "latin"
 
 
+def _private6(r: _Stream) -> str:
+    return ipaddress.IPv6Address(0xFD << 120 | sum(r.below(1 << 24) << 24 * i for i in range(5))).compressed
+
+
 def draw(key: bytes, kind: str, norm: str, attempt: int = 0) -> str:
-    """The replacement's normal form.  From the eighth attempt on secrets and
-    names grow, so that a crowded format cannot run out of replacements."""
+    """The replacement's normal form.  From the eighth attempt on every type
+    grows by a character an attempt, IPv4 addresses first to the range 240/4
+    (from the sixteenth on to a private IPv6 address) and IPv6 addresses to
+    eight groups, so that no format can run out of replacements."""
     r = _Stream(key, _who(kind), norm, attempt)
     extra = max(0, attempt - 7)
     if kind in ("card", "account"):
-        body = norm[0] + "".join(r.of("0123456789") for _ in norm[2:])
+        body = norm[0] + "".join(r.of("0123456789") for _ in range(len(norm) - 2 + extra))
         if kind == "card":
             return next(body + c for c in "0123456789" if luhn(body + c))
         last = r.of("0123456789")
         return next(body + c for c in last + "0123456789" if not luhn(body + c))
     if kind == "phone":
         keep = 1 if norm[0] == "1" or norm[0] == "0" and len(norm) <= 10 else 2 if len(norm) > 10 else 0  # the country's digits
-        return norm[:keep] + r.of("23456789") + "".join(r.of("0123456789") for _ in norm[keep + 1:])
+        return norm[:keep] + r.of("23456789") + "".join(r.of("0123456789") for _ in range(len(norm) - keep - 1 + extra))
     if kind == "ssn":  # the range 900-999 is never issued
-        return "9" + "".join(r.of("0123456789") for _ in norm[1:])
+        return "9" + "".join(r.of("0123456789") for _ in range(len(norm) - 1 + extra))
     if kind == "iban":
-        body = _alike(norm[4:], r, hexa=False)
+        body = _alike(norm[4:] + "0" * extra, r, hexa=False)
         return f"{norm[:2]}{98 - _mod97(norm[:2] + '00' + body):02d}{body}"
     if kind == "ipv4":
-        return f"10.{r.below(256)}.{r.below(256)}.{r.below(256)}"
+        if attempt >= 16:
+            return _private6(r)
+        return f"{240 + r.below(16) if extra else 10}.{r.below(256)}.{r.below(256)}.{r.below(256)}"
     if kind == "ipv6":
         if _MAC.fullmatch(norm):
-            return "fd" + "".join(r.of("0123456789abcdef") if c in "0123456789abcdef" else c for c in norm[2:])
+            return "fd" + "".join(r.of("0123456789abcdef") if c in "0123456789abcdef" else c for c in norm[2:] + ":00" * extra)
+        if extra:
+            return _private6(r)
         full = norm.split("::")
         groups = [[r.of("123456789abcdef") + "".join(r.of("0123456789abcdef") for _ in g[1:]) for g in side.split(":") if g] for side in full]
         first = f"fd{r.of('0123456789abcdef')}{r.of('0123456789abcdef')}"
@@ -265,10 +275,10 @@ def dress(kind: str, original: str, norm: str) -> str:
     """The replacement in the format of one occurrence."""
     if kind in ("card", "account", "phone", "ssn"):
         it = iter(norm)
-        return "".join(next(it) if c.isascii() and c.isdigit() else c for c in original)
+        return "".join(next(it) if c.isascii() and c.isdigit() else c for c in original) + "".join(it)
     if kind == "iban":
         it = iter(norm)
-        return "".join(c if c == " " else next(it) for c in original)
+        return "".join(c if c == " " else next(it) for c in original) + "".join(it)
     if _who(kind) == "name":
         return norm.upper() if original.isupper() and len(original) > 1 else norm.capitalize()
     if kind == "ipv6" and original != original.lower():

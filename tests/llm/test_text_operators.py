@@ -534,3 +534,20 @@ def test_surrogates_of_ordinary_phones_and_ipv6():
     assert find("x 2001:db8::1 y")[0][3] == find("2001:0DB8:0::1: up")[0][3]
     for clean in ("01-02-2020", "01.02.2020 at 10:30:45", "std::add a :: b", "1:2:3:4", "pages 100 200", "0.123 456"):
         assert find(clean) == [], clean
+
+
+def test_every_format_grows():
+    from tagsmith.llm.surrogates import draw, dress, luhn
+    for kind, norm, shown in (("card", "4111111111111111", "4111 1111 1111 1111"), ("account", "4111111111111112", "4111111111111112"),
+                              ("phone", "13865553733", "+1 386 555 3733"), ("ssn", "123456789", "123-45-6789"),
+                              ("iban", "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"), ("ipv6", "aa:bb:cc:dd:ee:ff", "aa:bb:cc:dd:ee:ff"),
+                              ("email", "a@b.org", "a@b.org"), ("family", "smith", "Smith"), ("secret", "abcdef", "abcdef")):
+        sizes = [len(draw(b"k", kind, norm, a)) for a in (0, 40, 400)]
+        assert sizes[0] < sizes[1] < sizes[2], kind
+        new = [draw(b"k", kind, norm, a) for a in range(40, 60)]
+        assert len({dress(kind, shown, x) for x in new}) == len(new)  # the text shows what grew
+    assert luhn(draw(b"k", "card", "4111111111111111", 40))
+    assert {draw(b"k", "ipv4", f"1.2.3.{i}").split(".")[0] for i in range(99)} == {"10"}
+    assert len({draw(b"k", "ipv4", f"1.2.3.{i}", 9).split(".")[0] for i in range(99)}) > 9
+    for kind, norm in (("ipv4", "1.2.3.4"), ("ipv6", "::1"), ("ipv6", "2001:db8::1")):  # 2^120 replacements
+        assert len({draw(b"k", kind, norm, a) for a in range(20, 2020)}) == 2000 and draw(b"k", kind, norm, 20).startswith("fd")
