@@ -10,7 +10,13 @@
 5. Every node of a shard searches the united graph there: greedily from the
    shard's medoid and its own place, keeping a beam, and expanding every node
    that comes within (a little more than) the link range.
-6. What the search found is verified by the cosine in double precision.
+6. A node's nearest neighbour is always an edge of its shard, so the search
+   finds a link of every node that has one there.  Those nodes are compared
+   with all nodes of the shard, by the cosine in double precision: the graph
+   decides who has links, the comparison finds them all.
+7. A sample of nodes is compared with all vectors.  When links are missing
+   (their ends share no shard), the overlap doubles and the search runs again,
+   up to all shards, where nothing can be missing.
 
 A shard with more than ``block`` nodes is cut into pieces; each pair of pieces
 is searched in a task of its own, which adds the graph's edges between the two
@@ -21,6 +27,8 @@ that shares several shards is counted in the first of them only.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -152,8 +160,28 @@ def range_search(x: np.ndarray, adjacency: np.ndarray, queries: np.ndarray, reac
     return tuple(np.concatenate(found, 1)) if found else (np.zeros(0, np.int64),) * 2
 
 
+def linked(x: np.ndarray, adjacency: np.ndarray, reach: float, step: int = 256) -> np.ndarray:
+    """The nodes for which the search finds a link."""
+    parts = [np.unique(range_search(x, adjacency, np.arange(i, min(i + step, len(x))), reach)[0]) for i in range(0, len(x), step)]
+    return np.concatenate([np.zeros(0, np.int64), *parts])
+
+
+def all_links(x: np.ndarray, nodes: np.ndarray, reach: float, step: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Every (node, other) with a cosine of at least ``reach``, in slices."""
+    f = x.astype(np.float32)
+    for i in range(0, len(nodes), step):
+        own = nodes[i:i + step]
+        u, v = np.nonzero(f[own] @ f.T >= reach - 1e-4)
+        u = own[u]
+        keep = u != v
+        u, v = u[keep], v[keep]
+        ok = [np.einsum("ij,ij->i", x[u[s:s + 65536]], x[v[s:s + 65536]]) >= reach for s in range(0, len(u), 65536)]
+        ok = np.concatenate([np.zeros(0, bool), *ok])
+        yield u[ok], v[ok]
+
+
 def embedding_groups(vectors: DataFrame, reach: float = 0.98, overlap: int = 3, block: int = 2048, degree: int = 16,
-                     candidates: int = 48, alpha: float = 1.2, sample: int = 20_000, max_centroids: int = 4096,
+                     candidates: int = 48, alpha: float = 1.2, sample: int = 20_000, max_centroids: int = 4096, min_recall: float = 0.9999, audited: int = 500,
                      id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row per vector: id, n_links (other vectors linked directly),
     component_id (smallest id reachable by links, itself included) and kept
@@ -167,7 +195,8 @@ def embedding_groups(vectors: DataFrame, reach: float = 0.98, overlap: int = 3,
     columns are ignored; an empty table gives no rows.
 
     The centroids are fitted on at most about ``sample`` vectors; every vector
-    is indexed."""
+    is indexed.  While a sample of about ``audited`` nodes shows a recall of
+    links below ``min_recall``, the search runs again with twice the overlap."""
     spark = vectors.sparkSession
     ship(spark)
 
@@ -188,68 +217,70 @@ def embedding_groups(vectors: DataFrame, reach: float = 0.98, overlap: int = 3,
     k = int(min(max_centroids, max(1, n * overlap // (max(1, labels) * (block // 2))), max(1, len(base) // 8)))
     sent = spark.sparkContext.broadcast(fit_centroids(base, k, 2.5 * np.sqrt(2 - 2 * reach)) if len(base) else np.zeros((1, 1)))
 
-    def assign(column: pa.Array) -> list[pa.Array]:
-        vec = column.to_pylist()
-        usual = np.array([len(v) == width for v in vec])
-        own = np.full((len(vec), min(overlap, len(sent.value))), -1)
-        if usual.any():
-            sim = unit_matrix([v for v, u in zip(vec, usual) if u], kind) @ sent.value.T
-            own[usual] = np.sort(np.argpartition(-sim, own.shape[1] - 1, axis=1)[:, :own.shape[1]], 1)
-        shards = [o if u else [0] for o, u in zip(own.tolist(), usual)]
-        return [pa.array(shards, pa.list_(pa.int32())), pa.array([len(v) for v in vec], pa.int32())]
-    new = T.StructType([T.StructField("shards", T.ArrayType(T.IntegerType())), T.StructField("width", T.IntegerType())])
-    placed = stash(add_columns(nodes.select("node", "copies", "label", "vec"), ["vec"], assign, new, 4096), "placed")
-    dealt = placed.withColumn("shard", F.explode("shards"))
-    crowded = dealt.groupBy("label", "width", "shard").count().select(
-        "label", "width", "shard", F.ceil(F.col("count") / block).cast("int").alias("pieces"))
-    dealt = dealt.join(crowded, ["label", "width", "shard"]).withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        node = pdf["node"].to_numpy()
-        x = unit_matrix(pdf["vec"], kind)
-        adj = with_reverse(x, robust_prune(x, degree, candidates, alpha))
-        return pd.DataFrame({"node": node, "near": [node[a[a >= 0]] for a in adj]})
-    lists = dealt.select("label", "width", "shard", "piece", "node", "vec").groupBy("label", "width", "shard", "piece") \
-        .applyInPandas(build, "node long, near array<long>")
-    # at most 2 * overlap * degree neighbours a node
-    united = stash(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
-    # pieces i <= j of a shard meet in the task (i, j)
-    every = F.sequence(F.lit(0), F.col("pieces") - 1)
-    tasks = dealt.join(united, "node").withColumn("other", F.explode(every)) \
-        .withColumn("i", F.least("piece", "other")).withColumn("j", F.greatest("piece", "other"))
-
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, node = unit_matrix(pdf["vec"], kind), pdf["node"].to_numpy()
-        shard, copies, piece = int(pdf["shard"].iloc[0]), pdf["copies"].to_numpy(), pdf["piece"].to_numpy()
-        place = {v: p for p, v in enumerate(node.tolist())}
-        near = [[place[v] for v in a.tolist() if v in place] for a in pdf["near"]]
-        adj = np.full((len(node), max(1, max(map(len, near)))), -1)
-        for r, a in enumerate(near):
-            adj[r, :len(a)] = a
-        if piece.min() != piece.max():
-            adj = np.concatenate([adj, with_reverse(x, robust_prune(x, degree, candidates, alpha))], axis=1)
-        links = Links(len(node))
-        n_links = np.zeros(len(node), np.int64)
-        own = [set(s.tolist()) for s in pdf["shards"]]
-        u, v = range_search(x, adj, np.arange(len(node)), reach)
-        if len(u):
-            both = np.unique(np.concatenate([u * len(node) + v, v * len(node) + u]))  # either end may have found it
-            u, v = both // len(node), both % len(node)
-            if piece.min() != piece.max():  # pairs within a piece belong to the tasks (i, i)
-                on = piece[u] != piece[v]
-                u, v = u[on], v[on]
-            ok = np.concatenate([np.einsum("ij,ij->i", x[u[s:s + 65536]], x[v[s:s + 65536]]) >= reach for s in range(0, len(u), 65536)]) if len(u) else np.zeros(0, bool)
-            u, v = u[ok], v[ok]
-            links.add(u, v)
-            lists, which = np.unique(np.array([",".join(map(str, sorted(s))) for s in own]), return_inverse=True)
-            sets = [set(map(int, s.split(","))) for s in lists]
+    def search_with(overlap: int) -> tuple[DataFrame, DataFrame]:
+        def assign(column: pa.Array) -> list[pa.Array]:
+            vec = column.to_pylist()
+            usual = np.array([len(v) == width for v in vec])
+            own = np.full((len(vec), min(overlap, len(sent.value))), -1)
+            if usual.any():
+                sim = unit_matrix([v for v, u in zip(vec, usual) if u], kind) @ sent.value.T
+                own[usual] = np.sort(np.argpartition(-sim, own.shape[1] - 1, axis=1)[:, :own.shape[1]], 1)
+            shards = [o if u else [0] for o, u in zip(own.tolist(), usual)]
+            return [pa.array(shards, pa.list_(pa.int32())), pa.array([len(v) for v in vec], pa.int32())]
+        new = T.StructType([T.StructField("shards", T.ArrayType(T.IntegerType())), T.StructField("width", T.IntegerType())])
+        placed = stash(add_columns(nodes.select("node", "copies", "label", "vec"), ["vec"], assign, new, 4096), "placed")
+        dealt = placed.withColumn("shard", F.explode("shards"))
+        crowded = dealt.groupBy("label", "width", "shard").count().select(
+            "label", "width", "shard", F.ceil(F.col("count") / block).cast("int").alias("pieces"))
+        dealt = dealt.join(crowded, ["label", "width", "shard"]).withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
+
+        def build(pdf: pd.DataFrame) -> pd.DataFrame:
+            node = pdf["node"].to_numpy()
+            x = unit_matrix(pdf["vec"], kind)
+            adj = with_reverse(x, robust_prune(x, degree, candidates, alpha))
+            return pd.DataFrame({"node": node, "near": [node[a[a >= 0]] for a in adj]})
+        lists = dealt.select("label", "width", "shard", "piece", "node", "vec").groupBy("label", "width", "shard", "piece") \
+            .applyInPandas(build, "node long, near array<long>")
+        # at most 2 * overlap * degree neighbours a node
+        united = stash(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
+        # pieces i <= j of a shard meet in the task (i, j)
+        every = F.sequence(F.lit(0), F.col("pieces") - 1)
+        tasks = dealt.join(united, "node").withColumn("other", F.explode(every)) \
+            .withColumn("i", F.least("piece", "other")).withColumn("j", F.greatest("piece", "other"))
+
+        def search(pdf: pd.DataFrame) -> pd.DataFrame:
+            x, node = unit_matrix(pdf["vec"], kind), pdf["node"].to_numpy()
+            shard, copies, piece = int(pdf["shard"].iloc[0]), pdf["copies"].to_numpy(), pdf["piece"].to_numpy()
+            place = {v: p for p, v in enumerate(node.tolist())}
+            near = [[place[v] for v in a.tolist() if v in place] for a in pdf["near"]]
+            adj = np.full((len(node), max(1, max(map(len, near)))), -1)
+            for r, a in enumerate(near):
+                adj[r, :len(a)] = a
+            if piece.min() != piece.max():
+                adj = np.concatenate([adj, with_reverse(x, robust_prune(x, degree, candidates, alpha))], axis=1)
+            links = Links(len(node))
+            n_links = np.zeros(len(node), np.int64)
+            own = [set(s.tolist()) for s in pdf["shards"]]
+            lists, which = np.unique(np.array([",".join(map(str, sorted(t))) for t in own]), return_inverse=True)
+            sets = [set(map(int, t.split(","))) for t in lists]
             here = np.array([[min(a & b, default=-1) == shard for b in sets] for a in sets])
-            counted = here[which[u], which[v]]
-            np.add.at(n_links, u[counted], copies[v[counted]])
-        return pd.DataFrame({"node": node, "n": n_links, "root": node[links.label]})
-    found = stash(tasks.select("label", "width", "shard", "i", "j", "piece", "node", "vec", "copies", "shards", "near")
-                  .groupBy("label", "width", "shard", "i", "j").applyInPandas(search, "node long, n long, root long"), "found")
-    counts = found.groupBy("node").agg(F.sum("n").alias("n"))
+            for u, v in all_links(x, linked(x, adj, reach), reach):  # both directions of a link: both ends are linked nodes
+                if piece.min() != piece.max():  # pairs within a piece belong to the tasks (i, i)
+                    on = piece[u] != piece[v]
+                    u, v = u[on], v[on]
+                links.add(u, v)
+                counted = here[which[u], which[v]]
+                np.add.at(n_links, u[counted], copies[v[counted]])
+            return pd.DataFrame({"node": node, "n": n_links, "root": node[links.label]})
+        found = stash(tasks.select("label", "width", "shard", "i", "j", "piece", "node", "vec", "copies", "shards", "near")
+                      .groupBy("label", "width", "shard", "i", "j").applyInPandas(search, "node long, n long, root long"), "found")
+        return found, stash(found.groupBy("node").agg(F.sum("n").alias("n")), "counts")
+
+    while True:
+        found, counts = search_with(overlap)
+        if overlap >= len(sent.value) or _recall(nodes, counts, reach, kind, audited) >= min_recall:
+            break
+        overlap *= 2  # links between vectors that share no shard are missing
     classes = components(found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     facts = nodes.select("node", "first", "copies").join(counts, "node", "left").join(classes, "node", "left") \
         .withColumn("component", F.coalesce("component", "node"))
@@ -270,6 +301,37 @@ def _vectors(vectors: DataFrame, kind: str, id_col: str, vector_col: str, label_
     return map_batches(src, run, "id long, label string, vec binary", 4096)
 
 
+def _recall(nodes: DataFrame, counts: DataFrame, reach: float, kind: str, audited: int) -> float:
+    """Share of the links of a sample of nodes (against all nodes) that
+    ``counts`` has."""
+    share = min(1.0, audited / max(1, nodes.count()))
+    some = nodes.where(F.pmod(F.xxhash64("node", F.lit(2)), F.lit(1 << 30)) < int(share * (1 << 30))) \
+        .select("node", "label", "vec").toPandas()
+    if not len(some):
+        return 1.0
+    groups = [(key, mine["node"].to_numpy(), unit_matrix(list(mine["vec"]), kind))
+              for key, mine in some.groupby(["label", some["vec"].map(len)])]
+
+    def exact(t: pa.Table) -> pa.Table:
+        node, label, vec = t.column(0).to_numpy(), np.array(t.column(1).to_pylist(), object), t.column(2).to_pylist()
+        copies, size = t.column(3).to_numpy(), np.array([len(v) for v in vec])
+        out: dict[int, int] = {}
+        for (name, width), own, x in groups:
+            on = np.flatnonzero((label == name) & (size == width))
+            if len(on):
+                y = unit_matrix([vec[i] for i in on], kind)
+                u, v = np.nonzero(x @ y.T >= reach - 1e-4)
+                ok = (np.einsum("ij,ij->i", x[u], y[v]) >= reach) & (own[u] != node[on[v]])
+                for k, c in zip(own[u[ok]].tolist(), copies[on[v[ok]]].tolist()):
+                    out[k] = out.get(k, 0) + c
+        return pa.table([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.int64())], names=["node", "links"])
+    truth = map_batches(nodes.select("node", "label", "vec", "copies"), exact, "node long, links long", 4096) \
+        .groupBy("node").agg(F.sum("links").alias("links"))
+    links, got = truth.join(counts, "node", "left").agg(
+        F.coalesce(F.sum("links"), F.lit(0)), F.coalesce(F.sum(F.least("links", F.coalesce("n", F.lit(0)))), F.lit(0))).first()
+    return got / links if links else 1.0
+
+
 def audit_recall(vectors: DataFrame, groups: DataFrame, reach: float = 0.98, queries: int = 500, id_col: str = "vec_id",
                  vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row: links that brute force finds for a bounded sample of about

@@ -207,3 +207,19 @@ def test_registered():
     names = set(entry.queries())
     assert {f"op{n}_" for n in range(1, 11)} <= {n.split("_")[0] + "_" for n in names} and "pipeline" in names
     assert set(entry.oracle_sql()) <= names
+
+
+def test_links_between_crowded_groups(spark):
+    """Two groups of more near-copies than a node has candidates, within reach
+    of each other, among vectors far from both."""
+    from tagsmith.llm.vector_dedup import embedding_groups
+    rng = np.random.default_rng(4)
+    a, b = np.linalg.qr(rng.normal(size=(32, 2)))[0].T
+    b = 0.985 * a + np.sqrt(1 - 0.985 ** 2) * b
+    rows = [(i, (c + rng.normal(size=32) * 0.0015).astype(np.float32).tolist(), 0) for i, c in enumerate([a] * 60 + [b] * 60)]
+    rows += [(1000 + i, rng.normal(size=32).astype(np.float32).tolist(), 0) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    want = Counter(brute(rows))
+    assert sum(n for _, n, _ in want) == 120 * 119
+    for how in ({}, {"block": 32}):
+        assert Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in embedding_groups(df, **how).collect()) == want
