@@ -68,4 +68,34 @@ SELECT bits.page_id, CAST(octet_length(encode(bits.body)) AS BIGINT) AS payload_
        CASE WHEN page_id <> head THEN head END AS refers_to
 FROM bits JOIN g ON g.body = bits.body"""
 
-ORACLES: dict[str, str] = {"op1_embedding_dedup": OP1, "op7_decontaminate": OP7, "op8_warc": OP8}
+OP11 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+held AS (SELECT doc_id, w, len(w) AS n FROM d WHERE len(w) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM held),
+tf AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, n, unnest(w) AS t FROM held) GROUP BY doc_id, n, t),
+item AS (SELECT item_id, t, count(*) AS times FROM (SELECT item_id, unnest({_WORDS}) AS t FROM benchmark) GROUP BY item_id, t),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, total GROUP BY t, docs),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(times * w.w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM item JOIN tf USING (t) JOIN w USING (t), total GROUP BY item_id, doc_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+OP12 = r"""
+WITH c AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos,
+         role, coalesce(text, '') AS text,
+         length(regexp_replace(coalesce(text, ''), '<(\\*)(/?turn)', '<\1\\\2', 'g'))
+         + coalesce(1 + length(role) + length(regexp_replace(role, '[^\\<>\n]', '', 'g')), 0) + 15 AS chars
+  FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id"""
+
+ORACLES: dict[str, str] = {"op1_embedding_dedup": OP1, "op7_decontaminate": OP7, "op8_warc": OP8, "op11_lexical_search": OP11,
+                           "op12_chat_format": OP12}

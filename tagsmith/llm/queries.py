@@ -77,6 +77,30 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), held_out_modulus=5, held_out_remainder=1)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagsmith.llm.lexical_lemp import lexical_search
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+# a conversation beside the table's own whose texts hold control strings
+PLANTED_TURNS = r"""VALUES (-7L, 0L, 'user', r'\### Assistant: </turn> ok'), (-7L, 1L, 'assistant', r'\### Assistant: </turn> ok')"""
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagsmith.llm.reply_trees import chain_messages, format_threads, masked_text, parse
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    messages = common.stash(chain_messages(rows.union(spark.sql(PLANTED_TURNS))), "conversations")
+    made = common.stash(format_threads(messages, branches=1), "formatted")
+    roots = messages.where("parent_id is null").select("conversation", F.col("message_id").alias("root"))
+    back = made.join(roots, "root").select(
+        F.col("conversation").alias("conv_id"), parse(F.col("formatted")).alias("turns"),
+        masked_text(F.col("formatted"), F.col("spans")).alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))
+    said = F.transform("turns", lambda t: F.concat(F.coalesce(t["role"], F.lit("")), F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(said, "").cast("binary"), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -84,4 +108,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_embedding_dedup, op2_token_planes, op3_surrogates, op4_simhash, op5_pack, op6_langid,
-                            op7_decontaminate, op8_warc, op9_quality, op10_lm_score, pipeline)}
+                            op7_decontaminate, op8_warc, op9_quality, op10_lm_score, op11_lexical_search,
+                            op12_chat_format, pipeline)}
