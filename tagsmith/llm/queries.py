@@ -101,6 +101,11 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tagsmith.llm.spelling_kd import spelling_groups
+    return spelling_groups(table(spark, sf_dir, "documents"), min_length=5, min_count=3, ratio=2, modulus=97)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -109,4 +114,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_embedding_dedup, op2_token_planes, op3_surrogates, op4_simhash, op5_pack, op6_langid,
                             op7_decontaminate, op8_warc, op9_quality, op10_lm_score, op11_lexical_search,
-                            op12_chat_format, pipeline)}
+                            op12_chat_format, op13_spelling_groups, pipeline)}
