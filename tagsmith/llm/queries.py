@@ -87,13 +87,12 @@ PLANTED_TURNS = r"""VALUES (-7L, 0L, 'user', r'\### Assistant: </turn> ok'), (-7
 
 
 def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tagsmith.llm.reply_trees import chain_messages, format_threads, masked_text, parse
+    from tagsmith.llm.reply_trees import chain_messages, conversation_of, format_threads, masked_text, parse
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    messages = common.stash(chain_messages(rows.union(spark.sql(PLANTED_TURNS))), "conversations")
-    made = common.stash(format_threads(messages, branches=1), "formatted")
-    roots = messages.where("parent_id is null").select("conversation", F.col("message_id").alias("root"))
-    back = made.join(roots, "root").select(
-        F.col("conversation").alias("conv_id"), parse(F.col("formatted")).alias("turns"),
+    messages = common.stash(chain_messages(rows.union(spark.sql(PLANTED_TURNS))), "conversations", "zstd")
+    made = common.stash(format_threads(messages, branches=1), "formatted", "zstd")
+    back = made.select(
+        conversation_of(F.col("root")).cast("long").alias("conv_id"), parse(F.col("formatted")).alias("turns"),
         masked_text(F.col("formatted"), F.col("spans")).alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))
     said = F.transform("turns", lambda t: F.concat(F.coalesce(t["role"], F.lit("")), F.lit("\n"), t["text"], F.lit("\n")))
     return back.select(

@@ -123,7 +123,7 @@ def format_threads(messages: DataFrame, branches: int | None = 1, loss_role: str
     chosen = stash(rank_branches(leaves, branches), "reply-chosen")
     steps = stash(paths(chosen, jumps), "reply-steps")
     said = clean.where("message_id is not null").groupBy(F.col("message_id").alias("node")).agg(F.min(F.struct("role", "text")).alias("m"))
-    said = stash(said.select("node", "m.role", "m.text"), "reply-said")
+    said = said.select("node", "m.role", "m.text")  # dealt by node, as the join below needs it
     head = F.concat(F.lit("<turn"), F.coalesce(F.concat(F.lit(" "), escape_role(F.col("role"))), F.lit("")), F.lit(">\n"))
     parts = steps.join(said, "node").select(
         "leaf", F.negate("above").alias("pos"), F.coalesce(F.col("role") == loss_role, F.lit(False)).alias("loss"),
@@ -155,6 +155,13 @@ def chain_messages(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "tu
                      "role", "text", F.lit(0.0).alias("score"))
 
 
+def conversation_of(message_id: Column) -> Column:
+    """The conversation id (as text, null for the null id) of a message id
+    made by ``chain_messages``."""
+    name = F.regexp_extract(message_id, r"^(.*)/\d+$", 1)
+    return F.when(name != "null", name)
+
+
 def parse(formatted: Column) -> Column:
     """The turns of a formatted conversation as array<struct<role, text>>."""
     pieces = F.split(formatted, CLOSE, -1)  # texts hold no closing mark; behind the last one nothing is left
