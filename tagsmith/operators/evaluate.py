@@ -7,7 +7,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import MinMaxScaler, Normalizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagsmith.operators.joins import join_small
@@ -32,28 +32,21 @@ def hash_split(df: DataFrame, keys: list[str], train_pct: int = 80, out: str = "
     return df.withColumn(out, bucket < F.lit(int(train_pct)))
 
 
-MAX_LABELS = 100_000
-
-
-def label_index(df: DataFrame, col: str, out: str = "label_idx", nulls: str = "drop",
-                max_labels: int = MAX_LABELS) -> DataFrame:
+def label_index(df: DataFrame, col: str, out: str = "label_idx", nulls: str = "drop") -> DataFrame:
     """Label indices as StringIndexer gives them: most frequent value -> 0.0,
     equal counts alphabetical.  Rows with a null label are dropped, or kept
     with a null index (``nulls="keep"``).
 
-    The values are counted by one partially aggregated group-by and joined
-    back, so they do not pass through the driver; more than ``max_labels``
-    distinct values are refused (such a column is no label)."""
+    The values are counted by one partially aggregated group-by, numbered in
+    range partitions of (count, value) and joined back, so any number of
+    values works and none passes through the driver."""
+    from tagsmith.operators.ranks import number_rows
     if nulls not in ("drop", "keep"):
         raise ValueError("nulls must be 'drop' or 'keep'")
-    counts = cut_lineage(df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_label")).agg(F.count(F.lit(1)).alias("_n")))
-    distinct = counts.count()
-    if distinct > max_labels:
-        raise ValueError(f"{col} has {distinct} distinct values, over max_labels = {max_labels}")
-    order = Window.orderBy(F.col("_n").desc(), "_label")  # at most max_labels rows
-    index = counts.select("_label", (F.row_number().over(order) - 1).cast("double").alias(out))
-    return join_small(df, index, df[col] == index["_label"], "left" if nulls == "keep" else "inner",
-                      bound_from=counts).drop("_label")
+    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_label")).agg(F.count(F.lit(1)).alias("_freq"))
+    index = number_rows(counts, [F.col("_freq").desc(), F.col("_label").asc()], "_at").select("_label", (F.col("_at") - 1).cast("double").alias(out))
+    index = cut_lineage(index)
+    return join_small(df, index, df[col] == index["_label"], "left" if nulls == "keep" else "inner").drop("_label")
 
 
 def l2_normalize(df: DataFrame, array_col: str, out: str = "normalized") -> DataFrame:

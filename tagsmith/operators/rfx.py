@@ -105,17 +105,13 @@ def value_ranks(values: DataFrame, top_share: float = 0.2, value_col: str = "val
     first, equal values share a rank), and whether a user belongs to the best
     ``top_share`` of the users.  A null value has no rank.
 
-    The rank comes from the histogram of distinct values (scores take a few
-    values each), so the users are joined, never sorted: rank = 1 + users with
-    a higher value."""
-    hist = values.where(F.col(value_col).isNotNull()).groupBy(value_col).agg(F.count(F.lit(1)).alias("_n"))
-    hist = cut_lineage(hist)
-    above = F.sum("_n").over(Window.orderBy(F.col(value_col).desc()).rowsBetween(Window.unboundedPreceding, -1))
-    total = hist.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    ranked = hist.select(value_col, (F.coalesce(above, F.lit(0)) + 1).alias("rank"))
-    limit = F.ceil(F.lit(float(top_share)) * F.lit(total))
-    out = join_small(values.select(id_col, value_col), ranked, value_col, "left", bound_from=hist)
-    return out.select(id_col, value_col, "rank", F.coalesce(F.col("rank") <= limit, F.lit(False)).alias("is_top"))
+    The rank comes from the range-partitioned histogram of the values (see
+    ``ranks``): rank = 1 + users with a higher value, for scores of a few
+    values and for continuous totals alike."""
+    from tagsmith.operators.ranks import rank_by
+    ranked = rank_by(values.select(id_col, value_col), value_col, out="rank", total_out="_total")
+    best = F.col("rank") <= F.ceil(F.lit(float(top_share)) * F.col("_total"))
+    return ranked.select(id_col, value_col, "rank", F.coalesce(best, F.lit(False)).alias("is_top"))
 
 
 def value_per_cluster(assigned: DataFrame, value, pred_col: str = "prediction", weight_col: str | None = None) -> DataFrame:

@@ -29,6 +29,7 @@ from tagsmith.operators.match import match_tag, match_tags, unmatched_values
 from tagsmith.plans import standins as SI
 from tagsmith.plans.catalog import attribute_rules, catalog, tag_lookup
 from tagsmith.plans.run import run_and_save, run_tag
+from tagsmith.plans.state_queries import STATE_QUERIES
 from tagsmith.sources.business import business_scan, condition_filter, rolling_windows, scan_options
 from tagsmith.sources.catalog_source import read_catalog, read_dimension
 from tagsmith.sources.files import read_csv
@@ -648,4 +649,5 @@ QUERIES: dict[str, Query] = {
     "profile_full": q_profile_full,
     "profile_full_untrained": q_profile_full_untrained,
     "profile_upsert": q_profile_upsert,
+    **STATE_QUERIES,
 }
