@@ -114,7 +114,13 @@ def segment_model(scores: DataFrame, hist: DataFrame, score_cols: list[str], k:
             data = prepare.transform(scores.select(*score_cols).dropna())
             best = fit_kmeans(data, k, max_iters, seed, weight_col=None)[0]
         return PipelineModel([*prepare.stages, best])
-    return load_or_train(model_path, PipelineModel, train) if model_path else train()
+    if not model_path:
+        return train()
+
+    def record() -> dict:
+        rows, mark = hist.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*score_cols, "n").cast("decimal(38,0)"))).first()
+        return {"vectors": rows, "fingerprint": str(mark)}
+    return load_or_train(model_path, PipelineModel, train, {"columns": list(score_cols), "clusters": k, "scale": scale}, record)
 
 
 def vector_tags(model: PipelineModel, hist: DataFrame, score_cols: list[str], rules: DataFrame, k: int,

@@ -8,15 +8,22 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tagsmith.operators import certify as C
 from tagsmith.operators import daily as D
+from tagsmith.operators import evaluate as E
+from tagsmith.operators import lloyd as L
 from tagsmith.operators import ranks as R
 from tagsmith.operators import rfx as X
+from tagsmith.operators import segment as S
+from tagsmith.operators import shopper as U
 from tagsmith.operators import stats as ST
+from tagsmith.operators import tune as T
 from tagsmith.operators.lineage import cut_lineage, work_path
 from tagsmith.operators.match import match_tag
 from tagsmith.plans import standins as SI
 from tagsmith.plans.catalog import attribute_rules, catalog
 from tagsmith.sources import bucket_store as BS
+from tagsmith.sources.literal import local_frame
 from tagsmith.sources.tables import load_table
 
 OAS = SI.ORDERS_AS_OF.isoformat()
@@ -112,7 +119,6 @@ def q_order_quantiles(spark, d):
     o = load_table(spark, d, "orders", ["o_totalprice"])
     shares = [i / 20 for i in range(1, 20)]
     cuts = R.quantiles(o, "o_totalprice", shares)
-    from tagsmith.sources.literal import local_frame
     held = local_frame(spark, list(zip(shares, cuts)), "share double, cut double")
     below = o.join(F.broadcast(held), F.col("o_totalprice") <= F.col("cut"))  # 19 rows
     return below.groupBy("share", "cut").agg(F.count(F.lit(1)).alias("orders"))
@@ -136,6 +142,69 @@ def q_heavy_parts(spark, d):
     return R.top_values(load_table(spark, d, "lineitem", ["l_partkey"]), "l_partkey", TOP_PARTS)
 
 
+# the reference's penalty, under which the best model is a constant, and a lighter one
+LOGREG_SETTINGS = {"reference": {}, "light": {"regParam": 0.01, "elasticNetParam": 0.5}}
+TUNED = [{"regParam": 0.3, "elasticNetParam": 0.8}, {"regParam": 0.01, "elasticNetParam": 0.5}]
+FOLDS = 3
+SPLIT_KEYS = ["l_orderkey", "l_linenumber"]
+SEGMENTS, LLOYD_STEPS = 5, 20
+
+
+def _embeddings(spark, d):
+    return load_table(spark, d, "embeddings", ["vec_id", "embedding", "label"])
+
+
+def q_logreg_certificate(spark, d):
+    """The classifier trained to convergence under two penalties: whether
+    every coefficient and intercept satisfies the optimality condition, and
+    whether the model beats the best constant prediction."""
+    train = E.hash_split(_embeddings(spark, d), ["vec_id"], method="md5").where("is_train")
+    out = None
+    for name, params in LOGREG_SETTINGS.items():
+        model, data = E.train_classifier(train, "embedding", "label", {**params, "maxIter": 500, "tol": 1e-10})
+        ready = cut_lineage(model.transform(data).select("label_idx", "features"))
+        worst, last = C.logistic_residuals(ready, model.stages[-1]).agg(F.max("residual"), F.max("feature")).first()
+        row = C.log_loss(ready, model.stages[-1]).select(
+            F.lit(name).alias("setting"), "rows", "classes", F.lit(last + 1).cast("int").alias("features"),
+            F.round("constant_loss", 6).alias("constant_loss"), F.lit(worst <= 1e-5).alias("optimal"),
+            (F.col("log_loss") < F.col("constant_loss") - 0.01).alias("beats_constant"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_tree_certificate(spark, d):
+    """The inner nodes of the shopping-gender tree with the weight that
+    reaches them, the gain of the chosen split, and whether no split has more."""
+    model, indexer, _, hist = U.train_gender_tree(SI.noisy_goods(spark, d), SPLIT_KEYS, evaluate=False, method="md5")
+    got = C.split_certificate(indexer.transform(hist.where("is_train")), C.tree_splits(model), 2)
+    return got.select("node", "rows", F.round("gain", 6).alias("gain"), (F.abs(F.col("gain") - F.col("best_gain")) <= 1e-9).alias("best"))
+
+
+def q_kmeans_centers(spark, d):
+    """The customer-value centres from data-driven seeds, in seed order, and
+    the residual of one more step."""
+    cols = ["r_score", "f_score", "m_score"]
+    m = cut_lineage(_rfm_metrics(spark, d))
+    hist = cut_lineage(S.score_histogram(X.rfm_scores(m, R.fit_bands(m, RFM_UP)), cols))
+    centers, _ = L.fit_lloyd(hist, cols, SEGMENTS, LLOYD_STEPS)
+    residual = L.lloyd_residual(hist, cols, centers)
+    held = local_frame(spark, [(i, *c) for i, c in enumerate(centers)], "prediction int, r double, f double, m double")
+    users = S.nearest_center(hist, cols, centers).groupBy("prediction").agg(F.sum("n").alias("users"))
+    return held.join(users, "prediction").withColumn("fixed", F.lit(residual == 0.0))
+
+
+def q_tuning_folds(spark, d):
+    """Held-out rows of each candidate, fold and label index, from the
+    candidates' confusion matrices, and whether the chosen candidate is one
+    that no other exceeds in accuracy over the same rows."""
+    confusions = T.fold_confusions(_embeddings(spark, d), "embedding", "label", ["vec_id"], TUNED, FOLDS)
+    best, _ = T.best_candidate(confusions, TUNED)
+    hits = {r.candidate: r.hits for r in confusions.groupBy("candidate").agg(
+        F.sum(F.when(F.col("l") == F.col("p"), F.col("n")).otherwise(0)).alias("hits")).collect()}  # a row per candidate
+    return confusions.groupBy("candidate", "fold", "l").agg(F.sum("n").alias("rows")).withColumn(
+        "best_chosen", F.lit(hits[TUNED.index(best)] == max(hits.values())))
+
+
 STATE_QUERIES = {
     "delta_upsert": q_delta_upsert,
     "keyed_look_up": q_keyed_look_up,
@@ -147,4 +216,8 @@ STATE_QUERIES = {
     "spend_ranks": q_spend_ranks,
     "ordered_users": q_ordered_users,
     "heavy_parts": q_heavy_parts,
+    "logreg_certificate": q_logreg_certificate,
+    "tree_certificate": q_tree_certificate,
+    "kmeans_centers": q_kmeans_centers,
+    "tuning_folds": q_tuning_folds,
 }

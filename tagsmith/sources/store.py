@@ -3,13 +3,17 @@
 The profile is written as a new immutable version folder per run (never an
 in-place overwrite of the version being read), so a lost executor or a failed
 job leaves the previous version intact and a retried task rewrites its own
-files.  Models are saved with Spark ML's writer and loaded if present.
+files.  Models are saved with Spark ML's writer as versions behind a commit.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from tagsmith.sources.commits import ConcurrentCommit, commits, publish, read_commit
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists in its file system.  Any failure to tell (no
@@ -46,14 +50,56 @@ def read_profile(spark: SparkSession, base_path: str, version: str) -> DataFrame
     return spark.read.parquet(f"{base_path.rstrip('/')}/version={version}")
 
 
-def load_or_train(path: str, model_cls, train):
-    """Load a saved model of ``model_cls`` from ``path``; if there is none,
-    call ``train()`` and save its result there."""
+class ForeignModel(ValueError):
+    """The stored model was trained for something else."""
+
+
+def save_model(model, base: str, expect: dict | None = None, record: dict | None = None, version: int | None = None) -> int:
+    """Publish ``model`` as the next version of the model store at ``base``.
+
+    The model is written whole to a folder of its own and then named by a
+    commit, so readers see the old model or the new one, never a part, and a
+    writer that fails leaves the store as it was.  ``expect`` is what the model
+    is for (columns, number of clusters, ...), ``record`` what it was trained
+    on.  Raises ``ConcurrentCommit`` if another writer took the version."""
+    spark, base = SparkSession.active(), base.rstrip("/")
+    known = commits(spark, base)
+    folder = f"models/{uuid.uuid4().hex}"
+    model.write().save(f"{base}/{folder}")
+    number = (known[-1] + 1 if known else 0) if version is None else version
+    return publish(spark, base, {"folder": folder, "expect": expect or {}, "record": record or {}}, number)
+
+
+def load_model(base: str, model_cls, expect: dict | None = None, version: int | None = None):
+    """The newest (or the given) published model, None if there is none.
+    Raises ``ForeignModel`` if it was saved with other values of ``expect``."""
+    spark, base = SparkSession.active(), base.rstrip("/")
+    found = read_commit(spark, base, version)
+    if found is None:
+        return None
+    other = {k: found["expect"].get(k) for k, v in (expect or {}).items() if found["expect"].get(k) != v}
+    if other:
+        raise ForeignModel(f"the model at {base} is for {other}, not {({k: expect[k] for k in other})}")
+    return model_cls.load(f"{base}/{found['folder']}")
+
+
+def load_or_train(path: str, model_cls, train, expect: dict | None = None, record=None):
+    """The published model of the store at ``path`` (see ``save_model``); if
+    there is none, call ``train()`` and publish its result, or, when another
+    trainer was faster, use that one's.  A plain model folder at ``path``
+    itself, whole, is loaded as it is.  ``record()`` tells what was trained
+    on."""
     spark = SparkSession.active()
+    found = load_model(path, model_cls, expect)
+    if found is not None:
+        return found
     if is_committed(spark, f"{path.rstrip('/')}/metadata"):
         return model_cls.load(path)
     model = train()
-    model.write().overwrite().save(path)
+    try:
+        save_model(model, path, expect, record() if record else None, version=0)
+    except ConcurrentCommit:
+        return load_model(path, model_cls, expect)
     return model
 
 

@@ -12,12 +12,14 @@ from conftest import SF_SMALL
 from plan_util import plan_text
 from tagsmith.plans.oracles import ORACLES
 from tagsmith.plans.queries import QUERIES
+from tagsmith.plans.state_oracles import STATE_ORACLES
+from tagsmith.plans.state_queries import STATE_QUERIES
 
 # each of these has a companion query that SQL checks
 ROWS_ONLY = {"rfm_segments", "rfe_segments", "logreg_classify", "logreg_metrics", "profile_full"}
 # plans of these run training jobs while being built, or start from a checkpoint
 TRAINED = ROWS_ONLY | {"usg_tree", "usg_tree_metrics", "rfm_segments_report", "rfe_segments_report", "logreg_report",
-                       "profile_full_untrained", "minmax_scale", "kmeans_trials", "model_store", "csv_scan", "profile_store"}
+                       "profile_full_untrained", "minmax_scale", "kmeans_trials", "model_store", "csv_scan", "profile_store"} | set(STATE_QUERIES)
 
 
 def test_entry_runs(spark):
@@ -29,8 +31,8 @@ def test_entry_runs(spark):
 
 def test_every_query_has_an_oracle_or_is_rows_only():
     assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
-    assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(ORACLES) <= set(QUERIES) and set(STATE_ORACLES) == set(STATE_QUERIES)
+    assert set(QUERIES) - set(ORACLES) - set(STATE_ORACLES) == ROWS_ONLY
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - TRAINED))

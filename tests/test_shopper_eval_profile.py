@@ -153,8 +153,10 @@ def test_label_index_nulls_and_bound(spark):
     df = spark.createDataFrame([(1, "b"), (2, "a"), (3, "b"), (4, None)], "id long, c string")
     assert {r.id: r.label_idx for r in label_index(df, "c").collect()} == {1: 0.0, 2: 1.0, 3: 0.0}
     assert {r.id: r.label_idx for r in label_index(df, "c", nulls="keep").collect()} == {1: 0.0, 2: 1.0, 3: 0.0, 4: None}
-    with pytest.raises(ValueError):
-        label_index(df, "c", max_labels=1)
+    many = spark.range(150_000).selectExpr("concat('v', id) AS c").unionByName(spark.sql("SELECT 'v7' AS c"))  # any number of labels
+    index = label_index(many, "c")
+    assert index.where("c = 'v7'").select("label_idx").distinct().collect()[0][0] == 0.0
+    assert index.agg(F.count_distinct("label_idx"), F.max("label_idx")).first() == (150_000, 149_999.0)
 
 
 def test_classifier_scores_a_class_seen_only_in_the_held_out_part(spark):
