@@ -10,19 +10,22 @@ The filter is blocked twice.  A key's bits all lie in one segment, chosen by
 the key, so Spark builds the segments apart (one shuffle of the per-task
 counts) and the filter is their concatenation.  The bits of one (n-gram, level)
 lie in one 64-bit word of the segment, so a membership probe reads one word.
-The filter grows with the corpus: it has ``bits_per_key`` bits for every
-(n-gram, level) that the corpus can hold.
+The filter grows with the corpus: the counts are added up first, and it has
+``bits_per_key`` bits for every (n-gram, level) that the corpus holds.
 
 Next to the model score, the additive base score uses exact unigram counts.
 While the filter has at most ``max_bits`` bits and the table of (64-bit word
 key, count) at most ``vocabulary_bytes``, both are broadcast.  Above either
 bound the documents' distinct keys go to the segments by a shuffle, and the
 levels and counts found there come back to the documents; no task and not the
-driver then holds more than a bucket of segments.
+driver then holds more than a bucket of segments.  A broadcast is held once by
+every Python worker, so an executor of c cores holds c times both bounds at
+most.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -129,8 +132,13 @@ class Filter:
         return out
 
 
-def _gather(train: DataFrame, filt: Filter, flush: int = 1 << 21) -> DataFrame:
-    """(seg, kind, key, n): counts of words (kind 1) and pairs (kind 2),
+def _part(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Which of ``parts`` equal ranges of the keys each key lies in."""
+    return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _gather(train: DataFrame, parts: int, flush: int = 1 << 21) -> DataFrame:
+    """(part, kind, key, n): counts of words (kind 1) and pairs (kind 2),
     added up per task before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {1: [], 2: []}
@@ -141,8 +149,8 @@ def _gather(train: DataFrame, filt: Filter, flush: int = 1 << 21) -> DataFrame:
                 if got:
                     key, n = np.unique(np.concatenate(got), return_counts=True)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(filt.segment(key).astype(np.int32)), pa.array(np.full(len(key), kind, np.int32)),
-                         pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["seg", "kind", "key", "n"])
+                        [pa.array(_part(key, parts).astype(np.int32)), pa.array(np.full(len(key), kind, np.int32)),
+                         pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["part", "kind", "key", "n"])
                     got.clear()
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
@@ -155,34 +163,34 @@ def _gather(train: DataFrame, filt: Filter, flush: int = 1 << 21) -> DataFrame:
                     yield from out()
                     size = 0
         yield from out()
-    return train.mapInArrow(run, "seg int, kind int, key long, n long")
+    return train.mapInArrow(run, "part int, kind int, key long, n long")
+
 
+def _build(counts: DataFrame, filt: Filter, parts: int) -> DataFrame:
+    """Filter segments (seg, bits).  Each part of the keys has its own whole
+    number of segments; a task holds those of the parts it reads.  A part read
+    by two tasks gives two rows of a segment, to be united by or."""
+    each = filt.segments // parts
 
-def _build(counts: DataFrame, filt: Filter) -> DataFrame:
-    """Filter segments (seg, bits) and, as rows without bits, the exact word
-    counts (key, n).  Rows of a segment come to one task; a task holds the
-    bits of its segments only."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["seg", "bits", "key", "n"]
         bits: dict[int, np.ndarray] = {}
         for batch in batches:
-            seg, kind, key, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-            word = kind == 1
-            if word.any():
-                k = int(word.sum())
-                yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()),
-                                                  pa.array(key[word]), pa.array(n[word])], names)
-            level = filt.level(n)
-            own, at = np.unique(seg, return_inverse=True)
-            page = np.stack([bits.setdefault(int(s), np.zeros(WORDS, np.uint64)) for s in own]) \
-                if len(own) else np.zeros((0, WORDS), np.uint64)
-            filt.put(page.reshape(-1), at * WORDS, key.view(np.uint64), level)
-            for s, b in zip(own.tolist(), page):
-                bits[s] = b.copy()
-        for s, b in bits.items():
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([b.tobytes()]),
-                                              pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], names)
-    return counts.mapInArrow(run, "seg int, bits binary, key long, n long")
+            key, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            key = key.view(np.uint64)
+            seg, level = filt.segment(key), filt.level(n)
+            part = seg // each
+            order = np.argsort(part, kind="stable")
+            cut = np.flatnonzero(np.diff(part[order])) + 1
+            for rows in np.split(order, cut):
+                if len(rows):
+                    p = int(part[rows[0]])
+                    words = bits.setdefault(p, np.zeros(each * WORDS, np.uint64))
+                    filt.put(words, (seg[rows] - p * each) * WORDS, key[rows], level[rows])
+        for p, words in bits.items():
+            for i in range(each):
+                yield pa.RecordBatch.from_arrays([pa.array([p * each + i], pa.int32()),
+                                                  pa.array([words[i * WORDS:(i + 1) * WORDS].tobytes()])], ["seg", "bits"])
+    return counts.select("key", "n").mapInArrow(run, "seg int, bits binary")
 
 
 def score_documents(docs: DataFrame, held_out_modulus: int = 5, held_out_remainder: int = 1, base: float = 1.5,
@@ -210,25 +218,23 @@ def score_documents(docs: DataFrame, held_out_modulus: int = 5, held_out_remaind
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
                       F.coalesce(remainder(F.col(id_col), held_out_modulus) == held_out_remainder, F.lit(False)).alias("out"))
     train = src.where("not out").select("text")
-    # the levels of a count are no more than ``steep`` times the count, so the
-    # tokens and pairs bound the (n-gram, level) pairs; a text of n separators
-    # has at most n + 1 words, an end token and a start
+    # words and pairs there can be: a text of n separators has at most n + 1
+    # words, an end token and a start
     gaps = F.octet_length("text") - F.octet_length(F.translate("text", " \t\n\x0b\x0c\r", ""))
     most = train.agg(F.coalesce(F.sum(2 * (F.coalesce(gaps, F.lit(-1)) + 2) + 1), F.lit(0))).first()[0]
-    few = np.arange(1, 65)
-    steep = float((Filter(1, hashes, base).level(few) / few).max())
-    want = max(64 * WORDS, int(bits_per_key * steep * most))
-    filt = Filter(-(-want // (64 * WORDS)), hashes, base)
-    counts = _gather(train, filt).repartition("seg").groupBy("seg", "kind", "key").agg(F.sum("n").alias("n"))
-    model = stash(_build(counts.select("seg", "kind", "key", "n"), filt), "lm")
-    exact = model.where("bits is null and key <> %d" % START.view(np.int64)).select("key", "n")
+    parts = 1 << max(6, (int(most) >> 20).bit_length())  # at most about a million n-grams each
+    counts = stash(_gather(train, parts).repartition("part").groupBy("part", "kind", "key").agg(F.sum("n").alias("n")), "lm-counts", "zstd")
+    exact = counts.where("kind = 1 and key <> %d" % START.view(np.int64)).select("key", "n")
     n_all, n_types = exact.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    levels = counts.agg(F.coalesce(F.sum(1 + F.floor(F.ln("n") / math.log(base) + 1e-9)), F.lit(0))).first()[0]
+    filt = Filter(parts * max(1, -(-int(bits_per_key * levels) // (64 * WORDS * parts))), hashes, base)
+    model = stash(_build(counts, filt, parts), "lm")
     filt.top = int(filt.level(np.array([n_all]))[0])
     scorer = _Scorer(n_all, n_types, prior)
     if filt.segments * WORDS * 64 <= max(max_bits, 64 * WORDS) and 16 * n_types <= vocabulary_bytes:
         filt.words = np.zeros(filt.segments * WORDS, np.uint64)  # at most max_bits / 8 bytes
-        for seg, raw in model.where("bits is not null").select("seg", "bits").toLocalIterator():
-            filt.words[seg * WORDS:(seg + 1) * WORDS] = np.frombuffer(raw, np.uint64)
+        for seg, raw in model.toLocalIterator():
+            filt.words[seg * WORDS:(seg + 1) * WORDS] |= np.frombuffer(raw, np.uint64)
         sent = spark.sparkContext.broadcast(filt)
         key, n = np.zeros(n_types, np.int64), np.zeros(n_types, np.int64)
         i = 0
@@ -247,7 +253,7 @@ def score_documents(docs: DataFrame, held_out_modulus: int = 5, held_out_remaind
                              pa.array(np.full(len(texts), n_all)), pa.array(np.add.reduceat(scorer.base(n), start[:-1])),
                              pa.array(np.add.reduceat(scorer.model(sent.value, word, before, start, own, at), start[:-1]))], names=OUT)
         return map_batches(src, run, SCHEMA, 256).withColumnRenamed("id", id_col)
-    return _by_shuffle(src, model, filt, scorer).withColumnRenamed("id", id_col)
+    return _by_shuffle(src, model, exact, filt, scorer).withColumnRenamed("id", id_col)
 
 
 OUT = ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -312,7 +318,7 @@ def _unplaned(raw, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).reshape(-1).view(kind)
 
 
-def _parcels(src: DataFrame, rows: int = 8192, text_bytes: int = 12 << 20) -> DataFrame:
+def _parcels(src: DataFrame, rows: int = 4096, text_bytes: int = 4 << 20) -> DataFrame:
     """The documents in parcels of about ``text_bytes``, one row (parcel,
     docs) each, so that a parcel is never divided; ``docs`` is a compressed
     Arrow stream of (id, out, text)."""
@@ -351,7 +357,7 @@ def _unpacked(docs) -> list[list]:
     return [t.column(i).to_pylist() for i in range(3)]
 
 
-def _by_shuffle(src: DataFrame, model: DataFrame, filt: Filter, scorer: _Scorer) -> DataFrame:
+def _by_shuffle(src: DataFrame, model: DataFrame, exact: DataFrame, filt: Filter, scorer: _Scorer) -> DataFrame:
     """The same rows for any corpus.  A parcel's distinct keys, sorted, fall
     into runs, one per bucket of segments; each run is sent to its bucket, and
     what is found there comes back to the parcel in the order of the buckets."""
@@ -375,10 +381,9 @@ def _by_shuffle(src: DataFrame, model: DataFrame, filt: Filter, scorer: _Scorer)
     def place(t: pa.Table) -> pa.Table:  # the bucket of a word's count
         seg = filt.segment(t.column("key").to_numpy().view(np.uint64))
         return pa.table([pa.array((seg // BUCKET).astype(np.int32)), t.column("key"), t.column("n")], names=["bucket", "key", "n"])
-    bits = model.where("bits is not null").select(
+    bits = model.select(
         F.floor(F.col("seg") / BUCKET).cast("int").alias("bucket"), F.lit(0).alias("step"), "seg", F.col("bits").alias("raw"))
-    exact = map_batches(model.where("bits is null and key <> %d" % START.view(np.int64)).select("key", "n"), place,
-                        "bucket int, key long, n long", 8192).withColumn("step", F.lit(1))
+    exact = map_batches(exact, place, "bucket int, key long, n long", 8192).withColumn("step", F.lit(1))
     asked = parcels.mapInArrow(ask, schema)
     met = asked.unionByName(bits, allowMissingColumns=True).unionByName(exact, allowMissingColumns=True) \
         .repartition("bucket").sortWithinPartitions("bucket", "step")
@@ -399,7 +404,7 @@ def _by_shuffle(src: DataFrame, model: DataFrame, filt: Filter, scorer: _Scorer)
                 if step[a] == 0:
                     for seg, raw in zip(rows.column(2).to_pylist(), rows.column(3)):
                         at = (seg - part.first) * WORDS
-                        part.words[at:at + WORDS] = np.frombuffer(raw.as_buffer(), np.uint64)
+                        part.words[at:at + WORDS] |= np.frombuffer(raw.as_buffer(), np.uint64)
                     continue
                 if step[a] == 1:
                     held.append((rows.column(4).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64),
@@ -426,8 +431,9 @@ def _by_shuffle(src: DataFrame, model: DataFrame, filt: Filter, scorer: _Scorer)
         def out() -> Iterator[pa.RecordBatch]:
             if docs is None:
                 return
-            ids, outs, texts = docs
+            ids, outs, texts = _unpacked(docs)
             word, before, start = text_keys(texts)
+            del texts
             own = np.unique(np.append(word, START))
             pairs, pair_at = np.unique(pair_keys(before, word), return_inverse=True)
             level, pair = (np.concatenate([np.frombuffer(x[i], np.uint8) for x in got]) for i in (0, 2))
@@ -447,7 +453,7 @@ def _by_shuffle(src: DataFrame, model: DataFrame, filt: Filter, scorer: _Scorer)
             for i in range(batch.num_rows):
                 if new[i]:
                     yield from out()
-                    docs, got = _unpacked(batch.column(0)[i].as_buffer()), []
+                    docs, got = pa.py_buffer(batch.column(0)[i].as_py()), []  # unpacked when its answers are there
                 else:
                     got.append([batch.column(c)[i].as_py() for c in (1, 2, 3)])
         yield from out()
