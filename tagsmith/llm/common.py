@@ -105,6 +105,19 @@ def add_columns(df: DataFrame, on: list[str], fn: Callable[..., list[pa.Array]],
     return map_batches(df, run, schema, rows).select(*[F.col(f"`{c}`") for c in order])
 
 
+def arrow_batches(df: DataFrame) -> Iterator[pa.RecordBatch]:
+    """Rows of a bounded result, packed by the executors into one binary row
+    per slice so that the driver never holds them as Python objects."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, b.schema) as w:
+                w.write_batch(b)
+            yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["raw"])
+    for row in df.mapInArrow(run, "raw binary").toLocalIterator():
+        yield from pa.ipc.open_stream(row.raw)
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Lower-cased (A-Z only) words ``[^\\x20\\x09-\\x0D]+`` as UTF-8 bytes."""
     return [] if text is None else text.encode("utf-8", "surrogatepass").translate(LOWER).split()

@@ -12,8 +12,9 @@ remains is compared word for word.
 
 Rarity is counted over all documents in one pass and summed by Spark.  The
 index (benchmark-sized) goes to the tasks by broadcast, in slices of at most
-``slice_bytes``: a larger benchmark makes further passes over the documents,
-each with one slice, and the marks of the passes are merged per document.
+``slice_bytes``, as flat arrays: a larger benchmark makes further passes over
+the documents, each with one slice, and the marks of the passes are merged per
+document.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagsmith.llm.common import add_columns, fresh, map_batches
+from tagsmith.llm.common import add_columns, arrow_batches, fresh, map_batches
 
 # words are [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ after A-Z -> a-z: digits, a-z and
 # every byte of a non-ASCII character; all else separates
@@ -81,50 +82,87 @@ class Vocabulary:
 
 
 class Windows:
-    """Distinct windows of some benchmark items with the items that hold each."""
+    """Distinct windows of some benchmark items, as places in the items'
+    concatenated words, with the items that hold each."""
 
     def __init__(self, items: list[tuple], width: int, shingle: int):
-        by_window: dict[tuple, set] = {}
-        for item_id, text in items:
-            for w in windows_of(words(text), width):
-                by_window.setdefault(w, set()).add(str(item_id))
+        found = [(str(item_id), words(text)) for item_id, text in items]
+        found = [(i, w) for i, w in found if w]
         self.shingle = shingle
-        self.vocabulary = Vocabulary(sorted({w for win in by_window for w in win}))
+        self.vocabulary = Vocabulary(sorted({x for _, w in found for x in w}))
+        self.names, item = np.unique(np.array([i for i, _ in found], object).astype(str), return_inverse=True) if found else (np.array([], str), [])
         ids = self.vocabulary.ids
-        self.size = np.array([len(w) for w in by_window], np.int64)
-        self.words = np.zeros((len(by_window), width), np.int64)
-        for i, win in enumerate(by_window):
-            self.words[i, :len(win)] = [ids[w] for w in win]
-        self.items = [sorted(v) for v in by_window.values()]
-        spots = []  # (window, offset, shingle size, shingle key)
-        for i, n in enumerate(self.size):
-            m = min(shingle, int(n))
-            spots += [(i, o, m, k) for o, k in enumerate(_keys(self.words[i, :n], m).tolist())]
-        self.spot_window, self.spot_offset, self.spot_size = (
-            np.array([s[c] for s in spots], np.int64) for c in range(3))
-        self.spot_key = np.array([s[3] for s in spots], np.uint64)
+        n = np.array([len(w) for _, w in found], np.int64)
+        start = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
+        self.words = np.fromiter((ids[x] for _, w in found for x in w), np.int32, int(start[-1]))
+        del found
+        own = np.maximum(1, n - width + 1)  # windows of each item
+        of = np.repeat(np.arange(len(n)), own)
+        at = start[of] + np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+        size = np.minimum(n, width)[of]
+        # equal windows become one; windows of equal keys are compared word for word
+        key = np.zeros(len(at), np.uint64)
+        for m in np.unique(size).tolist():
+            on = size == m
+            key[on] = _keys(self.words, m)[at[on]] ^ np.uint64(m)
+        order = np.lexsort((size, key))
+        same = (np.diff(key[order]) == 0) & (np.diff(size[order]) == 0)
+        for j in range(width):
+            a, b = at[order][:-1], at[order][1:]
+            short = j >= size[order][:-1]
+            same &= short | (self.words[np.minimum(a + j, len(self.words) - 1)] == self.words[np.minimum(b + j, len(self.words) - 1)])
+        group = np.concatenate([[0], np.cumsum(~same)]).astype(np.int64) if len(order) else np.zeros(0, np.int64)
+        first = order[np.flatnonzero(np.diff(group, prepend=-1))]
+        self.at, self.size = at[first], size[first]
+        pairs = np.unique(np.stack([group, np.asarray(item, np.int64)[of[order]]], 1), axis=0) if len(order) else np.zeros((0, 2), np.int64)
+        self.item, self.item_start = pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(len(first) + 1))
+
+    def _sizes(self) -> list[int]:
+        """Shingle sizes in use: ``shingle``, and the whole of shorter windows."""
+        return np.unique(np.minimum(self.size, self.shingle)).tolist()
+
+    def shingles(self, m: int) -> np.ndarray:
+        """Sorted distinct keys of the windows' shingles of ``m`` words."""
+        on = np.minimum(self.size, self.shingle) == m
+        keys = _keys(self.words, m)
+        return np.unique(np.concatenate([np.zeros(0, np.uint64), *(keys[(self.at[on] + o)[o + m <= self.size[on]]] for o in range(int(self.size[on].max()) - m + 1))]))
 
     def count(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """(keys, occurrences in the texts) of the windows' shingles."""
         ids, start = self.vocabulary.encode(texts)
         keys, found = [], []
-        for m in np.unique(self.spot_size).tolist():
-            known = np.unique(self.spot_key[self.spot_size == m])
+        for m in self._sizes():
+            known = self.known[m]
             k, _ = _positions(ids, start, m, known)
             keys.append(known)
             found.append(np.bincount(k, minlength=len(known)))
         return (np.concatenate(keys), np.concatenate(found)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
-    def choose_prefixes(self, counts: dict[int, int]) -> None:
-        """Keep for each window its rarest shingle (the earliest on a tie)."""
-        seen = np.array([counts.get(int(k), 0) for k in self.spot_key], np.int64)
-        order = np.lexsort((self.spot_offset, seen, self.spot_window))
-        keep = order[np.unique(self.spot_window[order], return_index=True)[1]]
-        # a shingle that no document holds cannot match: its window is dropped
-        keep = keep[seen[keep] > 0]
-        keep = keep[np.lexsort((self.spot_key[keep], self.spot_size[keep]))]
-        for name in ("spot_window", "spot_offset", "spot_size", "spot_key"):
-            setattr(self, name, getattr(self, name)[keep])
+    def prepare_count(self) -> "Windows":
+        self.known = {m: self.shingles(m) for m in self._sizes()}
+        return self
+
+    def choose_prefixes(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Keep for each window its rarest shingle (the earliest on a tie);
+        ``keys`` are sorted, a key that is missing was not found."""
+        self.spot = {}
+        of = np.minimum(self.size, self.shingle)
+        for m in self._sizes():
+            win = np.flatnonzero(of == m)
+            all_keys = _keys(self.words, m)
+            best, offset, chosen = np.full(len(win), np.iinfo(np.int64).max), np.zeros(len(win), np.int64), np.zeros(len(win), np.uint64)
+            for o in range(int(self.size[win].max()) - m + 1):
+                fits = o + m <= self.size[win]
+                k = all_keys[np.minimum(self.at[win] + o, len(all_keys) - 1)]
+                at = np.minimum(np.searchsorted(keys, k), max(0, len(keys) - 1))
+                n = np.where(keys[at] == k, counts[at], 0) if len(keys) else np.zeros(len(win), np.int64)
+                on = fits & (n < best)
+                best[on], offset[on], chosen[on] = n[on], o, k[on]
+            # a shingle that no document holds cannot match: its window is dropped
+            kept = np.flatnonzero(best > 0)
+            kept = kept[np.argsort(chosen[kept], kind="stable")]
+            self.spot[m] = (chosen[kept], win[kept], offset[kept])
+        self.known = None
 
     def find(self, texts: list) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[set]]:
         """Per text: number of words, occurrences of windows as (first word,
@@ -132,27 +170,26 @@ class Windows:
         ids, start = self.vocabulary.encode(texts)
         spans: list[list[tuple[int, int]]] = [[] for _ in texts]
         items: list[set] = [set() for _ in texts]
-        for m in np.unique(self.spot_size).tolist():
-            on = np.flatnonzero(self.spot_size == m)
-            known, first = np.unique(self.spot_key[on], return_index=True)
-            last = np.append(first[1:], len(on))
+        for m, (spot_key, spot_window, spot_offset) in self.spot.items():
+            known, first = np.unique(spot_key, return_index=True)
+            last = np.append(first[1:], len(spot_key))
             k, pos = _positions(ids, start, m, known)
             n = last[k] - first[k]
-            spot = on[np.repeat(first[k], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+            spot = np.repeat(first[k], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             pos = np.repeat(pos, n)
-            win = self.spot_window[spot]
-            begin = pos - self.spot_offset[spot]        # positional bound
+            win = spot_window[spot]
+            begin = pos - spot_offset[spot]        # positional bound
             doc = np.searchsorted(start, pos, "right") - 1
             fits = (begin >= start[doc]) & (begin + self.size[win] <= start[doc + 1])  # length bound
             win, begin, doc = win[fits], begin[fits], doc[fits]
             same = np.ones(len(win), bool)
-            for j in range(self.words.shape[1]):        # verify word for word
+            for j in range(int(self.size[win].max(initial=0))):        # verify word for word
                 inside = j < self.size[win]
-                same &= ~inside | (ids[np.minimum(begin + j, len(ids) - 1)] == self.words[win, j])
+                same &= ~inside | (ids[np.minimum(begin + j, len(ids) - 1)] == self.words[np.minimum(self.at[win] + j, len(self.words) - 1)])
             for w, b, d in zip(win[same].tolist(), begin[same].tolist(), doc[same].tolist()):
                 b -= int(start[d])
                 spans[d].append((b, b + int(self.size[w])))
-                items[d].update(self.items[w])
+                items[d].update(self.names[self.item[self.item_start[w]:self.item_start[w + 1]]].tolist())
         return np.diff(start), spans, items
 
 
@@ -171,52 +208,50 @@ def _positions(ids, start, size: int, known: np.ndarray) -> tuple[np.ndarray, np
     return at[hit], pos[hit]
 
 
-def _slices(benchmark: DataFrame, slice_bytes: int) -> Iterator[list[tuple]]:
+def _slices(benchmark: DataFrame, slice_bytes: int, width: int) -> Iterator[list[tuple]]:
     """The benchmark on the driver, one slice of bounded size at a time (a
-    single empty one for an empty benchmark)."""
+    single empty one for an empty benchmark).  An item over the bound is cut
+    into parts that overlap by ``width`` - 1 words, so that every window of it
+    is in one part."""
     out, size = [], 0
     for item_id, text in benchmark.toLocalIterator():
-        n = 64 + len(text or "")
-        if size and size + n > slice_bytes:
-            yield out
-            out, size = [], 0
-        out.append((item_id, text))
-        size += n
+        parts = [text]
+        if text and len(text) > slice_bytes:
+            w = words(text)
+            step = max(1, slice_bytes // 16)
+            parts = [b" ".join(w[i:i + step + width - 1]).decode("utf-8", "surrogatepass") for i in range(0, max(1, len(w) - width + 1), step)]
+        for part in parts:
+            n = 64 + len(part or "")
+            if size and size + n > slice_bytes:
+                yield out
+                out, size = [], 0
+            out.append((item_id, part))
+            size += n
     yield out
 
 
-def mark_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
-                       item_id_col: str = "item_id", item_text_col: str = "text", width: int = 10,
-                       shingle: int = 5, slice_bytes: int = 32 << 20, max_bytes: int = 512 << 20) -> DataFrame:
-    """``docs`` with the added columns n_words, n_hit, n_items (long),
-    items_sha256 (hex of the item ids, sorted as strings, comma-joined),
-    contaminated (boolean) and hits (array of [first word, end) spans, merged).
-
-    A word is hit if it lies inside an occurrence of a window.  Null or empty
-    text has no words and is clean; items without words have no window; items
-    with equal ids count once; a null item id counts as the text ``None``.
-    Repeated documents are marked each.  A column of ``docs`` with one of the
-    added names is replaced.  An empty benchmark marks nothing.
-
-    A benchmark over ``max_bytes`` is refused: benchmarks are far smaller, and
-    such a table is a corpus (use a near-duplicate operator)."""
+def _found(docs: DataFrame, benchmark: DataFrame, text_col: str, item_id_col: str, item_text_col: str, width: int,
+           shingle: int, slice_bytes: int) -> tuple[DataFrame, str, str, str]:
+    """``docs`` with three columns of new names: merged spans (flat), item
+    ids and number of words."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_id_col), F.col(item_text_col).cast("string"))
-    total = items.agg(F.coalesce(F.sum(F.octet_length(item_text_col)), F.lit(0))).first()[0]
-    if total > max_bytes:
-        raise ValueError(f"the benchmark holds {total} bytes, over max_bytes = {max_bytes}")
     out, spans_col, items_col, size_col = docs, fresh(docs, "spans"), fresh(docs, "items"), fresh(docs, "words")
     added = T.StructType([T.StructField(spans_col, T.ArrayType(T.LongType())),
                           T.StructField(items_col, T.ArrayType(T.StringType())), T.StructField(size_col, T.LongType())])
     texts = docs.select(F.col(text_col).cast("string"))
     first = True
-    for part in _slices(items, slice_bytes):
-        index = Windows(part, width, shingle)
+    for part in _slices(items, slice_bytes, width):
+        index = Windows(part, width, shingle).prepare_count()
         sent = spark.sparkContext.broadcast(index)
         counts = map_batches(texts, lambda t, b=sent: _counted(b.value, t), "key long, n long") \
             .groupBy("key").agg(F.sum("n").alias("n"))
         # at most as many rows as the slice has shingles
-        index.choose_prefixes({k & (1 << 64) - 1: n for k, n in counts.toLocalIterator()})
+        got = [(b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()) for b in arrow_batches(counts)]
+        keys, n = (np.concatenate([np.zeros(0, kind), *(x[c] for x in got)]) for c, kind in ((0, np.uint64), (1, np.int64)))
+        order = np.argsort(keys)
+        index.choose_prefixes(keys[order], n[order])
+        sent.unpersist()
         probe = spark.sparkContext.broadcast(index)
 
         def marks(text, *before, b=probe):
@@ -229,6 +264,33 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
                     pa.array([sorted(f) for f in found], pa.list_(pa.string())), pa.array(n)]
         out = add_columns(out, [text_col] + ([] if first else [spans_col, items_col]), marks, added, rows=512)
         first = False
+    return out, spans_col, items_col, size_col
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
+                      item_text_col: str = "text", width: int = 10, shingle: int = 5, slice_bytes: int = 8 << 20) -> DataFrame:
+    """The rows of ``docs`` without any occurrence of a benchmark window, all
+    their columns as they are (see ``mark_contamination``)."""
+    out, spans_col, _, _ = _found(docs, benchmark, text_col, item_id_col, item_text_col, width, shingle, slice_bytes)
+    return out.where(F.size(spans_col) <= 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def mark_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
+                       item_id_col: str = "item_id", item_text_col: str = "text", width: int = 10,
+                       shingle: int = 5, slice_bytes: int = 8 << 20) -> DataFrame:
+    """``docs`` with the added columns n_words, n_hit, n_items (long),
+    items_sha256 (hex of the item ids, sorted as strings, comma-joined),
+    contaminated (boolean) and hits (array of [first word, end) spans, merged).
+
+    A word is hit if it lies inside an occurrence of a window.  Null or empty
+    text has no words and is clean; items without words have no window; items
+    with equal ids count once; a null item id counts as the text ``None``.
+    Repeated documents are marked each.  A column of ``docs`` with one of the
+    added names is replaced.  An empty benchmark marks nothing.
+
+    A benchmark of any size works; each slice of ``slice_bytes`` costs two
+    passes over the documents."""
+    out, spans_col, items_col, size_col = _found(docs, benchmark, text_col, item_id_col, item_text_col, width, shingle, slice_bytes)
     spans, ids = F.col(spans_col), F.col(items_col)
     pairs = F.transform(F.sequence(F.lit(0), (F.size(spans) / 2).cast("int") - 1),
                         lambda i: F.array(F.get(spans, 2 * i), F.get(spans, 2 * i + 1)))

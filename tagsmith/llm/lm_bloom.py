@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagsmith.llm.common import map_batches, remainder, ship, stash, words_of
+from tagsmith.llm.common import arrow_batches, map_batches, remainder, ship, stash, words_of
 
 WORDS = 1 << 10  # 64-bit words of a segment
 BUCKET = 512  # segments that a shuffled probe goes to together (4 MB)
@@ -238,7 +238,7 @@ def score_documents(docs: DataFrame, held_out_modulus: int = 5, held_out_remaind
         sent = spark.sparkContext.broadcast(filt)
         key, n = np.zeros(n_types, np.int64), np.zeros(n_types, np.int64)
         i = 0
-        for batch in _arrow_batches(exact):
+        for batch in arrow_batches(exact):
             m = batch.num_rows
             key[i:i + m], n[i:i + m] = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             i += m
@@ -296,19 +296,6 @@ def _lookup(keys: np.ndarray, n: np.ndarray, own: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == own, n[at], 0).astype(np.int64)
 
 
-def _arrow_batches(df: DataFrame) -> Iterator[pa.RecordBatch]:
-    """Rows of a bounded result, packed by the executors into one binary row
-    per slice so that the driver never holds them as Python objects."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, b.schema) as w:
-                w.write_batch(b)
-            yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["raw"])
-    for row in df.mapInArrow(run, "raw binary").toLocalIterator():
-        yield from pa.ipc.open_stream(row.raw)
-
-
 def _planes(x: np.ndarray) -> bytes:
     """64-bit numbers, byte by byte, so that the shuffle compresses high zeros."""
     return np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes()

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagsmith.llm.common import LOWER, map_batches, remainder, stash
+from tagsmith.llm.common import LOWER, fresh, map_batches, remainder, stash
 
 NAMES = ["log_word_length", "richness", "top_word", "repeats", "repeated_pairs", "symbols", "punctuation",
          "digits", "capitals", "bare_tokens", "repeated_lines", "short_words"]
@@ -198,8 +198,11 @@ def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, mod
     """``docs`` without the rows whose score is below ``threshold``; same
     columns, same null rules as :func:`score_quality`.  The decision is made
     row by row from the row's own text."""
-    x = features_of(docs, id_col, text_col)
-    model = fit(x, label_table(labels, modulus, held_out, id_col, label_col), to_pooled, to_identity)
+    known = stash(label_table(labels, modulus, held_out, id_col, label_col), "labels")
+    name = fresh(docs, "id")
+    # statistics of the labelled rows alone: the others are scored in one pass below
+    taught = docs.select(F.col(id_col).cast("long").alias(name), F.col(text_col).alias("text")).join(known.select(F.col("id").alias(name)), name, "left_semi")
+    model = fit(features_of(taught, name, "text"), known, to_pooled, to_identity)
     at = docs.columns.index(text_col)
 
     def run(t: pa.Table) -> pa.Table:

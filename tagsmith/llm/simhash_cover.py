@@ -23,9 +23,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tagsmith.llm.common import Links, add_columns, components, fresh, map_batches, ship, stash, words_of
+from tagsmith.llm.common import Links, components, fresh, map_batches, ship, stash, words_of
 
 BLOCKS = ((0, 22), (22, 21), (43, 21))  # (lowest bit, width)
 CODE = 15                               # length of the Hamming code
@@ -55,12 +54,13 @@ def fingerprint(text: str | None, width: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
-    """(id, fp): one row per document, fp the fingerprint as a signed long."""
+    """(id, fp, text_hash): one row per document, fp the fingerprint as a
+    signed long, text_hash the XXH64 of the text."""
     def run(t: pa.Table) -> pa.Table:
         fp = np.array([fingerprint(x, width) for x in t.column(1).to_pylist()], np.uint64).view(np.int64)
-        return pa.table([t.column(0), pa.array(fp)], names=["id", "fp"])
+        return pa.table([t.column(0), pa.array(fp), t.column(2)], names=["id", "fp", "text_hash"])
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(src, run, "id long, fp long", rows=256)
+    return map_batches(src.withColumn("text_hash", F.xxhash64("text")), run, "id long, fp long, text_hash long", rows=256)
 
 
 @lru_cache(maxsize=1)
@@ -174,8 +174,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    width: int = 4, max_bits: int = 4) -> DataFrame:
     """One row per document: ``id_col``, fingerprint (16 hex digits),
     component_id, the smallest id reachable over links of at most
-    ``max_bits`` differing bits, and class, a name of the component that
-    exists without ids too.
+    ``max_bits`` differing bits, class, a name of the component that exists
+    without ids too, and text_hash.
 
     Equal fingerprints are collapsed before the search and attached again by
     a join, so a group of copies costs one fingerprint.  Null text counts as
@@ -196,24 +196,20 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     least = stash(rep_of.groupBy("root").agg(F.min("first").alias("component_id")), "least")  # both written: a large component is a join side that AQE splits
     by_fp = rep_of.join(least, "root").select("fp", "component_id", F.col("root").alias("class"))
     return fps.join(by_fp, "fp").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "class")
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "class", "text_hash")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, max_bits: int = 4) -> DataFrame:
-    """``docs`` with one document of each group of near-duplicates: the one
-    with the smallest id.  Rows that repeat its id and text stay once.  Of a
-    group without any id one row stays."""
+    """``docs`` with exactly one row of each group of near-duplicates: one of
+    the smallest id (null ids last), and of the rows with that id one of the
+    smallest fingerprint and text hash.  Rows with the same id and text stay
+    once; rows with one id and different texts belong to the groups of their
+    texts.  Null text is a text without words."""
     groups = simhash_groups(docs, id_col, text_col, width, max_bits)
-    stay = stash(groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col, "fingerprint", "class"), "stay")
-    mark = fresh(docs, "hash")
-    # the join leaves rows dealt and sorted by id, which is all the second step needs
-    named = docs.join(stay.where(F.col(id_col).isNotNull()).select(id_col), id_col, "left_semi") \
-        .withColumn(mark, F.xxhash64(text_col)).dropDuplicates([id_col, mark]).select(*docs.columns)
-    bare = stay.where(F.col(id_col).isNull()).groupBy("class").agg(F.min("fingerprint").alias("fingerprint"))
-    if bare.isEmpty():
-        return named
-    fp, fpc = T.StructType([T.StructField(mark, T.LongType())]), F.conv("fingerprint", 16, -10).cast("long")
-    marked = add_columns(docs.where(F.col(id_col).isNull()), [text_col], lambda x: [pa.array(
-        np.array([fingerprint(t, width) for t in x.to_pylist()], np.uint64).view(np.int64))], fp, 256)
-    once = marked.join(bare.select(fpc.alias(mark)), mark, "left_semi").dropDuplicates([mark])
-    return named.select(*docs.columns).union(once.select(*docs.columns))
+    first = F.min(F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), "fingerprint", "text_hash")).alias("first")
+    mark, own, own_hash = fresh(docs, "hash"), fresh(docs, "own_id"), fresh(docs, "own_hash")
+    stay = stash(groups.groupBy("class").agg(first).select(F.col("first.id").alias(own), F.col("first.text_hash").alias(own_hash)), "stay")
+    # a text has one fingerprint, so id and text name a group's row; the join leaves rows dealt as the second step needs
+    marked = docs.withColumn(mark, F.xxhash64(F.col(text_col).cast("string")))
+    same = (F.col(mark) == F.col(own_hash)) & F.col(id_col).cast("long").eqNullSafe(F.col(own))
+    return marked.join(stay, same, "left_semi").dropDuplicates([id_col, mark]).select(*docs.columns)

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -124,8 +125,24 @@ def test_decontamination_against_brute_force(spark):
     out = mark_contamination(df, bench.limit(0))
     assert not any(r["contaminated"] for r in out.collect())
     assert mark_contamination(df.limit(0), bench).count() == 0
-    with pytest.raises(ValueError):
-        mark_contamination(df, bench, max_bytes=10)
+    from tagsmith.llm.decontam import drop_contaminated
+    clash = df.withColumn("n_words", F.lit(-5)).withColumn("contaminated", F.lit("mine"))
+    kept = drop_contaminated(clash, bench, slice_bytes=100)
+    assert kept.columns == clash.columns and {(r.n_words, r.contaminated) for r in kept.collect()} == {(-5, "mine")}
+    clean = Counter(i for (i, w), n in want.items() for _ in range(n) if not w[4])
+    assert Counter(r.doc_id for r in kept.collect()) == clean
+
+
+def test_equal_windows_of_many_items(spark):
+    from tagsmith.llm.decontam import brute_force, mark_contamination
+    rng = random.Random(8)
+    shared = prose(rng, 14)
+    items = [(i, f"{prose(rng, rng.randrange(4))} {shared}") for i in range(30)] + [(99, shared), (99, shared), (100, prose(rng, 400))]
+    texts = [(1, f"x {shared} y"), (2, " ".join(items[-1][1].split()[150:175])), (3, prose(rng, 30)), (4, items[-1][1])]
+    for slice_bytes in (1 << 20, 700):  # the long item is cut into overlapping parts
+        out = mark_contamination(docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string"), slice_bytes=slice_bytes)
+        got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in out.collect()}
+        assert got == dict(zip([i for i, _ in texts], brute_force([t for _, t in texts], items)))
 
 
 # ---- token ids -----------------------------------------------------------

@@ -142,7 +142,7 @@ def test_oracles_agree(spark):
     from tagsmith.llm.oracles import ORACLES
     from tagsmith.llm.queries import QUERIES
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "benchmark"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "conversations"):
         con.execute(f"create view {t} as select * from '{SF_CHECK}/{t}.parquet'")
     for name, sql in ORACLES.items():
         want = con.sql(sql)
@@ -202,10 +202,58 @@ def test_pipeline_against_brute_force(spark):
         == Counter(tuple(r) for r in docs.select("doc_id", "start", "length", "ids_crc32").collect())
 
 
+def test_keep_one_with_repeated_ids(spark):
+    """One row of every group, whatever the ids: the rows of an id belong to
+    the groups of their texts."""
+    from tagsmith.llm.simhash_cover import fingerprint, keep_one
+    a, b = "alpha beta gamma delta epsilon zeta", "one two three four five six seven"
+    assert (fingerprint(a) ^ fingerprint(b)).bit_count() > 4
+    rows = [(0, b), (1, a), (1, b), (1, a), (None, a), (None, "quite another text for no id"), (None, "quite another text for no id"),
+            (7, None), (8, ""), (9, "  "), (5, b)]
+    frame = spark.createDataFrame([(*r, 3, "k", 0) for r in rows], "doc_id long, text string, hash int, class string, __hash long")
+    got = keep_one(frame)
+    assert got.columns == frame.columns
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter([(0, b), (1, a), (None, "quite another text for no id"), (7, None)])
+    assert keep_one(frame.limit(0)).count() == 0
+
+
+def test_pipeline_with_edge_rows(spark, tmp_path):
+    """Null, empty and long texts, repeated rows and ids, clashing columns:
+    every stage but the last keeps the columns and loses no clean document."""
+    import corpus_pipeline
+    from tagsmith.llm.common import stash
+    folder = str(tmp_path / "sf")
+    base = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").collect()]
+    long_text = " ".join(t for _, t, *_ in base[:80])
+    odd = [(90001, None, None, None, None), (90002, "", None, None, 0), (90003, " ", "en", "s", 1), (90004, long_text, "en", "s", len(long_text)),
+           (90004, long_text, "en", "s", len(long_text)), (None, base[3][1] + " without an id", "en", "s", 5), base[5], base[5], (base[6][0], base[7][1], "x", "y", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, n_words int, contaminated string, score double, fp long"
+    docs = spark.createDataFrame([(*r, -1, "own", 0.5, None) for r in base + odd], schema)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stash(stage(spark, docs, folder), f"edge-{name}")
+        if name != "packing":
+            assert out.columns == docs.columns, name
+            assert {(r.n_words, r.contaminated, r.score, r.fp) for r in out.collect()} == {(-1, "own", 0.5, None)}
+            assert out.count() <= docs.count()
+        if name == "near_duplicates":
+            kept = Counter((r.doc_id, r.text) for r in out.collect())
+            assert max(kept.values()) == 1
+        docs = out
+    assert docs.count() > 0
+    empty = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        empty = stash(stage(spark, empty, folder), "edge-empty")
+        assert empty.count() == 0
+
+
 def test_registered():
     import __spark_entry__ as entry
     names = set(entry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} <= {n.split("_")[0] + "_" for n in names} and "pipeline" in names
+    assert {f"op{n}_" for n in range(1, 14)} <= {n.split("_")[0] + "_" for n in names} and "pipeline" in names
     assert set(entry.oracle_sql()) <= names
 
 
