@@ -8,12 +8,14 @@
    closer to it than the node does), with the nearest reverse edges.
 4. The adjacency lists of a node from its shards are united.
 5. Every node of a shard searches the united graph there: greedily from the
-   shard's medoid and its own place, keeping a beam, and expanding every node
-   that comes within (a little more than) the link range.
-6. A node's nearest neighbour is always an edge of its shard, so the search
-   finds a link of every node that has one there.  Those nodes are compared
-   with all nodes of the shard, by the cosine in double precision: the graph
-   decides who has links, the comparison finds them all.
+   medoids of the shard's parts and its own place, keeping a beam, and
+   expanding every node within twice the link range.  What it meets within the
+   range, verified by the cosine in double precision, are its links.
+6. The search is complete within a shard.  A neighbour within the range is
+   dropped only for a kept one nearer to both ends, whatever the degree, so
+   from a node to any of its links leads a path whose nodes come ever nearer
+   to the link: they lie within the range of it, thus within twice the range
+   of the node, and all of them are expanded.
 7. A sample of nodes is compared with all vectors.  When links are missing
    (their ends share no shard), the overlap doubles and the search runs again,
    up to all shards, where nothing can be missing.
@@ -83,96 +85,115 @@ def fit_centroids(sample: np.ndarray, k: int, apart: float = 0.0, rounds: int =
     return c[kept]
 
 
-def robust_prune(x: np.ndarray, degree: int, candidates: int, alpha: float) -> np.ndarray:
-    """Adjacency (n x degree, -1: none) of the flat graph over unit rows."""
+def robust_prune(x: np.ndarray, degree: int, candidates: int, alpha: float, reach: float = 2.0) -> np.ndarray:
+    """Adjacency (nodes x kept neighbours, -1: none) of the flat graph over
+    unit rows.  Beyond ``reach`` (a cosine) a node has at most ``candidates``
+    candidates and ``degree`` neighbours, pruned with ``alpha``.  Within it
+    every node is a candidate, dropped only for a kept one that is nearer to
+    it than the node is."""
     n = len(x)
     c = min(candidates, n - 1)
     if c <= 0:
         return np.full((n, 1), -1)
     sim = x @ x.T
     np.fill_diagonal(sim, -3)
-    near = np.argpartition(-sim, c - 1, axis=1)[:, :c]
-    near = np.take_along_axis(near, np.argsort(-np.take_along_axis(sim, near, 1), axis=1, kind="stable"), 1)
-    own = 2 - 2 * np.take_along_axis(sim, near, 1)  # squared distances
-    alive, kept, size = np.ones((n, c), bool), np.zeros((n, c), bool), np.zeros(n, np.int64)
-    for s in range(c):
-        on = np.flatnonzero(alive[:, s] & (size < degree))
+    linked = (sim >= reach - 1e-6).sum(1)  # the margin covers rounding
+    out: list[np.ndarray] = []
+    order = np.argsort(linked, kind="stable")
+    for i in range(0, n, 256):  # nodes with similar numbers of candidates together
+        some = order[i:i + 256]
+        out.append(_pruned(sim, some, max(c, int(linked[some].max())), linked[some], c, degree, alpha))
+    full = np.full((n, max(o.shape[1] for o in out)), -1)
+    for i, o in enumerate(out):
+        full[order[i * 256:i * 256 + len(o)], :o.shape[1]] = o
+    return full
+
+
+def _pruned(sim: np.ndarray, some: np.ndarray, width: int, linked: np.ndarray, candidates: int, degree: int, alpha: float) -> np.ndarray:
+    """The kept neighbours of the nodes ``some``, nearest first."""
+    own_sim = sim[some]
+    near = np.argpartition(-own_sim, width - 1, axis=1)[:, :width]
+    near = np.take_along_axis(near, np.argsort(-np.take_along_axis(own_sim, near, 1), axis=1, kind="stable"), 1)
+    own = 2 - 2 * np.take_along_axis(own_sim, near, 1)  # squared distances
+    place = np.arange(width)
+    inside = place < linked[:, None]
+    alive = inside | (place < candidates)
+    factor = np.where(inside, 1.0, alpha * alpha)
+    kept, size = np.zeros(alive.shape, bool), np.zeros(len(some), np.int64)
+    for s in range(width):
+        on = np.flatnonzero(alive[:, s] & (inside[:, s] | (size < degree)))
+        if not len(on):
+            continue
         kept[on, s] = True
         size[on] += 1
-        gap = 2 - 2 * sim[near[on, s][:, None], near[on]]
-        alive[on] &= alpha * alpha * gap > own[on]
-    out = np.full((n, degree), -1)
+        gap = 2 - 2 * sim[near[on, s][:, None], near[on, s + 1:]]
+        alive[on, s + 1:] &= factor[on, s + 1:] * gap + 1e-12 > own[on, s + 1:]
+    out = np.full((len(some), max(degree, int(size.max()))), -1)
     r, s = np.nonzero(kept)
     out[r, (np.cumsum(kept, 1) - 1)[r, s]] = near[r, s]
     return out
 
 
-def with_reverse(x: np.ndarray, adjacency: np.ndarray) -> np.ndarray:
-    """The graph with the nearest reverse edges of each node added (as many
-    as it has columns), so that a node nobody points at can be found."""
-    n, degree = adjacency.shape
+def with_reverse(x: np.ndarray, adjacency: np.ndarray, degree: int) -> np.ndarray:
+    """The graph with the ``degree`` nearest reverse edges of each node added,
+    so that a node nobody points at can be found."""
+    n, width = adjacency.shape
     p, s = np.nonzero(adjacency >= 0)
     c = adjacency[p, s]
     order = np.lexsort((-np.einsum("ij,ij->i", x[p], x[c]), c))
     p, c = p[order], c[order]
     rank = np.arange(len(c)) - np.searchsorted(c, c)
-    out = np.full((n, 2 * degree), -1)
-    out[:, :degree] = adjacency
+    out = np.full((n, width + degree), -1)
+    out[:, :width] = adjacency
     on = rank < degree
-    out[c[on], degree + rank[on]] = p[on]
+    out[c[on], width + rank[on]] = p[on]
     return out
 
 
-def range_search(x: np.ndarray, adjacency: np.ndarray, queries: np.ndarray, reach: float, slack: float = 0.05,
-                 beam: int = 16, step: int = 256) -> tuple[np.ndarray, np.ndarray]:
+def medoids(f: np.ndarray, parts: int) -> np.ndarray:
+    """The medoid of all rows, and those of ``parts`` runs of the rows ordered
+    along the direction that the row farthest from it gives."""
+    mean = f.mean(0)
+    first = int((f @ mean).argmax())
+    along = np.argsort(f @ f[int((f @ f[first]).argmin())], kind="stable")
+    runs = [r for r in np.array_split(along, parts) if len(r)]
+    return np.unique([first, *(int(r[(f[r] @ f[r].mean(0)).argmax()]) for r in runs)])
+
+
+def range_search(x: np.ndarray, adjacency: np.ndarray, queries: np.ndarray, reach: float, beam: int = 16,
+                 starts: int = 4, step: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(query, node) pairs with a dot product of at least ``reach`` that the
-    range-expanding greedy search finds.  Rows of ``x`` are unit vectors."""
+    range-expanding greedy search finds, in slices.  Rows of ``x`` are unit
+    vectors."""
     n = len(x)
     f = x.astype(np.float32)
-    medoid = int((f @ f.mean(0)).argmax())
-    found = []
+    first = medoids(f, starts)
+    wide = 4 * reach - 3 - 1e-4  # the cosine at twice the distance
     for i in range(0, len(queries), step):
         q = queries[i:i + step]
         sim = np.full((len(q), n), -2, np.float32)
         done = np.zeros((len(q), n), bool)
-        row = np.arange(len(q))
-        for start in (np.full(len(q), medoid), q):
-            sim[row, start] = np.einsum("ij,ij->i", f[q], f[start])
+        sim[:, first] = f[q] @ f[first].T
+        sim[np.arange(len(q)), q] = 1
         while True:
             floor = np.partition(sim, n - beam, axis=1)[:, n - beam] if n > beam else np.full(len(q), -1.5)
-            go = (sim > -2) & ~done & ((sim >= floor[:, None]) | (sim >= reach - slack))
+            go = (sim > -2) & ~done & ((sim >= floor[:, None]) | (sim >= wide))
             r, c = np.nonzero(go)
             if not len(r):
                 break
             done |= go
-            nb = adjacency[c]
-            on = nb >= 0
             fresh = np.zeros_like(done)
-            fresh[np.repeat(r, on.sum(1)), nb[on]] = True
+            for j in range(0, len(r), 1 << 16):
+                nb = adjacency[c[j:j + (1 << 16)]]
+                on = nb >= 0
+                fresh[np.repeat(r[j:j + (1 << 16)], on.sum(1)), nb[on]] = True
             fresh &= sim <= -2
             r, c = np.nonzero(fresh)
-            for j in range(0, len(r), 1 << 18):
-                a, b = r[j:j + (1 << 18)], c[j:j + (1 << 18)]
+            for j in range(0, len(r), 1 << 16):
+                a, b = r[j:j + (1 << 16)], c[j:j + (1 << 16)]
                 sim[a, b] = np.einsum("ij,ij->i", f[q[a]], f[b])
         r, c = np.nonzero(sim >= reach - 1e-4)
-        keep = q[r] != c
-        found.append(np.stack([q[r][keep], c[keep]]))
-    return tuple(np.concatenate(found, 1)) if found else (np.zeros(0, np.int64),) * 2
-
-
-def linked(x: np.ndarray, adjacency: np.ndarray, reach: float, step: int = 256) -> np.ndarray:
-    """The nodes for which the search finds a link."""
-    parts = [np.unique(range_search(x, adjacency, np.arange(i, min(i + step, len(x))), reach)[0]) for i in range(0, len(x), step)]
-    return np.concatenate([np.zeros(0, np.int64), *parts])
-
-
-def all_links(x: np.ndarray, nodes: np.ndarray, reach: float, step: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Every (node, other) with a cosine of at least ``reach``, in slices."""
-    f = x.astype(np.float32)
-    for i in range(0, len(nodes), step):
-        own = nodes[i:i + step]
-        u, v = np.nonzero(f[own] @ f.T >= reach - 1e-4)
-        u = own[u]
+        u, v = q[r], c
         keep = u != v
         u, v = u[keep], v[keep]
         ok = [np.einsum("ij,ij->i", x[u[s:s + 65536]], x[v[s:s + 65536]]) >= reach for s in range(0, len(u), 65536)]
@@ -237,11 +258,11 @@ def embedding_groups(vectors: DataFrame, reach: float = 0.98, overlap: int = 3,
         def build(pdf: pd.DataFrame) -> pd.DataFrame:
             node = pdf["node"].to_numpy()
             x = unit_matrix(pdf["vec"], kind)
-            adj = with_reverse(x, robust_prune(x, degree, candidates, alpha))
+            adj = with_reverse(x, robust_prune(x, degree, candidates, alpha, reach), degree)
             return pd.DataFrame({"node": node, "near": [node[a[a >= 0]] for a in adj]})
         lists = dealt.select("label", "width", "shard", "piece", "node", "vec").groupBy("label", "width", "shard", "piece") \
             .applyInPandas(build, "node long, near array<long>")
-        # at most 2 * overlap * degree neighbours a node
+        # overlap * 2 * degree neighbours a node, and the unpruned ones within reach
         united = stash(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
         # pieces i <= j of a shard meet in the task (i, j)
         every = F.sequence(F.lit(0), F.col("pieces") - 1)
@@ -257,14 +278,14 @@ def embedding_groups(vectors: DataFrame, reach: float = 0.98, overlap: int = 3,
             for r, a in enumerate(near):
                 adj[r, :len(a)] = a
             if piece.min() != piece.max():
-                adj = np.concatenate([adj, with_reverse(x, robust_prune(x, degree, candidates, alpha))], axis=1)
+                adj = np.concatenate([adj, with_reverse(x, robust_prune(x, degree, candidates, alpha, reach), degree)], axis=1)
             links = Links(len(node))
             n_links = np.zeros(len(node), np.int64)
             own = [set(s.tolist()) for s in pdf["shards"]]
             lists, which = np.unique(np.array([",".join(map(str, sorted(t))) for t in own]), return_inverse=True)
             sets = [set(map(int, t.split(","))) for t in lists]
             here = np.array([[min(a & b, default=-1) == shard for b in sets] for a in sets])
-            for u, v in all_links(x, linked(x, adj, reach), reach):  # both directions of a link: both ends are linked nodes
+            for u, v in range_search(x, adj, np.arange(len(x)), reach):  # both directions of a link: both ends search
                 if piece.min() != piece.max():  # pairs within a piece belong to the tasks (i, i)
                     on = piece[u] != piece[v]
                     u, v = u[on], v[on]

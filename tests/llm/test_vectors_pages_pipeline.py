@@ -257,6 +257,25 @@ def test_registered():
     assert set(entry.oracle_sql()) <= names
 
 
+@pytest.mark.parametrize("shape", ["mixed", "group", "chain", "plane"])
+def test_range_search_finds_every_link(shape):
+    """The search alone against all pairs, also with groups of more nodes
+    within reach than the graph has candidates or columns."""
+    from tagsmith.llm.vector_dedup import range_search, robust_prune, with_reverse
+    rng = np.random.default_rng(3)
+    x = {"mixed": np.concatenate([np.repeat(rng.normal(size=(60, 24)), 3, 0) + rng.normal(size=(180, 24)) * 0.08, rng.normal(size=(80, 24))]),
+         "group": rng.normal(size=(1, 24)) + rng.normal(size=(300, 24)) * 0.13,
+         "chain": np.stack([np.cos(np.arange(300) * 0.03), np.sin(np.arange(300) * 0.03)], 1),
+         "plane": rng.normal(size=(400, 3))}[shape]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    graph = with_reverse(x, robust_prune(x, 6, 12, 1.2, 0.98), 6)
+    found = [p for u, v in range_search(x, graph, np.arange(len(x)), 0.98, step=64) for p in zip(u.tolist(), v.tolist())]
+    sim = x @ x.T
+    np.fill_diagonal(sim, -2)
+    assert len(found) == len(set(found)) and set(found) == set(zip(*map(np.ndarray.tolist, np.nonzero(sim >= 0.98))))
+    assert found and (graph >= 0).sum() < sim.size / 2  # a graph, not all pairs
+
+
 def test_links_between_crowded_groups(spark):
     """Two groups of more near-copies than a node has candidates, within reach
     of each other, among vectors far from both."""
