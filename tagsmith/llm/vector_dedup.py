@@ -167,6 +167,8 @@ def range_search(x: np.ndarray, adjacency: np.ndarray, queries: np.ndarray, reac
     vectors."""
     n = len(x)
     f = x.astype(np.float32)
+    edges, degree = adjacency[adjacency >= 0], (adjacency >= 0).sum(1)
+    first_edge = np.cumsum(degree) - degree
     first = medoids(f, starts)
     wide = 4 * reach - 3 - 1e-4  # the cosine at twice the distance
     for i in range(0, len(queries), step):
@@ -183,10 +185,11 @@ def range_search(x: np.ndarray, adjacency: np.ndarray, queries: np.ndarray, reac
                 break
             done |= go
             fresh = np.zeros_like(done)
-            for j in range(0, len(r), 1 << 16):
-                nb = adjacency[c[j:j + (1 << 16)]]
-                on = nb >= 0
-                fresh[np.repeat(r[j:j + (1 << 16)], on.sum(1)), nb[on]] = True
+            ends = np.cumsum(degree[c])
+            for j in range(0, int(ends[-1]), 1 << 18):  # edges, wherever a hub's lists begin
+                edge = np.arange(j, min(int(ends[-1]), j + (1 << 18)))
+                at = np.searchsorted(ends, edge, "right")
+                fresh[r[at], edges[first_edge[c[at]] + edge - ends[at] + degree[c[at]]]] = True
             fresh &= sim <= -2
             r, c = np.nonzero(fresh)
             for j in range(0, len(r), 1 << 16):

@@ -257,7 +257,7 @@ def test_registered():
     assert set(entry.oracle_sql()) <= names
 
 
-@pytest.mark.parametrize("shape", ["mixed", "group", "chain", "plane"])
+@pytest.mark.parametrize("shape", ["mixed", "group", "hub", "chain", "plane"])
 def test_range_search_finds_every_link(shape):
     """The search alone against all pairs, also with groups of more nodes
     within reach than the graph has candidates or columns."""
@@ -265,6 +265,7 @@ def test_range_search_finds_every_link(shape):
     rng = np.random.default_rng(3)
     x = {"mixed": np.concatenate([np.repeat(rng.normal(size=(60, 24)), 3, 0) + rng.normal(size=(180, 24)) * 0.08, rng.normal(size=(80, 24))]),
          "group": rng.normal(size=(1, 24)) + rng.normal(size=(300, 24)) * 0.13,
+         "hub": (lambda c: np.concatenate([c, c + rng.normal(size=(150, 24)) * 0.1]))(rng.normal(size=(1, 24))),
          "chain": np.stack([np.cos(np.arange(300) * 0.03), np.sin(np.arange(300) * 0.03)], 1),
          "plane": rng.normal(size=(400, 3))}[shape]
     x /= np.linalg.norm(x, axis=1)[:, None]
