@@ -1,28 +1,30 @@
 """Packing token sequences into fixed windows by non-negative least squares.
 
-A window has ``unit * unit`` tokens (4096 = 64 x 64).  A document is cut into
-full windows, a *body* of whole units and a *tail* of less than a unit.  Both
-the bodies (lengths 1..64 units) and the tails (1..63 tokens, filling one
-unit) are packed by the same small plan over their length histogram:
+A document is cut into full windows and a rest; a rest shorter than a window
+is one piece of its real length.  The plan sees the histogram of these
+lengths, which has fewer counts than a window has tokens, whatever the corpus:
 
-1. enumerate the shallow combinations of lengths that fill a window exactly
-   (at most three distinct lengths);
+1. enumerate shallow combinations of the ``frequent`` commonest lengths that
+   fill a window exactly: repeats of one or two lengths, or three different
+   ones, at most ``shallow`` pieces;
 2. solve ``min |A x - h|, x >= 0`` for the repeat counts x of the combinations
    against the histogram h (Lawson-Hanson);
 3. round down, so that no length is overdrawn;
-4. pack the residual counts greedily: the largest lengths first, repeated as
-   often as the counts allow, while windows fill exactly; the rest forms one
-   stream that is cut at window ends.
-
-The plan only sees 127 counts, whatever the corpus.  Spark ranks the pieces of
-each length (a count per task and length, a prefix sum over the tasks) and a
-piece's rank tells its sequence and offset.  The last sequence alone can have
-padding.
+4. pack the residual counts of all lengths greedily: from the largest length
+   on, with the largest lengths that still fit, until one or two fill the
+   window, as often as the counts allow.
+
+Only what no combination takes forms a stream that is cut at window ends, so
+every document is whole but for full windows and those cuts, and the last
+sequence alone can have padding.  Spark ranks the pieces of each length (a
+count per task and length, a prefix sum over the tasks) and a piece's rank
+tells its sequence and offset.
 """
 
 from __future__ import annotations
 
 import itertools
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,14 +62,15 @@ def nnls(a: np.ndarray, b: np.ndarray, steps: int = 1000) -> np.ndarray:
     return x
 
 
-def combinations(lengths: list[int], window: int) -> list[dict[int, int]]:
-    """Combinations {length: times} that fill ``window`` exactly: repeats of
-    one or two lengths, or three different ones."""
+def combinations(lengths: list[int], window: int, shallow: int = 64) -> list[dict[int, int]]:
+    """Combinations {length: times} of at most ``shallow`` pieces that fill
+    ``window`` exactly: repeats of one or two lengths, or three different
+    ones."""
     have = set(lengths)
-    out = [{a: window // a} for a in lengths if window % a == 0]
+    out = [{a: window // a} for a in lengths if window % a == 0 and window // a <= shallow]
     for a, b in itertools.combinations(lengths, 2):
-        out += [{a: k, b: (window - k * a) // b} for k in range(1, (window - 1) // a + 1)
-                if (window - k * a) % b == 0 and window - k * a > 0]
+        out += [{a: k, b: (window - k * a) // b} for k in range(1, min(shallow, (window - 1) // a) + 1)
+                if (window - k * a) % b == 0 and 0 < (window - k * a) // b <= shallow - k]
         c = window - a - b
         if c > max(a, b) and c in have:
             out.append({a: 1, b: 1, c: 1})
@@ -78,37 +81,38 @@ class Plan:
     """Where the r-th piece of each length goes: a window and an offset, or a
     place in the stream of what no exact combination uses."""
 
-    def __init__(self, counts: dict[int, int], window: int):
+    def __init__(self, counts: dict[int, int], window: int, frequent: int = 96, columns: int = 1024):
         self.window = window
-        left = {n: int(c) for n, c in counts.items() if c > 0}
-        lengths = sorted(left)
-        found = combinations(lengths, window)
+        left = np.zeros(window + 1, np.int64)
+        for n, c in counts.items():
+            left[n] = c
+        lengths = np.flatnonzero(left).tolist()
+        top = sorted(sorted(lengths, key=lambda n: (-left[n], n))[:frequent])
+        found = sorted(combinations(top, window), key=lambda c: (sum(c.values()), sorted(c)))[:columns]
         used: list[tuple[dict[int, int], int]] = []
+
+        def use(combo: dict[int, int], most: int) -> None:
+            times = min([most, *(int(left[n]) // k for n, k in combo.items())])
+            if times > 0:
+                used.append((combo, times))
+                for n, k in combo.items():
+                    left[n] -= k * times
         if found:
-            a = np.zeros((len(lengths), len(found)))
+            row = {n: i for i, n in enumerate(top)}
+            a = np.zeros((len(top), len(found)))
             for j, c in enumerate(found):
                 for n, k in c.items():
-                    a[lengths.index(n), j] = k
-            scale = max(left.values())
-            x = nnls(a, np.array([left[n] for n in lengths]) / scale) * scale
-            for j in np.argsort(-x):
-                times = min([int(x[j] + 1e-6), *(left[n] // k for n, k in found[j].items())])
-                if times > 0:
-                    used.append((found[j], times))
-                    for n, k in found[j].items():
-                        left[n] -= k * times
-        while True:  # residual: largest first, while windows fill exactly
-            room, take = window, {}
-            for n in sorted((n for n in left if left[n]), reverse=True):
-                k = min(left[n], room // n)
-                if k:
-                    take[n], room = k, room - k * n
-            if room or not take:
-                break
-            times = min(left[n] // k for n, k in take.items())
-            used.append((take, times))
-            for n, k in take.items():
-                left[n] -= k * times
+                    a[row[n], j] = k
+            scale = max(int(left[n]) for n in top)
+            x = nnls(a, left[top] / scale) * scale
+            for j in np.argsort(-x, kind="stable"):
+                use(found[j], int(x[j] + 1e-6))
+        for n in reversed(lengths):  # residual: largest first, while a window fills exactly
+            while left[n]:
+                combo = _fill(left, n, window)
+                if combo is None:
+                    break
+                use(combo, int(left[n]))
         # per length: first rank, first window, pieces per window, offset
         rows: dict[int, list[tuple[int, int, int, int]]] = {n: [] for n in lengths}
         rank, self.windows = dict.fromkeys(lengths, 0), 0
@@ -123,7 +127,7 @@ class Plan:
         self.planned, self.stream_at, self.stream = rank, {}, 0
         for n in reversed(lengths):
             self.stream_at[n] = self.stream
-            self.stream += n * left[n]
+            self.stream += n * int(left[n])
 
     def place(self, length: int, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(in a planned window?, window or -1, offset there or stream place)."""
@@ -139,30 +143,27 @@ class Plan:
         return planned, window, at
 
 
-class Layout:
-    """Sequence and offset of every piece: bodies by a plan in units, tails by
-    a plan in tokens whose windows are units; planned body windows come first,
-    then one stream of left bodies, tail units and left tails."""
-
-    def __init__(self, counts: dict[int, int], unit: int):
-        self.unit, self.size = unit, unit * unit
-        self.body = Plan({k: c for k, c in counts.items() if k <= unit}, unit)
-        self.tail = Plan({k - unit: c for k, c in counts.items() if k > unit}, unit)
-
-    def place(self, kind: np.ndarray, rank: np.ndarray) -> np.ndarray:
-        """Position of each piece in the tokens of all sequences."""
-        out = np.zeros(len(kind), np.int64)
-        stream = self.body.windows * self.size
-        tails = stream + self.body.stream * self.unit
-        for k in np.unique(kind).tolist():
-            on = kind == k
-            plan, n = (self.body, k) if k <= self.unit else (self.tail, k - self.unit)
-            planned, window, at = plan.place(n, rank[on])
-            if k <= self.unit:
-                out[on] = np.where(planned, window * self.size + at * self.unit, stream + at * self.unit)
-            else:
-                out[on] = tails + np.where(planned, window * self.unit + at, self.tail.windows * self.unit + at)
-        return out
+def _fill(left: np.ndarray, n: int, window: int, deep: int = 16) -> dict[int, int] | None:
+    """A window of a piece of length ``n`` and others of those left, at most
+    ``deep``: the largest that fits, until one or two fill what remains."""
+    rest, picked, room = left.copy(), [n], window - n
+    rest[n] -= 1
+    while room and len(picked) < deep:
+        if rest[room]:
+            return dict(Counter([*picked, room]))
+        big = np.arange(room - 1, (room - 1) // 2, -1)
+        ok = (rest[big] > 0) & (rest[room - big] > (big == room - big))
+        if ok.any():
+            b = int(big[ok.argmax()])
+            return dict(Counter([*picked, b, room - b]))
+        fits = np.flatnonzero(rest[:room])
+        if not len(fits):
+            return None
+        b = int(fits[-1])
+        rest[b] -= 1
+        picked.append(b)
+        room -= b
+    return None if room else dict(Counter(picked))
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, unit: int = 64,
@@ -170,7 +171,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, unit: int = 64,
     """Pieces of the packed documents: doc_id, start and length (in the
     document's ids), doc_tokens, sequence_id, offset (in the sequence) and ids
     (binary, little-endian uint32).  Sequences hold ``unit * unit`` tokens, all
-    full but the last one.
+    full but the last one.  A document has a piece per window it spans and at
+    most as many more as the stream cuts it.
 
     A document is its text's ids and then ``end_id``; null text is empty.
     Every id lies in exactly one piece.  Rows with null or repeated ids are
@@ -179,10 +181,10 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, unit: int = 64,
     size = unit * unit
     ship(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
-    names = ["part", "kind", "rank", "doc_id", "start", "doc_tokens", "wide", "raw"]
+    names = ["part", "size", "rank", "doc_id", "start", "doc_tokens", "wide", "raw"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, enc, seen = TaskContext.get().partitionId(), encoder(tokenizer), np.zeros(2 * unit + 1, np.int64)
+        part, enc, seen = TaskContext.get().partitionId(), encoder(tokenizer), np.zeros(size + 1, np.int64)
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 some = batch.slice(i, 256)
@@ -192,31 +194,30 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, unit: int = 64,
                     wide = int(ids.max()) > 0xFFFF
                     stored = ids if wide else ids.astype("<u2")
                     n = len(ids)
-                    full, rest = divmod(n, size)
-                    marks = [(j * size, size, unit) for j in range(full)]
-                    if rest >= unit:
-                        marks.append((full * size, rest // unit * unit, rest // unit))
-                    if rest % unit:
-                        marks.append((n - rest % unit, rest % unit, unit + rest % unit))
-                    for start, length, kind in marks:
-                        rows.append((part, kind, int(seen[kind]), d, start, n, wide, stored[start:start + length].tobytes()))
-                        seen[kind] += 1
+                    for start in range(0, n, size):
+                        length = min(size, n - start)
+                        rows.append((part, length, int(seen[length]), d, start, n, wide, stored[start:start + length].tobytes()))
+                        seen[length] += 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(),
                                                                  pa.int64(), pa.bool_(), pa.binary()))], names)
     pieces = stash(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-                   .mapInArrow(cut, "part int, kind int, rank long, doc_id long, start long, doc_tokens long, wide boolean, raw binary"),
+                   .mapInArrow(cut, "part int, size int, rank long, doc_id long, start long, doc_tokens long, wide boolean, raw binary"),
                    "pieces", compression="zstd")
     # rank over all tasks: one row per task and length
-    per_task = pieces.groupBy("part", "kind").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("kind").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    base = stash(per_task.select("part", "kind", "n", F.coalesce(before, F.lit(0)).alias("base")), "ranks")
-    totals = base.groupBy("kind").agg(F.sum("n")).collect()  # at most 2 * unit rows
-    layout = Layout({k: n for k, n in totals}, unit)
+    per_task = pieces.groupBy("part", "size").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    base = stash(per_task.select("part", "size", "n", F.coalesce(before, F.lit(0)).alias("base")), "ranks")
+    totals = base.groupBy("size").agg(F.sum("n")).collect()  # at most a row per token of a window
+    plan = Plan({k: n for k, n in totals}, size)
 
     def put(t: pa.Table) -> pa.Table:
-        col = {n: t.column(n).to_numpy() for n in ("kind", "rank", "base", "start", "doc_tokens")}
-        at = layout.place(col["kind"], col["rank"] + col["base"])
+        col = {n: t.column(n).to_numpy() for n in ("size", "rank", "base", "start", "doc_tokens")}
+        rank, at = col["rank"] + col["base"], np.zeros(len(col["size"]), np.int64)
+        for length in np.unique(col["size"]).tolist():
+            on = col["size"] == length
+            planned, window, place = plan.place(length, rank[on])
+            at[on] = np.where(planned, window, plan.windows) * size + place
         doc, wide, raw = (t.column(n).to_pylist() for n in ("doc_id", "wide", "raw"))
         rows = []
         for i, (w, r) in enumerate(zip(wide, raw)):
@@ -229,7 +230,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, unit: int = 64,
                 a = b
         return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64()] * 6 + [pa.binary()])],
                         names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
-    return map_batches(pieces.join(base.drop("n"), ["part", "kind"]), put,
+    return map_batches(pieces.join(base.drop("n"), ["part", "size"]), put,
                        "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary", 4096)
 
 

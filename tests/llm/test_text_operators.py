@@ -244,6 +244,31 @@ def test_plan_places_every_piece_once(counts):
     assert set(stream.values()) <= {1} and len(stream) == plan.stream and max(stream, default=-1) == plan.stream - 1
 
 
+def test_plan_cuts_few_documents():
+    """Real lengths: far fewer tokens in the stream, the only place of cuts,
+    than in windows that whole pieces fill; the columns stay bounded."""
+    from tagsmith.llm.packing import Plan, combinations
+    rng = np.random.default_rng(4)
+    counts = Counter(np.minimum(4096, np.exp(rng.normal(5.8, 1.3, 20_000)).astype(int) + 1).tolist())
+    total = sum(n * c for n, c in counts.items())
+    plan = Plan(counts, 4096)
+    assert plan.windows * 4096 + plan.stream == total and plan.stream < total / 4
+    assert all(sum(c.values()) <= 64 for c in combinations(sorted(counts)[:60], 4096))
+
+
+def test_packing_cuts_less_than_a_plain_stream(spark):
+    from tagsmith.llm.packing import pack
+    from tagsmith.llm.tokens import vocabulary_path
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    ends = np.cumsum([len(x) for x in ids_of([r["text"] for r in docs.orderBy("doc_id").collect()])])
+    total = int(ends[-1])
+    plain = len(ends) + len(set(range(4096, total, 4096)) - set(ends.tolist()))  # concatenate and cut
+    made = pack(docs, vocabulary_path())
+    got = made.agg({"sequence_id": "max", "length": "sum", "*": "count"}).first()
+    assert got["max(sequence_id)"] + 1 == -(-total // 4096) and got["sum(length)"] == total
+    assert len(ends) <= got["count(1)"] <= plain
+
+
 def test_packing_is_whole_and_dense(spark):
     from tagsmith.llm.packing import pack, sequences
     from tagsmith.llm.tokens import vocabulary_path
