@@ -342,6 +342,51 @@ def test_context_tree_code_lengths(order):
         assert np.allclose(trees.code_lengths(texts, step), want, rtol=1e-5)
 
 
+def test_context_trees_stay_sparse():
+    """Languages of different bytes: the tables hold what each language has
+    seen, not codes times languages, and a full cache changes no code length."""
+    from tagsmith.llm.langid_ppm import Trees, grams
+    rng = random.Random(8)
+    train = ["".join(chr(0x4E00 + 20 * k + rng.randrange(12)) for _ in range(400)).encode() for k in range(40)]
+    parts = [(k, *np.unique(grams([t], 3)[0], return_counts=True)) for k, t in enumerate(train)]
+    lang, code, n = (np.concatenate(c) for c in ([np.full(len(c), k) for k, c, _ in parts], [c for _, c, _ in parts], [m for _, _, m in parts]))
+    names = [f"l{k:02d}" for k in range(40)]
+    whole, small = Trees(3, names, lang, code, n), Trees(3, names, lang, code, n, cache_bytes=4 * 40 * 10)
+    for o, table in enumerate(whole.bits):
+        assert len(table.value) == len({(int(c) & ((1 << 8 * (o + 1)) - 1), k) for c, k in zip(code.tolist(), lang.tolist())})
+    assert len(small.top_cost) == 10 and len(whole.top_cost) == len(np.unique(code))
+    texts = [t[:300] for t in train[:5]] + [b"plain", b""]
+    want = [[ppm_bits(t, [train[k]], 3) for k in (0, 3, 39)] for t in texts]
+    for trees in (whole, small):
+        assert np.allclose(trees.code_lengths(texts)[:, [0, 3, 39]], want, rtol=1e-5)
+    assert [whole.predict([t.decode("utf-8", "ignore")])[0][0] for t in train] == names
+
+
+def test_langid_against_plain_trees(spark):
+    """The query's rows against context counts in plain Python."""
+    import zlib
+
+    from tagsmith.llm.langid_ppm import identify
+    rng = random.Random(5)
+    words = {"a": "the stone river garden", "b": "der stein fluss garten", "c": "la pierre fleuve jardin"}
+    rows = [(i, " ".join(rng.choice(words[k].split()) for _ in range(rng.randrange(1, 30))), k) for i, k in enumerate("abc" * 20)]
+    rows += [(100, "Stone 12 GARTEN", None), (101, "", "a"), (102, None, "b"), (103, "12 34", "c")]
+    train = defaultdict(list)
+    for i, t, k in rows:
+        if k and t is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            train[k].append(t.lower().encode())
+    got = {r["doc_id"]: r for r in identify(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)).collect()}
+    assert len(got) == len(rows)
+    for i, t, _ in rows:
+        assert got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2)
+        if t is None or not any(c.isalpha() for c in t):
+            assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 0.0)
+            continue
+        bits = [ppm_bits(t.lower().encode(), train[k], 3) for k in "abc"]
+        assert got[i]["lang_pred"] == "abc"[int(np.argmin(bits))]
+        assert abs(got[i]["score"] - 1 / sum(2.0 ** (min(bits) - b) for b in bits)) < 1e-3
+
+
 def test_langid_edges(spark):
     from tagsmith.llm.langid_ppm import identify
     words = {"en": "the and of that with this from they have", "fr": "le la les une que dans pour est avec vous", None: "the le und"}
