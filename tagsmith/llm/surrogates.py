@@ -68,6 +68,7 @@ PATTERNS: list[tuple[str, tuple[str, ...], re.Pattern, int]] = [
     ("name", _STEMS, re.compile(rf"\b(?:{_name})\b\.?(?: (?:{_name})\b\.?)*"), 0),  # forms of address; the names follow
 ]
 _WORD = re.compile(r" ([^\W\d_][\w'’-]+)")
+_RUN, _PART = re.compile(r"\w[\w'’-]*"), re.compile(r"\w+")
 _MAC = re.compile(r"(?:[0-9A-Fa-f]{2}:){5}[0-9A-Fa-f]{2}")
 _DATE = re.compile(r"\d\d([ .-])\d\d\1\d{4}")
 _PLAIN_PHONE = re.compile(r"(?:1([ .-]))?\d{3}([ .-])\d{3}\2\d{4}")
@@ -106,17 +107,28 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
                 or kind == "ipv6" and text.count(":") < 2:
             continue
         own = _names(text, pattern) if kind == "name" else [one for m in pattern.finditer(text) for one in _checked(kind, text, *m.span(group), m)]
-        for a, b, _, _ in own:  # later patterns do not see what is taken
-            text = text[:a] + "\0" * (b - a) + text[b:]
+        text = _masked(text, own)  # later patterns do not see what is taken
         found += own
     return sorted(found)
 
 
+def _masked(text: str, taken: list[tuple[int, int, str, str]]) -> str:
+    """The text with its taken spans (disjoint) blanked, in one pass."""
+    if not taken:
+        return text
+    out, at = [], 0
+    for a, b, _, _ in sorted(taken):
+        out += [text[at:a], "\0" * (b - a)]
+        at = b
+    return "".join(out) + text[at:]
+
+
 def _names(text: str, pattern: re.Pattern) -> list[tuple[int, int, str, str]]:
     """The one or two capitalised words behind forms of address, and other
     mentions of these words in the text."""
     found, forms = [], {}
     for m in pattern.finditer(text):
+        taken = found[-1][1] if found else 0  # this form of address may be part of a name
         gender = next((HONORIFICS[t] for t in _HONOR.findall(m.group()) if HONORIFICS[t] != "n"), "n")
         words, at = [], m.end()
         while len(words) < 2 and (w := _WORD.match(text, at)) and w.group(1)[0].isupper() and w.group(1) not in HONORIFICS:
@@ -127,14 +139,30 @@ def _names(text: str, pattern: re.Pattern) -> list[tuple[int, int, str, str]]:
                 break
         for i, (x, y, name) in enumerate(words):
             kind = f"given_{gender}" if len(words) > 1 and i == 0 else "family"
-            found.append((x, y, kind, name.casefold()))
+            if x >= taken:
+                found.append((x, y, kind, name.casefold()))
             for form in {name, name.capitalize()} if name.isupper() else {name}:
                 forms.setdefault(form, (kind, name.casefold()))
     if forms:
-        for a, b, _, _ in found:
-            text = text[:a] + "\0" * (b - a) + text[b:]
-        again = "|".join(map(re.escape, sorted(forms, key=len, reverse=True)))
-        found += [(*m.span(), *forms[m.group()]) for m in re.finditer(rf"(?<!\w)(?:{again})(?!\w)", text)]
+        found += _mentions(_masked(text, found), forms)
+    return found
+
+
+def _mentions(text: str, forms: dict[str, tuple[str, str]]) -> list[tuple[int, int, str, str]]:
+    """The occurrences of the forms between word ends, the longest first; a
+    look-up per word (and per pair of joined parts), however many forms."""
+    most = max(len(_PART.findall(f)) for f in forms)
+    found = []
+    for run in _RUN.finditer(text):
+        parts = [m.span() for m in _PART.finditer(text, *run.span())]
+        i = 0
+        while i < len(parts):
+            for j in range(min(len(parts), i + most) - 1, i - 1, -1):
+                if (form := text[parts[i][0]:parts[j][1]]) in forms:
+                    found.append((parts[i][0], parts[j][1], *forms[form]))
+                    i = j
+                    break
+            i += 1
     return found
 
 

@@ -609,6 +609,28 @@ def test_a_name_is_one_entity(spark):
         assert anna[-1] == "a" and not {"Anna", "Weber"} & {w for t in out.values() for w in t}
 
 
+def test_later_mentions_and_long_texts():
+    import re
+    import time
+
+    from tagsmith.llm.surrogates import _mentions, find, replace
+    rng = random.Random(1)
+    some = ["Mr Smith", "Mrs O'Brien-Jones", "Smith", "O'Brien", "Jones", "SMITH", "Smith-Jones", "Dr Anna Weber", "Anna", "'Weber'",
+            "-Jones-", "a@b.org", "10.2.3.4", "and", "Frau D’Arc", "Arc", "Anna_", " ", " ", "-", "'", ". "]
+    forms = {f: ("family", f.casefold()) for f in ("Smith", "O'Brien", "O'Brien-Jones", "Jones", "D’Arc", "Weber-")[:5]}
+    plain = re.compile("(?<!\\w)(?:" + "|".join(map(re.escape, sorted(forms, key=len, reverse=True))) + ")(?!\\w)")
+    for _ in range(500):
+        text = "".join(rng.choice(some) for _ in range(rng.randrange(1, 25)))
+        assert _mentions(text, forms) == [(*m.span(), *forms[m.group()]) for m in plain.finditer(text)]
+        spans = find(text)
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:])), text  # disjoint, so no text is lost or doubled
+    assert replace("Frau D'Arc-Mrs Jones-Miss Weber", b"k", lambda k, n: 0)[0].count(" ") == 3
+    names = ["".join(rng.choice("abcdefghijklmnop") for _ in range(9)).capitalize() for _ in range(10_000)]
+    text = " ".join(f"Mr {n} at 10.{i % 256}.{i // 256}.7 met a stone, and {n} left" for i, n in enumerate(names))
+    start = time.time()
+    assert len(find(text)) == 30_000 and time.time() - start < 5  # in proportion to the text
+
+
 def test_surrogates_of_ordinary_phones_and_ipv6():
     from tagsmith.llm.surrogates import find, replace
     for kind, text in [("phone", t) for t in ("+33 1 23 45 67 89", "+61 2 1234 5678", "+81 3 1234 5678", "030 123456", "(02) 123 4567", "+49 (0)30 123456")] \
