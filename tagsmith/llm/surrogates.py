@@ -8,11 +8,15 @@ valid check digits, names with an ending of the same gender, reserved domains
 and address ranges.  Each occurrence gets the replacement in its own format
 (separators, case), so all mentions of an entity stay the same entity.
 
-Names are found behind forms of address; in the same text their later mentions
-without one are found too, in the same spelling (capitalised, if the form of
-address came with capitals only).  A name is one entity whether it stands as a
-given or a family name.  Its gender is the one gender that its forms of
-address in the whole corpus have, else none.
+Names are found behind forms of address, salutations, field labels and closing
+lines of letters; in the same text their other mentions are found too, in any
+spelling that begins with a capital (an ordinary word in small letters is no
+mention: Mr Stone may throw a stone).  A name is one entity whether it stands
+as a given or a family name.  Its gender is the one gender that its forms of
+address in the whole corpus have, else none.  Dates of birth and passport
+numbers are found behind their labels, street addresses by house number and
+kind of street; a date stays a date in its own format, an address keeps its
+kind of street.
 
 Draws are checked over the whole corpus: no two entities of a type may share
 a replacement, and no replacement may be another entity's original.  Colliding
@@ -48,9 +52,26 @@ SYLLABLES = {  # fixed values: opening and inner syllables, and endings by gende
               {"m": "νος ρος λος μος τος δος".split(), "f": "να ρα λα μα τα δα".split(), "n": "νη ρη λη μη τη δη".split()}),
 }
 
+GREETINGS = "Dear Liebe Lieber Cher Chère Querido Querida".split()  # fixed values: words before a name in a letter
+LABELS = ("Name Contact Attn Attention Patient Applicant Employee Signed Kontakt Ansprechpartner Ansprechpartnerin "
+          "Contacto Nombre Nom").split()  # fixed values: labels before a full name
+CLOSINGS = "Regards regards Sincerely sincerely Grüße Grüßen".split()  # fixed values: a name follows on the next line
+NOT_NAMES = frozenset((  # fixed values: capitalised words that follow these cues without being names
+    "All Applicant Authority Board Buyer Candidate Center Centre Client Colleague Colleagues Committee Community Council Customer "
+    "Customers Department Desk Diary Director Editor Everyone Family Form Friend Friends Guest Guests Information Kollegen Kunde "
+    "Kunden Lady Ladies Madam Manager Member Members Office Parents Partner Players Reader Readers Representative Sales Seller "
+    "Service Services Sir Sirs Student Students Subscriber Supplier Support Teacher Team The User Users Visitor Your Us").split())
+MONTHS = ("January February March April May June July August September October November December").split()  # fixed values
+STREETS = "Street St Avenue Ave Road Rd Lane Ln Drive Boulevard Blvd Court Square Terrace Way Crescent".split()  # fixed values
+
 # every form of address contains one of its stems
 _STEMS = tuple(h for h in HONORIFICS if not any(o != h and o in h for o in HONORIFICS))
 _name = "|".join(sorted(HONORIFICS, key=len, reverse=True))
+_DAY = rf"\d{{4,4000}}-\d\d-\d\d|\d\d?(?P<sep>[./-])\d\d?(?P=sep)\d{{4,4000}}|\d\d? (?:{'|'.join(MONTHS)}),? \d{{4,4000}}|(?:{'|'.join(MONTHS)}) \d\d?,? \d{{4,4000}}"
+_STREET = re.compile(
+    rf"\b(?P<n1>\d{{1,6}})[A-Za-z]? (?P<s1>[A-Z][\w'’-]*(?: [A-Z][\w'’-]*){{0,2}}?) (?:{'|'.join(STREETS)})\b"
+    rf"|\b(?P<s2>[^\W\d_a-z][\w-]{{0,40}}?)(?:straße|strasse|str\.|weg|platz|allee|gasse) (?P<n2>\d{{1,6}})[a-z]?\b"
+    rf"|\b(?P<n3>\d{{1,6}})(?: ?(?:bis|ter))?,? (?:rue|avenue|boulevard|chemin|place) (?:(?:de|du|des|de la|de l['’]|d['’]) ?)?(?P<s3>[^\W\d_a-z][\w'’-]*(?: [^\W\d_a-z][\w'’-]*){{0,2}})")
 _SECRET = r"password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?token"
 # (type, texts of which one must occur, pattern, group that is the entity), most specific first
 PATTERNS: list[tuple[str, tuple[str, ...], re.Pattern, int]] = [
@@ -59,21 +80,29 @@ PATTERNS: list[tuple[str, tuple[str, ...], re.Pattern, int]] = [
     ("key", ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xox", "AIza"), re.compile(r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\bgh[pousr]_[A-Za-z0-9]{20,}|\bsk-[A-Za-z0-9_-]{20,}|\bxox[abprs]-[A-Za-z0-9-]{10,}|\bAIza[\w-]{35}"), 0),
     ("secret", ("=", ":"), re.compile(rf"(?i)\b(?:{_SECRET})\b[\"']?\s*[:=]\s*[\"']?([^\s\"',;]{{6,}})"), 1),
     ("email", ("@",), re.compile(r"(?<![\w.+-])[\w.+-]*\w@(?:[^\W_](?:[\w-]*[^\W_])?\.)+[^\W\d_]{2,}"), 0),
+    ("passport", ("asspor", "ASSPOR", "eisepass", "asaport"), re.compile(r"\b(?i:passport|reisepass|passeport|pasaporte)(?i: *(?:no|nr|number|num|nummer)\b\.?)? *[:#]? *((?=(?:[A-Z]{0,9}\d){4})[A-Z0-9]{6,4000})(?![\w-])"), 1),
+    ("birth", ("irth", "IRTH", "orn ", "DOB", "Geburt", "geburt"), re.compile(
+        rf"\b(?i:date of birth|birth ?date|birthday|dob|born(?: on)?|geburtsdatum|geburtstag|geboren am)\b *[:,]? *({_DAY})(?!\d|[./-]\d)"), 1),
+    ("street", (*STREETS, "stra", "weg", "platz", "allee", "gasse", "rue"), _STREET, 0),
     ("iban", (), re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"), 0),
     ("card", (), re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)"), 0),
     ("ssn", ("-",), re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"), 0),
     ("ipv4", (".",), re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)"), 0),
     ("ipv6", (":",), re.compile(r"(?:(?<![\w:.])|(?<=[G-Zg-z]:)(?!:))(?:[0-9A-Fa-f]{1,4})?:(?:[0-9A-Fa-f]{0,4}:)+[0-9A-Fa-f]{0,4}(?![\w:])"), 0),
     ("phone", (), re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}|(?:\(\d{1,4}\)[ .-]?)?\d{2,4})(?:[ .-]?\d{2,4}){1,5}(?![\w]|[.-]\d)"), 0),
-    ("name", _STEMS, re.compile(rf"\b(?:{_name})\b\.?(?: (?:{_name})\b\.?)*"), 0),  # forms of address; the names follow
+    ("name", (*_STEMS, *GREETINGS, *LABELS, "egards", "incerely", "Grüße"), re.compile(  # what stands before names; they follow
+        rf"\b(?:{_name})\b\.?(?: (?:{_name})\b\.?)*|\b(?P<greet>{'|'.join(GREETINGS)})\b"
+        rf"|\b(?:(?P<label>{'|'.join(LABELS)}) ?:|(?P<close>{'|'.join(CLOSINGS)}),?[ \r]*\n)"), 0),
 ]
 _WORD = re.compile(r" ([^\W\d_][\w'’-]+)")
+_FIRST = re.compile(r"[ \t]{0,4}([^\W\d_][\w'’-]+)")
 _RUN, _PART = re.compile(r"\w[\w'’-]*"), re.compile(r"\w+")
 _MAC = re.compile(r"(?:[0-9A-Fa-f]{2}:){5}[0-9A-Fa-f]{2}")
 _DATE = re.compile(r"\d\d([ .-])\d\d\1\d{4}")
 _PLAIN_PHONE = re.compile(r"(?:1([ .-]))?\d{3}([ .-])\d{3}\2\d{4}")
 _DIGIT, _CUE = re.compile(r"[0-9]"), re.compile(rf"(?i){_SECRET}")
 _HONOR = re.compile(rf"\b({_name})\b")
+_BEFORE_NAME = PATTERNS[-1][2]
 
 
 def _digits(s: str) -> str:
@@ -101,9 +130,9 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
     digit = _DIGIT.search(text) is not None
     found: list[tuple[int, int, str, str]] = []
     for kind, needs, pattern, group in PATTERNS:
-        if needs and not any(n in text for n in needs) or not digit and kind in ("card", "ssn", "ipv4", "phone", "iban"):
+        if needs and not any(n in text for n in needs) or not digit and kind in ("card", "ssn", "ipv4", "phone", "iban", "passport", "birth", "street"):
             continue
-        if kind == "secret" and not _CUE.search(text) or kind == "name" and not _HONOR.search(text) \
+        if kind == "secret" and not _CUE.search(text) or kind == "name" and not _BEFORE_NAME.search(text) \
                 or kind == "ipv6" and text.count(":") < 2:
             continue
         own = _names(text, pattern) if kind == "name" else [one for m in pattern.finditer(text) for one in _checked(kind, text, *m.span(group), m)]
@@ -124,33 +153,40 @@ def _masked(text: str, taken: list[tuple[int, int, str, str]]) -> str:
 
 
 def _names(text: str, pattern: re.Pattern) -> list[tuple[int, int, str, str]]:
-    """The one or two capitalised words behind forms of address, and other
-    mentions of these words in the text."""
+    """The one or two capitalised words behind forms of address and other
+    cues, and the other mentions of these words in the text.  A label needs
+    two words, a closing line two or a line of its own; words such as Customer
+    are no names there."""
     found, forms = [], {}
     for m in pattern.finditer(text):
         taken = found[-1][1] if found else 0  # this form of address may be part of a name
         gender = next((HONORIFICS[t] for t in _HONOR.findall(m.group()) if HONORIFICS[t] != "n"), "n")
         words, at = [], m.end()
-        while len(words) < 2 and (w := _WORD.match(text, at)) and w.group(1)[0].isupper() and w.group(1) not in HONORIFICS:
+        while len(words) < 2 and (w := (_WORD if words or not m.lastgroup else _FIRST).match(text, at)) \
+                and w.group(1)[0].isupper() and w.group(1) not in HONORIFICS:
             name = re.sub(r"(?:['’]s)?['’-]*$", "", w.group(1))
             words.append((w.start(1), w.start(1) + len(name), name))
             at = w.end()
             if len(name) < len(w.group(1)):
                 break
+        if m.lastgroup and (any(name in NOT_NAMES for _, _, name in words) or len(words) == 1 and (
+                m.lastgroup == "label" or m.lastgroup == "close" and text[at:at + 1] not in ("", "\n", "\r"))):
+            continue
         for i, (x, y, name) in enumerate(words):
             kind = f"given_{gender}" if len(words) > 1 and i == 0 else "family"
             if x >= taken:
                 found.append((x, y, kind, name.casefold()))
-            for form in {name, name.capitalize()} if name.isupper() else {name}:
-                forms.setdefault(form, (kind, name.casefold()))
+            forms.setdefault(name.casefold(), (kind, name.casefold()))
     if forms:
-        found += _mentions(_masked(text, found), forms)
+        found += _mentions(_masked(text, found), forms, folded=True)
     return found
 
 
-def _mentions(text: str, forms: dict[str, tuple[str, str]]) -> list[tuple[int, int, str, str]]:
+def _mentions(text: str, forms: dict[str, tuple[str, str]], folded: bool = False) -> list[tuple[int, int, str, str]]:
     """The occurrences of the forms between word ends, the longest first; a
-    look-up per word (and per pair of joined parts), however many forms."""
+    look-up per word (and per pair of joined parts), however many forms.
+    ``folded``: the forms are case-folded and any spelling of them counts that
+    begins with a capital."""
     most = max(len(_PART.findall(f)) for f in forms)
     found = []
     for run in _RUN.finditer(text):
@@ -158,7 +194,10 @@ def _mentions(text: str, forms: dict[str, tuple[str, str]]) -> list[tuple[int, i
         i = 0
         while i < len(parts):
             for j in range(min(len(parts), i + most) - 1, i - 1, -1):
-                if (form := text[parts[i][0]:parts[j][1]]) in forms:
+                form = text[parts[i][0]:parts[j][1]]
+                if folded:
+                    form = form.casefold() if form[0].isupper() else ""
+                if form in forms:
                     found.append((parts[i][0], parts[j][1], *forms[form]))
                     i = j
                     break
@@ -189,6 +228,12 @@ def _checked(kind: str, text: str, a: int, b: int, m: re.Match) -> Iterator[tupl
         flat = s.replace(" ", "")
         if 15 <= len(flat) <= 34 and _mod97(flat) == 1:
             yield a, b, kind, flat
+    elif kind == "birth":
+        if day := _day(s):
+            yield a, b, kind, "%04d-%02d-%02d" % day[:3]
+    elif kind == "street":
+        n, name = (x for x in m.groups() if x) if m["n1"] or m["n3"] else (m["n2"], m["s2"])
+        yield a, b, kind, f"{int(n)} {name.casefold()}"
     elif kind == "card":
         if luhn(d):
             yield a, b, "card", d
@@ -216,6 +261,23 @@ def _checked(kind: str, text: str, a: int, b: int, m: re.Match) -> Iterator[tupl
         yield a, b, kind, d if kind == "ssn" else s
 
 
+def _day(s: str) -> tuple[int, int, int, str] | None:
+    """(year, month, day, order of the parts) of a date, None if there is no
+    such day.  Numbers alone stand as day, month, year unless only the other
+    order gives a date."""
+    word = re.search(r"[A-Z][a-z]+", s)
+    n = [int(x) for x in re.findall(r"\d+", s)]
+    if word:
+        (d, y), m, order = n, MONTHS.index(word.group()) + 1, "mdy" if word.start() == 0 else "dmy"
+    elif re.match(r"\d{4}", s):
+        (y, m, d), order = n, "ymd"
+    else:
+        (d, m, y), order = n, "dmy"
+        if m > 12:
+            d, m, order = m, d, "mdy"
+    return (y, m, d, order) if 1 <= m <= 12 and 1 <= d <= 31 - (m in (4, 6, 9, 11)) - (m == 2) * (2 + (y % 4 > 0 or y % 100 == 0 and y % 400 > 0)) else None
+
+
 class _Stream:
     """Keyed pseudo-random numbers for one draw."""
 
@@ -252,9 +314,10 @@ def _private6(r: _Stream) -> str:
 
 def draw(key: bytes, kind: str, norm: str, attempt: int = 0) -> str:
     """The replacement's normal form.  From the eighth attempt on every type
-    grows by a character an attempt, IPv4 addresses first to the range 240/4
-    (from the sixteenth on to a private IPv6 address) and IPv6 addresses to
-    eight groups, so that no format can run out of replacements."""
+    grows by a character an attempt, dates by their year, IPv6 addresses to
+    eight groups and IPv4 addresses to the range 240/4, from the sixteenth on
+    to all addresses and from the 64th on to an address with a port, so that
+    no format can run out of replacements."""
     r = _Stream(key, _who(kind), norm, attempt)
     extra = max(0, attempt - 7)
     if kind in ("card", "account"):
@@ -272,9 +335,20 @@ def draw(key: bytes, kind: str, norm: str, attempt: int = 0) -> str:
         body = _alike(norm[4:] + "0" * extra, r, hexa=False)
         return f"{norm[:2]}{98 - _mod97(norm[:2] + '00' + body):02d}{body}"
     if kind == "ipv4":
-        if attempt >= 16:
-            return _private6(r)
-        return f"{240 + r.below(16) if extra else 10}.{r.below(256)}.{r.below(256)}.{r.below(256)}"
+        first = 1 + r.below(255) if attempt >= 16 else 240 + r.below(16) if extra else 10
+        port = f":{1024 + r.below(64512)}" if attempt >= 64 else ""
+        return f"{first}.{r.below(256)}.{r.below(256)}.{r.below(256)}{port}"
+    if kind == "birth":
+        d = int(norm[-2:])  # both orders of a date in numbers can be told apart as before
+        year = 1930 + r.below(80) if not extra else (1 + r.below(9)) * 10 ** (3 + extra) + sum(r.below(10) * 10 ** i for i in range(3 + extra))
+        return f"{year}-{1 + r.below(12):02d}-{13 + r.below(16) if d > 12 else 1 + r.below(12):02d}"
+    if kind == "street":
+        n, name = norm.split(" ", 1)
+        inner, endings = SYLLABLES[script_of(name)]
+        made = "".join(inner[r.below(len(inner))] for _ in range(3 + extra)) + endings["n"][r.below(len(endings["n"]))]
+        return f"{r.of('123456789')}{''.join(r.of('0123456789') for _ in n[1:])} {made}"
+    if kind == "passport":
+        return _alike(norm, r, hexa=False) + "".join(r.of("0123456789") for _ in range(extra))
     if kind == "ipv6":
         if _MAC.fullmatch(norm):
             return "fd" + "".join(r.of("0123456789abcdef") if c in "0123456789abcdef" else c for c in norm[2:] + ":00" * extra)
@@ -304,6 +378,23 @@ def dress(kind: str, original: str, norm: str) -> str:
     if kind in ("card", "account", "phone", "ssn"):
         it = iter(norm)
         return "".join(next(it) if c.isascii() and c.isdigit() else c for c in original) + "".join(it)
+    if kind == "birth":
+        y, m, d = norm.split("-")
+        order = _day(original)[3]
+        if word := re.search(r"[A-Z][a-z]+", original):
+            it = iter([d, y])
+            return re.sub(r"\d+", lambda x: str(int(next(it))), original.replace(word.group(), MONTHS[int(m) - 1]))
+        it = iter([{"y": y, "m": m, "d": d}[o] for o in order])
+        return re.sub(r"\d+", lambda x: str(int(next(it))).zfill(min(2, len(x.group()))), original)
+    if kind == "street":
+        n, name = norm.split(" ", 1)
+        m = _STREET.fullmatch(original)
+        part = {m.span(g): v for g, v in (("n1", n), ("n2", n), ("n3", n), ("s1", name), ("s2", name), ("s3", name)) if m[g]}
+        out, at = [], 0
+        for (a, b), v in sorted(part.items()):
+            out += [original[at:a], v.upper() if original[a:b].isupper() and b - a > 1 else v.capitalize()]
+            at = b
+        return "".join(out) + original[at:]
     if kind == "iban":
         it = iter(norm)
         return "".join(c if c == " " else next(it) for c in original) + "".join(it)
