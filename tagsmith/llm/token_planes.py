@@ -76,9 +76,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, la
     """Tokenise ``docs`` (whole texts, ``end_id`` after each) and write the
     stream below ``path``.
 
-    Documents are range-partitioned by id, so the parts follow one another in
-    id order; rows of one id follow each other in a fixed order, null ids come
-    first.  Null text is empty (its end id only).  A chunk closes at the first
+    Documents are range-partitioned by id and text hash, so the parts follow
+    one another in id order and the rows of a frequent id (or of the null id,
+    which comes first) are spread over several parts, in the order of the hash.  Null text is empty (its end id only).  A chunk closes at the first
     document end beyond ``chunk_ids`` ids, so a task holds one chunk, or one
     document where that is longer.  Other columns are ignored; an empty table
     gives an empty stream."""
@@ -114,7 +114,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, la
         if held:
             yield close()
     (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-     .repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text"))
+     .withColumn("hash", F.xxhash64("text")).repartitionByRange("id", "hash").sortWithinPartitions("id", "hash").select("id", "text")
      .mapInArrow(run, schema).write.parquet(f"{path}/chunks"))
     spark = docs.sparkSession
     # one row per write task
