@@ -35,8 +35,19 @@ def row_bytes(df: DataFrame):
     return out
 
 
+def is_literal(df: DataFrame) -> bool:
+    """Whether the optimised plan of ``df`` is nothing but rows that it holds
+    itself."""
+    return df._jdf.queryExecution().optimizedPlan().nodeName() == "LocalRelation"
+
+
 def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes."""
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
+    Rows that the plan holds as literals (an inline rule table) are measured
+    there, without a job."""
+    if is_literal(df):
+        sizes = df.select(row_bytes(df).alias("bytes")).collect()
+        return len(sizes) <= max_rows and sum(r["bytes"] for r in sizes) <= max_bytes
     rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 

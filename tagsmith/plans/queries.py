@@ -546,11 +546,9 @@ def _profile(spark, d, as_of, with_segment=True):
     return PR.profile_wide([pay, cycle])
 
 
-def q_profile_full(spark, d):
-    """Every tag pipeline on the stand-ins, merged into one row per user:
-    segment, nationality, consumption cycle and age band, payment, RFM and
-    RFE segments, lifecycle and shopping gender.  ``profile_full_untrained``
-    checks its untrained columns against SQL."""
+def _full_profile(spark, d, trained: bool):
+    """One row per user of every tag on the stand-ins, or of the tags alone
+    that need no trained model."""
     tags = _tags(spark)
     # the match tags on the users table in one scan
     matched = match_tags(SI.users(spark, d), "c_custkey",
@@ -562,16 +560,24 @@ def q_profile_full(spark, d):
     metrics = facts.where(F.col("recency").isNotNull()).select("userId", "recency", "frequency", "monetary")
     cycle = B.band_tag(metrics, "userId", "recency", attribute_rules(tags, 347), "consumercycle")
     age = B.age_band_tag(facts, "userId", "first", attribute_rules(tags, 338))
-    rfm = S.segment_by_kmeans(X.rfm_scores(metrics, TEST_RFM_BANDS), RFM_COLS, attribute_rules(tags, 361), "rfm")
-    return PR.profile_wide([
-        matched, cycle, age, q_pay_type(spark, d), rfm,
-        q_rfe_segments(spark, d), q_rfe_lifecycle(spark, d), q_usg_tree(spark, d).select("userId", "usg"),
-    ])
+    parts = [matched, cycle, age, q_pay_type(spark, d), q_rfe_lifecycle(spark, d)]
+    if trained:
+        parts += [S.segment_by_kmeans(X.rfm_scores(metrics, TEST_RFM_BANDS), RFM_COLS, attribute_rules(tags, 361), "rfm"),
+                  q_rfe_segments(spark, d), q_usg_tree(spark, d).select("userId", "usg")]
+    return PR.profile_wide(parts)
+
+
+def q_profile_full(spark, d):
+    """Every tag pipeline on the stand-ins, merged into one row per user:
+    segment, nationality, consumption cycle and age band, payment, lifecycle,
+    RFM and RFE segments and shopping gender."""
+    return _full_profile(spark, d, trained=True)
 
 
 def q_profile_full_untrained(spark, d):
-    return q_profile_full(spark, d).select("userId", "segment", "nationality", "consumercycle", "agerange", "payment",
-                                           "lifecycle")
+    """The same merge without the tags of trained models, checked against SQL."""
+    return _full_profile(spark, d, trained=False).select("userId", "segment", "nationality", "consumercycle", "agerange", "payment",
+                                                          "lifecycle")
 
 
 def q_profile_wide(spark, d):

@@ -173,3 +173,16 @@ def test_size_check_moves_no_rows_to_one_task(spark):
     with contextlib.redirect_stdout(buf):
         df.agg(F.count(F.lit(1)), F.sum(row_bytes(df))).explain()
     assert "Limit" not in buf.getvalue() and "partial_count" in buf.getvalue()
+
+
+def test_literal_rows_are_measured_without_a_job(spark):
+    from tagsmith.operators.joins import has_at_most, is_literal
+    rules = spark.sql("select * from values (1, 'x'), (2, repeat('y', 1000)), (3, null) t(id, name)").where("id < 3")
+    assert is_literal(rules) and not is_literal(spark.range(3)) and is_literal(rules.limit(0))
+    spark.sparkContext.setJobGroup("literal", "literal")
+    assert has_at_most(rules, 2) and not has_at_most(rules, 1) and has_at_most(rules.limit(0), 0)
+    assert not has_at_most(rules, 2, max_bytes=1000) and has_at_most(rules, 2, max_bytes=2000)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("literal") == []
+    assert not has_at_most(spark.range(3), 2)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("literal")) > 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
