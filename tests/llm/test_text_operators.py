@@ -430,6 +430,73 @@ def test_quality_model_is_the_textbook_one():
     assert np.allclose(model.score(x), 1 / (1 + np.exp(d[0] - d[1])))
 
 
+def plain_statistics(text):
+    """The statistics of a text, character by character and word by word."""
+    text = text or ""
+    words = [w for w in "".join(" " if c in "\t\n\x0b\x0c\r" else chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text).split(" ") if w]
+    if not words:
+        return [0.0] * 13
+    n, size = len(words), sum(len(c.encode("utf-8", "surrogatepass")) for c in text)
+    length = [len(w.encode("utf-8", "surrogatepass")) for w in words]
+    pairs = []
+    for i in range(n - 1):
+        if (words[i], words[i + 1]) not in pairs:
+            pairs.append((words[i], words[i + 1]))
+    lines = [x for x in text.split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+    ascii_marks = [c for c in map(chr, range(33, 127)) if not ("0" <= c <= "9" or "a" <= c <= "z" or "A" <= c <= "Z")]
+    part = lambda chars: sum(c in chars for c in text) / size
+    marks = ".,;:!?'\"()-"
+    return [n, math.log(sum(length) / n), math.log(1 + len(set(words))) / math.log(1 + n),
+            math.sqrt(max(words.count(w) for w in words) / n) if n > 4 else 0.5,
+            math.sqrt(sum(words[i] == words[i + 1] for i in range(n - 1)) / n), math.sqrt(1 - len(pairs) / (n - 1)) if n > 1 else 0.0,
+            math.sqrt(part([c for c in ascii_marks if c not in marks])), math.sqrt(part(marks)), math.sqrt(part("0123456789")),
+            math.sqrt(part("ABCDEFGHIJKLMNOPQRSTUVWXYZ")),
+            math.sqrt(sum(l < 4 and all(ord(c) < 127 and not c.isalnum() for c in w) for w, l in zip(words, length)) / n),
+            math.sqrt(1 - len(set(lines)) / len(lines)), math.sqrt(sum(l <= 3 for l in length) / n)]
+
+
+def test_statistics_against_a_plain_version():
+    from tagsmith.llm.quality_qda import statistics
+    rng = random.Random(4)
+    some = ["The", "the", "stone", "a", "|", "$$", "%%%", "###", "12", "3.5", "don't", "été", "ΑΒ", "I", "日本", " ", "\n", "\n\n", "\t", ", ", ". ", "x-y", "é"]
+    for text in [None, "", " \n", "a", "a a", *(t for _, t in EDGE),
+                 *(rng.choice(["", " "]).join(rng.choice(some) for _ in range(rng.randrange(1, 60))) for _ in range(300))]:
+        assert np.allclose(statistics(text), plain_statistics(text), atol=1e-12), text
+
+
+def test_quality_rows_against_a_plain_version(spark):
+    """Every row of the query: plain statistics, the covariances by numpy, the
+    densities with inverses and determinants."""
+    from tagsmith.llm.quality_qda import score_quality
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    y = {}
+    for r in labels.collect():
+        if r["quality"] in (0, 1) and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1:
+            y[r["doc_id"]] = max(y.get(r["doc_id"], 0), r["quality"])
+    x = np.array([plain_statistics(t) for _, t in rows])
+    taught = np.array([i in y for i, _ in rows])
+    label = np.array([y.get(i, -1) for i, _ in rows])
+    assert {0, 1} <= set(label.tolist())
+    f = x[taught, 1:]
+    z = (x[:, 1:] - f.mean(0)) / np.sqrt(np.maximum(f.var(0), 1e-6)) * (x[:, :1] / (x[:, :1] + 10))
+    cov = {k: np.cov(z[label == k].T, bias=True) for k in (0, 1)}
+    n = {k: (label == k).sum() for k in (0, 1)}
+    pooled = (n[0] * cov[0] + n[1] * cov[1]) / (n[0] + n[1])
+    d = {}
+    for k in (0, 1):
+        c = 0.9 * cov[k] + 0.1 * pooled
+        c = 0.95 * c + 0.05 * max(np.trace(c) / 12, 1e-3) * np.eye(12)
+        r = z - z[label == k].mean(0)
+        d[k] = np.log(n[k] / (n[0] + n[1])) - 0.5 * np.einsum("ij,jk,ik->i", r, np.linalg.inv(c), r) - 0.5 * np.linalg.slogdet(c)[1]
+    want = dict(zip([i for i, _ in rows], 1 / (1 + np.exp(np.clip(d[0] - d[1], -500, 500)))))
+    got = score_quality(docs, labels).collect()
+    assert len(got) == len(rows) == len(want)
+    for r in got:
+        assert abs(r["score"] - want[r["doc_id"]]) < 1e-6 and r["predicted"] == int(r["score"] >= 0.5)
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+
+
 def test_quality_edges(spark):
     from tagsmith.llm.quality_qda import keep_quality, score_quality
     rng = random.Random(2)
@@ -445,7 +512,7 @@ def test_quality_edges(spark):
     assert len(wrong) <= 4
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in out.values())
     kept = keep_quality(df, labels)
-    assert kept.schema == df.schema or kept.columns == df.columns
+    assert kept.columns == df.columns and [f.dataType for f in kept.schema] == [f.dataType for f in df.schema]
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(
         None if i == -1 else i for i, t in texts if out[None if i == -1 else i]["predicted"])
     assert {r["score"] for r in score_quality(df, labels.where("quality = 1")).collect()}  # one class only: a constant
