@@ -71,3 +71,10 @@ def test_nightly_profile_on_reference_format(spark):
     assert {u for u, r in early.items() if r.payment} == paid == {u for u, r in early.items() if r.rfm}
     with pytest.raises(ValueError, match="job"):
         nightly_profile(tags, users.drop("job"), orders, None, None, None, None, "2024-06-01")
+
+
+def test_full_profile_holds_the_untrained_one(spark):
+    from tagsmith.plans.queries import QUERIES
+    full, part = (QUERIES[n](spark, "/root/testdata/sf0.001") for n in ("profile_full", "profile_full_untrained"))
+    full = full.select(part.columns)
+    assert full.exceptAll(part).isEmpty() and part.exceptAll(full).isEmpty()
