@@ -14,13 +14,11 @@ The filter grows with the corpus: the counts are added up first, and it has
 ``bits_per_key`` bits for every (n-gram, level) that the corpus holds.
 
 Next to the model score, the additive base score uses exact unigram counts.
-While the filter has at most ``max_bits`` bits and the table of (64-bit word
-key, count) at most ``vocabulary_bytes``, both are broadcast.  Above either
-bound the documents' distinct keys go to the segments by a shuffle, and the
+The documents' distinct keys go to buckets of segments by a shuffle, and the
 levels and counts found there come back to the documents; no task and not the
-driver then holds more than a bucket of segments.  A broadcast is held once by
-every Python worker, so an executor of c cores holds c times both bounds at
-most.
+driver then holds more than a bucket.  Small corpora take the same way, so
+disk grows in proportion to the input.  Keys and counts are shuffled as sorted,
+compressed runs.
 """
 
 from __future__ import annotations
@@ -35,10 +33,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagsmith.llm.common import arrow_batches, map_batches, remainder, ship, stash, words_of
+from tagsmith.llm.common import remainder, ship, stash, words_of
 
 WORDS = 1 << 10  # 64-bit words of a segment
-BUCKET = 512  # segments that a shuffled probe goes to together (4 MB)
+BUCKET = 512  # segments that a probe goes to together at most (4 MB)
 START, END = (np.uint64(xxhash.xxh64_intdigest(x, 7)) for x in (b"\x01start", b"\x01end"))  # hashed with another seed than words
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 A, B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -137,60 +135,127 @@ def _part(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """64-bit numbers, byte by byte and compressed; their high zeros take no room."""
+    raw = np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(x).to_bytes(8, "little") + (pa.Codec("zstd", 1).compress(raw, asbytes=True) if raw else b"")
+
+
+def _unplaned(raw, kind: type) -> np.ndarray:
+    n = int.from_bytes(memoryview(raw)[:8], "little")
+    if not n:
+        return np.zeros(0, kind)
+    flat = np.frombuffer(pa.Codec("zstd").decompress(memoryview(raw)[8:], 8 * n), np.uint8)
+    return np.ascontiguousarray(flat.reshape(8, -1).T).reshape(-1).view(kind)
+
+
+def _run(keys: np.ndarray) -> bytes:
+    """Sorted keys by their differences."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unrun(raw) -> np.ndarray:
+    return np.cumsum(_unplaned(raw, np.uint64), dtype=np.uint64)
+
+
+def _added(keys: list, n: list) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their counts."""
+    key, n = np.concatenate([np.zeros(0, np.uint64), *keys]), np.concatenate([np.zeros(0, np.int64), *n])
+    if not len(key):
+        return key, n
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[first], np.add.reduceat(n[order], first)
+
+
 def _gather(train: DataFrame, parts: int, flush: int = 1 << 21) -> DataFrame:
-    """(part, kind, key, n): counts of words (kind 1) and pairs (kind 2),
-    added up per task before the shuffle."""
+    """(part, words, n, pairs, pairs_n): runs of the words and pairs of a part
+    of the keys with their counts, added up per task before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {1: [], 2: []}
+        held: tuple[list, list] = ([], [])
         size = 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            for kind, got in held.items():
-                if got:
-                    key, n = np.unique(np.concatenate(got), return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(_part(key, parts).astype(np.int32)), pa.array(np.full(len(key), kind, np.int32)),
-                         pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["part", "kind", "key", "n"])
-                    got.clear()
+            made = []
+            for got in held:
+                key, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *got]), return_counts=True)
+                got.clear()
+                made.append((key, n.astype(np.int64), np.searchsorted(_part(key, parts), np.arange(parts + 1))))
+            for p in range(0, parts, 64):
+                at = [i for i in range(p, min(p + 64, parts)) if any(cut[i] < cut[i + 1] for _, _, cut in made)]
+                columns = [pa.array(at, pa.int32())]
+                for key, n, cut in made:
+                    columns += [pa.array([_run(key[cut[i]:cut[i + 1]]) for i in at], pa.binary()),
+                                pa.array([_planes(n[cut[i]:cut[i + 1]]) for i in at], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "words", "n", "pairs", "pairs_n"])
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 word, before, start = text_keys(batch.slice(i, 256).column(0).to_pylist())
                 if len(word):
-                    held[1] += [word, np.full(len(start) - 1, START)]  # START counts the texts as a history
-                    held[2].append(pair_keys(before, word))
+                    held[0].extend([word, np.full(len(start) - 1, START)])  # START counts the texts as a history
+                    held[1].append(pair_keys(before, word))
                     size += len(word)
                 if size >= flush:
                     yield from out()
                     size = 0
         yield from out()
-    return train.mapInArrow(run, "part int, kind int, key long, n long")
+    return train.mapInArrow(run, "part int, words binary, n binary, pairs binary, pairs_n binary")
+
 
+def _count(train: DataFrame, parts: int, base: float) -> DataFrame:
+    """One row per part of the keys that occur: the runs of its words and
+    pairs with their counts, and of them how many tokens, distinct tokens and
+    levels there are."""
+    filt = Filter(1, 1, base)
 
-def _build(counts: DataFrame, filt: Filter, parts: int) -> DataFrame:
-    """Filter segments (seg, bits).  Each part of the keys has its own whole
-    number of segments; a task holds those of the parts it reads.  A part read
-    by two tasks gives two rows of a segment, to be united by or."""
+    def run(t: pa.Table) -> pa.Table:
+        words, n, pairs, pairs_n = ([x.as_buffer() for x in t.column(c)] for c in ("words", "n", "pairs", "pairs_n"))
+        words, n = _added([_unrun(x) for x in words], [_unplaned(x, np.int64) for x in n])
+        pairs, pairs_n = _added([_unrun(x) for x in pairs], [_unplaned(x, np.int64) for x in pairs_n])
+        token = words != START
+        return pa.table({"part": t.column("part").slice(0, 1), "words": pa.array([_run(words)], pa.binary()), "n": pa.array([_planes(n)], pa.binary()),
+                         "pairs": pa.array([_run(pairs)], pa.binary()), "pairs_n": pa.array([_planes(pairs_n)], pa.binary()),
+                         "tokens": pa.array([int(n[token].sum())]), "types": pa.array([int(token.sum())]),
+                         "levels": pa.array([int(filt.level(n).sum() + filt.level(pairs_n).sum())])})
+    return _gather(train, parts).groupBy("part").applyInArrow(
+        run, "part int, words binary, n binary, pairs binary, pairs_n binary, tokens long, types long, levels long")
+
+
+ROW = "bucket int, step int, seg int, raw binary, parcel long, words binary, pairs binary"  # what meets in a bucket
+NAMES = ["bucket", "step", "seg", "raw", "parcel", "words", "pairs"]
+
+
+def _build(counts: DataFrame, filt: Filter, parts: int, bucket: int) -> DataFrame:
+    """The filter's segments (step 0: seg, raw) and the words' exact counts
+    (step 1: a run and its counts) by bucket.  Each part of the keys has its
+    own whole number of segments; a task holds those of one part."""
     each = filt.segments // parts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits: dict[int, np.ndarray] = {}
         for batch in batches:
-            key, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            key = key.view(np.uint64)
-            seg, level = filt.segment(key), filt.level(n)
-            part = seg // each
-            order = np.argsort(part, kind="stable")
-            cut = np.flatnonzero(np.diff(part[order])) + 1
-            for rows in np.split(order, cut):
-                if len(rows):
-                    p = int(part[rows[0]])
-                    words = bits.setdefault(p, np.zeros(each * WORDS, np.uint64))
-                    filt.put(words, (seg[rows] - p * each) * WORDS, key[rows], level[rows])
-        for p, words in bits.items():
-            for i in range(each):
-                yield pa.RecordBatch.from_arrays([pa.array([p * each + i], pa.int32()),
-                                                  pa.array([words[i * WORDS:(i + 1) * WORDS].tobytes()])], ["seg", "bits"])
-    return counts.select("key", "n").mapInArrow(run, "seg int, bits binary")
+            for r in range(batch.num_rows):
+                p = batch.column(0)[r].as_py()
+                words, pairs = (_unrun(batch.column(c)[r].as_buffer()) for c in (1, 3))
+                n, pairs_n = (_unplaned(batch.column(c)[r].as_buffer(), np.int64) for c in (2, 4))
+                bits = np.zeros(each * WORDS, np.uint64)
+                for key, count in ((words, n), (pairs, pairs_n)):
+                    filt.put(bits, (filt.segment(key) - p * each) * WORDS, key, filt.level(count))
+                for i in range(0, each, 64):
+                    seg = np.arange(p * each + i, p * each + min(i + 64, each))
+                    m = len(seg)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array((seg // bucket).astype(np.int32)), pa.array(np.zeros(m, np.int32)), pa.array(seg.astype(np.int32)),
+                         pa.array([bits[k * WORDS:(k + 1) * WORDS].tobytes() for k in range(i, i + m)], pa.binary()),
+                         pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())], NAMES)
+                words, n = words[words != START], n[words != START]
+                at = filt.segment(words) // bucket
+                for b in np.unique(at).tolist():
+                    mine = slice(np.searchsorted(at, b), np.searchsorted(at, b, "right"))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([b], pa.int32()), pa.array([1], pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()),
+                         pa.array([_run(words[mine])], pa.binary()), pa.array([_planes(n[mine])], pa.binary())], NAMES)
+    return counts.select("part", "words", "n", "pairs", "pairs_n").mapInArrow(run, ROW)
 
 
 def score_documents(docs: DataFrame, held_out_modulus: int = 5, held_out_remainder: int = 1, base: float = 1.5,
@@ -207,7 +272,8 @@ def score_documents(docs: DataFrame, held_out_modulus: int = 5, held_out_remaind
     (c(hw) + prior P(w)) / (c(h) + prior), P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)),
     all its counts c as the filter has them and c(hw) at most c(h) and c(w).
 
-    ``max_bits`` and ``vocabulary_bytes`` bound what is broadcast, not what is
+    ``max_bits`` and ``vocabulary_bytes`` bound the bits of the filter and the
+    exact counts that a task holds at once (a segment at least), not what is
     counted; the result does not depend on them.
 
     Null or empty text is the end token alone.  A null id is no held-out one.
@@ -223,37 +289,12 @@ def score_documents(docs: DataFrame, held_out_modulus: int = 5, held_out_remaind
     gaps = F.octet_length("text") - F.octet_length(F.translate("text", " \t\n\x0b\x0c\r", ""))
     most = train.agg(F.coalesce(F.sum(2 * (F.coalesce(gaps, F.lit(-1)) + 2) + 1), F.lit(0))).first()[0]
     parts = 1 << max(6, (int(most) >> 20).bit_length())  # at most about a million n-grams each
-    counts = stash(_gather(train, parts).repartition("part").groupBy("part", "kind", "key").agg(F.sum("n").alias("n")), "lm-counts", "zstd")
-    exact = counts.where("kind = 1 and key <> %d" % START.view(np.int64)).select("key", "n")
-    n_all, n_types = exact.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    levels = counts.agg(F.coalesce(F.sum(1 + F.floor(F.ln("n") / math.log(base) + 1e-9)), F.lit(0))).first()[0]
+    counts = stash(_count(train, parts, base), "lm-counts")
+    n_all, n_types, levels = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types", "levels"))).first()
     filt = Filter(parts * max(1, -(-int(bits_per_key * levels) // (64 * WORDS * parts))), hashes, base)
-    model = stash(_build(counts, filt, parts), "lm")
     filt.top = int(filt.level(np.array([n_all]))[0])
-    scorer = _Scorer(n_all, n_types, prior)
-    if filt.segments * WORDS * 64 <= max(max_bits, 64 * WORDS) and 16 * n_types <= vocabulary_bytes:
-        filt.words = np.zeros(filt.segments * WORDS, np.uint64)  # at most max_bits / 8 bytes
-        for seg, raw in model.toLocalIterator():
-            filt.words[seg * WORDS:(seg + 1) * WORDS] |= np.frombuffer(raw, np.uint64)
-        sent = spark.sparkContext.broadcast(filt)
-        key, n = np.zeros(n_types, np.int64), np.zeros(n_types, np.int64)
-        i = 0
-        for batch in arrow_batches(exact):
-            m = batch.num_rows
-            key[i:i + m], n[i:i + m] = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            i += m
-        words = spark.sparkContext.broadcast(_table(key.view(np.uint64), n))
-
-        def run(t: pa.Table) -> pa.Table:
-            texts = t.column("text").to_pylist()
-            word, before, start = text_keys(texts)
-            own, at = np.unique(word, return_inverse=True)
-            n = _lookup(*words.value, own)[at]
-            return pa.table([t.column("id"), t.column("out"), pa.array(np.diff(start)), pa.array(np.add.reduceat((n > 0).astype(np.int64), start[:-1])),
-                             pa.array(np.full(len(texts), n_all)), pa.array(np.add.reduceat(scorer.base(n), start[:-1])),
-                             pa.array(np.add.reduceat(scorer.model(sent.value, word, before, start, own, at), start[:-1]))], names=OUT)
-        return map_batches(src, run, SCHEMA, 256).withColumnRenamed("id", id_col)
-    return _by_shuffle(src, model, exact, filt, scorer).withColumnRenamed("id", id_col)
+    bucket = max(1, min(BUCKET, max_bits // (64 * WORDS), vocabulary_bytes * filt.segments // (16 * max(1, n_types))))
+    return _by_shuffle(src, _build(counts, filt, parts, bucket), filt, _Scorer(n_all, n_types, prior), bucket).withColumnRenamed("id", id_col)
 
 
 OUT = ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -268,15 +309,8 @@ class _Scorer:
     def base(self, n: np.ndarray) -> np.ndarray:
         return np.log10((n + 0.5) / self.total)
 
-    def model(self, filt: Filter, word: np.ndarray, before: np.ndarray, start: np.ndarray,
-              own: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """log10 P per token, each distinct word (``word = own[at]``) and pair
-        probed once; a token's history is the token before it in its text."""
-        c_word = filt.count(filt.find(own))[at]
-        pairs, at = np.unique(pair_keys(before, word), return_inverse=True)
-        return self.terms(c_word, filt.count(filt.find(np.array([START])))[0], filt.count(filt.find(pairs))[at], start)
-
     def terms(self, c_word: np.ndarray, c_start: float, c_pair: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """log10 P per token; a token's history is the token before it in its text."""
         c_before = np.concatenate([[0.0], c_word[:-1]])
         c_before[start[:-1]] = c_start
         c_pair = np.minimum(c_pair, np.minimum(c_word, c_before))
@@ -296,15 +330,6 @@ def _lookup(keys: np.ndarray, n: np.ndarray, own: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == own, n[at], 0).astype(np.int64)
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """64-bit numbers, byte by byte, so that the shuffle compresses high zeros."""
-    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def _unplaned(raw, kind: type) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).reshape(-1).view(kind)
-
-
 def _parcels(src: DataFrame, rows: int = 4096, text_bytes: int = 4 << 20) -> DataFrame:
     """The documents in parcels of about ``text_bytes``, one row (parcel,
     docs) each, so that a parcel is never divided; ``docs`` is a compressed
@@ -344,49 +369,37 @@ def _unpacked(docs) -> list[list]:
     return [t.column(i).to_pylist() for i in range(3)]
 
 
-def _by_shuffle(src: DataFrame, model: DataFrame, exact: DataFrame, filt: Filter, scorer: _Scorer) -> DataFrame:
-    """The same rows for any corpus.  A parcel's distinct keys, sorted, fall
-    into runs, one per bucket of segments; each run is sent to its bucket, and
-    what is found there comes back to the parcel in the order of the buckets."""
+def _by_shuffle(src: DataFrame, model: DataFrame, filt: Filter, scorer: _Scorer, bucket: int) -> DataFrame:
+    """A parcel's distinct keys, sorted, fall into runs, one per bucket of
+    segments; each run is sent to its bucket, and what is found there comes
+    back to the parcel in the order of the buckets."""
     parcels = _parcels(src)
-    schema = ("bucket int, step int, seg int, raw binary, key long, n long, parcel long, words binary, pairs binary")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 word, before, _ = text_keys(_unpacked(batch.column(1)[i].as_buffer())[2])
                 sets = [np.unique(np.append(word, START)), np.unique(pair_keys(before, word))]
-                at = [filt.segment(k) // BUCKET for k in sets]
+                at = [filt.segment(k) // bucket for k in sets]
                 for b in np.unique(np.concatenate(at)).tolist():
-                    words, pairs = (_planes(np.diff(k[np.searchsorted(a, b):np.searchsorted(a, b, "right")], prepend=np.uint64(0)))
-                                    for k, a in zip(sets, at))
+                    words, pairs = (_run(k[np.searchsorted(a, b):np.searchsorted(a, b, "right")]) for k, a in zip(sets, at))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([b], pa.int32()), pa.array([2], pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()),
-                         pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), batch.column(0).slice(i, 1), pa.array([words]), pa.array([pairs])],
-                        ["bucket", "step", "seg", "raw", "key", "n", "parcel", "words", "pairs"])
-
-    def place(t: pa.Table) -> pa.Table:  # the bucket of a word's count
-        seg = filt.segment(t.column("key").to_numpy().view(np.uint64))
-        return pa.table([pa.array((seg // BUCKET).astype(np.int32)), t.column("key"), t.column("n")], names=["bucket", "key", "n"])
-    bits = model.select(
-        F.floor(F.col("seg") / BUCKET).cast("int").alias("bucket"), F.lit(0).alias("step"), "seg", F.col("bits").alias("raw"))
-    exact = map_batches(exact, place, "bucket int, key long, n long", 8192).withColumn("step", F.lit(1))
-    asked = parcels.mapInArrow(ask, schema)
-    met = asked.unionByName(bits, allowMissingColumns=True).unionByName(exact, allowMissingColumns=True) \
-        .repartition("bucket").sortWithinPartitions("bucket", "step")
+                         batch.column(0).slice(i, 1), pa.array([words]), pa.array([pairs])], NAMES)
+    met = parcels.mapInArrow(ask, ROW).union(model).repartition("bucket").sortWithinPartitions("bucket", "step")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part, held, counts = -1, filt, [], None
         for batch in batches:
-            bucket, step = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            cut = np.flatnonzero((np.diff(bucket) != 0) | (np.diff(step) != 0)) + 1
-            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(bucket)]):
+            home, step = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cut = np.flatnonzero((np.diff(home) != 0) | (np.diff(step) != 0)) + 1
+            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(home)]):
                 if a == b:
                     continue
-                if bucket[a] != own:
-                    own, held, counts = int(bucket[a]), [], None
-                    part = Filter(filt.segments, filt.hashes, filt.base, np.zeros(BUCKET * WORDS, np.uint64))
-                    part.top, part.first = filt.top, own * BUCKET
+                if home[a] != own:
+                    own, held, counts = int(home[a]), [], None
+                    part = Filter(filt.segments, filt.hashes, filt.base, np.zeros(bucket * WORDS, np.uint64))
+                    part.top, part.first = filt.top, own * bucket
                 rows = batch.slice(a, b - a)
                 if step[a] == 0:
                     for seg, raw in zip(rows.column(2).to_pylist(), rows.column(3)):
@@ -394,18 +407,17 @@ def _by_shuffle(src: DataFrame, model: DataFrame, exact: DataFrame, filt: Filter
                         part.words[at:at + WORDS] |= np.frombuffer(raw.as_buffer(), np.uint64)
                     continue
                 if step[a] == 1:
-                    held.append((rows.column(4).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64),
-                                 rows.column(5).to_numpy(zero_copy_only=False).astype(np.int64)))
+                    held += [(_unrun(rows.column(5)[i].as_buffer()), _unplaned(rows.column(6)[i].as_buffer(), np.int64)) for i in range(rows.num_rows)]
                     continue
                 if counts is None:
                     key = np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in held)])
                     n = np.concatenate([np.zeros(0, np.int64), *(m for _, m in held)])
                     counts, held = _table(key, n), []
                 for i in range(rows.num_rows):
-                    words, pairs = (np.cumsum(_unplaned(rows.column(c)[i].as_buffer(), np.uint64), dtype=np.uint64) for c in (7, 8))
+                    words, pairs = (_unrun(rows.column(c)[i].as_buffer()) for c in (5, 6))
                     yield pa.RecordBatch.from_arrays(
-                        [rows.column(6).slice(i, 1), pa.array([own], pa.int32()), pa.array([part.find(words).astype(np.uint8).tobytes()]),
-                         pa.array([_planes(_lookup(*counts, words))]), pa.array([part.find(pairs).astype(np.uint8).tobytes()])],
+                        [rows.column(4).slice(i, 1), pa.array([own], pa.int32()), pa.array([_planes(part.find(words))]),
+                         pa.array([_planes(_lookup(*counts, words))]), pa.array([_planes(part.find(pairs))])],
                         ["parcel", "bucket", "levels", "counts", "pairs"])
     found = met.mapInArrow(answer, "parcel long, bucket int, levels binary, counts binary, pairs binary")
     back = parcels.withColumn("bucket", F.lit(-1)).unionByName(found, allowMissingColumns=True) \
@@ -423,12 +435,11 @@ def _by_shuffle(src: DataFrame, model: DataFrame, exact: DataFrame, filt: Filter
             del texts
             own = np.unique(np.append(word, START))
             pairs, pair_at = np.unique(pair_keys(before, word), return_inverse=True)
-            level, pair = (np.concatenate([np.frombuffer(x[i], np.uint8) for x in got]) for i in (0, 2))
-            n = np.concatenate([_unplaned(x[1], np.int64) for x in got])
+            level, n, pair = (np.concatenate([_unplaned(x[i], np.int64) for x in got]) for i in range(3))
             if len(level) != len(own) or len(pair) != len(pairs):
                 raise RuntimeError("a parcel's answers are not whole")
             at = np.searchsorted(own, word)
-            n, c_own, c_pair = n[at], filt.count(level.astype(np.int64)), filt.count(pair.astype(np.int64))[pair_at]
+            n, c_own, c_pair = n[at], filt.count(level), filt.count(pair)[pair_at]
             score = scorer.terms(c_own[at], c_own[np.searchsorted(own, START)], c_pair, start)
             first = start[:-1]
             yield pa.RecordBatch.from_arrays(

@@ -597,6 +597,29 @@ def test_lm_scores_do_not_depend_on_the_broadcast_bounds(spark):
     assert score_documents(df.limit(0), max_bits=0, vocabulary_bytes=-1).count() == 0
 
 
+def test_lm_keys_travel_as_small_runs(spark, monkeypatch):
+    from tagsmith.llm import lm_bloom as lm
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 1 << 64, 200_000, dtype=np.uint64))
+    assert (lm._unrun(lm._run(keys)) == keys).all() and len(lm._run(keys)) < 6.5 * len(keys)
+    for n in ([], [1], [2 ** 63 - 1, 0, 5]):
+        assert lm._unplaned(lm._planes(np.array(n, np.int64)), np.int64).tolist() == n
+    texts = [f"w{i % 7} w{i % 3} w{i}" for i in range(90)]
+    got: Counter = Counter()
+    rows = lm._count(spark.createDataFrame([(t,) for t in texts], "text string").repartition(5), 8, 1.5).collect()
+    for r in rows:
+        for keys, n in ((r.words, r.n), (r.pairs, r.pairs_n)):
+            got.update(dict(zip(lm._unrun(keys).tolist(), lm._unplaned(n, np.int64).tolist())))
+    word, before, start = lm.text_keys(texts)
+    assert got == Counter([*word.tolist(), *[int(lm.START)] * len(texts), *lm.pair_keys(before, word).tolist()])
+    assert len(rows) <= 8 and sum(r.tokens for r in rows) == len(word) and sum(r.types for r in rows) == len(set(word.tolist()))
+
+    def none(*_):
+        raise AssertionError("nothing that grows with the corpus is broadcast")
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", none)
+    assert lm.score_documents(docs_of(spark, list(enumerate(texts, 1)))).count() == 90
+
+
 def test_exact_counts_have_64_bits():
     from tagsmith.llm.lm_bloom import _lookup, _table
     key, n = np.array([9, 2 ** 63 + 1, 4], np.uint64), np.array([2 ** 32 + 5, 1, 2 ** 40])
