@@ -184,6 +184,7 @@ def range_search(home: np.ndarray, asked: np.ndarray, down: int, leaf: int = 16)
         x = asked[q]
         on = (np.maximum(x, high) - high).sum(1, dtype=np.int64) <= down
         on[on] = (low - np.minimum(x[on], low)).sum(1, dtype=np.int64) <= 1
+        del x  # or every level of the tree keeps its copy
         q = q[on]
         if not len(q):
             return
@@ -193,11 +194,11 @@ def range_search(home: np.ndarray, asked: np.ndarray, down: int, leaf: int = 16)
             yield from walk(h[left], q)
             yield from walk(h[~left], q)
             return
-        for i in range(0, len(q), 4096):
-            diff = v[None, :, :] - asked[q[i:i + 4096]][:, None, :]
+        for i in range(0, len(q), 1024):
+            diff = v[None, :, :] - asked[q[i:i + 1024]][:, None, :]
             near = ((diff > 0).sum(2) <= 1) & (np.abs(diff).sum(2, dtype=np.int64) <= down + 1)
             a, b = np.nonzero(near & (np.abs(diff).max(2) > 0 if down else True))
-            yield q[i:i + 4096][a], h[b]
+            yield q[i:i + 1024][a], h[b]
     if len(home) and len(asked):
         yield from walk(np.arange(len(home)), np.arange(len(asked)))
 
@@ -259,50 +260,56 @@ class Order:
         return pairs[:, 0], pairs[:, 1]
 
 
-def near_in_box(home: list[str], asked: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def near_in_box(home: list[str], asked: list[str], block: int = 1 << 16, cells: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (index in ``asked``, index in ``home``) one edit apart; the home
-    words are of one length, the asked ones as long or one shorter."""
+    words are of one length, the asked ones as long or one shorter.  Besides
+    the words it holds the vectors of ``block`` asked ones, and the letters of
+    about ``cells`` / length candidates, each several times in 64 bits."""
     length = len(home[0])
     rows = letters(home, length)
     order = Order(rows)
     classes = np.unique(vectors(rows), axis=0)
     sizes = np.array([len(w) for w in asked])
     for m in (length, length - 1):
-        mine = np.flatnonzero(sizes == m)
-        if not len(mine) or not m:
-            continue
-        own = letters([asked[i] for i in mine], m)
-        distinct, of = np.unique(vectors(own), axis=0, return_inverse=True)
-        of = of.ravel()
-        by = np.argsort(of, kind="stable")
-        bound = np.searchsorted(of[by], np.arange(len(distinct) + 1))
-        down = int(m == length)
-        for q, h in range_search(classes, distinct, down):
-            diff = classes[h] - distinct[q]
-            # a change beyond the cut counts shows as none: then any letter may be the one
-            cut = (distinct[q] >= TOP - 1).any(1) | (classes[h] >= TOP - 1).any(1)
-            n = bound[q + 1] - bound[q]
-            step = max(1, (1 << 22) // max(1, m))
-            pair = np.repeat(np.arange(len(q)), n)
-            word = by[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(bound[q], n)]
-            plain = ~cut[pair]
-            for i in range(0, int(plain.sum()), step):
-                w, p = word[plain][i:i + step], pair[plain][i:i + step]
-                new = LETTERS[diff[p].argmax(1)]
-                a, b = order.replaced(own[w], LETTERS[diff[p].argmin(1)], new) if down else order.inserted(own[w], new)
-                yield mine[w[a]], b
-            odd = np.unique(word[~plain])  # rare long words: every letter is tried once
-            for w in odd:
-                seen = set()
-                row = own[w:w + 1]
-                for new in LETTERS:
-                    for old in (np.unique(row) if down else [new]):
-                        if down and old == new:
-                            continue
-                        _, b = order.replaced(row, np.array([old]), np.array([new])) if down else order.inserted(row, np.array([new]))
-                        seen.update(b.tolist())
-                if seen:
-                    yield np.full(len(seen), mine[w]), np.array(sorted(seen))
+        whole = np.flatnonzero(sizes == m)
+        for i in range(0, len(whole) if m else 0, block):
+            mine = whole[i:i + block]
+            for w, b in _near_in_block(order, classes, letters([asked[k] for k in mine], m), int(m == length), cells):
+                yield mine[w], b
+
+
+def _near_in_block(order: Order, classes: np.ndarray, own: np.ndarray, down: int, cells: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (row of ``own``, home row) one replacement (``down`` 1) or one
+    insertion (0) apart; ``classes`` are the distinct home vectors."""
+    distinct, of = np.unique(vectors(own), axis=0, return_inverse=True)
+    of = of.ravel()
+    by = np.argsort(of, kind="stable")
+    bound = np.searchsorted(of[by], np.arange(len(distinct) + 1))
+    step = max(1, cells // own.shape[1])
+    for q, h in range_search(classes, distinct, down):
+        diff = classes[h] - distinct[q]
+        # a change beyond the cut counts shows as none: then any letter may be the one
+        cut = (distinct[q] >= TOP - 1).any(1) | (classes[h] >= TOP - 1).any(1)
+        old, new = LETTERS[diff.argmin(1)], LETTERS[diff.argmax(1)]
+        n = np.where(cut, 0, bound[q + 1] - bound[q])
+        end = np.cumsum(n)
+        for i in range(0, int(n.sum()), step):  # the words of all pairs of vectors, one after the other
+            at = np.arange(i, min(i + step, int(end[-1])))
+            p = np.searchsorted(end, at, "right")
+            w = by[at - end[p] + n[p] + bound[q[p]]]
+            a, b = order.replaced(own[w], old[p], new[p]) if down else order.inserted(own[w], new[p])
+            yield w[a], b
+        for w in np.unique(np.concatenate([np.zeros(0, np.int64), *(by[bound[c]:bound[c + 1]] for c in np.unique(q[cut]))])):
+            seen = set()  # rare long words: every letter is tried once
+            row = own[w:w + 1]
+            for new_one in LETTERS:
+                for old_one in (np.unique(row) if down else [new_one]):
+                    if down and old_one == new_one:
+                        continue
+                    _, b = order.replaced(row, np.array([old_one]), np.array([new_one])) if down else order.inserted(row, np.array([new_one]))
+                    seen.update(b.tolist())
+            if seen:
+                yield np.full(len(seen), w), np.array(sorted(seen))
 
 
 # ---- the job -------------------------------------------------------------
@@ -362,10 +369,12 @@ def near_words(words: DataFrame, per_box: int = 4_000, sample: int = 100_000, sl
         a, b = (np.concatenate([one[c] for one in found] or [np.zeros(0, np.int64)]) for c in (0, 1))
         left = pa.array(asked, pa.string()).take(pa.array(a))
         right = pa.array(own, pa.string()).take(pa.array(b))
-        longer = np.array([len(asked[i]) < len(own[j]) for i, j in zip(a.tolist(), b.tolist())], bool)  # found from the shorter word only
-        back = pa.array(np.flatnonzero(longer))
+        size = np.array([len(w) for w in asked], np.int64)
+        back = pa.array(np.flatnonzero(size[a] < len(own[0])) if len(a) else a)  # found from the shorter word only
         return pa.table([pa.concat_arrays([left, right.take(back)]), pa.concat_arrays([right, left.take(back)])], names=["word", "near"])
-    return both.groupBy("box", "i", "j").applyInArrow(near, "word string, near string")
+    # a task sorts the rows of about eight groups, whatever the corpus
+    tasks = pieces.agg(F.ceil(F.coalesce(F.sum(F.col("h") * F.col("q")), F.lit(0)) / 8)).first()[0]
+    return both.repartition(max(1, int(tasks)), "box", "i", "j").groupBy("box", "i", "j").applyInArrow(near, "word string, near string")
 
 
 def spelling_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = 5, min_count: int = 3,

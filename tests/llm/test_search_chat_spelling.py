@@ -3,6 +3,7 @@ with null, empty and long texts, ties, repeated rows and clashing names."""
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -220,6 +221,35 @@ def test_boxes_lose_no_pair(spark):
     assert degree == {w: n for w, _, _, _, n, _ in brute_force({w: 3 for w in words})}
 
 
+def test_crowded_box_is_searched_in_bounded_memory():
+    import tracemalloc
+    from tagsmith.llm.spelling_kd import near_in_box
+    rng = random.Random(8)
+    letters = list("abcdefghi")
+    longer = set()
+    while len(longer) < 150_000:
+        rng.shuffle(letters)
+        longer.add("".join(letters))
+    asked = [w.replace("i", "") for w in sorted(longer)]  # anagrams, most of them often
+    home = sorted(longer)[:2000]
+    near_in_box(home[:2], home[:2])
+    tracemalloc.start()
+    found = sum(len(a) for a, _ in near_in_box(home, asked))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    times = Counter(asked)
+    assert found == sum(times[x] for w in home for x in {w[:i] + w[i + 1:] for i in range(9)})
+    assert peak < 160e6
+
+
+def test_a_task_of_the_pair_search_has_few_groups(spark):
+    from tagsmith.llm.spelling_kd import near_words
+    rng = random.Random(9)
+    words = sorted({"".join(rng.choice("abcd") for _ in range(6)) for _ in range(600)})
+    pairs = near_words(spark.createDataFrame([(w,) for w in words], "word string"), per_box=4, sample=600, slice_rows=10)
+    assert pairs.rdd.getNumPartitions() >= 40
+
+
 def test_letter_cuts():
     from tagsmith.llm.spelling_kd import runs_of
     import zlib
